@@ -6,9 +6,10 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, packing, token_files
+from . import bpe, langid, packing, token_files
 from .common import Cut
 
+BYTE_BPE = "byte_bpe_multi_50k.tiktoken"
 WORD_BPE = "word_bpe_49k.json"
 PIECES = "piece_bpe_32k.model"
 
@@ -17,6 +18,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return bpe.digests(docs, public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN)
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     segments = Cut(spark).keep(token_files.encode_segments(docs, public_tokenizers.path(WORD_BPE), end_id=2))
@@ -39,6 +45,7 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_byte_bpe": op2_byte_bpe,
     "op5_token_files": op5_token_files,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_language_id": op7_language_id,
