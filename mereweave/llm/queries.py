@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, packing, token_files
+from . import bpe, flac, langid, packing, token_files
 from .common import Cut
 
 BYTE_BPE = "byte_bpe_multi_50k.tiktoken"
@@ -44,10 +44,15 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op8_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flac.media_digests(flac.store_text(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op5_token_files": op5_token_files,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_language_id": op7_language_id,
+    "op8_media_columns": op8_media_columns,
 }
 ORACLE_SQL: dict[str, str] = {}
