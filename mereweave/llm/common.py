@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import zlib
@@ -48,13 +49,18 @@ class Cut:
         out._mereweave_path = path
         return out
 
+    def release(self) -> None:
+        """Lets Spark delete shuffle files of steps that are over: it does so when their plans are collected as garbage."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def drop(self, df: DataFrame) -> None:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(df._mereweave_path)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, target: int = 6 << 20) -> Iterator[pa.RecordBatch]:
-    """Cuts Arrow batches so that ``column`` holds about ``target`` bytes in each (one row at least)."""
+def slices(batches: Iterator[pa.RecordBatch], column: str, target: int = 6 << 20, most: int = 1 << 30) -> Iterator[pa.RecordBatch]:
+    """Cuts Arrow batches so that ``column`` holds about ``target`` bytes in each (one row at least, ``most`` rows at most)."""
     for batch in batches:
         if batch.num_rows == 0:
             continue
@@ -63,7 +69,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, target: int = 6 << 20
         at = 0
         while at < batch.num_rows:
             done = ends[at - 1] if at else 0
-            to = max(at + 1, int(np.searchsorted(ends, done + target, side="right")))
+            to = min(at + most, max(at + 1, int(np.searchsorted(ends, done + target, side="right"))))
             yield batch.slice(at, to - at)
             at = to
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, flac, langid, minhash, packing, token_files
+from . import bpe, flac, langid, minhash, packing, substrings, token_files
 from .common import Cut
 
 BYTE_BPE = "byte_bpe_multi_50k.tiktoken"
@@ -23,6 +23,10 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(docs, public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN)
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digests(table(spark, sf_dir, "documents"), window=35)
+
+
 def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=3, num=85, den=100)
 
@@ -54,6 +58,7 @@ def op8_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_minhash_dedup": op4_minhash_dedup,
     "op5_token_files": op5_token_files,
     "op6_best_fit_packing": op6_best_fit_packing,
