@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, flac, langid, minhash, packing, substrings, token_files
+from . import bpe, flac, html_text, langid, minhash, packing, substrings, token_files
 from .common import Cut
 
 BYTE_BPE = "byte_bpe_multi_50k.tiktoken"
@@ -56,6 +56,10 @@ def op8_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flac.media_digests(flac.store_text(table(spark, sf_dir, "documents")))
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_substring_dedup": op3_substring_dedup,
@@ -64,5 +68,6 @@ QUERIES = {
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_language_id": op7_language_id,
     "op8_media_columns": op8_media_columns,
+    "op10_html_text": op10_html_text,
 }
 ORACLE_SQL: dict[str, str] = {}
