@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, flac, html_text, langid, minhash, packing, substrings, token_files
+from . import bpe, flac, html_text, langid, minhash, packing, substrings, token_files, vectors
 from .common import Cut
 
 BYTE_BPE = "byte_bpe_multi_50k.tiktoken"
@@ -18,6 +18,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return bpe.digests(docs, public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN)
@@ -61,6 +65,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_embedding_dedup": op1_embedding_dedup,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_minhash_dedup": op4_minhash_dedup,
