@@ -1,15 +1,54 @@
-"""The corpus pipeline: language ID, MinHash near-dedup, substring dedup, best-fit packing."""
+"""The corpus pipeline: language ID, MinHash near-dedup, substring dedup, best-fit packing.
+
+Every stage takes (spark, docs, sf_dir) and works on all documents that its predecessor kept. All but
+the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from mereweave.llm import langid, minhash, packing, substrings
+from mereweave.llm.common import Cut
 
-STAGES: list = []
+#: SQL cannot express language models or tokenizers; the stages are tested against brute-force versions.
 ORACLE_SQL = None
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents in a language; ``lang`` is the prediction. A text without a letter has none and goes."""
+    model = langid.fit(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return langid.annotate(docs, model).where("lang_pred <> 'und'").select("doc_id", "text", F.col("lang_pred").alias("lang"), "source", "n_chars")
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of every group of near copies (five-word shingles, similarity 0.8 or more)."""
+    found = minhash.near_duplicates(docs, size=5, num=80, den=100).where("not kept").select("doc_id").distinct()
+    return docs.join(found, "doc_id", "left_anti").select("doc_id", "text", "lang", "source", "n_chars")
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Removes passages of 35 words or more that also stand elsewhere; other texts stay as they are."""
+    less = substrings.repeats(docs, Cut(spark), window=35)
+    kept = less.select(F.col("key").alias("doc_id"), "mark", "kept")
+    out = docs.withColumn("mark", F.xxhash64("text")).join(kept, ["doc_id", "mark"], "left")
+    text = F.coalesce("kept", "text")
+    return out.select("doc_id", text.alias("text"), "lang", "source", F.when(F.col("kept").isNull(), F.col("n_chars")).otherwise(F.length("kept").cast("long")).alias("n_chars"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packs what is left into sequences of at most 4096 tokens."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1, capacity=4096)
+
+
+STAGES = [("language ID", language_id), ("MinHash near-dedup", near_dedup), ("substring dedup", substring_dedup), ("best-fit packing", pack)]
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = Cut(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = cut.keep(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from .common import Cut, anti_clash, slices
 
@@ -234,17 +235,22 @@ _SCORERS: dict[str, _Scorer] = {}
 
 
 def predict(docs: DataFrame, model: Model, id_col="doc_id", text_col="text") -> DataFrame:
-    """Adds ``lang_pred`` and ``score`` (the prediction's posterior) to the id of every row; nothing but the text is used."""
+    """``lang_pred`` and ``score`` (the prediction's posterior) for the id of every row; nothing but the text is used."""
+    return annotate(docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")), model).select("doc_id", "lang_pred", "score")
+
+
+def annotate(docs: DataFrame, model: Model, text_col="text") -> DataFrame:
+    """Adds ``lang_pred`` and ``score`` to every row; its other columns pass through."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    langs, key = model.langs, uuid.uuid4().hex
+    langs, key, at = model.langs, uuid.uuid4().hex, docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if key not in _SCORERS:
             _SCORERS.clear()
             _SCORERS[key] = _Scorer(sent.value)
         scorer = _SCORERS[key]
-        for batch in slices(batches, "text"):
-            texts = batch.column(1).to_pylist()
+        for batch in slices(batches, text_col):
+            texts = batch.column(at).to_pylist()
             if langs:
                 logp, some = scorer(texts)
                 best = logp.argmax(axis=1)
@@ -253,7 +259,7 @@ def predict(docs: DataFrame, model: Model, id_col="doc_id", text_col="text") ->
                 score = np.where(some, score, 0.0)
             else:
                 pred, score = ["und"] * len(texts), np.zeros(len(texts))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(pred, pa.string()), pa.array(score, pa.float64())], ["doc_id", "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pred, pa.string()), pa.array(score, pa.float64())], [*batch.schema.names, "lang_pred", "score"])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return anti_clash(docs, doc_id=id_col, text=text_col).mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
+    schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    return docs.mapInArrow(run, schema)

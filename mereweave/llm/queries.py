@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, flac, html_text, langid, minhash, packing, substrings, token_files, vectors
+from . import bpe, flac, html_text, langid, minhash, packing, quotes, substrings, token_files, vectors
 from .common import Cut
 
 BYTE_BPE = "byte_bpe_multi_50k.tiktoken"
@@ -60,6 +60,10 @@ def op8_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flac.media_digests(flac.store_text(table(spark, sf_dir, "documents")))
 
 
+def op9_quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.link_quotes(table(spark, sf_dir, "conversations"))
+
+
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
@@ -73,6 +77,7 @@ QUERIES = {
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_language_id": op7_language_id,
     "op8_media_columns": op8_media_columns,
+    "op9_quote_links": op9_quote_links,
     "op10_html_text": op10_html_text,
 }
 ORACLE_SQL: dict[str, str] = {}
