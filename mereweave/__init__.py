@@ -1,0 +1 @@
+"""Knowledge-event analytics on Spark: event logs, documents, knowledge graphs and reports."""
