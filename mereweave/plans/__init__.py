@@ -3,7 +3,7 @@
 from importlib import import_module
 
 #: Modules that register queries when imported.
-MODULES = ("reports", "events")
+MODULES = ("reports", "events", "ledger")
 
 
 def load():
