@@ -8,6 +8,7 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def durable(df: DataFrame) -> DataFrame:
@@ -34,7 +35,7 @@ def ratio_upper_bound(a: Column, b: Column) -> Column:
     return F.try_divide(2.0 * F.least(F.length(a), F.length(b)), F.length(a) + F.length(b))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """The matching-blocks ratio of normalised strings, the first one first (it is not symmetric)."""
     return pd.Series([SequenceMatcher(None, x.lower().strip(), y.lower().strip()).ratio() for x, y in zip(a, b, strict=True)])
