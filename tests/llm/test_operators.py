@@ -1,0 +1,393 @@
+"""The training-data operators against brute force, exact round trips and held-out accuracy, with awkward rows."""
+
+import hashlib
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers as P
+import pyarrow.parquet as pq
+import pytest
+
+from mereweave.llm import bpe, flac, html_text, langid, minhash, packing, queries, quotes, substrings, token_files, vectors
+from mereweave.llm.common import Cut
+from mereweave.llm.word_tokens import UnitEncoder
+
+SF = "/root/testdata/sf0.001"
+WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+AWKWARD = [None, "", " ", "a", "A,,", "two words", "x" * 3000, "İstanbul, STRASSE.", "<|endoftext|> x", "don't, we'll.", "tab\there\x1cq", "é ﬁ 日本語", "  lead and trail  ", "a\n \nb\n\n  c"]
+
+
+def table(name):
+    return pq.read_table(f"{SF}/{name}.parquet").to_pylist()
+
+
+def documents(spark, texts):
+    rows = [(i, t, "clash", "clash", 1) for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, "doc_id long, text string, part string, key string, n int")
+
+
+@pytest.fixture(scope="module")
+def docs():
+    return [(r["doc_id"], r["text"]) for r in table("documents")]
+
+
+# --- 1 ---
+
+
+def brute_vectors(ids, vectors_, threshold):
+    ok = [v is not None and len(v) > 0 and all(x is not None and np.isfinite(x) for x in v) and any(x != 0 for x in v) for v in vectors_]
+    links = {i: set() for i in range(len(ids))}
+    for i in range(len(ids)):
+        for j in range(i + 1, len(ids)):
+            if ok[i] and ok[j] and len(vectors_[i]) == len(vectors_[j]):
+                a, b = np.array(vectors_[i], np.float64), np.array(vectors_[j], np.float64)
+                if a @ b / np.linalg.norm(a) / np.linalg.norm(b) >= threshold:
+                    links[i].add(j)
+                    links[j].add(i)
+    out = {}
+    for i in range(len(ids)):
+        seen, stack = {i}, [i]
+        while stack:
+            for j in links[stack.pop()]:
+                if j not in seen:
+                    seen.add(j)
+                    stack.append(j)
+        out[ids[i]] = (len(links[i]), min(ids[k] for k in seen))
+    return out
+
+
+def test_vectors_match_brute_force(spark):
+    rng = np.random.default_rng(5)
+    base = rng.standard_normal((12, 16))
+    rows = [(base[i % 12] + 0.18 * rng.standard_normal(16)).astype(np.float32).tolist() for i in range(150)]
+    rows += [rows[0], rows[0], None, [], [0.0] * 16, [1.0, None] * 8, [float("nan")] + [1.0] * 15, [float("inf")] + [1.0] * 15, [1.0, 0.0, 0.0], [1.0, 0.01, 0.0]]
+    df = spark.createDataFrame([(i, r, 0, "x") for i, r in enumerate(rows)], "vec_id long, embedding array<float>, n int, key string")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_duplicates(df, recall=0.9999).collect()}
+    assert got == brute_vectors(list(range(len(rows))), rows, 0.95)
+    tiles = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_duplicates(df, recall=0.9999, tile=7).collect()}
+    assert tiles == got
+
+
+def test_vectors_empty(spark):
+    assert vectors.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+# --- 2 ---
+
+
+@pytest.fixture(scope="module")
+def duck_bpe():
+    return bpe.DuckBpe(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
+
+
+def test_bpe_matches_the_library_and_round_trips(duck_bpe, docs):
+    import tiktoken
+
+    lib = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=duck_bpe.ranks, special_tokens={})
+    texts = [*AWKWARD, " \n\n", "a  b   c ", *[t for _, t in docs[:60]]]
+    for text, (ids, decoded) in zip(texts, duck_bpe.encode(texts), strict=True):
+        assert ids.decode() == ",".join(map(str, lib.encode_ordinary(text or "")))
+        assert decoded == (text or "").encode()
+
+
+def test_bpe_query_columns(spark):
+    out = bpe.digests(documents(spark, AWKWARD), P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN).collect()
+    assert {r.doc_id: r.decoded_sha256 for r in out} == {i: hashlib.sha256((t or "").encode()).hexdigest() for i, t in enumerate(AWKWARD)}
+    lists = bpe.encode_decode(documents(spark, AWKWARD), P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN).collect()
+    assert {r.doc_id: hashlib.sha256(",".join(map(str, r.ids)).encode()).hexdigest() for r in lists} == {r.doc_id: r.ids_sha256 for r in out}
+
+
+# --- 3 ---
+
+
+def brute_repeats(rows, window):
+    split = [WORDS.findall(t or "") for _, t in rows]
+    seen = Counter(tuple(w[k : k + window]) for w in split for k in range(len(w) - window + 1))
+    out = []
+    for (i, _), w in zip(rows, split, strict=True):
+        gone = [False] * len(w)
+        for k in range(len(w) - window + 1):
+            if seen[tuple(w[k : k + window])] > 1:
+                gone[k : k + window] = [True] * window
+        kept = " ".join(x for x, g in zip(w, gone, strict=True) if not g)
+        out.append((i, len(w), sum(gone), hashlib.sha256(kept.encode()).hexdigest()))
+    return sorted(out)
+
+
+def test_substrings_match_brute_force(spark, docs):
+    rng = np.random.default_rng(3)
+    word = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 400, n))
+    shared, twice = word(60), word(40)
+    texts = [*AWKWARD, *[f"{word(rng.integers(0, 50))} {shared} {word(rng.integers(0, 50))}" for _ in range(20)], f"{twice} {word(3)} {twice}", word(34), shared, shared, "same " * 90, *[t for _, t in docs[:80]]]
+    got = sorted(tuple(r) for r in substrings.digests(documents(spark, texts)).collect())
+    assert got == brute_repeats(list(enumerate(texts)), 35)
+
+
+def test_substrings_null_and_repeated_ids(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    df = spark.createDataFrame([(None, text), (None, text), (1, text + " more"), (1, "other")], "doc_id long, text string")
+    got = sorted(((r.doc_id is None, r.n_words, r.n_removed) for r in substrings.digests(df).collect()))
+    assert got == [(False, 1, 0), (False, 41, 40), (True, 40, 40), (True, 40, 40)]
+    assert substrings.digests(df.limit(0)).count() == 0
+
+
+# --- 4 ---
+
+
+def brute_near(rows, size, num, den):
+    sets = {}
+    for i, t in rows:
+        w = WORDS.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
+        sets[i] = {tuple(w[k : k + size]) for k in range(len(w) - size + 1)} if len(w) >= size else ({tuple(w)} if w else set())
+    label = {i: i for i in sets}
+    links = [(i, j) for i in sets for j in sets if i < j and sets[i] and sets[j] and den * len(sets[i] & sets[j]) >= num * len(sets[i] | sets[j])]
+    changed = True
+    while changed:
+        changed = False
+        for i, j in links:
+            low = min(label[i], label[j])
+            if label[i] != low or label[j] != low:
+                label[i] = label[j] = low
+                changed = True
+    return {i: (len(sets[i]), label[i], label[i] == i) for i in sets}
+
+
+@pytest.mark.parametrize(("size", "num"), [(3, 85), (5, 80)])
+def test_minhash_matches_brute_force(spark, docs, size, num):
+    rng = np.random.default_rng(9)
+    base = [f"w{x}" for x in rng.integers(0, 3000, 120)]
+    near = []
+    for _ in range(40):
+        w = list(base)
+        for k in rng.integers(0, 120, rng.integers(0, 9)):
+            w[k] = f"n{rng.integers(0, 10**6)}"
+        near.append(" ".join(w))
+    texts = [*AWKWARD, *near, near[3], near[3].upper(), *[t for _, t in docs[:100]]]
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(documents(spark, texts), size=size, num=num, den=100).collect()}
+    assert got == brute_near(list(enumerate(texts)), size, num, 100)
+
+
+def test_residual_tiles_find_links_that_stars_miss(spark):
+    rng = np.random.default_rng(1)
+    base = [f"w{x}" for x in range(200)]
+    texts = []
+    for _ in range(30):
+        w = list(base)
+        for k in rng.integers(0, 200, 5):
+            w[k] = f"n{rng.integers(0, 10**6)}"
+        texts.append(" ".join(w))
+    keep = minhash._residual
+    try:
+        minhash._residual = lambda rows, k, num, den: keep(rows, k, num, den, tile=4)
+        got = {r.doc_id: r.component_id for r in minhash.near_duplicates(documents(spark, texts), size=3, num=85, den=100).collect()}
+    finally:
+        minhash._residual = keep
+    assert got == {i: c for i, (_, c, _) in brute_near(list(enumerate(texts)), 3, 85, 100).items()}
+
+
+def test_minhash_null_ids_and_empty(spark):
+    df = spark.createDataFrame([(None, "a b c d"), (1, "a b c d"), (2, None)], "doc_id long, text string")
+    assert sorted((r.doc_id is None, r.component_id, r.kept) for r in minhash.near_duplicates(df).collect() if r.doc_id is not None) == [(False, 1, True), (False, 2, True)]
+    assert minhash.near_duplicates(df).count() == 3
+    assert minhash.near_duplicates(df.limit(0)).count() == 0
+
+
+# --- 5 and 6 ---
+
+
+def library_ids(texts):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    t.encode_special_tokens = True
+    return [t.encode(x or "", add_special_tokens=False).ids for x in texts]
+
+
+def test_units_match_the_library(docs):
+    texts = [*AWKWARD, *[t for _, t in docs[:80]]]
+    small = UnitEncoder(P.path("word_bpe_49k.json"), generation=50)
+    assert [np.frombuffer(x, "<u2").tolist() for x in small.encode(texts)] == library_ids(texts)
+    assert [np.frombuffer(x, "<u2").tolist() for t in texts for x in small.encode([t])] == library_ids(texts)
+
+
+def test_segment_gives_any_position():
+    rng = np.random.default_rng(2)
+    for ids in (np.zeros(0, np.uint32), rng.integers(0, 200, 1000), rng.integers(0, 50000, 5000), rng.integers(0, 2**32, 3000)):
+        s = token_files.Segment(token_files.write_segment([1], np.array([0, len(ids)]), np.asarray(ids, np.uint32)))
+        assert (s.get(np.arange(len(ids))) == ids).all()
+        at = rng.integers(0, max(1, len(ids)), 7) if len(ids) else np.zeros(0, int)
+        assert (s.get(at) == np.asarray(ids)[at]).all()
+
+
+def test_token_files_round_trip(spark):
+    df = documents(spark, AWKWARD)
+    segments = Cut(spark).keep(token_files.encode_segments(df, P.path("word_bpe_49k.json"), 2, segment_ids=40))
+    got = sorted(tuple(r) for r in token_files.read_documents(spark, segments).collect())
+    at, want = 0, []
+    for i, ids in enumerate(library_ids(AWKWARD)):
+        ids = [*ids, 2]
+        want.append((i, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        at += len(ids)
+    assert got == want
+    empty = Cut(spark).keep(token_files.encode_segments(df.limit(0), P.path("word_bpe_49k.json"), 2))
+    assert token_files.read_documents(spark, empty).count() == 0
+
+
+@pytest.mark.parametrize("per_part", [10, 50_000])
+def test_packing_is_whole_and_gapless(spark, docs, per_part):
+    texts = [*AWKWARD, *[t for _, t in docs]]
+    out = packing.pack(documents(spark, texts), P.path("word_bpe_49k.json"), 1, capacity=512, per_part=per_part).collect()
+    by_doc, by_sequence = {}, {}
+    for r in out:
+        by_doc.setdefault(r.doc_id, []).append(r)
+        by_sequence.setdefault(r.sequence_id, []).append(r)
+    for i, ids in enumerate(library_ids(texts)):
+        ids, rows = [*ids, 1], sorted(by_doc[i], key=lambda r: r.piece)
+        assert [r.start for r in rows] == list(range(0, len(ids), 512)) and sum(r.length for r in rows) == len(ids)
+        assert all(zlib.crc32(np.array(ids[r.start : r.start + r.length], "<u4").tobytes()) == r.ids_crc32 for r in rows)
+    for rows in by_sequence.values():
+        at = 0
+        for r in sorted(rows, key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        assert at <= 512
+    if per_part == 50_000:
+        assert len(by_sequence) <= packing.lower_bound(np.array([r.length for r in out]), 512) + 1
+
+
+def test_lower_bound_never_exceeds_a_packing():
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        lengths = rng.integers(1, 101, rng.integers(1, 40))
+        assert packing.lower_bound(lengths, 100) <= packing.best_fit(lengths, 100)[2]
+    assert packing.lower_bound(np.array([51] * 7), 100) == 7
+
+
+# --- 7 ---
+
+
+def test_language_accuracy_on_held_out_rows(spark):
+    out = queries.op7_language_id(spark, SF)
+    truth = {r["doc_id"]: r["lang"] for r in table("documents")}
+    rows = [r for r in out.collect() if r.held_out and truth[r.doc_id] is not None]
+    assert np.mean([r.lang_pred == truth[r.doc_id] for r in rows]) > 0.95
+    assert all(0 <= r.score <= 1 for r in rows)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in out.collect())
+
+
+def test_language_of_awkward_texts(spark):
+    train = spark.createDataFrame([("the and of", "en"), ("der und die", "de"), (None, "en"), ("x", None)], "text string, lang string")
+    model = langid.fit(train, P.path("piece_bpe_32k.model"))
+    got = {r.doc_id: r.lang_pred for r in langid.predict(documents(spark, [None, "", "123 !?", "the", "und", "x" * 5000]), model).collect()}
+    assert [got[i] for i in range(5)] == ["und", "und", "und", "en", "de"] and got[5] in ("en", "de")
+    none = langid.fit(train.limit(0), P.path("piece_bpe_32k.model"))
+    assert langid.predict(documents(spark, ["the"]), none).first().lang_pred == "und"
+
+
+def test_forward_sums_all_segmentations():
+    pieces = langid.pieces_of(P.path("piece_bpe_32k.model"))
+    prob = np.random.default_rng(0).random((pieces.size, 2)) * 0.1
+
+    def brute(lens, arcs, at):
+        if at == lens:
+            return np.ones(2)
+        return sum((prob[p] * brute(lens, arcs, e) for s, e, p in arcs if s == at), np.zeros(2))
+
+    for unit in ("a", "the", "ing", "qzx", "élan"):
+        lens, arcs = pieces.lattice([unit])
+        flat = [(int(s), int(e), int(p)) for us, ss, es, ps in arcs for s, e, p in zip(ss, es, ps, strict=True)]
+        assert np.allclose(langid.unit_scores(pieces, prob, [unit])[0], np.log(brute(int(lens[0]), flat, 0)))
+
+
+# --- 8 ---
+
+
+def payloads():
+    rng = np.random.default_rng(1)
+    made = [rng.integers(0, 256, 64 * 40, dtype=np.uint8).tobytes(), bytes(1024), (np.sin(np.arange(6400) / 9) * 100 + 128).astype(np.uint8).tobytes(), bytes([0, 255]) * 64]
+    return [flac.payload_of(t) for t in AWKWARD] + made
+
+
+def plain(blocks):
+    return b"".join((x + 128).astype(np.uint8).tobytes() for _, x in blocks)
+
+
+def test_flac_round_trip_with_and_without_seek_table():
+    data = payloads()
+    media = flac.encode_streams(data)
+    for p, (s, blocks) in zip(data, flac.decode_streams(media), strict=True):
+        assert plain(blocks) == p and s.total == len(p)
+        assert [first for first, _ in blocks] == list(range(0, len(p), flac.BLOCK))
+    bare = [m[:4] + b"\x80" + m[5:42] + m[flac._Stream(m).first :] for m in media]
+    assert [plain(b) for _, b in flac.decode_streams(bare)] == data
+
+
+def test_flac_uses_predictors_and_detects_damage():
+    tone = (np.sin(np.arange(8192) / 9) * 100 + 128).astype(np.uint8).tobytes()
+    media = flac.encode_streams([tone])[0]
+    assert len(media) < len(tone) * 0.6
+    for at in (-1, -20, 30):  # frame checksum, residuals, MD5
+        bad = bytearray(media)
+        bad[at] ^= 4
+        with pytest.raises(ValueError):
+            flac.decode_streams([bytes(bad)])
+
+
+def test_media_columns(spark):
+    df = documents(spark, AWKWARD)
+    media = flac.store_text(df)
+    for r in flac.media_digests(media).collect():
+        p = flac.payload_of(AWKWARD[r.doc_id])
+        assert (r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-64:]))
+    blocks = flac.pcm_blocks(media).where("doc_id = 6").orderBy("block").collect()
+    assert b"".join(b.pcm for b in blocks) == bytes(x ^ 0x80 for x in flac.payload_of("x" * 3000)) and [b.sample_offset for b in blocks] == [0, 1024, 2048]
+
+
+# --- 9 ---
+
+
+def test_quotes_link_to_originals(spark):
+    rows = [
+        (1, 0, "user", "First point.\n\nSecond point."),
+        (1, 1, "assistant", "Something else."),
+        (1, 2, "user", "Ann wrote:\n> Second   POINT.\nI agree."),
+        (1, 3, "user", "> Ann wrote:\n> > Second point.\n> I agree.\nMe too."),
+        (2, 0, "user", "> First point.\n>\n> Second point.\nFrom elsewhere"),
+        (3, 0, "user", None), (3, 1, "user", ""), (None, 1, "user", "> x"),
+    ]
+    df = spark.createDataFrame([(*r, "clash") for r in rows], "conv_id long, turn long, role string, text string, hash string")
+    got = {(r.conv_id, r.turn): r for r in quotes.link_quotes(df).collect()}
+    assert len(got) == 8
+    assert got[1, 2].text == "I agree." and (got[1, 2].parent_conv, got[1, 2].parent_turn) == (1, 0)
+    assert got[1, 3].text == "Me too." and got[1, 3].parent_turn == 2 and got[1, 3].quote_levels == 2 and got[1, 3].depth == 2
+    assert (got[2, 0].parent_conv, got[2, 0].parent_turn) == (1, 0) and got[2, 0].text == "From elsewhere"
+    assert got[1, 1].parent_turn == 0 and got[3, 1].parent_turn == 0 and got[3, 0].text == ""
+    assert got[None, 1].parent_turn is None
+    assert quotes.link_quotes(df.limit(0)).count() == 0
+
+
+# --- 10 ---
+
+
+def page(body, title="T"):
+    return f"<html><head><title>{title}</title><style>p{{}}</style></head><body>{body}</body></html>"
+
+
+def test_pages_by_consensus(spark):
+    good = "<nav><a href=/>Menu</a></nav><div class='post-12'><p>" + "Main text here. " * 9 + "<p>More &amp; <b>bo</b>ld<br>next</div><div class=sidebar>side</div><footer>foot</footer>"
+    odd = "<div class='post-13'><p>Hi</div><div><p>" + "A long list of other things. " * 20 + "</div>"
+    rows = [(i, f"http://www.h.org/{i}", page(good)) for i in range(5)] + [(9, "http://h.org/9", page(odd)), (10, None, page(good)), (11, "http://x.org", None), (12, "http://x.org", "just text &lt;"), (13, "http://x.org", "")]
+    df = spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, html string, host string")
+    got = {r.page_id: r for r in html_text.extract(df).collect()}
+    want = ("Main text here. " * 9).strip() + " More & bold next"
+    assert [got[i].text for i in (0, 4, 10)] == [want] * 3 and got[9].text == "Hi"
+    assert got[11].text == "" and got[12].text == "just text <" and got[13].n_chars == 0
+    assert html_text.extract(df.limit(0)).count() == 0
+
+
+def test_article_without_furniture():
+    body = "<header>Site</header><article><header><h1>Head</h1></header><p>One.</p><script>no()</script><aside>ad</aside><div class='comments'>c</div><form>f</form><p>Two.</p></article><div id='cookie-notice'>ok</div>"
+    p = html_text.Page(page(body))
+    assert p.path[p.choice()] == "/html/body/article" and p.text(None) == "Head One. Two."
