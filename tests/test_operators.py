@@ -46,7 +46,7 @@ def test_prune_keeps_protected_rows(spark):
     assert rows(out.where("pruned_by = 'size'"), "age") == [(2,), (3,)]
 
 
-@pytest.mark.parametrize(("rid", "ns"), [("orn:web.page:d/h", "web.page"), ("https://x.y", None), ("regen.unknown:id", "regen.unknown")])
+@pytest.mark.parametrize(("rid", "ns"), [("orn:web.page:d/h", "web.page"), ("https://x.y", None), ("ledger.unknown:id", "ledger.unknown")])
 def test_namespace(spark, rid, ns):
     assert spark.range(1).select(t.namespace(F.lit(rid))).first()[0] == ns
 
