@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordered import running_total
+
 
 def mark_consecutive_duplicates(log: DataFrame, key: Column, hash_: Column, seq: str = "seq", bypass: Column | None = None) -> DataFrame:
     """Adds ``duplicate``: the key's last hash is the same. A, B, A all pass; rows that bypass neither match nor count;
@@ -61,9 +63,8 @@ def prune(items: DataFrame, as_of: Column, max_age: Column, max_bytes: int, age:
     aged = items.withColumn("pruned_by", F.when(~protected & (F.col(age) < as_of - max_age), "age"))
     left = F.when(F.col("pruned_by").isNull(), F.col(size)).otherwise(0)
     total = aged.agg(F.sum(left).alias("total"))
-    before = Window.orderBy(age, key).rowsBetween(Window.unboundedPreceding, -1)
-    free = F.coalesce(F.sum(F.when(protected, 0).otherwise(left)).over(before), F.lit(0))
-    out = aged.join(F.broadcast(total)).withColumn("freed", free)
+    own = F.when(protected, 0).otherwise(left)
+    out = running_total(aged, own, "freed", age, key).withColumn("freed", F.col("freed") - own).join(F.broadcast(total))
     by_size = F.col("pruned_by").isNull() & ~protected & (F.col("total") - F.col("freed") > max_bytes)
     return out.withColumn("pruned_by", F.when(by_size, "size").otherwise(F.col("pruned_by"))).drop("freed", "total")
 

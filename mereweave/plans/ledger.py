@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import pct
+from ..operators.ordered import rank
 from .registry import query
 from .views import Views
 
@@ -172,8 +173,8 @@ def round_robin(v: Views) -> DataFrame:
 
 
 @query("win_06_validator_rank", "select address, row_number() over (order by power desc, address) as rank from validators", "validators")
-def rank(v: Views) -> DataFrame:
-    return v.validators.select("address", F.row_number().over(Window.orderBy(F.desc("power"), "address")).alias("rank"))
+def validator_rank(v: Views) -> DataFrame:
+    return rank(v.validators.select("address", "power"), "rank", F.desc("power"), "address").select("address", "rank")
 
 
 @query("set_01_union_all_limited", "(select 'a' as branch, doc_id from documents where n_chars > 1000 order by n_chars desc, doc_id limit 5) union all (select 'b', conv_id from conversations where turn = 0 order by length(text) desc, conv_id limit 5)")

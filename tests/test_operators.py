@@ -129,3 +129,15 @@ def test_whitelist_matches_whole_words(spark):
     d = spark.createDataFrame([(1, "The Blue Class is here"), (2, "bluest class"), (3, None)], "id int, text string")
     n = spark.createDataFrame([("blue class", "x"), ("blue", "y")], "name string, kind string")
     assert rows(kg.whitelist_hits(d, "id", "text", n), "id", "name") == [(1, "blue"), (1, "blue class")]
+
+
+def test_running_total_and_rank(spark):
+    from mereweave.operators import ordered
+
+    df = spark.range(0, 1000).select((F.col("id") * 7919 % 1009).alias("k"), F.col("id").alias("v")).repartition(7)
+    data = sorted((r.k, r.v) for r in df.collect())
+    want, total = [], 0
+    for i, (k, v) in enumerate(data, 1):
+        total += v
+        want.append((k, total, i))
+    assert rows(ordered.rank(ordered.running_total(df, F.col("v"), "total", "k", "v"), "n", "k", "v"), "k", "total", "n") == want
