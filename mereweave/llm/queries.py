@@ -80,4 +80,32 @@ QUERIES = {
     "op9_quote_links": op9_quote_links,
     "op10_html_text": op10_html_text,
 }
-ORACLE_SQL: dict[str, str] = {}
+_REACH = """reach(node, other) as (select a, b from links union select reach.node, links.b from reach join links on reach.other = links.a),
+ lowest as (select node, min(other) as low from reach group by node)"""
+
+#: Plain SQL forms, by all pairs or all windows; the others are tested against brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op1_embedding_dedup": f"""
+with recursive good as (select vec_id, embedding::double[] as e from embeddings
+  where len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+ links as (select x.vec_id as a, y.vec_id as b from good x join good y on x.vec_id <> y.vec_id and len(x.e) = len(y.e) where list_cosine_similarity(x.e, y.e) >= 0.95),
+ {_REACH}, counted as (select a, count(*) as n from links group by a)
+select vec_id, coalesce(n, 0) as n_links, least(vec_id, coalesce(low, vec_id)) as component_id, vec_id <= coalesce(low, vec_id) as kept
+from embeddings left join counted on a = vec_id left join lowest on node = vec_id""",
+    "op3_substring_dedup": r"""
+with split as (select doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
+ places as (select doc_id, w, unnest(generate_series(1, len(w))) as i from split),
+ windows as (select doc_id, w[i] as word, i, case when i + 34 <= len(w) then md5(array_to_string(w[i : i + 34], ' ')) end as h from places),
+ counted as (select *, case when h is not null and count(*) over (partition by h) > 1 then 1 else 0 end as again from windows),
+ covered as (select doc_id, word, i, max(again) over (partition by doc_id order by i rows between 34 preceding and current row) as gone from counted),
+ kept as (select doc_id, sum(gone)::bigint as n_removed, coalesce(string_agg(word, ' ' order by i) filter (gone = 0), '') as body from covered group by doc_id)
+select doc_id, len(w)::bigint as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(body, '')) as kept_sha256 from split left join kept using (doc_id)""",
+    "op4_minhash_dedup": rf"""
+with recursive split as (select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
+ sets as (select doc_id, case when len(w) >= 3 then list_distinct(list_transform(generate_series(1, len(w) - 2), lambda i: array_to_string(w[i : i + 2], ' '))) when len(w) > 0 then [array_to_string(w, ' ')] else [] end as s from split),
+ rows_ as (select doc_id, unnest(s) as x from sets), sizes as (select doc_id, len(s)::bigint as n from sets),
+ shared as (select p.doc_id as a, q.doc_id as b, count(*) as common from rows_ p join rows_ q on p.x = q.x and p.doc_id <> q.doc_id group by 1, 2),
+ links as (select a, b from shared join sizes u on u.doc_id = a join sizes v on v.doc_id = b where 100 * common >= 85 * (u.n + v.n - common)),
+ {_REACH}
+select doc_id, n as n_shingles, least(doc_id, coalesce(low, doc_id)) as component_id, doc_id <= coalesce(low, doc_id) as kept from sizes left join lowest on node = doc_id""",
+}

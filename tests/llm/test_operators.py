@@ -391,3 +391,8 @@ def test_article_without_furniture():
     body = "<header>Site</header><article><header><h1>Head</h1></header><p>One.</p><script>no()</script><aside>ad</aside><div class='comments'>c</div><form>f</form><p>Two.</p></article><div id='cookie-notice'>ok</div>"
     p = html_text.Page(page(body))
     assert p.path[p.choice()] == "/html/body/article" and p.text(None) == "Head One. Two."
+
+
+def test_threads_of_a_long_chain(spark):
+    df = spark.createDataFrame([(1, t, "user", f"m{t}") for t in range(70)], "conv_id long, turn long, role string, text string")
+    assert sorted((r.turn, r.thread_turn, r.depth) for r in quotes.link_quotes(df).collect()) == [(t, 0, t) for t in range(70)]
