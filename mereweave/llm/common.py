@@ -59,6 +59,22 @@ class Cut:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+_KEPT: dict[object, object] = {}
+
+
+def kept(key: object, make) -> object:
+    """A worker's memo that outlives a task. Only one is held at a time: an operator's makes room for the next one's."""
+    if key not in _KEPT:
+        forget()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def forget() -> None:
+    """Drops the memo of an earlier operator; steps that need none of their own call it before they take memory."""
+    _KEPT.clear()
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, target: int = 6 << 20, most: int = 1 << 30) -> Iterator[pa.RecordBatch]:
     """Cuts Arrow batches so that ``column`` holds about ``target`` bytes in each (one row at least, ``most`` rows at most)."""
     for batch in batches:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from .common import Cut, anti_clash, slices
+from .common import Cut, anti_clash, kept, slices
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 _LONGEST_UNIT = 48
@@ -231,9 +231,6 @@ class _Scorer:
         return out, any_letter
 
 
-_SCORERS: dict[str, _Scorer] = {}
-
-
 def predict(docs: DataFrame, model: Model, id_col="doc_id", text_col="text") -> DataFrame:
     """``lang_pred`` and ``score`` (the prediction's posterior) for the id of every row; nothing but the text is used."""
     return annotate(docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")), model).select("doc_id", "lang_pred", "score")
@@ -245,10 +242,7 @@ def annotate(docs: DataFrame, model: Model, text_col="text") -> DataFrame:
     langs, key, at = model.langs, uuid.uuid4().hex, docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if key not in _SCORERS:
-            _SCORERS.clear()
-            _SCORERS[key] = _Scorer(sent.value)
-        scorer = _SCORERS[key]
+        scorer = kept(("langid", key), lambda: _Scorer(sent.value))
         for batch in slices(batches, text_col):
             texts = batch.column(at).to_pylist()
             if langs:
