@@ -4,11 +4,12 @@
    into bins, the least hash of a bin is its value; an empty bin copies the first filled one of its own
    fixed pseudo-random order of bins (optimal densification).
 2. Texts with equal sets form a class; only its smallest id goes on.
-3. Bands of values are bucket keys; in each bucket the smallest id is linked to every other member, so
-   candidates grow with the bucket and not with its square. Candidates are confirmed on full sets.
-4. Where a bucket still holds members of several components, members of different components are
-   compared by signature, tile by tile, and those that may be similar are confirmed on full sets as
-   well; so a star whose centre is no partner loses no link between others.
+3. Bands of values are bucket keys; in each bucket the smallest id is the centre of a star, so candidates
+   grow with the bucket and not with its square. Every document's edge to its least centre is confirmed on
+   full sets first.
+4. Stars that share members form candidate groups. Where a group still holds several components, members of
+   different components are compared in tiles of bounded size: signatures pick, full sets decide, and only links
+   that join two components leave a tile. So a centre that is no partner loses no link between others.
 5. Components of confirmed links.
 
 Nulls and edges: a null text or one without words has an empty set and is linked with nothing; a text
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Cut, anti_clash, mix64, slices, text_bytes, window_hashes, words
+from .common import Cut, anti_clash, forget, mix64, slices, text_bytes, window_hashes, words
 from .components import components
 
 _MULT = np.uint64(0x9E3779B97F4A7C15)
@@ -115,7 +116,8 @@ def _sketch(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
     k = bands * rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        forget()
+        for batch in slices(batches, "text", most=4000):
             values, first = shingle_sets(batch.column(1), size)
             sig = signatures(values, first, k)
             n = np.diff(first)
@@ -130,6 +132,7 @@ def _sketch(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
 
 def _sets(docs: DataFrame, size: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in slices(batches, "text"):
             values, first = shingle_sets(batch.column(1), size)
             at = first.tolist()
@@ -159,13 +162,7 @@ def _confirm(pairs: DataFrame, sets: DataFrame, num: int, den: int, cut: Cut, pe
                 if role == 0:
                     own, now = c, x
                     continue
-                if c != own or not len(x) or not len(now):
-                    continue
-                if min(len(x), len(now)) * den < num * max(len(x), len(now)):
-                    continue
-                at = np.minimum(np.searchsorted(now, x), len(now) - 1)
-                both = int((now[at] == x).sum())
-                if den * both >= num * (len(x) + len(now) - both):
+                if c == own and similar(now, x, num, den):
                     a.append(c)
                     b.append(d)
             if a:
@@ -174,38 +171,67 @@ def _confirm(pairs: DataFrame, sets: DataFrame, num: int, den: int, cut: Cut, pe
     return cut.keep(rows.mapInArrow(run, "a long, b long").distinct())
 
 
-def _residual(buckets: DataFrame, k: int, num: int, den: int, tile: int = 2000) -> DataFrame:
-    """Pairs of different components in a bucket whose signatures allow the threshold.
+def _residual(rows: DataFrame, k: int, num: int, den: int, tile: int = 1500) -> DataFrame:
+    """Links between different components of a candidate group, found on full sets without listing pairs.
 
-    ``buckets``: key, doc_id, component, sig. A bucket's rows are cut into blocks of about ``tile`` and
-    every pair of blocks is one group; signatures are compared in numpy, and only the few pairs that
-    may be similar leave it. Agreement is six deviations below its mean at the threshold at least.
+    ``rows``: grp, doc_id, component, sig, shingles. The members of a group's largest component (D) need no
+    comparison among themselves; the others (X) meet D and each other in tiles of bounded size. In a tile signatures
+    pick the pairs that may be similar (six deviations below the mean agreement at the threshold), full sets decide, and
+    only the first link between two components leaves it.
     """
     t = num / den
     least = int(np.floor(k * t - 6 * np.sqrt(k * t * (1 - t))))
-    size = buckets.groupBy("key").agg(F.ceil(F.count("*") / tile).cast("int").alias("blocks"), F.count_distinct("component").alias("n"))
-    size = size.where("n > 1").drop("n")
-    dealt = buckets.join(size, "key").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    tiles = dealt.withColumn("other", other).select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id", "component", "sig")
+    sizes = rows.groupBy("grp", "component").agg(F.count("*").alias("n"))
+    groups = sizes.groupBy("grp").agg(F.max_by("component", F.struct("n", -F.col("component"))).alias("main"), F.max("n").alias("n_d"), F.sum("n").alias("n_all"))
+    groups = groups.select("grp", "main", F.ceil(F.col("n_d") / tile).cast("int").alias("bd"), F.ceil((F.col("n_all") - F.col("n_d")) / tile).cast("int").alias("bx")).where("bx > 0")
+    dealt = rows.join(groups, "grp").withColumn("is_d", F.col("component") == F.col("main"))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.when(F.col("is_d"), F.col("bd")).otherwise(F.col("bx"))).cast("int"))
+    numbers = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
+    place = lambda kind, i, j: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"))
+    of_d = F.transform(numbers("bx"), lambda i: place(0, i, F.col("block")))
+    of_x = F.concat(F.transform(numbers("bd"), lambda j: place(0, F.col("block"), j)), F.transform(numbers("bx"), lambda j: place(1, F.least(F.col("block"), j), F.greatest(F.col("block"), j))))
+    tiles = dealt.withColumn("tile", F.explode(F.when(F.col("is_d"), of_d).otherwise(of_x))).select("grp", "tile.kind", "tile.i", "tile.j", "is_d", "block", "doc_id", "component", "sig", "shingles")
 
     def compare(key: tuple, table: pa.Table) -> pa.Table:
-        i, j = key[1].as_py(), key[2].as_py()
-        block, doc, comp = (table[c].to_numpy() for c in ("block", "doc_id", "component"))
+        _, kind, i, j = (x.as_py() for x in key)
+        doc, comp, block, is_d = (table[c].to_pylist() for c in ("doc_id", "component", "block", "is_d"))
+        comps = np.array(comp)
         sig = np.frombuffer(b"".join(table["sig"].to_pylist()), "<u2").reshape(len(doc), k)
-        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        names, counts = np.unique(comp, return_counts=True)
-        most = names[counts.argmax()]
+        sets = [np.frombuffer(x, np.uint64) for x in table["shingles"].to_pylist()]
+        left = [r for r in range(len(doc)) if not is_d[r] and block[r] == i]
+        right = np.array([r for r in range(len(doc)) if (is_d[r] if kind == 0 else block[r] == j)], np.int64)
+        root: dict[int, int] = {}
+
+        def find(c: int) -> int:
+            while root.get(c, c) != c:
+                c = root[c]
+            return c
+
         a, b = [], []
-        if len(names) > 1:
-            for x, many in ((left[comp[left] != most], right), (right[comp[right] != most], left)):
-                for r in x.tolist():  # members of the tile's largest component need no comparison among themselves
-                    near = many[((sig[many] == sig[r]).sum(axis=1) >= least) & (comp[many] != comp[r])]
-                    a += np.minimum(doc[near], doc[r]).tolist()
-                    b += np.maximum(doc[near], doc[r]).tolist()
+        for r in left:
+            agree = (sig[right] == sig[r]).sum(axis=1)
+            near = np.flatnonzero((agree >= least) & (comps[right] != comps[r]))
+            for c in right[near[np.argsort(-agree[near], kind="stable")]].tolist():
+                one, two = find(comp[r]), find(comp[c])
+                if one != two and similar(sets[r], sets[c], num, den):
+                    root[max(one, two)] = min(one, two)
+                    a.append(min(doc[r], doc[c]))
+                    b.append(max(doc[r], doc[c]))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return tiles.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long").where("a <> b").distinct()
+    return tiles.groupBy("grp", "kind", "i", "j").applyInArrow(compare, "a long, b long")
+
+
+def similar(x: np.ndarray, y: np.ndarray, num: int, den: int) -> bool:
+    """Whether ``den * |x & y| >= num * |x | y|`` for sorted sets of hashes."""
+    if len(x) > len(y):
+        x, y = y, x
+    if not len(x) or len(x) * den < num * len(y):
+        return False
+    at = np.searchsorted(y, x)
+    at[at == len(y)] = 0
+    both = int((y[at] == x).sum())
+    return den * both >= num * (len(x) + len(y) - both)
 
 
 def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -224,19 +250,18 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", size: int
     reps = some.join(membership.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
     keyed = cut.keep(reps.select("doc_id", F.explode("keys").alias("key")))
     centres = keyed.groupBy("key").agg(F.min("doc_id").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
-    members = cut.keep(keyed.join(centres, "key").select("key", "a", F.col("doc_id").alias("b")))
-    stars = cut.keep(members.select("a", "b").where("a <> b").distinct())
-    wanted = members.select(F.col("b").alias("doc_id")).distinct()
-    sets = cut.keep(_sets(own.join(wanted, "doc_id", "left_semi"), size))
+    near = cut.keep(keyed.join(centres, "key").select("a", F.col("doc_id").alias("b")).where("a <> b").distinct())
+    cut.drop(keyed)
+    groups = cut.keep(components(near, cut))
+    stars = near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    sets = cut.keep(_sets(own.join(groups.select(F.col("node").alias("doc_id")), "doc_id", "left_semi"), size))
     links = _confirm(stars, sets, num, den, cut)
     first = components(links, cut)
-    labelled = members.select("key", F.col("b").alias("doc_id")).join(first, F.col("doc_id") == F.col("node"), "left")
-    labelled = labelled.select("key", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-    mixed = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-    left = labelled.join(mixed, "key", "left_semi").join(some.select("doc_id", "sig"), "doc_id")
-    rest = cut.keep(_residual(left, bands * rows, num, den).join(stars, ["a", "b"], "left_anti"))
-    if not rest.isEmpty():
-        links = links.union(_confirm(rest, sets, num, den, cut))
+    labelled = groups.select(F.col("node").alias("doc_id"), F.col("component").alias("grp")).join(first, F.col("doc_id") == F.col("node"), "left")
+    labelled = cut.keep(labelled.select("grp", "doc_id", F.coalesce("component", "doc_id").alias("component")))
+    mixed = labelled.groupBy("grp").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("grp")
+    left = labelled.join(mixed, "grp", "left_semi").join(some.select("doc_id", "sig"), "doc_id").join(sets, "doc_id")
+    links = links.union(cut.keep(_residual(left, bands * rows, num, den)))
     same = membership.where("doc_id <> rep").select("doc_id", "rep")
     final = components(links.union(same), cut)
     out = sketch.select("doc_id", "n_shingles").join(final, F.col("doc_id") == F.col("node"), "left")
