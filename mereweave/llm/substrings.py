@@ -29,9 +29,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Cut, anti_clash, slices, text_bytes, window_hashes, words
+from .common import Cut, anti_clash, forget, slices, text_bytes, window_hashes, words
 
-_CODES = "part int, chunk long, ids binary, n int, high binary, low binary, extra binary, owner binary, ref binary"
+_CODES = "part int, chunk long, ids binary, n int, high binary, low binary, extra binary, owner binary, ref binary, local binary"
 _NULL_ID = -(2**63)
 
 
@@ -48,22 +48,36 @@ def _rolling(col: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
 
 
 def _pack(h: np.ndarray, owner: np.ndarray, ref: np.ndarray, ids: np.ndarray, parts_log: int, exact: bool, chunk: int) -> pa.RecordBatch:
-    """Sorted codes of a chunk, one row per part; one of the rows also carries the chunk's ids."""
+    """Sorted codes of a chunk, one row per part; one of the rows also carries the chunk's ids.
+
+    A hash that comes twice in the chunk, once at a reference, is decided here: its hits go straight back to the chunk's
+    documents and only one entry goes out, so a passage in very many documents costs a part one entry per chunk.
+    """
     order = np.argsort(h)
     h, owner, ref = h[order], owner[order].astype("<u2"), ref[order]
     parts = 1 << parts_log
+    lead = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])[: len(h)])
+    many = np.diff(np.concatenate([lead, [len(h)]]))
+    decided = (many >= 2) & (np.logical_or.reduceat(ref, lead) if len(h) else np.zeros(0, bool))
+    local = np.repeat(decided, many)
+    own_hits, own_docs = h[local], owner[local]
+    if not exact:
+        own_hits = own_hits & np.uint64(~((1 << (32 - parts_log)) - 1) & (2**64 - 1))
+    sent = ~local
+    sent[lead[decided]] = True
+    ref[lead[decided]] = True
+    h, owner, ref = h[sent], owner[sent], ref[sent]
     cuts = np.searchsorted(h, (np.arange(1, parts, dtype=np.uint64) << np.uint64(64 - parts_log))) if parts_log else np.zeros(0, np.int64)
     rest = h << np.uint64(parts_log) if parts_log else h
     high, low, extra = (rest >> np.uint64(48)).astype(np.int64), (rest >> np.uint64(32)).astype("<u2"), rest.astype("<u4")
-    rows = []
+    home = chunk % parts
+    rows = [(home, chunk, ids.tobytes(), 0, b"", b"", b"", own_docs.tobytes(), b"", own_hits.tobytes())]
     for p, (a, b) in enumerate(zip([0, *cuts.tolist()], [*cuts.tolist(), len(h)], strict=True)):
-        named = p == chunk % parts
-        if a == b and not named:
-            continue
-        bits = np.zeros(65536 + b - a, bool)
-        bits[high[a:b] + np.arange(b - a)] = True
-        rows.append((p, chunk, ids.tobytes() if named else None, b - a, np.packbits(bits).tobytes(), low[a:b].tobytes(), extra[a:b].tobytes() if exact else b"", owner[a:b].tobytes(), np.packbits(ref[a:b]).tobytes()))
-    kinds = (pa.int32(), pa.int64(), pa.binary(), pa.int32(), *[pa.binary()] * 5)
+        if a < b:
+            bits = np.zeros(65536 + b - a, bool)
+            bits[high[a:b] + np.arange(b - a)] = True
+            rows.append((p, chunk, None, b - a, np.packbits(bits).tobytes(), low[a:b].tobytes(), extra[a:b].tobytes() if exact else b"", owner[a:b].tobytes(), np.packbits(ref[a:b]).tobytes(), None))
+    kinds = (pa.int32(), pa.int64(), pa.binary(), pa.int32(), *[pa.binary()] * 6)
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], [c.split()[0] for c in _CODES.split(", ")])
 
 
@@ -74,13 +88,12 @@ def _match(codes: DataFrame, parts_log: int, exact: bool) -> DataFrame:
         part = table["part"][0].as_py()
         value, own, ref, source = [], [], [], []
         out = {"chunk": [], "ids": [], "owner": [], "hits": []}
-        for k, row in enumerate(table.select(["n", "high", "low", "extra", "owner", "ref", "chunk", "ids"]).to_batches()):
-            for r in row.to_pylist():
+        for batch in table.select(["n", "high", "low", "extra", "owner", "ref", "chunk", "ids", "local"]).to_batches():
+            for r in batch.to_pylist():
                 n = r["n"]
                 if r["ids"] is not None:
-                    for name, v in (("chunk", r["chunk"]), ("ids", r["ids"]), ("owner", None), ("hits", None)):
+                    for name, v in (("chunk", r["chunk"]), ("ids", r["ids"]), ("owner", r["owner"]), ("hits", r["local"])):
                         out[name].append(v)
-                if not n:
                     continue
                 ones = np.flatnonzero(np.unpackbits(np.frombuffer(r["high"], np.uint8), count=65536 + n))
                 v = ((ones - np.arange(n)).astype(np.uint64) << np.uint64(48)) | (np.frombuffer(r["low"], "<u2").astype(np.uint64) << np.uint64(32))
@@ -90,7 +103,6 @@ def _match(codes: DataFrame, parts_log: int, exact: bool) -> DataFrame:
                 own.append(np.frombuffer(r["owner"], "<u2"))
                 ref.append(np.unpackbits(np.frombuffer(r["ref"], np.uint8), count=n).astype(bool))
                 source.append(np.full(n, r["chunk"], np.int64))
-            del k
         if value:
             v, o, f, s = (np.concatenate(x) for x in (value, own, ref, source))
             order = np.argsort(v, kind="stable")
@@ -120,9 +132,8 @@ def _by_document(matched: DataFrame) -> DataFrame:
         for i, o, h in zip(*[table[c].to_pylist() for c in ("ids", "owner", "hits")], strict=True):
             if i is not None:
                 ids = np.frombuffer(i, np.int64)
-            else:
-                owner.append(np.frombuffer(o, "<u2"))
-                hits.append(np.frombuffer(h, np.uint64))
+            owner.append(np.frombuffer(o, "<u2"))
+            hits.append(np.frombuffer(h, np.uint64))
         o, h = np.concatenate(owner), np.concatenate(hits)
         order = np.lexsort((h, o))
         o, h = o[order], h[order]
@@ -152,6 +163,7 @@ def _chunk_id() -> int:
 
 def _anchor_codes(docs: DataFrame, block: int, parts_log: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         chunk = _chunk_id()
         for batch in slices(batches, "text", 12 << 20, 65_535):
             h, row, place = _rolling(batch.column(1), block)
@@ -166,6 +178,7 @@ def _window_codes(found: DataFrame, window: int, block: int, parts_log: int, cod
     mask = np.uint64(~((1 << (64 - code_bits)) - 1) & (2**64 - 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         chunk = _chunk_id()
         for batch in slices(batches, "text", 12 << 20, 65_535):
             text, blobs = batch.column(1), batch.column(2).to_pylist()
