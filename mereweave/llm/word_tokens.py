@@ -13,6 +13,8 @@ import os
 
 import numpy as np
 
+from .common import kept
+
 #: A special token of the vocabulary, used between units that are encoded together.
 _FENCE = "<|startoftext|>"
 
@@ -33,11 +35,32 @@ class UnitEncoder:
         self.old: dict[str, bytes] = {}
 
     def _learn(self, units: list[str]) -> None:
-        odd = [u for u in units if "<" in u]
-        even = [u for u in units if "<" not in u]
-        for u in odd:
+        """Encodes unknown units; one that only differs in ASCII case, or by a closing comma or full stop, shares its stem's ids."""
+        stems: dict[str, str] = {}
+        for u in units:
+            stem = u[:-1] if u[-1] in ",." else u
+            if stem.isascii() and stem.isalpha():
+                low = stem.lower()
+                if low != u:
+                    stems[u] = low
+        plain = {u for u in units if u not in stems}
+        need = plain.union(stems.values()).difference(self.young)
+        for u in self.old.keys() & need:
+            self.young[u] = self.old[u]
+        need = list(need.difference(self.young))
+        self._encode_apart([u for u in need if "<" in u])
+        self._encode_together([u for u in need if "<" not in u])
+        if stems:
+            self._encode_apart([p for p in ",." if p not in self.young])
+        for u, low in stems.items():
+            self.young[u] = self.young[low] + (self.young[u[-1]] if u[-1] in ",." else b"")
+
+    def _encode_apart(self, units: list[str]) -> None:
+        for u in units:
             self.young[u] = np.array(self.plain.encode(u, add_special_tokens=False).ids, "<u2").tobytes()
-        groups = [even[i : i + self.together] for i in range(0, len(even), self.together)]
+
+    def _encode_together(self, units: list[str]) -> None:
+        groups = [units[i : i + self.together] for i in range(0, len(units), self.together)]
         joined = [f" {_FENCE} ".join(g) for g in groups]
         for group, enc in zip(groups, self.fenced.encode_batch_fast(joined, add_special_tokens=False), strict=True):
             ids = np.array(enc.ids, "<u2")
@@ -64,11 +87,6 @@ class UnitEncoder:
         return [b"".join(map(get, units)) for units in split]
 
 
-_ENCODERS: dict[str, UnitEncoder] = {}
-
-
 def encoder(vocab_path: str) -> UnitEncoder:
     """The worker's encoder, kept between tasks."""
-    if vocab_path not in _ENCODERS:
-        _ENCODERS[vocab_path] = UnitEncoder(vocab_path)
-    return _ENCODERS[vocab_path]
+    return kept(("units", vocab_path), lambda: UnitEncoder(vocab_path))
