@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import anti_clash, slices
+from .common import anti_clash, kept, slices
 
 #: Positions fit 32 bits; a pair's rank and place order together as one integer.
 _ENCODE = """
@@ -43,11 +43,10 @@ with recursive s(step, w, p, t, after, r) as (
         window right_of as (partition by w order by p)) y
     left join merges m on m.pair = y.t::bigint * 65536 + y.n
 )
-select w, list(t order by p) as ids
-from s join (select w, max(step) as step from s group by w) using (w, step)
-group by w
+select w, p, t from s join (select w, max(step) as step from s group by w) using (w, step)
 """
-_DECODE = "select w, string_agg(v.hex, '' order by i.p) as hex from id_rows i join vocab v on v.id = i.t group by w"
+#: Ids as text, and the bytes that they decode to, from id rows (w, p, t).
+_DECODE = "select w, encode(string_agg(i.t, ',' order by i.p)) as ids, unhex(string_agg(v.hex, '' order by i.p)) as bytes from id_rows i join vocab v on v.id = i.t group by w order by w"
 
 _SPLIT_SLOW = re.compile(r" (?=\S)")
 _IRREGULAR = re.compile(r" (?=\s)")
@@ -61,14 +60,14 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class DuckBpe:
     """One worker's encoder and decoder: a DuckDB connection with the merge table and the vocabulary."""
 
-    def __init__(self, ranks_path: str, pattern: str, generation: int = 220_000, chunk: int = 20_000):
+    def __init__(self, ranks_path: str, pattern: str, generation: int = 220_000, piece_generation: int = 500_000, chunk: int = 20_000):
         import duckdb
         import regex
 
         self.ranks = read_ranks(ranks_path)
         self.pattern = regex.compile(pattern)
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
-        self.chunk, self.generation = chunk, generation
+        self.chunk, self.generation, self.piece_generation = chunk, generation, piece_generation
         pairs, merged = [], []
         for token, rank in self.ranks.items():
             for cut in range(1, len(token)):
@@ -81,69 +80,86 @@ class DuckBpe:
         self.db.execute("create table merges as select * from t_merges")
         self._give("t_vocab", id=pa.array(list(self.ranks.values()), pa.int32()), hex=pa.array([t.hex() for t in self.ranks]))
         self.db.execute("create table vocab as select * from t_vocab")
+        # what is known of pieces and of units, each in two generations: the older one goes when the younger is full
         self.pieces: dict[str, tuple[bytes, bytes]] = {}
-        self.fresh()
-
-    def fresh(self) -> None:
+        self.old_pieces: dict[str, tuple[bytes, bytes]] = {}
         self.young: dict[str, tuple[bytes, bytes]] = {}
         self.old: dict[str, tuple[bytes, bytes]] = {}
 
     def _give(self, name: str, **columns: pa.Array) -> None:
         self.db.register(name, pa.table(columns))
 
-    def encode_pieces(self, pieces: list[bytes]) -> list[list[int]]:
-        """The ids of each piece; a piece that is a token itself needs no merges."""
-        out: list[list[int]] = [[self.ranks[p]] if p in self.ranks else [] for p in pieces]
-        todo = sorted((i for i, ids in enumerate(out) if not ids and pieces[i]), key=lambda i: len(pieces[i]))
+    def encode_pieces(self, pieces: list[bytes]) -> list[tuple[bytes, bytes]]:
+        """For each piece its ids (decimal, joined by commas) and the bytes that they decode to."""
+        out: list[tuple[bytes, bytes]] = [(b"", b"")] * len(pieces)
+        todo = sorted((i for i, p in enumerate(pieces) if p), key=lambda i: len(pieces[i]))
         for lo in range(0, len(todo), self.chunk):
             part = todo[lo : lo + self.chunk]
-            lens = np.array([len(pieces[i]) for i in part])
-            flat = np.frombuffer(b"".join(pieces[i] for i in part), np.uint8)
-            pos = np.arange(len(flat)) - np.repeat(np.cumsum(lens) - lens, lens)
-            self._give("start_rows", w=pa.array(np.repeat(np.arange(len(part), dtype=np.int32), lens)), p=pa.array(pos.astype(np.int32)), t=pa.array(self.byte_ids[flat]))
-            got = self.db.execute(_ENCODE).to_arrow_table()
-            for w, ids in zip(got["w"].to_pylist(), got["ids"].to_pylist(), strict=True):
-                out[part[w]] = ids
+            w, pos, lens = self._rows([len(pieces[i]) for i in part])
+            tokens = self.byte_ids[np.frombuffer(b"".join([pieces[i] for i in part]), np.uint8)]
+            whole = [k for k, i in enumerate(part) if pieces[i] in self.ranks]  # a piece that is a token needs no merges
+            keep = np.ones(len(part), bool)
+            keep[whole] = False
+            keep = np.repeat(keep, lens)
+            self._give("start_rows", w=pa.array(w[keep]), p=pa.array(pos[keep]), t=pa.array(tokens[keep]))
+            self._give("whole_rows", w=pa.array(whole, pa.int32()), p=pa.array(np.zeros(len(whole), np.int32)), t=pa.array([self.ranks[pieces[part[k]]] for k in whole], pa.int32()))
+            self.db.execute("create or replace temp table id_rows as " + _ENCODE)
+            self.db.execute("insert into id_rows select * from whole_rows")
+            got = self.db.sql(_DECODE).to_arrow_table()
+            for i, ids, text in zip(part, got["ids"].to_pylist(), got["bytes"].to_pylist(), strict=True):
+                out[i] = (ids, text)
         return out
 
     def decode_ids(self, sequences: list[list[int]]) -> list[bytes]:
-        """The bytes of each id sequence."""
+        """The bytes of any id sequences."""
         out = [b""] * len(sequences)
         for lo in range(0, len(sequences), self.chunk):
             part = sequences[lo : lo + self.chunk]
-            lens = np.array([len(s) for s in part])
-            flat = np.fromiter((i for s in part for i in s), np.int32, int(lens.sum()))
-            pos = np.arange(len(flat)) - np.repeat(np.cumsum(lens) - lens, lens)
-            self._give("id_rows", w=pa.array(np.repeat(np.arange(len(part), dtype=np.int32), lens)), p=pa.array(pos.astype(np.int32)), t=pa.array(flat))
-            got = self.db.execute(_DECODE).to_arrow_table()
-            for w, text in zip(got["w"].to_pylist(), got["hex"].to_pylist(), strict=True):
-                out[lo + w] = bytes.fromhex(text)
+            w, pos, lens = self._rows([len(s) for s in part])
+            self._give("given_rows", w=pa.array(w), p=pa.array(pos), t=pa.array(np.fromiter((i for s in part for i in s), np.int32, int(lens.sum()))))
+            self.db.execute("create or replace temp table id_rows as select * from given_rows")
+            got = self.db.sql(_DECODE).to_arrow_table()
+            for k, text in zip(got["w"].to_pylist(), got["bytes"].to_pylist(), strict=True):
+                out[lo + k] = text
         return out
 
+    @staticmethod
+    def _rows(lengths: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sequence number and position of every row of sequences of the given lengths."""
+        lens = np.array(lengths, np.int64)
+        w = np.repeat(np.arange(len(lens), dtype=np.int32), lens)
+        pos = np.arange(len(w)) - np.repeat(np.cumsum(lens) - lens, lens)
+        return w, pos.astype(np.int32), lens
+
     def _learn(self, units: list[str]) -> None:
-        per = [self.pattern.findall(u) for u in units]
-        need = list({p for ps in per for p in ps}.difference(self.pieces))
-        if len(self.pieces) + len(need) > 2 * self.generation:
-            self.pieces.clear()
-            need = list({p for ps in per for p in ps})
-        ids = self.encode_pieces([p.encode() for p in need])
-        for piece, seq, text in zip(need, ids, self.decode_ids(ids), strict=True):
-            self.pieces[piece] = (",".join(map(str, seq)).encode(), text)
+        """Units are texts that follow a space, or, marked with two spaces in front, begin a text."""
+        per = [self.pattern.findall(u[2:] if u.startswith("  ") else " " + u) for u in units]
+        wanted = {p for ps in per for p in ps}
+        if len(self.pieces) > self.piece_generation:
+            self.pieces, self.old_pieces = {}, self.pieces
+        for p in self.old_pieces.keys() & wanted.difference(self.pieces):
+            self.pieces[p] = self.old_pieces[p]
+        need = list(wanted.difference(self.pieces))
+        self.pieces.update(zip(need, self.encode_pieces([p.encode() for p in need]), strict=True))
+        known = self.pieces
         for unit, ps in zip(units, per, strict=True):
-            got = [self.pieces[p] for p in ps]
-            self.young[unit] = (b",".join([g[0] for g in got]), b"".join([g[1] for g in got]))
+            if len(ps) == 1:
+                self.young[unit] = known[ps[0]]
+            else:
+                got = [known[p] for p in ps]
+                self.young[unit] = (b",".join([g[0] for g in got]), b"".join([g[1] for g in got]))
 
     def encode(self, texts: list[str | None]) -> list[tuple[bytes, bytes]]:
         """For each text its ids (decimal, joined by commas) and the bytes that they decode to."""
         split = []
         for t in texts:
             units = (_SPLIT_SLOW.split(t) if _IRREGULAR.search(t) else t.split(" ")) if t else []
-            # a unit that follows a space is known by its text, the first one of a text by a mark that no split leaves in front
+            # the first unit of a text has no space before it; no split leaves two spaces in front of a unit, so they mark it
             if units:
                 units[0] = "  " + units[0]
             split.append(units)
         new = set().union(*split).difference(self.young)
-        if len(self.young) + len(new) > self.generation:
+        if len(self.young) > self.generation:
             self.old, self.young = self.young, {}
             new = set().union(*split)
         known = self.old.keys() & new
@@ -151,7 +167,7 @@ class DuckBpe:
             self.young[u] = self.old[u]
         fresh = list(new - known)
         if fresh:
-            self._learn_marked(fresh)
+            self._learn(fresh)
         get = self.young.__getitem__
         out = []
         for units in split:
@@ -161,25 +177,10 @@ class DuckBpe:
             out.append((b",".join([g[0] for g in got]), b"".join([g[1] for g in got])))
         return out
 
-    def _learn_marked(self, units: list[str]) -> None:
-        real = [u[2:] if u.startswith("  ") else " " + u for u in units]
-        distinct = list(dict.fromkeys(real))
-        held = self.young
-        self.young = {}
-        self._learn(distinct)
-        made, self.young = self.young, held
-        for unit, text in zip(units, real, strict=True):
-            held[unit] = made[text]
-
-
-_WORKER: dict[tuple[str, str], DuckBpe] = {}
-
 
 def worker(ranks_path: str, pattern: str) -> DuckBpe:
-    key = (ranks_path, pattern)
-    if key not in _WORKER:
-        _WORKER[key] = DuckBpe(ranks_path, pattern)
-    return _WORKER[key]
+    """The worker's connection and memo, kept between tasks."""
+    return kept(("bpe", ranks_path, pattern), lambda: DuckBpe(ranks_path, pattern))
 
 
 def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, id_col="doc_id", text_col="text") -> DataFrame:
