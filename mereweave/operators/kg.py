@@ -75,24 +75,40 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
     raise RuntimeError("components did not settle")
 
 
+#: Words that do not count when texts are compared for a shared subject.
+_STOPWORDS = tuple("the a an and or but in on at to for of is are was were".split())
+
+
 def contradictions(statements: DataFrame, least_shared: int = 3) -> DataFrame:
-    """Pairs of statements of different extractions with a shared-token subject and opposite negation.
+    """Pairs of statements of different extractions with similar subjects and opposite negation.
 
-    ``statements``: id, extraction, subject, text. Candidates meet through a token index on their subjects.
+    ``statements``: id (unique), extraction, subject, text. Subjects are similar if one equals or holds the other, or if the
+    texts share ``least_shared`` words that are no stopwords. Either way the texts without negation must be alike by more
+    than 0.8, so a prefix filter finds every pair: of n words, ordered by rarity, the n - floor(0.8 n) rarest of both texts
+    have one in common. Only negated statements meet others.
     """
-    tokens = F.filter(F.array_distinct(F.split(F.lower(F.trim("subject")), r"\s+")), lambda t: t != "")
-    s = statements.withColumn("tokens", tokens)
-    index = s.select("id", "extraction", F.explode("tokens").alias("token"))
-    left = index.select(F.col("id").alias("a"), F.col("extraction").alias("xa"), "token")
-    right = index.select(F.col("id").alias("b"), F.col("extraction").alias("xb"), "token")
-    shared = left.join(right, "token").where("a < b and xa <> xb").groupBy("a", "b").agg(F.count("*").alias("n")).where(F.col("n") >= least_shared)
-    text = lambda side: s.select(F.col("id").alias(side), F.col("text").alias(f"text_{side}"))
-    p = shared.join(text("a"), "a").join(text("b"), "b")
-    plain = lambda c: F.split(F.trim(F.regexp_replace(F.lower(c), r"\bnot |n't ", " ")), r"\s+")
+    words = lambda c: F.filter(F.array_distinct(F.split(c, r"(?U)\s+")), lambda w: w != "")
+    low = F.lower("text")
+    s = statements.select(
+        "id", "extraction", F.when(F.length("subject") > 0, F.regexp_replace(F.lower("subject"), r"(?U)^\s+|\s+$", "")).alias("subject"),
+        words(F.replace(F.replace(low, F.lit("not "), F.lit("")), F.lit("n't "), F.lit(" "))).alias("plain"),
+        F.array_except(words(low), F.array(*map(F.lit, _STOPWORDS))).alias("content"), (F.contains(low, F.lit("not ")) | F.contains(low, F.lit("n't "))).alias("negated"),
+    )
+    each = s.select("id", "negated", F.size("plain").alias("n"), F.explode("plain").alias("word"))
+    rarity = each.groupBy("word").agg(F.count("*").alias("held"))
+    ordered = each.join(rarity, "word").groupBy("id", "negated", "n").agg(F.array_sort(F.collect_list(F.struct("held", "word"))).alias("all"))
+    rare = ordered.select("id", "negated", "n", F.explode(F.expr("slice(all, 1, n - (4 * n) div 5)")).alias("r")).select("id", "negated", "n", "r.word")
+    left = rare.where("negated").select(F.col("id").alias("x"), F.col("n").alias("nx"), "word")
+    right = rare.where("not negated").select(F.col("id").alias("y"), F.col("n").alias("ny"), "word")
+    pairs = left.join(right, "word").where("5 * least(nx, ny) > 4 * greatest(nx, ny)").select("x", "y").distinct()
+    side = lambda i: s.select(F.col("id").alias(i), *(F.col(c).alias(f"{c}_{i}") for c in ("extraction", "subject", "plain", "content")))
+    p = pairs.join(side("x"), "x").join(side("y"), "y")
     from ..functions.text import jaccard
 
-    negated = lambda c: F.lower(c).rlike(r"\bnot |n't ")
-    return p.where((jaccard(plain("text_a"), plain("text_b")) > 0.8) & (negated("text_a") != negated("text_b"))).select("a", "b", F.lit("factual").alias("kind"), F.lit(0.9).alias("confidence"))
+    held = F.coalesce(F.contains("subject_x", F.col("subject_y")) | F.contains("subject_y", F.col("subject_x")), F.lit(False))
+    shared = F.size(F.array_intersect("content_x", "content_y")) >= least_shared
+    p = p.where(~F.col("extraction_x").eqNullSafe(F.col("extraction_y")) & (held | shared) & (jaccard(F.col("plain_x"), F.col("plain_y")) > 0.8))
+    return p.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.lit("factual").alias("kind"), F.lit(0.9).alias("confidence"))
 
 
 def triples(entities: DataFrame, statements: DataFrame, labels: DataFrame, base: str) -> DataFrame:

@@ -90,13 +90,12 @@ def versions(v: Views) -> DataFrame:
     return kg.version_winner(rows)
 
 
-_STATEMENTS = [(1, 1, "the blue credit class", "the blue credit class is valid"), (2, 2, "the blue credit class", "the blue credit class is not valid"), (3, 2, "the blue credit class", "something else"), (4, 3, "red class", "the blue credit class is not valid")]
-
-
 @query("join_10_contradictions", "select 1 as a, 2 as b, 'factual' as kind, 0.9::double as confidence")
 def contradictory(v: Views) -> DataFrame:
-    out = kg.contradictions(_values(v, _STATEMENTS, "id int, extraction int, subject string, text string"))
-    return out
+    """Over every sentence of every document that says what something is; what stands before the verb is its subject."""
+    sentence = v.table("documents").where("doc_id is not null").select("doc_id", F.posexplode(F.split("text", r"[.!?\n]+")).alias("n", "text"))
+    s = sentence.select("*", F.regexp_extract("text", r"(?i)^\s*(\S.*?)\s+(?:is|are|was|were)\s+\S", 1).alias("subject")).where("subject <> ''")
+    return kg.contradictions(s.select(F.concat_ws("/", "doc_id", "n").alias("id"), F.col("doc_id").alias("extraction"), "subject", F.trim("text").alias("text")))
 
 
 @query("rec_01_lineage", """

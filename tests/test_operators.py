@@ -83,6 +83,32 @@ def test_contradictions(spark):
     assert rows(kg.contradictions(s), "a", "b") == [(1, 2)]
 
 
+def test_contradictions_equal_all_pairs(spark):
+    said = [(1, 1, "red class", "red class is valid"), (2, 2, "red class", "red class is not valid"), (3, 3, "the red class of 2020", "red class is not valid"), (4, 4, None, "red class seems valid not now"), (5, 5, "other", "blue red class seems valid now"), (6, 6, "x", "it cannot go"), (7, 7, "X", "it can go"), (8, 8, "is the a", "is the a of"), (9, 9, "on is the", "is the a not of"), (10, 10, "y", "red class seems valid now"), (11, 10, "y", "red class seems not valid now"), (12, None, " ", "we don't go"), (13, None, "z", "we do go"), (14, 11, "z", None), (15, 12, "the", "we do go")]
+    stop = set("the a an and or but in on at to for of is are was were".split())
+    plain = lambda x: set(x.lower().replace("not ", "").replace("n't ", " ").split())
+    negated = lambda x: "not " in x.lower() or "n't " in x.lower()
+
+    def meet(p, q):
+        a, b = (p[2] or "").lower().strip(), (q[2] or "").lower().strip()
+        alike = bool(p[2] and q[2]) and (a in b or b in a) or len((set(p[3].lower().split()) & set(q[3].lower().split())) - stop) >= 3
+        union = plain(p[3]) | plain(q[3])
+        return p[1] != q[1] and alike and len(plain(p[3]) & plain(q[3])) / len(union) > 0.8 and negated(p[3]) != negated(q[3])
+
+    texts = [p for p in said if p[3]]
+    want = sorted((p[0], q[0]) for i, p in enumerate(texts) for q in texts[i + 1 :] if meet(p, q))
+    assert {(1, 2), (1, 3), (4, 10), (12, 15)} <= set(want)
+    assert rows(kg.contradictions(spark.createDataFrame(said, "id int, extraction int, subject string, text string")), "a", "b") == want
+
+
+def test_contradictions_are_sought_in_all_documents(spark, tmp_path):
+    from mereweave import plans
+
+    docs = [(1, "Intro here. Red class is valid."), (2, "Red class is not valid! More."), (3, "Nothing.")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert rows(plans.load().QUERIES["join_10_contradictions"](spark, str(tmp_path)), "a", "b") == [("1/1", "2/0")]
+
+
 def test_token_windows_end_on_long_texts(spark):
     df = spark.createDataFrame([(n, " ".join(["w"] * n)) for n in (0, 1, 500, 501, 950, 1000)], "id int, text string")
     got = rows(doc.token_windows(df, "id", "text", 500, 50), "id", "start_token", "end_token")
