@@ -79,7 +79,7 @@ with recursive e as (select distinct l_orderkey as o, l_suppkey as s from lineit
 select node, least(node, min(other)) as component from reach group by node""")
 def component_labels(v: Views) -> DataFrame:
     """Orders that share a supplier: each is linked with its supplier's first order, so no group is paired."""
-    e = v.table("lineitem").where("l_quantity = 50 and l_orderkey % 10 = 0").select(F.col("l_orderkey").alias("b"), "l_suppkey").distinct()
+    e = v.table("lineitem").select(F.col("l_orderkey").alias("b"), "l_suppkey").distinct()
     first = e.groupBy("l_suppkey").agg(F.min("b").alias("a"))
     return kg.components(e.join(first, "l_suppkey").select("a", "b"))
 

@@ -73,6 +73,29 @@ def test_components_of_a_chain_and_a_loop(spark):
     assert all(out[i] == 1 for i in range(1, 21)) and all(out[i] == 30 for i in (30, 31, 32)) and 40 not in out
 
 
+def test_components_of_all_orders(spark):
+    import pyarrow.parquet as pq
+
+    from mereweave import plans
+
+    sf = "/root/testdata/sf0.001"
+    lines = pq.read_table(f"{sf}/lineitem.parquet", columns=["l_orderkey", "l_suppkey"]).to_pylist()
+    up: dict = {}
+
+    def root(x):
+        while up.setdefault(x, x) != x:
+            x = up[x]
+        return x
+
+    for r in lines:
+        up[root(("s", r["l_suppkey"]))] = root(("o", r["l_orderkey"]))
+    orders: dict = {}
+    for o in {r["l_orderkey"] for r in lines}:
+        orders.setdefault(root(("o", o)), []).append(o)
+    want = {o: min(group) for group in orders.values() if len(group) > 1 for o in group}
+    assert dict(rows(plans.load().QUERIES["grf_01_components"](spark, sf), "node", "component")) == want and len(want) > 1000
+
+
 def test_version_fold_is_in_arrival_order(spark):
     r = spark.createDataFrame([("u", 2, "20240101", 1), ("u", 1, "20240201", 2), ("u", None, "20240301", 3), ("u", 0, "20240215", 4)], "uid string, sequence int, stamp string, arrival long")
     assert rows(kg.version_winner(r), "uid", "arrival") == [("u", 3)]
