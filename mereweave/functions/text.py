@@ -78,6 +78,27 @@ def redact(text: Column) -> Column:
     return text
 
 
+#: Secrets in the order they are removed, each with its own mark. White space is Python's, as in the source.
+_SPACE = r"\s\x1c-\x1f"
+SECRETS = (
+    (rf"""(?U)\b[A-Z_]{{2,}}=(?:"[^"]*"|'[^']*'|[^{_SPACE}]+)""", "[REDACTED_ENV]"),
+    (r"(?U)\b(sk-[a-zA-Z0-9]{20,}|ghp_[a-zA-Z0-9]{20,}|ghu_[a-zA-Z0-9]{20,}|github_pat_[a-zA-Z0-9_]{20,})", "[REDACTED_KEY]"),
+    (rf"(?U)Bearer[{_SPACE}]+[a-zA-Z0-9._\-]{{20,}}", "Bearer [REDACTED]"),
+    (r"-----BEGIN[A-Z ]*PRIVATE KEY-----[\s\S]*?-----END[A-Z ]*PRIVATE KEY-----", "[REDACTED_PRIVATE_KEY]"),
+    (rf"(?U)(postgresql|postgres|mongodb|mysql|redis)://[^{_SPACE}]+", "[REDACTED_CONN_STRING]"),
+    (rf"(?U)https?://[^:]+:[^@]+@[^{_SPACE}]+", "[REDACTED_URL_CREDS]"),
+    (r"[A-Za-z0-9+/]{50,}={0,2}", "[REDACTED_BASE64]"),
+    # a hit takes its whole word, so it is only sought from a word's start
+    (rf"(?U)(?<![^{_SPACE}])[^{_SPACE}]*(?:\.env|credentials|secrets|\.pem|\.key)[^{_SPACE}]*", "[REDACTED_PATH]"),
+)
+
+
+def redact_secrets(text: Column) -> Column:
+    for pattern, mark in SECRETS:
+        text = F.regexp_replace(text, pattern, mark)
+    return text
+
+
 def collapse(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"[ \t\r\n\f]+", " "))
 

@@ -175,10 +175,7 @@ _SECRETS = [("key sk-abcdefghijklmnopqrstuv1234 end",), ("password=hunter2 ok",)
 
 @query("str_14_redact_secrets", f"select line, regexp_replace(regexp_replace(regexp_replace(line, 'sk-[A-Za-z0-9]{{20,}}', '[SECRET]', 'g'), 'ghp_[A-Za-z0-9]{{30,}}', '[SECRET]', 'g'), '(?i)(password|secret)=[^ ]+', '[SECRET]', 'g') as clean from (values {_sql_values(_SECRETS)}) s(line)")
 def secrets(v: Views) -> DataFrame:
-    line = F.col("line")
-    for pattern in ("sk-[A-Za-z0-9]{20,}", "ghp_[A-Za-z0-9]{30,}", "(?i)(password|secret)=[^ ]+"):
-        line = F.regexp_replace(line, pattern, "[SECRET]")
-    return _values(v, _SECRETS, "line string").select("line", line.alias("clean"))
+    return v.table("documents").select("doc_id", t.redact_secrets(F.col("text")).alias("clean"))
 
 
 @query("str_15_auto_tags", "select doc_id, array_to_string(list_sort(list_filter([case when contains(lower(text), 'tion') or contains(lower(text), 'ment') then 'action' end, case when contains(lower(text), 'heit') then 'state' end, case when contains(lower(text), 'ing') then 'process' end], lambda x: x is not null)), ',') as tags from documents")

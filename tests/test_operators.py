@@ -60,6 +60,27 @@ def test_slug(spark):
     assert spark.range(1).select(t.slug(F.lit("Jane Doe"))).first()[0] == "jane-doe"
 
 
+def test_secrets_of_all_eight_patterns(spark, tmp_path):
+    from mereweave import plans
+
+    k = "Ab1" * 9
+    cases = [
+        (f"API_TOKEN='a b' x_KEY=1 éAB=2 A=1 DB_URL=\"q r\" Xsk-{k}", "[REDACTED_ENV] x_KEY=1 éAB=2 A=1 [REDACTED_ENV] Xsk-" + k),
+        (f"sk-{k} ghp_{'a' * 20} ghp_{'a' * 19} ghu_{k} github_pat_{k}_1", f"[REDACTED_KEY] [REDACTED_KEY] ghp_{'a' * 19} [REDACTED_KEY] [REDACTED_KEY]"),
+        (f"Bearer  {k}.x-y_z, Bearer short", "Bearer [REDACTED], Bearer short"),
+        ("a\n-----BEGIN RSA PRIVATE KEY-----\nMII\nxx\n-----END RSA PRIVATE KEY-----\nb", "a\n[REDACTED_PRIVATE_KEY]\nb"),
+        ("see redis://h:1/0 and mysql://u:p@h/db.", "see [REDACTED_CONN_STRING] and [REDACTED_CONN_STRING]"),
+        ("go https://u:p@h/x now http://plain.org/", "go [REDACTED_URL_CREDS] now http://plain.org/"),
+        (f"b {'z' * 50}== {'z' * 49}", f"b [REDACTED_BASE64] {'z' * 49}"),
+        ("open /a/.env.local, my_secrets\u00a0x.pem é.key.k ok", "open [REDACTED_PATH] [REDACTED_PATH]\u00a0[REDACTED_PATH] [REDACTED_PATH] ok"),
+        ("nothing here password=hunter2", "nothing here password=hunter2"),
+        (None, None),
+    ]
+    spark.createDataFrame([(i, x) for i, (x, _) in enumerate(cases)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = dict(rows(plans.load().QUERIES["str_14_redact_secrets"](spark, str(tmp_path)), "doc_id", "clean"))
+    assert [got[i] for i in range(len(cases))] == [want for _, want in cases]
+
+
 def test_similar_names_equals_all_pairs(spark):
     names = ["alpha corp", "alpha corps", "alpha", "beta ltd", "beta ltd.", "gamma"]
     df = spark.createDataFrame([(i, "b", n) for i, n in enumerate(names)], "id int, block string, name string")
