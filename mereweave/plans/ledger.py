@@ -150,14 +150,11 @@ def unresolved(v: Views) -> DataFrame:
 
 @query("top_08_nearest_vectors", "select q.vec_id as query_id, e.vec_id, round(list_cosine_similarity(q.embedding::double[], e.embedding::double[]), 6) as similarity from embeddings q, embeddings e where q.vec_id < 3 and e.vec_id <> q.vec_id qualify row_number() over (partition by q.vec_id order by list_cosine_similarity(q.embedding::double[], e.embedding::double[]) desc, e.vec_id) <= 10")
 def nearest(v: Views) -> DataFrame:
-    """Three query vectors (a stated, bounded set, broadcast) against all rows."""
-    from ..functions.text import cosine
+    """Every row whose id is divisible by 100, against all rows."""
+    from ..operators.vectors import nearest as search
 
     e = v.table("embeddings").select("vec_id", "embedding")
-    q = F.broadcast(e.where("vec_id < 3").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q")))
-    s = e.join(q, F.col("vec_id") != F.col("query_id")).select("query_id", "vec_id", cosine(F.col("q"), F.col("embedding")).alias("s"))
-    n = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("s"), "vec_id"))
-    return s.withColumn("n", n).where("n <= 10").select("query_id", "vec_id", F.round("s", 6).alias("similarity"))
+    return search(e.where("vec_id % 100 = 0"), e, "vec_id", "embedding", 10).select("query_id", "vec_id", F.round("s", 6).alias("similarity"))
 
 
 @query("top_09_oldest_bundles", "select batch, line, coalesce(issued, '1970-01-01') as happened from batches order by happened, batch, line limit 100", "batches")

@@ -81,6 +81,31 @@ def test_secrets_of_all_eight_patterns(spark, tmp_path):
     assert [got[i] for i in range(len(cases))] == [want for _, want in cases]
 
 
+def test_nearest_vectors_answer_every_hundredth_row(spark):
+    import duckdb
+
+    from mereweave import plans
+
+    sf = "/root/testdata/sf0.001"
+    sql = f"""with e as (select vec_id, embedding::double[] as v from '{sf}/embeddings.parquet')
+        select q.vec_id, e.vec_id, round(list_cosine_similarity(q.v, e.v), 6) from e q, e where q.vec_id % 100 = 0 and e.vec_id <> q.vec_id
+        qualify row_number() over (partition by q.vec_id order by list_cosine_similarity(q.v, e.v) desc, e.vec_id) <= 10"""
+    got = rows(plans.load().QUERIES["top_08_nearest_vectors"](spark, sf), "query_id", "vec_id", "similarity")
+    want = sorted(duckdb.sql(sql).fetchall())
+    assert [x[:2] for x in got] == [x[:2] for x in want] and len({x[0] for x in got}) == 5
+    assert [x[2] for x in got] == pytest.approx([x[2] for x in want], abs=1.1e-6)
+
+
+def test_nearest_vectors_break_ties_by_id_and_skip_the_query(spark, tmp_path):
+    from mereweave import plans
+
+    e = [(i, [1.0, 0.0]) for i in range(12, 0, -1)] + [(100, [2.0, 0.0]), (101, None), (102, [0.0, 0.0]), (200, [0.0, 1.0]), (300, None)]
+    spark.createDataFrame(e, "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = rows(plans.load().QUERIES["top_08_nearest_vectors"](spark, str(tmp_path)), "query_id", "vec_id", "similarity")
+    assert [x for x in got if x[0] == 100] == [(100, i, 1.0) for i in range(1, 11)]
+    assert [x[1] for x in got if x[0] == 200] == [*range(1, 11)] and {x[2] for x in got if x[0] == 300} == {None}
+
+
 def test_similar_names_equals_all_pairs(spark):
     names = ["alpha corp", "alpha corps", "alpha", "beta ltd", "beta ltd.", "gamma"]
     df = spark.createDataFrame([(i, "b", n) for i, n in enumerate(names)], "id int, block string, name string")
