@@ -2,14 +2,18 @@
 
 1. Every page is read into its containers. Containers are scored by the text in them that is no link and
    no boilerplate; the page's choice is its largest ``article`` or ``main`` with at least half of that
-   text, else the deepest container with at least four fifths of it.
+   text (the inner one of equals), else the deepest container with at least four fifths of it.
 2. The choices' generalised paths (tags and classes from the root, digits removed) are counted per
    host in Spark: a vote per page. The path with most votes wins (ties: the smaller text).
 3. Every page is read again by its host's winning path; where a page has no such container its own
    choice stands.
 
-The text is the container's without boilerplate elements (see ``_EXCLUDED`` and ``_BOILERPLATE``), character
-references decoded, white space within a block turned into one space, blocks joined by one space.
+The text is the container's without boilerplate elements (see ``_EXCLUDED`` and ``_BOILERPLATE``), with the page's
+other headings and paragraphs that are no boilerplate, character references decoded, white space within a block
+turned into one space, blocks joined by one space. A host's path alone decides where those others outweigh it.
+
+A class, id or role marks boilerplate if all words of one of its tokens do (``cookie-notice``, not ``has-sidebar``), but
+never an element that holds an ``article`` or ``main``, or, on a page with neither, more than half of the text.
 
 Nulls and edges: a null html is empty and gives empty text; a page without a host (null or odd url)
 uses its own choice; a page that is all boilerplate gives empty text; repeated rows vote and are returned as
@@ -33,6 +37,9 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _BLOCK = frozenset("address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split())
 _EXCLUDED = frozenset("aside button datalist dialog footer form head iframe input menu nav noscript object script select style svg template textarea title".split())
 _BOILERPLATE = frozenset("ad ads adv advert advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disclaimer footer gdpr masthead menu modal nav navbar navigation newsletter notice notices notification popup promo promoted promotion related respond share sharing sidebar signup social sponsor sponsored subscribe subscription topbar widget".split())
+#: Words that add nothing to a boilerplate word in a token.
+_NEUTRAL = frozenset("bar block bottom box buttons global left links list main primary right secondary site top".split())
+_OUTSIDE = frozenset("h1 h2 h3 h4 h5 h6 p".split())
 _RAW = "script|style|noscript|template|textarea|title|iframe|svg"
 _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 #: An open element of these kinds keeps an implied end from reaching beyond it.
@@ -44,6 +51,11 @@ _DIGITS = re.compile(r"\d+")
 _WORDS = re.compile(r"[a-z]+")
 
 
+def _marks(token: str) -> bool:
+    words = set(_WORDS.findall(token))
+    return not words.isdisjoint(_BOILERPLATE) and words <= _BOILERPLATE | _NEUTRAL
+
+
 class Page:
     """A page's containers (by number, in page order) and its text runs."""
 
@@ -51,6 +63,7 @@ class Page:
         self.tag, self.parent, self.path, self.out = ["#root"], [0], [""], [False]
         self.runs: list[tuple[int, str]] = []  # (container, text); an empty text breaks a block
         self.linked: list[bool] = []
+        self.marked = [False]  # by class, id or role
         stack, at = [0], 0
         for m in _TOKEN.finditer(source):
             if m.start() > at:
@@ -69,6 +82,32 @@ class Page:
                 self._start(stack, name, m.group(4))
         if at < len(source):
             self._text(stack, source[at:])
+        self._drop_marked()
+
+    def _drop_marked(self) -> None:
+        """Marked elements go with all that is in them, but for those that hold the page's main part."""
+        if not any(self.marked):
+            return
+        size = self._sizes()
+        parts = [k for k, t in enumerate(self.tag) if t in ("article", "main") and not self.marked[k] and not self.out[k] and size[k]]
+        holds = set()
+        for k in parts:
+            while k not in holds:
+                holds.add(k)
+                k = self.parent[k]
+        for k in range(1, len(self.tag)):
+            drop = self.marked[k] and self.tag[k] not in ("html", "body", "article", "main") and k not in holds and (bool(parts) or 2 * size[k] <= size[0])
+            self.out[k] = self.out[k] or self.out[self.parent[k]] or drop
+
+    def _sizes(self) -> list[int]:
+        """The length of the text in each container that is no link and not out."""
+        size = [0] * len(self.tag)
+        for (k, text), link in zip(self.runs, self.linked, strict=True):
+            if text and not link and not self.out[k]:
+                size[k] += len(text.strip())
+        for k in range(len(size) - 1, 0, -1):
+            size[self.parent[k]] += size[k]
+        return size
 
     def _text(self, stack: list[int], raw: str) -> None:
         self.runs.append((stack[-1], html.unescape(raw) if "&" in raw else raw))
@@ -91,19 +130,20 @@ class Page:
                 if self.tag[stack[k]] in _FENCE and self.tag[stack[k]] not in ends:
                     break
         above = stack[-1]
-        classes, marks = "", set()
+        classes, marked = "", False
         if attributes and not attributes.isspace():
             for key, *values in _ATTRIBUTE.findall(attributes):
                 value = next((v for v in values if v), "").lower()
                 if key.lower() == "class":
                     classes = ".".join(sorted(set(_DIGITS.sub("", value).split())))
-                marks.update(_WORDS.findall(value))
+                marked = marked or any(map(_marks, value.split()))
         inside = any(self.tag[k] in ("article", "main") for k in stack)
-        gone = self.out[above] or name in _EXCLUDED or (name == "header" and not inside) or (name not in ("html", "body", "article", "main") and not marks.isdisjoint(_BOILERPLATE))
+        gone = self.out[above] or name in _EXCLUDED or (name == "header" and not inside)
         self.tag.append(name)
         self.parent.append(above)
         self.path.append(f"{self.path[above]}/{name}{'.' + classes if classes else ''}")
         self.out.append(gone)
+        self.marked.append(marked)
         stack.append(len(self.tag) - 1)
 
     def _end(self, stack: list[int], name: str) -> None:
@@ -114,18 +154,13 @@ class Page:
 
     def choice(self) -> int:
         """The container that the page itself would take."""
-        score = [0] * len(self.tag)
-        for (k, text), link in zip(self.runs, self.linked, strict=True):
-            if text and not link and not self.out[k]:
-                score[k] += len(text.strip())
-        for k in range(len(score) - 1, 0, -1):
-            score[self.parent[k]] += score[k]
+        score = self._sizes()
         total = score[0]
         if not total:
             return 0
         named = [k for k in range(len(score)) if self.tag[k] in ("article", "main") and not self.out[k] and 2 * score[k] >= total]
         if named:
-            return min(named, key=lambda k: (self.tag[k] != "article", -score[k], k))
+            return min(named, key=lambda k: (-score[k], -k))
         best = 0
         for k in range(1, len(score)):
             if self.tag[k] in _BLOCK and self.tag[k] != "p" and not self.out[k] and 5 * score[k] >= 4 * total and self.parent_of(k, best):
@@ -138,13 +173,21 @@ class Page:
         return k == above
 
     def text(self, path: str | None) -> str:
-        """The text of all outermost containers of a path, or of the page's own choice."""
+        """The text of all outermost containers of a path, or of the page's own choice, with other headings and paragraphs."""
         start = {k for k, p in enumerate(self.path) if p == path and not self.out[k]} if path else set()
+        by_path = bool(start)
         if not start:
             start = {self.choice()}
         inside = [False] * len(self.tag)
         for k in range(len(self.tag)):
             inside[k] = k in start or (k > 0 and inside[self.parent[k]])
+        size = self._sizes()
+        beside = [False] * len(self.tag)
+        for k in range(1, len(self.tag)):
+            beside[k] = not inside[k] and (beside[self.parent[k]] or (self.tag[k] in _OUTSIDE and size[k] > 0))
+        tops = lambda of: sum(size[k] for k in range(1, len(of)) if of[k] and not of[self.parent[k]])
+        if not by_path or tops(beside) <= tops(inside):
+            inside = [a or b for a, b in zip(inside, beside, strict=True)]
         blocks, now = [], []
         for k, text in self.runs:
             if not text:

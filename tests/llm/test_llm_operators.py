@@ -393,6 +393,22 @@ def test_article_without_furniture():
     assert p.path[p.choice()] == "/html/body/article" and p.text(None) == "Head One. Two."
 
 
+@pytest.mark.parametrize(
+    ("body", "want"),
+    [
+        ("<div class='page has-sidebar'><article><p>One.</p><h2 id='related-work'>Related</h2><p id='notice-period'>Two.</p></article></div>", "One. Related Two."),
+        ("<div class='layout no-banner'><p>One.</p></div>", "One."),
+        ("<div class='content widget'><article><p>One.</p></article></div><div class='widget'><p>w</p></div>", "One."),
+        ("<main><p>Intro.</p><article><p>" + "a" * 60 + "</p></article><section><ul><li>" + "b" * 40 + "</ul></section></main>", f"Intro. {'a' * 60} {'b' * 40}"),
+        ("<h1>Head</h1><p>Lead.</p><div><p>" + "a" * 90 + "</p></div><div class='site-footer'><p>f</p></div><div class='cookie-notice'><p>c</p></div>", f"Head Lead. {'a' * 90}"),
+        ("<article><p>Short.</p></article><div id='comments'><p>" + "c" * 90 + "</p></div>", "Short."),
+    ],
+)
+def test_no_text_goes_by_a_word_in_a_class(body, want):
+    p = html_text.Page(page(body))
+    assert p.text(None) == want and p.text(p.path[p.choice()]) == want
+
+
 def test_threads_of_a_long_chain(spark):
     df = spark.createDataFrame([(1, t, "user", f"m{t}") for t in range(70)], "conv_id long, turn long, role string, text string")
     assert sorted((r.turn, r.thread_turn, r.depth) for r in quotes.link_quotes(df).collect()) == [(t, 0, t) for t in range(70)]
