@@ -3,13 +3,16 @@
 1. A message's lines are read with their quote level (leading ``>`` marks). Lines of level 0 are its own
    text; a run of lines of one level is a quoted passage; a line that announces a quote ("... wrote:") goes
    with it.
-2. Passages and originals (a message's whole own text, and each of its paragraphs) are normalised
-   (quote marks off, lower case, white space one space) and hashed. A passage of level 1 is joined to the
-   latest earlier message of its conversation with that hash; where there is none, to the first
-   message of any conversation (one row per hash, so a passage that many share makes no pairs).
-3. A message answers the latest message that it quotes in its conversation, else the one before it.
-   Threads and depths come from pointer doubling over these parents; ordering a conversation by
-   (thread_turn, turn) puts every reply after its original.
+2. Passages of all levels and originals (a message's whole own text, and its parts between quotes) are hashed
+   whole, by paragraph and by line, normalised (quote marks off, lower case, white space one space). A hash is
+   joined to the latest earlier message of its conversation that has it; where there is none, to the first
+   message of any other conversation (two rows per hash, so a passage that many share makes no pairs). A passage
+   is linked by its largest parts that are found: as a whole, else by paragraphs, else by lines.
+3. A message answers what the shallowest of its linked passages quote: the latest such message of its conversation,
+   else the first one elsewhere; without links, the message before it.
+   Threads and depths come from pointer doubling over these parents; a parent in a conversation of a larger id would
+   allow loops, so there the thread goes on with the message before. Ordering a conversation by (thread_turn, turn)
+   puts every reply after its original in it; the thread's root is (thread_conv, thread_turn).
 
 Nulls and edges: a null text is empty; messages with a null conv_id or turn quote and answer nothing and
 are their own thread; rows that repeat (conv_id, turn) are returned as often as they come, the first own
@@ -44,9 +47,20 @@ def fingerprint(text: str) -> int | None:
     return xxhash.xxh3_64_intdigest(plain) - (1 << 63) if plain else None
 
 
-def parse(text: str | None) -> tuple[str, list[tuple[int, str]]]:
-    """A message's own text and its quoted passages (level, text) in order."""
+def fragments(text: str) -> list[tuple[int, int]]:
+    """(part, hash) of a text as a whole (0), of its paragraphs (1) and its lines (2); the largest part of equals."""
+    parts = [(0, text), *((1, p) for p in re.split(r"\n\s*\n", text)), *((2, p) for p in text.split("\n"))]
+    out: dict[int, int] = {}
+    for n, p in parts:
+        if (h := fingerprint(p)) is not None:
+            out.setdefault(h, n)
+    return [(n, h) for h, n in out.items()]
+
+
+def parse(text: str | None) -> tuple[str, list[tuple[int, str]], list[str]]:
+    """A message's own text, its quoted passages (level, text) in order, and its own parts between them."""
     own: list[str] = []
+    starts = [0]
     passages: list[tuple[int, list[str]]] = []
     level_before = 0
     for line in (text or "").split("\n"):
@@ -58,49 +72,60 @@ def parse(text: str | None) -> tuple[str, list[tuple[int, str]]]:
                     own.pop()
                 if own and _ANNOUNCES.search(own[-1]):
                     own.pop()
+                starts.append(len(own))
             if level != level_before:
                 passages.append((level, []))
             passages[-1][1].append(line[m.end() :])
         else:
             own.append(line)
         level_before = level
-    return "\n".join(own).strip("\n"), [(n, "\n".join(lines)) for n, lines in passages]
+    parts = ["\n".join(own[i:j]) for i, j in zip(starts, [*starts[1:], len(own)], strict=True)]
+    return "\n".join(own).strip("\n"), [(n, "\n".join(lines)) for n, lines in passages], parts
 
 
 def _parsed(messages: DataFrame) -> DataFrame:
+    kind = pa.list_(pa.struct([("passage", pa.int32()), ("level", pa.int32()), ("part", pa.int32()), ("hash", pa.int64())]))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            texts, quoted, originals, levels = [], [], [], []
+            texts, quoted, passed, originals, levels = [], [], [], [], []
             for text in batch.column(3).to_pylist():
-                own, passages = parse(text)
+                own, passages, parts = parse(text)
                 texts.append(own)
                 levels.append(max((n for n, _ in passages), default=0))
-                quoted.append([h for n, p in passages if n == 1 and (h := fingerprint(p)) is not None])
-                parts = [own, *re.split(r"\n\s*\n", own)]
-                originals.append(list(dict.fromkeys(h for p in parts if (h := fingerprint(p)) is not None)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(texts, pa.string()), pa.array(levels, pa.int32()), pa.array(quoted, pa.list_(pa.int64())), pa.array(originals, pa.list_(pa.int64()))], ["conv_id", "turn", "role", "own", "levels", "quoted", "originals"])
+                found = [(n, fragments(p)) for n, p in passages]
+                quoted.append([{"passage": i, "level": n, "part": k, "hash": h} for i, (n, hashes) in enumerate(x for x in found if x[1]) for k, h in hashes])
+                passed.append(sum(bool(hashes) for _, hashes in found))
+                originals.append(list(dict.fromkeys(h for p in (own, *parts) for _, h in fragments(p))))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(texts, pa.string()), pa.array(levels, pa.int32()), pa.array(quoted, kind), pa.array(passed, pa.int32()), pa.array(originals, pa.list_(pa.int64()))], ["conv_id", "turn", "role", "own", "levels", "quoted", "n_quotes", "originals"])
 
-    return messages.mapInArrow(run, "conv_id long, turn long, role string, own string, levels int, quoted array<long>, originals array<long>")
+    return messages.mapInArrow(run, "conv_id long, turn long, role string, own string, levels int, quoted array<struct<passage: int, level: int, part: int, hash: long>>, n_quotes int, originals array<long>")
 
 
 def link_quotes(messages: DataFrame, conv_col="conv_id", turn_col="turn", role_col="role", text_col="text") -> DataFrame:
     """One row per message: conv_id, turn, role, text (without quotes), quote_levels, n_quotes,
-    n_linked, parent_conv, parent_turn, thread_turn, depth."""
+    n_linked, parent_conv, parent_turn, thread_turn, depth, thread_conv."""
     cut = Cut(messages.sparkSession)
     own = anti_clash(messages, conv_id=conv_col, turn=turn_col, role=role_col, text=text_col)
     own = own.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
     parsed = cut.keep(_parsed(own))
     named = parsed.where("conv_id is not null and turn is not null")
     said = named.select("conv_id", "turn", F.explode("originals").alias("hash")).distinct()
-    asked = named.select("conv_id", "turn", F.explode("quoted").alias("hash")).distinct()
+    passages = named.select("conv_id", "turn", F.explode("quoted").alias("q")).select("conv_id", "turn", "q.*")
+    asked = passages.select("conv_id", "turn", "hash").distinct()
     # the latest earlier message of the same conversation with the passage: one ordered pass, no pairs
     both = said.select("conv_id", "hash", "turn", F.col("turn").alias("from_turn"), F.lit(1).alias("kind")).union(asked.select("conv_id", "hash", "turn", F.lit(None).cast("long"), F.lit(0)))
     seen = Window.partitionBy("conv_id", "hash").orderBy("turn", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     near = both.withColumn("from_turn", F.last("from_turn", ignorenulls=True).over(seen)).where("kind = 0").select("conv_id", "turn", "hash", "from_turn")
-    first = said.groupBy("hash").agg(F.min(F.struct("conv_id", "turn")).alias("first"))
-    far = near.where("from_turn is null").join(first, "hash").where("first.conv_id <> conv_id").select("conv_id", "turn", "hash", "first")
-    linked = near.join(far, ["conv_id", "turn", "hash"], "left")
-    per = linked.groupBy("conv_id", "turn").agg(F.max("from_turn").alias("near_turn"), F.min("first").alias("far"), F.count(F.coalesce(F.col("from_turn"), F.col("first.turn"))).alias("n_linked"))
+    holders = said.groupBy("hash", "conv_id").agg(F.min("turn").alias("turn")).withColumn("n", F.row_number().over(Window.partitionBy("hash").orderBy("conv_id"))).where("n <= 2")
+    holders = holders.select("hash", F.struct("conv_id", "turn").alias("first"))
+    far = near.where("from_turn is null").join(holders, "hash").where("first.conv_id <> conv_id").groupBy("conv_id", "turn", "hash").agg(F.min("first").alias("first"))
+    linked = near.join(far, ["conv_id", "turn", "hash"], "left").where("from_turn is not null or first is not null")
+    # of a passage its largest parts that are found, of a message its shallowest linked passages
+    by_part = passages.join(linked, ["conv_id", "turn", "hash"]).groupBy("conv_id", "turn", "passage", "level", "part").agg(F.max("from_turn").alias("near_turn"), F.min("first").alias("far"))
+    by_passage = by_part.groupBy("conv_id", "turn", "passage", "level").agg(F.min_by(F.struct("near_turn", "far"), "part").alias("to"))
+    by_level = by_passage.groupBy("conv_id", "turn", "level").agg(F.max("to.near_turn").alias("near_turn"), F.min("to.far").alias("far"), F.count("*").alias("n"))
+    per = by_level.groupBy("conv_id", "turn").agg(F.min_by(F.struct("near_turn", "far"), "level").alias("to"), F.sum("n").alias("n_linked")).select("conv_id", "turn", "to.near_turn", "to.far", "n_linked")
     turns = named.select("conv_id", "turn").distinct()
     before = turns.withColumn("previous", F.lag("turn").over(Window.partitionBy("conv_id").orderBy("turn")))
     parents = cut.keep(before.join(per, ["conv_id", "turn"], "left").select("conv_id", "turn", F.coalesce("near_turn", "previous").alias("parent_turn"), F.when(F.col("near_turn").isNull() & F.col("far").isNotNull(), F.col("far")).alias("far"), F.coalesce("n_linked", F.lit(0)).alias("n_linked")))
@@ -108,23 +133,25 @@ def link_quotes(messages: DataFrame, conv_col="conv_id", turn_col="turn", role_c
     info = parents.join(threads, ["conv_id", "turn"])
     out = parsed.join(info, ["conv_id", "turn"], "left")
     return out.select(
-        "conv_id", "turn", "role", F.col("own").alias("text"), F.col("levels").alias("quote_levels"), F.size("quoted").alias("n_quotes"), F.coalesce("n_linked", F.lit(0)).alias("n_linked"),
+        "conv_id", "turn", "role", F.col("own").alias("text"), F.col("levels").alias("quote_levels"), "n_quotes", F.coalesce("n_linked", F.lit(0)).alias("n_linked"),
         F.coalesce(F.col("far.conv_id"), F.when(F.col("parent_turn").isNotNull(), F.col("conv_id"))).alias("parent_conv"), F.coalesce(F.col("far.turn"), F.col("parent_turn")).alias("parent_turn"),
-        F.coalesce("thread_turn", "turn").alias("thread_turn"), F.coalesce("depth", F.lit(0)).alias("depth"),
+        F.coalesce("thread_turn", "turn").alias("thread_turn"), F.coalesce("depth", F.lit(0)).alias("depth"), F.coalesce("thread_conv", "conv_id").alias("thread_conv"),
     )
 
 
 def _threads(parents: DataFrame, cut: Cut) -> DataFrame:
-    """(conv_id, turn, thread_turn, depth): the root of each message and the steps to it, by pointer doubling.
+    """(conv_id, turn, thread_conv, thread_turn, depth): the root of each message and the steps to it, by pointer doubling.
 
     A row whose pointer has reached its root is done and is joined no more.
     """
-    is_root = F.col("parent_turn").isNull()
-    state = cut.keep(parents.select("conv_id", "turn", F.coalesce("parent_turn", "turn").alias("up"), F.when(is_root, 0).otherwise(1).cast("long").alias("depth"), is_root.alias("done")))
+    away = F.coalesce(F.col("far.conv_id") < F.col("conv_id"), F.lit(False))
+    is_root = F.col("parent_turn").isNull() & ~away
+    up = F.when(away, F.col("far.turn")).otherwise(F.coalesce("parent_turn", "turn"))
+    state = cut.keep(parents.select("conv_id", "turn", F.when(away, F.col("far.conv_id")).otherwise(F.col("conv_id")).alias("up_conv"), up.alias("up"), F.when(is_root, 0).otherwise(1).cast("long").alias("depth"), is_root.alias("done")))
     while not state.where("not done").isEmpty():
-        above = state.select("conv_id", F.col("turn").alias("up"), F.col("up").alias("next"), F.col("depth").alias("more"), F.col("done").alias("ends"))
-        moved = state.where("not done").join(above, ["conv_id", "up"]).select("conv_id", "turn", F.col("next").alias("up"), (F.col("depth") + F.col("more")).alias("depth"), F.col("ends").alias("done"))
+        above = state.select(F.col("conv_id").alias("up_conv"), F.col("turn").alias("up"), F.col("up_conv").alias("next_conv"), F.col("up").alias("next"), F.col("depth").alias("more"), F.col("done").alias("ends"))
+        moved = state.where("not done").join(above, ["up_conv", "up"]).select("conv_id", "turn", F.col("next_conv").alias("up_conv"), F.col("next").alias("up"), (F.col("depth") + F.col("more")).alias("depth"), F.col("ends").alias("done"))
         new = cut.keep(state.where("done").unionByName(moved))
         cut.drop(state)
         state = new
-    return state.select("conv_id", "turn", F.col("up").alias("thread_turn"), "depth")
+    return state.select("conv_id", "turn", F.col("up_conv").alias("thread_conv"), F.col("up").alias("thread_turn"), "depth")

@@ -409,6 +409,32 @@ def test_no_text_goes_by_a_word_in_a_class(body, want):
     assert p.text(None) == want and p.text(p.path[p.choice()]) == want
 
 
+def test_quotes_of_all_levels_and_parts_link(spark):
+    rows = [
+        (1, 0, "Para one.\n\nPara two,\nsecond line,\nthird line.\n\nPara three."),
+        (1, 1, "Before the quote.\n> Para three.\nAfter the quote."),
+        (1, 2, "Other."),
+        (1, 3, ">> Para three."),
+        (1, 4, "> Para one.\n>\n> Para two,\n> second line,\n> third line."),
+        (1, 5, "> second line,\n> third line."),
+        (1, 6, "> After the quote."),
+        (1, 7, "> Before the quote.\n>> Other.\n> not there"),
+        (1, 8, "> Said later."),
+        (1, 9, "Said later."),
+        (2, 0, "Said later."),
+        (2, 1, "x"),
+        (2, 2, "> Para three."),
+        (3, 0, "> Said later."),
+    ]
+    df = spark.createDataFrame([(c, t, "user", x) for c, t, x in rows], "conv_id long, turn long, role string, text string")
+    got = {(r.conv_id, r.turn): r for r in quotes.link_quotes(df).collect()}
+    parents = {k: (got[k].parent_conv, got[k].parent_turn) for k in got}
+    assert [parents[1, t] for t in (1, 3, 4, 5, 6, 7, 8)] == [(1, 0), (1, 0), (1, 0), (1, 0), (1, 1), (1, 1), (2, 0)]
+    assert [(got[1, t].n_quotes, got[1, t].n_linked) for t in (3, 7)] == [(1, 1), (3, 2)]
+    assert parents[2, 2] == (1, 0) and parents[3, 0] == (1, 9)
+    assert [(got[k].thread_conv, got[k].thread_turn, got[k].depth) for k in ((2, 1), (2, 2), (1, 8), (3, 0))] == [(2, 0, 1), (1, 0, 1), (1, 0, 3), (1, 0, 5)]
+
+
 def test_threads_of_a_long_chain(spark):
     df = spark.createDataFrame([(1, t, "user", f"m{t}") for t in range(70)], "conv_id long, turn long, role string, text string")
     assert sorted((r.turn, r.thread_turn, r.depth) for r in quotes.link_quotes(df).collect()) == [(t, 0, t) for t in range(70)]
