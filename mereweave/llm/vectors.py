@@ -6,11 +6,12 @@
    projections are too wide: at cosine 0.95 in 64 dimensions any choice of window and count that keeps
    99 % of the links visits about half of all pairs. See README.)
 3. A pair's collisions over all tables are counted; the count and the number of tables are set from
-   the collision probability at the threshold, so that a pair there passes with ``recall`` at least.
-   A pair belongs to the table of its ``count``-th collision, so it is verified once and no list of
-   pairs is ever kept or sent: tables' windows return link counts and, for components, one label a vector.
-4. Verification is the cosine in double precision. Windows of more than ``tile`` vectors are cut into
-   blocks that meet pair by pair.
+   the collision probability at the threshold, so that a pair there passes with ``recall`` at least. Only ids and
+   keys travel for this: windows of up to ``small`` vectors list their pairs, which are counted by pair, and vectors are joined
+   to pairs that pass. Larger windows list no pairs: their vectors come with all their keys, blocks of ``tile`` vectors meet
+   block by block, and a pair belongs to the first large window that it shares. Links are
+   returned as counts and, for components, one label a vector.
+4. Verification is the cosine in double precision, on the vectors as they are given.
 
 Nulls and edges: vectors that are null, empty, zero or hold null or non-finite components link with
 nothing, nor do vectors with a null id (their component is null); vectors of different length never
@@ -54,150 +55,117 @@ def _codes(x: np.ndarray, tables: int, bits: int) -> np.ndarray:
     return out
 
 
-def _coded(vectors: DataFrame, tables: int, bits: int) -> DataFrame:
+def _units(raw: list[bytes], kind: str) -> np.ndarray:
+    """Unit vectors of one length from stored components, scaled by the largest first so that no square over- or underflows."""
+    x = np.frombuffer(b"".join(raw), kind).reshape(len(raw), -1).astype(np.float64)
+    x /= np.abs(x).max(axis=1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def _coded(vectors: DataFrame, tables: int, bits: int, kind: str) -> DataFrame:
+    """(rep, copies, vector, code, keys) of each distinct vector; ``kind`` is how its components are stored."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column(1)
-            dims = np.array([len(v) for v in lists])
-            for d in np.unique(dims):
-                at = np.flatnonzero(dims == d)
-                part = batch.take(pa.array(at))
-                x = np.stack([np.asarray(v, np.float32) for v in part.column(1).to_numpy(zero_copy_only=False)])
-                unit = x.astype(np.float64)
-                unit /= np.abs(unit).max(axis=1, keepdims=True)
-                code = _codes(unit / np.linalg.norm(unit, axis=1, keepdims=True), tables, bits)
-                lead = mix64(code.astype(np.uint64) + (np.arange(tables, dtype=np.uint64) << np.uint64(32)) + (np.uint64(d) << np.uint64(48)))
-                keys = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1) * tables, pa.int32()), pa.array(lead.view(np.int64).ravel()))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array([r.tobytes() for r in x], pa.binary()), pa.array([r.tobytes() for r in code.astype("<u4")], pa.binary()), keys], ["rep", "copies", "vector", "code", "keys"])
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 2000):
+                batch = whole.slice(lo, 2000)
+                raw = [np.asarray(v, kind).tobytes() for v in batch.column(1).to_numpy(zero_copy_only=False)]
+                dims = np.array([len(r) for r in raw])
+                for d in np.unique(dims):
+                    at = np.flatnonzero(dims == d)
+                    part, own = batch.take(pa.array(at)), [raw[k] for k in at.tolist()]
+                    code = _codes(_units(own, kind), tables, bits)
+                    lead = mix64(code.astype(np.uint64) + (np.arange(tables, dtype=np.uint64) << np.uint64(32)) + (np.uint64(d) << np.uint64(48)))
+                    keys = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1) * tables, pa.int32()), pa.array(lead.view(np.int64).ravel()))
+                    yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(own, pa.binary()), pa.array([r.tobytes() for r in code.astype("<u4")], pa.binary()), keys], ["rep", "copies", "vector", "code", "keys"])
 
     return vectors.mapInArrow(run, "rep long, copies long, vector binary, code binary, keys array<long>")
 
 
-class _Window:
-    """Counts the links of pairs that belong to this window's table."""
-
-    def __init__(self, threshold: float, count: int):
-        self.threshold, self.count = threshold, count
-
-    def pairs(self, unit: np.ndarray, code: np.ndarray, table: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Of pairs of rows, those that this table owns and that are links."""
-        seen = np.zeros(len(a), np.int32)
-        for t in range(code.shape[1]):
-            live = (table[a] > t) & (seen < self.count)
-            if not live.any():
-                break
-            seen += live & (code[a, t] == code[b, t])
-        own = seen == self.count - 1
-        a, b = a[own], b[own]
-        keep = [np.einsum("ij,ij->i", unit[a[i : i + 50_000]], unit[b[i : i + 50_000]]) >= self.threshold for i in range(0, len(a), 50_000)]
-        keep = np.concatenate(keep) if keep else np.zeros(0, bool)
-        return a[keep], b[keep]
-
-    def block(self, unit: np.ndarray, code: np.ndarray, t0: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """The link matrix of two sets of rows of one window, for pairs that its table owns."""
-        seen = np.zeros((len(left), len(right)), np.uint8)
-        for t in range(t0):
-            seen += code[left, t][:, None] == code[right, t][None, :]
-            if t >= self.count and (seen >= self.count).all():
-                return np.zeros(seen.shape, bool)
-        return (seen == self.count - 1) & (unit[left] @ unit[right].T >= self.threshold)
-
-
-def _labels(ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The least id reachable within the given pairs of rows."""
-    label = ids.copy()
-    while True:
-        low = np.minimum(label[a], label[b])
-        new = label.copy()
-        np.minimum.at(new, a, low)
-        np.minimum.at(new, b, low)
-        if (new == label).all():
-            return label
-        label = new
-
-
-def _links(coded: DataFrame, tables: int, threshold: float, count: int, tile: int) -> DataFrame:
-    """(rep, n, label): links and least linked id that one window (or pair of its blocks) finds for a vector."""
-    keyed = coded.select("rep", "copies", "vector", "code", F.posexplode("keys").alias("t", "key"))
-    size = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", F.ceil(F.col("n") / tile).cast("int").alias("blocks"))
-    dealt = keyed.join(size, "key").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    tiles = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    tiles = tiles.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "t", "rep", "copies", "vector", "code")
-    rows = tiles.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+def _large(rows: pa.Table, tables: int) -> tuple[np.ndarray, np.ndarray]:
+    """Codes, and whether each vector's window is large, [vector, table]."""
+    code = np.frombuffer(b"".join(rows["code"].to_pylist()), "<u4").reshape(-1, tables)
+    large = np.zeros(code.shape, bool)
+    for k, ts in enumerate(rows["large"].to_pylist()):
+        large[k, ts or []] = True
+    return code, large
+
+
+def _of_pairs(pairs: DataFrame, coded: DataFrame, tables: int, kind: str, threshold: float) -> DataFrame:
+    """(rep, n, label) of counted pairs that are links and share no large window."""
+    side = lambda c: coded.select(F.col("rep").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("copies", "vector", "code", "large")])
+    rows = pairs.join(side("a"), "a").join(side("b").drop("large_b"), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        window = _Window(threshold, count)
-
-        def done(rows: pa.Table) -> pa.RecordBatch:
-            get = {c: rows[c].to_numpy() for c in ("key", "i", "j", "block", "t", "rep", "copies")}
-            code = np.frombuffer(b"".join(rows["code"].to_pylist()), "<u4").reshape(-1, tables)
-            raw = rows["vector"].to_pylist()
-            new = np.concatenate([[True], (np.diff(get["key"]) != 0) | (np.diff(get["i"]) != 0) | (np.diff(get["j"]) != 0)])
-            first = np.flatnonzero(new)
-            length = np.diff(np.concatenate([first, [len(new)]]))
-            total, label = np.zeros(len(new), np.int64), get["rep"].copy()
-            dims = np.array([len(r) for r in raw])
-            for d in np.unique(dims):  # a window's vectors have one length
-                unit = np.zeros((len(raw), d // 4))
-                at = np.flatnonzero(dims == d)
-                unit[at] = np.frombuffer(b"".join(raw[k] for k in at.tolist()), "<f4").reshape(len(at), -1)
-                unit[at] /= np.abs(unit[at]).max(axis=1, keepdims=True)
-                unit[at] /= np.linalg.norm(unit[at], axis=1, keepdims=True)
-                mine = dims[first] == d
-                small = mine & (length <= 48) & (get["i"][first] == get["j"][first])
-                a, b = [], []
-                group = np.repeat(np.arange(len(first)), length)
-                usable = small[group]
-                for s in range(1, int(length[small].max()) if small.any() else 1):
-                    p = np.flatnonzero((group[:-s] == group[s:]) & usable[:-s])
-                    a.append(p)
-                    b.append(p + s)
-                if a:
-                    la, lb = window.pairs(unit, code, get["t"], np.concatenate(a), np.concatenate(b))
-                    np.add.at(total, la, get["copies"][lb])
-                    np.add.at(total, lb, get["copies"][la])
-                    label = np.minimum(label, _labels(get["rep"], la, lb))
-                for g in np.flatnonzero(mine & ~small).tolist():
-                    here = np.arange(first[g], first[g] + length[g])
-                    i, j, block = get["i"][first[g]], get["j"][first[g]], get["block"][here]
-                    left, right = here[block == i], here[block == j]
-                    link = window.block(unit, code, int(get["t"][first[g]]), left, right)
-                    if i == j:
-                        np.fill_diagonal(link, False)
-                    if not link.any():
-                        continue
-                    total[left] += link @ get["copies"][right]
-                    if i != j:
-                        total[right] += link.T @ get["copies"][left]
-                    while True:  # least labels over the block's links
-                        old = label[here].copy()
-                        far = np.iinfo(np.int64).max
-                        label[left] = np.minimum(label[left], np.where(link, label[right][None, :], far).min(axis=1, initial=far))
-                        label[right] = np.minimum(label[right], np.where(link, label[left][:, None], far).min(axis=0, initial=far))
-                        if (label[here] == old).all():
-                            break
-            some = np.flatnonzero(total > 0)
-            return pa.RecordBatch.from_arrays([pa.array(get["rep"][some]), pa.array(total[some]), pa.array(label[some])], ["rep", "n", "label"])
-
-        held = None
-        for batch in batches:
-            rows = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
-            k, i, j = (rows[c].to_numpy() for c in ("key", "i", "j"))
-            same = (k == k[-1]) & (i == i[-1]) & (j == j[-1])
-            cut = int(np.argmax(same))  # rows are sorted: the last group starts here
-            held = rows.slice(cut)
-            if cut:
-                yield done(rows.slice(0, cut))
-        if held is not None and held.num_rows:
-            yield done(held)
-
-    return rows.mapInArrow(run, "rep long, n long, label long")
-
-
-def near_duplicates(table: DataFrame, id_col="vec_id", vector_col="embedding", threshold: float = 0.95, recall: float = 0.995, count: int = 2, tile: int = 2000) -> DataFrame:
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 4000):
+                part = pa.table(whole.slice(lo, 4000))
+                va, vb = part["vector_a"].to_pylist(), part["vector_b"].to_pylist()
+                part = part.filter(pa.array([len(x) == len(y) for x, y in zip(va, vb, strict=True)]))
+                link = np.zeros(part.num_rows, bool)
+                dims = np.array([len(x) for x in part["vector_a"].to_pylist()])
+                va, vb = part["vector_a"].to_pylist(), part["vector_b"].to_pylist()
+                for d in np.unique(dims):
+                    at = np.flatnonzero(dims == d)
+                    link[at] = np.einsum("ij,ij->i", _units([va[k] for k in at], kind), _units([vb[k] for k in at], kind)) >= threshold
+                code_a, large = _large(part.select(["code_a", "large_a"]).rename_columns(["code", "large"]), tables)
+                code_b = np.frombuffer(b"".join(part["code_b"].to_pylist()), "<u4").reshape(-1, tables)
+                link &= ~((code_a == code_b) & large).any(axis=1)
+                a, b, na, nb = (part[c].to_numpy()[link] for c in ("a", "b", "copies_a", "copies_b"))
+                low = np.minimum(a, b)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in ((a, b), (nb, na), (low, low))], ["rep", "n", "label"])
+
+    return rows.select("a", "b", "copies_a", "copies_b", "vector_a", "vector_b", "code_a", "code_b", "large_a").mapInArrow(run, "rep long, n long, label long")
+
+
+def _of_windows(large: DataFrame, coded: DataFrame, tables: int, kind: str, threshold: float, count: int, tile: int) -> DataFrame:
+    """(rep, n, label): links and least linked id that a pair of blocks of one large window finds for a vector."""
+    sizes = large.groupBy("key").agg(F.ceil(F.count("*") / tile).cast("int").alias("blocks"))
+    dealt = large.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    tiles = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    tiles = tiles.select("rep", "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "t")
+    tiles = tiles.join(coded.select("rep", "copies", "vector", "code", "large"), "rep")
+
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        _, i, j = (x.as_py() for x in key)
+        block, rep, copies, t0 = rows["block"].to_numpy(), rows["rep"].to_numpy(), rows["copies"].to_numpy(), int(rows["t"][0].as_py())
+        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        unit = _units(rows["vector"].to_pylist(), kind)
+        link = unit[left] @ unit[right].T >= threshold
+        if i == j:
+            np.fill_diagonal(link, False)
+        total, label = np.zeros(len(rep), np.int64), rep.copy()
+        if link.any():
+            code, wide = _large(rows, tables)
+            seen = np.zeros(link.shape, np.uint16)
+            for t in range(tables):
+                same = code[left, t][:, None] == code[right, t][None, :]
+                seen += same
+                if t < t0:
+                    link &= ~(same & wide[left, t][:, None])
+            link &= seen >= count
+            total[left] += link @ copies[right]
+            if i != j:
+                total[right] += link.T @ copies[left]
+            far = np.iinfo(np.int64).max
+            while True:  # least labels over the block's links
+                old = label.copy()
+                label[left] = np.minimum(label[left], np.where(link, label[right][None, :], far).min(axis=1, initial=far))
+                label[right] = np.minimum(label[right], np.where(link, label[left][:, None], far).min(axis=0, initial=far))
+                if (label == old).all():
+                    break
+        some = np.flatnonzero(total > 0)
+        return pa.table({"rep": rep[some], "n": total[some], "label": label[some]})
+
+    return tiles.groupBy("key", "i", "j").applyInArrow(run, "rep long, n long, label long")
+
+
+def near_duplicates(table: DataFrame, id_col="vec_id", vector_col="embedding", threshold: float = 0.95, recall: float = 0.995, count: int = 2, tile: int = 1500, small: int = 24) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept."""
     cut = Cut(table.sparkSession)
-    own = anti_clash(table, vec_id=id_col, vector=vector_col).withColumn("vector", F.col("vector").cast("array<float>"))
+    single = table.schema[vector_col].dataType.simpleString() == "array<float>"
+    kind = "<f4" if single else "<f8"
+    own = anti_clash(table, vec_id=id_col, vector=vector_col).withColumn("vector", F.col("vector").cast("array<float>" if single else "array<double>"))
     odd = F.exists("vector", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
     good = F.col("vec_id").isNotNull() & (F.size("vector") > 0) & ~odd & F.exists("vector", lambda v: v != 0)
     rows = own.withColumn("good", F.coalesce(good, F.lit(False)))
@@ -208,8 +176,16 @@ def near_duplicates(table: DataFrame, id_col="vec_id", vector_col="embedding", t
     bits = min(30, max(8, math.ceil(math.log2(n))))
     tables = calibrate(threshold, bits, count, recall)
     firsts = usable.join(classes, ["h1", "h2"]).where("vec_id = rep").dropDuplicates(["h1", "h2"]).select("rep", "vector", "copies")
-    coded = cut.keep(_coded(firsts, tables, bits))
-    found = cut.keep(_links(coded, tables, threshold, count, tile))
+    coded = cut.keep(_coded(firsts, tables, bits, kind))
+    keyed = coded.select("rep", F.posexplode("keys").alias("t", "key"))
+    sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    shared = cut.keep(keyed.join(sizes, "key"))
+    large = shared.where(F.col("n") > small).select("rep", "t", "key")
+    few = shared.where(F.col("n") <= small).select("rep", "key")
+    pairs = few.withColumnRenamed("rep", "a").join(few.withColumnRenamed("rep", "b"), "key").where("a < b").groupBy("a", "b").agg(F.count("*").alias("n")).where(F.col("n") >= count).select("a", "b")
+    wide = large.groupBy("rep").agg(F.collect_set("t").alias("large"))  # at most one entry a table
+    coded = cut.keep(coded.drop("keys").join(wide, "rep", "left"))
+    found = cut.keep(_of_pairs(pairs, coded, tables, kind, threshold).union(_of_windows(large, coded, tables, kind, threshold, count, tile)))
     links = found.groupBy("rep").agg(F.sum("n").alias("n"))
     comps = components(found.select(F.col("rep").alias("a"), F.col("label").alias("b")), cut)
     per = classes.join(links, "rep", "left").join(comps, F.col("rep") == F.col("node"), "left")
