@@ -4,7 +4,11 @@ Each partition collects the distinct pieces of its texts (pieces never cross a s
 non-space follows, so texts are split there first and the splits memoised). DuckDB holds the merge
 table and one row per (piece, position, token); a recursive query joins neighbouring tokens with
 the merge table and contracts the leftmost minimum-rank pair of each piece until none is left.
-Decoding joins id rows with the vocabulary and aggregates their bytes in order.
+Pieces over ``LONG`` bytes (texts without spaces) go through a second form of that query, a bounded number of steps at a
+time: a step contracts the leftmost minimum-rank pair and with it the pairs of the same rank to its right, up to and
+including the first whose contraction makes a pair of lower rank. Contracting the leftmost again and again would take just
+these, in this order, so the ids are the same; the steps are as many as different ranks and not as many as
+bytes, and no step's rows outlive a call. Decoding joins id rows with the vocabulary and aggregates their bytes in order.
 
 Nulls and edges: a null or empty text has no ids and decodes to no bytes; special tokens are
 ordinary text; duplicates and extra columns do not matter; an empty table gives no rows.
@@ -45,6 +49,43 @@ with recursive s(step, w, p, t, after, r) as (
 )
 select w, p, t from s join (select w, max(step) as step from s group by w) using (w, step)
 """
+#: The same for long pieces; {steps} bounds the recursion. ``r`` is the rank of the pair that starts here, ``run`` numbers
+#: pairs of the least rank that follow each other without a gap (one token repeated: every other one is taken).
+_ENCODE_LONG = """
+with recursive s(step, w, p, t, n, r, last) as (
+    select 0, x.w, x.p, x.t, x.n, m.merged, null::int
+    from (select w, p, t, lead(t) over (partition by w order by p) as n from long_rows) x
+    left join merges m on m.pair = x.t::bigint * 65536 + x.n
+    union all
+    select z.step, z.w, z.p, z.t, z.n, m.merged, null::int
+    from (
+        select step, w, p, t, lead(t) over (partition by w order by p) as n
+        from (
+            select step, w, p, case when taken then r else t end as t, coalesce(lag(taken) over (partition by w order by p), false) as gone
+            from (
+                select step, w, p, t, r, pick and p <= coalesce(min(case when pick and (least(l.merged, q.merged) < r or (l.merged is null and q.merged < r) or (q.merged is null and l.merged < r)) then p end) over (partition by w), 2147483647) as taken
+                from (
+                    select *, case when lag(pick, 2) over in_order then lag(r, 2) over in_order else lag(t) over in_order end as left_t
+                    from (
+                        select *, is_least and (row_number() over (partition by w, is_least, island order by p)) % 2 = 1 as pick
+                        from (
+                            select *, sum(case when is_least then 0 else 1 end) over (partition by w order by p) as island
+                            from (
+                                select s.step + 1 as step, w, p, t, n, r, lead(n) over (partition by w order by p) as n2, coalesce(r = min(r) over (partition by w), false) as is_least,
+                                       min(r) over (partition by w) as least_rank
+                                from s where s.step < {steps})
+                            where least_rank is not null))
+                    window in_order as (partition by w order by p)) y
+                left join merges l on y.pick and l.pair = y.left_t::bigint * 65536 + y.r
+                left join merges q on y.pick and q.pair = y.r::bigint * 65536 + y.n2))
+        where not gone) z
+    left join merges m on m.pair = z.t::bigint * 65536 + z.n
+)
+select w, p, t, r from s join (select w, max(step) as step from s group by w) using (w, step)
+"""
+#: Bytes from which a piece counts as long, and rows that the steps of one call may hold.
+LONG, _STEP_ROWS = 96, 1_500_000
+
 #: Ids as text, and the bytes that they decode to, from id rows (w, p, t).
 _DECODE = "select w, encode(string_agg(i.t, ',' order by i.p)) as ids, unhex(string_agg(v.hex, '' order by i.p)) as bytes from id_rows i join vocab v on v.id = i.t group by w order by w"
 
@@ -93,23 +134,40 @@ class DuckBpe:
         """For each piece its ids (decimal, joined by commas) and the bytes that they decode to."""
         out: list[tuple[bytes, bytes]] = [(b"", b"")] * len(pieces)
         todo = sorted((i for i, p in enumerate(pieces) if p), key=lambda i: len(pieces[i]))
-        for lo in range(0, len(todo), self.chunk):
-            part = todo[lo : lo + self.chunk]
+        ends = np.cumsum([len(pieces[i]) for i in todo])
+        at = 0
+        while at < len(todo):  # a call takes so many pieces, or so many bytes where pieces are long
+            to = min(at + self.chunk, max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + 20 * self.chunk))))
+            part, at = todo[at:to], to
             w, pos, lens = self._rows([len(pieces[i]) for i in part])
             tokens = self.byte_ids[np.frombuffer(b"".join([pieces[i] for i in part]), np.uint8)]
             whole = [k for k, i in enumerate(part) if pieces[i] in self.ranks]  # a piece that is a token needs no merges
-            keep = np.ones(len(part), bool)
+            keep = np.asarray(lens <= LONG)
             keep[whole] = False
+            long = ~keep
+            long[whole] = False
             keep = np.repeat(keep, lens)
             self._give("start_rows", w=pa.array(w[keep]), p=pa.array(pos[keep]), t=pa.array(tokens[keep]))
             self._give("whole_rows", w=pa.array(whole, pa.int32()), p=pa.array(np.zeros(len(whole), np.int32)), t=pa.array([self.ranks[pieces[part[k]]] for k in whole], pa.int32()))
             self.db.execute("create or replace temp table id_rows as " + _ENCODE)
             self.db.execute("insert into id_rows select * from whole_rows")
+            if long.any():
+                long = np.repeat(long, lens)
+                self._contract_long(pa.table({"w": w[long], "p": pos[long], "t": tokens[long]}))
             got = self.db.sql(_DECODE).to_arrow_table()
             for i, ids, text in zip(part, got["ids"].to_pylist(), got["bytes"].to_pylist(), strict=True):
                 out[i] = (ids, text)
         return out
 
+    def _contract_long(self, rows: pa.Table) -> None:
+        """Adds the id rows of long pieces: bounded recursions, each from the rows of the pieces that the one before left open."""
+        while rows.num_rows:
+            self.db.register("long_rows", rows)
+            steps = max(2, min(256, _STEP_ROWS // rows.num_rows))
+            self.db.execute("create or replace temp table state as " + _ENCODE_LONG.format(steps=steps))
+            self.db.execute("insert into id_rows select w, p, t from state where w not in (select w from state where r is not null)")
+            rows = self.db.sql("select w, p, t from state where w in (select w from state where r is not null)").to_arrow_table()
+
     def decode_ids(self, sequences: list[list[int]]) -> list[bytes]:
         """The bytes of any id sequences."""
         out = [b""] * len(sequences)
