@@ -1,4 +1,4 @@
-"""Language identification by segmentation-marginalised unigrams.
+r"""Language identification by segmentation-marginalised unigrams.
 
 Every language has its own probabilities over the pieces of one fixed public vocabulary. A unit of
 text (a run of letters, lower case, with the vocabulary's word-start mark) is scored by the forward
@@ -7,20 +7,21 @@ units, and the prediction the language of the highest posterior under equal prio
 probabilities are fitted by expectation maximisation: partitions run forward-backward over their
 distinct units, Spark sums the expected counts, and only the model (pieces x languages) is gathered.
 
-Training rows: ``fit`` takes about ``per_language`` labelled rows of each language, chosen by a hash of
-the text and without a cap on their length. That is a documented bound on the fit; prediction
-covers every row.
+Training rows: ``fit`` takes about ``per_language`` distinct labelled texts of each language, chosen by a hash of
+the text and without a cap on their length; a text that comes many times is one. That is a documented bound on the
+fit; prediction covers every row. A model holds at most ``most_languages``; more labels raise ``ValueError``.
 
-Nulls and edges: a null text or one without a letter gives ``und`` and score 0; labelled rows with a
-null language, a null text or no letter are not trained on; with no training row at all every
-prediction is ``und``; units over 48 letters are scored in pieces of 48.
+Letters are those of Unicode (``\p{L}``). Nulls and edges: a null text or one without a letter gives ``und`` and score 0;
+labelled rows with a null language, a null text or no letter are not trained on; with no training row at all every
+prediction is ``und``; units over 48 letters are learned and scored in pieces of 48.
 """
 
 from __future__ import annotations
 
-import re
 import uuid
+from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,6 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from .common import Cut, anti_clash, kept, slices
 
-_LETTERS = re.compile(r"[^\W\d_]+")
 _LONGEST_UNIT = 48
 _MARK = "▁"
 
@@ -38,7 +38,7 @@ _MARK = "▁"
 class Pieces:
     """The fixed vocabulary: piece look-up by position and length over arrays of code points."""
 
-    def __init__(self, path: str, longest: int = 9):
+    def __init__(self, path: str):
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -46,12 +46,12 @@ class Pieces:
         for i in range(sp.get_piece_size()):
             piece = sp.id_to_piece(i)
             body = piece.removeprefix(_MARK)
-            if not (sp.is_unknown(i) or sp.is_control(i) or sp.is_byte(i)) and body.isalpha() and len(piece) <= longest:
+            if not (sp.is_unknown(i) or sp.is_control(i) or sp.is_byte(i)) and body.isalpha():
                 kept.setdefault(piece.lower(), len(kept))
         self.size = len(kept) + 1  # the last one stands for a letter that is no piece
         self.unknown = len(kept)
         self.tables = []
-        for n in range(1, longest + 1):
+        for n in range(1, max(map(len, kept)) + 1):
             items = sorted((self._key(np.array([[ord(c) for c in p]], np.uint64))[0], i) for p, i in kept.items() if len(p) == n)
             self.tables.append((np.array([k for k, _ in items], np.uint64), np.array([i for _, i in items], np.int64)))
 
@@ -74,18 +74,20 @@ class Pieces:
         col = np.arange(len(flat)) - np.repeat(np.cumsum(lens) - lens, lens)
         points[row, col] = flat
         h = np.zeros(len(flat), np.uint64)
-        arcs, lone = [], np.ones(len(flat), bool)
+        arcs, lone, bare_row, bare_col = [], np.ones(len(flat), bool), row, col
         for n, (keys, ids) in enumerate(self.tables, 1):
             h = (h + points[row, col + n - 1] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
             h = h ^ (h >> np.uint64(29))
+            if n > 1:  # only places with n letters left
+                left = np.flatnonzero(col + n <= lens[row])
+                row, col, h = row[left], col[left], h[left]
             if len(keys):
                 at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-                hit = (keys[at] == h) & (col + n <= lens[row])
+                hit = keys[at] == h
                 if n == 1:
                     lone &= ~hit
                 arcs.append((row[hit], col[hit], col[hit] + n, ids[at[hit]]))
-        bare = np.flatnonzero(lone)
-        arcs.append((row[bare], col[bare], col[bare] + 1, np.full(len(bare), self.unknown)))
+        arcs.append((bare_row[lone], bare_col[lone], bare_col[lone] + 1, np.full(int(lone.sum()), self.unknown)))
         unit, start, end, piece = (np.concatenate([a[k] for a in arcs]) for k in range(4))
         order = np.lexsort((unit, end))
         unit, start, end, piece = unit[order], start[order], end[order], piece[order]
@@ -128,8 +130,15 @@ def expected_counts(pieces: Pieces, prob: np.ndarray, units: list[str], weight:
     return out
 
 
+@lru_cache(1)
+def _letters():
+    import regex
+
+    return regex.compile(r"\p{L}+")
+
+
 def units_of(text: str) -> list[str]:
-    out = _LETTERS.findall(text.lower())
+    out = _letters().findall(text.lower())
     if any(len(u) > _LONGEST_UNIT for u in out):
         out = [u[i : i + _LONGEST_UNIT] for u in out for i in range(0, len(u), _LONGEST_UNIT)]
     return out
@@ -151,17 +160,29 @@ class Model:
         self.vocab_path, self.langs, self.prob = vocab_path, langs, prob
 
 
-def fit(labelled: DataFrame, vocab_path: str, text_col="text", lang_col="lang", per_language: int = 3000, rounds: int = 3) -> Model:
+def fit(labelled: DataFrame, vocab_path: str, text_col="text", lang_col="lang", per_language: int = 3000, rounds: int = 3, most_languages: int = 1000) -> Model:
     """Fits the piece probabilities of every language that ``labelled`` names."""
     rows = anti_clash(labelled, text=text_col, lang=lang_col).where(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    rows = rows.withColumn("h", F.xxhash64("text"))
+    found = rows.groupBy("lang").agg(F.approx_count_distinct("h", 0.02).alias("n")).limit(most_languages + 1).collect()
+    if len(found) > most_languages:
+        raise ValueError(f"more than {most_languages} languages")
+    counts = {r["lang"]: r["n"] for r in found}
     langs = sorted(counts)
     if not langs:
         return Model(vocab_path, [], np.zeros((pieces_of(vocab_path).size, 0)))
     share = F.create_map(*[x for k in langs for x in (F.lit(k), F.lit(min(1.0, per_language / counts[k])))])[F.col("lang")]
-    sample = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < share * F.lit(1 << 30))
-    vocabulary = F.transform(F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda u: u != ""), lambda u: F.substring(u, 1, _LONGEST_UNIT))
-    units = sample.select("lang", F.explode(vocabulary).alias("unit")).groupBy("unit", "lang").agg(F.count("*").alias("n"))
+    sample = rows.where(F.pmod(F.col("h"), F.lit(1 << 30)) < share * F.lit(1 << 30)).groupBy("lang", "h").agg(F.min("text").alias("text"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            seen: Counter = Counter()
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                seen.update((u, lang) for u in units_of(text))
+            units, names = zip(*seen, strict=True) if seen else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(units, pa.string()), pa.array(names, pa.string()), pa.array(seen.values(), pa.int64())], ["unit", "lang", "n"])
+
+    units = sample.select("lang", "text").mapInArrow(count, "unit string, lang string, n long").groupBy("unit", "lang").agg(F.sum("n").alias("n"))
     size = pieces_of(vocab_path).size
     prob = np.full((size, len(langs)), 1.0 / size)
     number = {k: i for i, k in enumerate(langs)}
