@@ -11,8 +11,12 @@
 3. A message answers what the shallowest of its linked passages quote: the latest such message of its conversation,
    else the first one elsewhere; without links, the message before it.
    Threads and depths come from pointer doubling over these parents; a parent in a conversation of a larger id would
-   allow loops, so there the thread goes on with the message before. Ordering a conversation by (thread_turn, turn)
-   puts every reply after its original in it; the thread's root is (thread_conv, thread_turn).
+   allow loops, so there the thread goes on with the message before.
+4. Conversations are built in reply order: a thread's messages, of all conversations, are numbered (``position``) so that every
+   reply comes after what it answers; the thread's root is (thread_conv, thread_turn). Texts stand without quotes.
+
+Orders within a conversation or thread are found over ranges of rows (``in_order``), so one that holds a third of all
+messages is no task of its own; a passage's first holders are found in shares.
 
 Nulls and edges: a null text is empty; messages with a null conv_id or turn quote and answer nothing and
 are their own thread; rows that repeat (conv_id, turn) are returned as often as they come, the first own
@@ -104,20 +108,23 @@ def _parsed(messages: DataFrame) -> DataFrame:
 
 def link_quotes(messages: DataFrame, conv_col="conv_id", turn_col="turn", role_col="role", text_col="text") -> DataFrame:
     """One row per message: conv_id, turn, role, text (without quotes), quote_levels, n_quotes,
-    n_linked, parent_conv, parent_turn, thread_turn, depth, thread_conv."""
+    n_linked, parent_conv, parent_turn, thread_turn, depth, thread_conv, position."""
     cut = Cut(messages.sparkSession)
     own = anti_clash(messages, conv_id=conv_col, turn=turn_col, role=role_col, text=text_col)
     own = own.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
     parsed = cut.keep(_parsed(own))
     named = parsed.where("conv_id is not null and turn is not null")
-    said = named.select("conv_id", "turn", F.explode("originals").alias("hash")).distinct()
     passages = named.select("conv_id", "turn", F.explode("quoted").alias("q")).select("conv_id", "turn", "q.*")
-    asked = passages.select("conv_id", "turn", "hash").distinct()
+    asked = cut.keep(passages.select("conv_id", "turn", "hash").distinct())
+    wanted = asked.select("hash").distinct()
+    said = cut.keep(named.select("conv_id", "turn", F.explode("originals").alias("hash")).join(wanted, "hash", "left_semi").distinct())
     # the latest earlier message of the same conversation with the passage: one ordered pass, no pairs
     both = said.select("conv_id", "hash", "turn", F.col("turn").alias("from_turn"), F.lit(1).alias("kind")).union(asked.select("conv_id", "hash", "turn", F.lit(None).cast("long"), F.lit(0)))
     seen = Window.partitionBy("conv_id", "hash").orderBy("turn", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     near = both.withColumn("from_turn", F.last("from_turn", ignorenulls=True).over(seen)).where("kind = 0").select("conv_id", "turn", "hash", "from_turn")
-    holders = said.groupBy("hash", "conv_id").agg(F.min("turn").alias("turn")).withColumn("n", F.row_number().over(Window.partitionBy("hash").orderBy("conv_id"))).where("n <= 2")
+    holders = said.groupBy("hash", "conv_id").agg(F.min("turn").alias("turn")).withColumn("share", F.pmod(F.xxhash64("conv_id"), F.lit(64)))
+    for of in (("hash", "share"), ("hash",)):  # the first two conversations of each share, then of all shares
+        holders = holders.withColumn("n", F.row_number().over(Window.partitionBy(*of).orderBy("conv_id"))).where("n <= 2")
     holders = holders.select("hash", F.struct("conv_id", "turn").alias("first"))
     far = near.where("from_turn is null").join(holders, "hash").where("first.conv_id <> conv_id").groupBy("conv_id", "turn", "hash").agg(F.min("first").alias("first"))
     linked = near.join(far, ["conv_id", "turn", "hash"], "left").where("from_turn is not null or first is not null")
@@ -126,19 +133,36 @@ def link_quotes(messages: DataFrame, conv_col="conv_id", turn_col="turn", role_c
     by_passage = by_part.groupBy("conv_id", "turn", "passage", "level").agg(F.min_by(F.struct("near_turn", "far"), "part").alias("to"))
     by_level = by_passage.groupBy("conv_id", "turn", "level").agg(F.max("to.near_turn").alias("near_turn"), F.min("to.far").alias("far"), F.count("*").alias("n"))
     per = by_level.groupBy("conv_id", "turn").agg(F.min_by(F.struct("near_turn", "far"), "level").alias("to"), F.sum("n").alias("n_linked")).select("conv_id", "turn", "to.near_turn", "to.far", "n_linked")
-    turns = named.select("conv_id", "turn").distinct()
-    before = turns.withColumn("previous", F.lag("turn").over(Window.partitionBy("conv_id").orderBy("turn")))
+    before = in_order(named.select("conv_id", "turn").distinct(), cut, ["conv_id"], ["turn"], "turn").drop("position")
     parents = cut.keep(before.join(per, ["conv_id", "turn"], "left").select("conv_id", "turn", F.coalesce("near_turn", "previous").alias("parent_turn"), F.when(F.col("near_turn").isNull() & F.col("far").isNotNull(), F.col("far")).alias("far"), F.coalesce("n_linked", F.lit(0)).alias("n_linked")))
     threads = _threads(parents, cut)
+    threads = in_order(threads, cut, ["thread_conv", "thread_turn"], ["conv_id", "turn"], "turn").drop("previous")
     info = parents.join(threads, ["conv_id", "turn"])
     out = parsed.join(info, ["conv_id", "turn"], "left")
     return out.select(
         "conv_id", "turn", "role", F.col("own").alias("text"), F.col("levels").alias("quote_levels"), "n_quotes", F.coalesce("n_linked", F.lit(0)).alias("n_linked"),
         F.coalesce(F.col("far.conv_id"), F.when(F.col("parent_turn").isNotNull(), F.col("conv_id"))).alias("parent_conv"), F.coalesce(F.col("far.turn"), F.col("parent_turn")).alias("parent_turn"),
         F.coalesce("thread_turn", "turn").alias("thread_turn"), F.coalesce("depth", F.lit(0)).alias("depth"), F.coalesce("thread_conv", "conv_id").alias("thread_conv"),
+        F.coalesce("position", F.lit(0)).alias("position"),
     )
 
 
+def in_order(rows: DataFrame, cut: Cut, keys: list[str], order: list[str], value: str) -> DataFrame:
+    """Adds ``position`` (from 0, among the rows of equal keys) and ``previous`` (the ``value`` of the row before).
+
+    Rows are dealt by ranges and numbered inside; a key that spans several ranges gets the counts and last values of those
+    before. (keys, order) must be unique and hold no nulls.
+    """
+    dealt = cut.keep(rows.repartitionByRange(*keys, *order).withColumn("_range", F.spark_partition_id()))
+    here = Window.partitionBy("_range", *keys).orderBy(*order)
+    ahead = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ends = dealt.groupBy(*keys, "_range").agg(F.count("*").alias("_n"), F.max(F.struct(*order, F.col(value).alias("_value"))).alias("_last"))
+    ends = ends.select(*keys, "_range", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_before"), F.last("_last._value").over(ahead).alias("_previous"))
+    local = dealt.withColumn("_row", F.row_number().over(here) - 1).withColumn("_lag", F.lag(value).over(here))
+    out = local.join(ends, [*keys, "_range"])
+    return out.select(*rows.columns, (F.col("_row") + F.col("_before")).alias("position"), F.when(F.col("_row") == 0, F.col("_previous")).otherwise(F.col("_lag")).alias("previous"))
+
+
 def _threads(parents: DataFrame, cut: Cut) -> DataFrame:
     """(conv_id, turn, thread_conv, thread_turn, depth): the root of each message and the steps to it, by pointer doubling.
 
