@@ -6,14 +6,19 @@
 2. The choices' generalised paths (tags and classes from the root, digits removed) are counted per
    host in Spark: a vote per page. The path with most votes wins (ties: the smaller text).
 3. Every page is read again by its host's winning path; where a page has no such container its own
-   choice stands.
+   choice stands. The winners go to the pages by broadcast while they are checked to be under ``broadcast_bytes``; beyond it
+   by a join on (host, share), for which every host's pages are dealt over ``SHARES`` shares, so no host is one task's.
 
 The text is the container's without boilerplate elements (see ``_EXCLUDED`` and ``_BOILERPLATE``), with the page's
 other headings and paragraphs that are no boilerplate, character references decoded, white space within a block
 turned into one space, blocks joined by one space. A host's path alone decides where those others outweigh it.
 
-A class, id or role marks boilerplate if all words of one of its tokens do (``cookie-notice``, not ``has-sidebar``), but
-never an element that holds an ``article`` or ``main``, or, on a page with neither, more than half of the text.
+A class, id or role marks boilerplate if all words of one of its tokens do (``cookie-notice``, not ``has-sidebar``), and so
+does a ``form``, but never an element that holds an ``article`` or ``main``, or, on a page with neither, more than half of the
+text.
+
+Reading takes time and memory in proportion to the page: a tag's quoted values may hold ``<`` up to a length, a tag that the
+page's end cuts off is no text, paths are kept as checksums along the tree and spelled out where they are asked for.
 
 Nulls and edges: a null html is empty and gives empty text; a page without a host (null or odd url)
 uses its own choice; a page that is all boilerplate gives empty text; repeated rows vote and are returned as
@@ -22,20 +27,21 @@ often as they come; an empty table gives no rows.
 
 from __future__ import annotations
 
-import html
 import re
+import zlib
 from collections.abc import Iterator
+from html import unescape
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import anti_clash, slices
+from .common import Cut, anti_clash, slices
 
 # Element kinds of HTML and words that mark boilerplate in class and id attributes.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset("address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split())
-_EXCLUDED = frozenset("aside button datalist dialog footer form head iframe input menu nav noscript object script select style svg template textarea title".split())
+_EXCLUDED = frozenset("aside button datalist dialog footer head iframe input menu nav noscript object script select style svg template textarea title".split())
 _BOILERPLATE = frozenset("ad ads adv advert advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disclaimer footer gdpr masthead menu modal nav navbar navigation newsletter notice notices notification popup promo promoted promotion related respond share sharing sidebar signup social sponsor sponsored subscribe subscription topbar widget".split())
 #: Words that add nothing to a boilerplate word in a token.
 _NEUTRAL = frozenset("bar block bottom box buttons global left links list main primary right secondary site top".split())
@@ -45,7 +51,10 @@ _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "
 #: An open element of these kinds keeps an implied end from reaching beyond it.
 _FENCE = frozenset("ul ol dl table tbody thead tfoot article section main div body html blockquote".split())
 
-_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<({_RAW})(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^'\">]|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S | re.I)
+#: What may stand in a tag: a value in quotes may hold "<" where it is no longer than 4,096; a tag has 2,000 parts at most.
+_PARTS = r"""(?:[^'\"<>]++|"[^"<]*+"|'[^'<]*+'|"[^"]{0,4096}+"|'[^']{0,4096}+'){0,2000}+"""
+_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<({_RAW})(?=[\s/>])({_PARTS})>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)({_PARTS})>|<(/?)([a-zA-Z][^\s/><]*+)[^<>]*+>|<[!?][^<>]*+>", re.S | re.I)
+_CUT_OFF = re.compile(r"<[a-zA-Z/!?]")
 _ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _DIGITS = re.compile(r"\d+")
 _WORDS = re.compile(r"[a-z]+")
@@ -56,32 +65,54 @@ def _marks(token: str) -> bool:
     return not words.isdisjoint(_BOILERPLATE) and words <= _BOILERPLATE | _NEUTRAL
 
 
+class _Paths:
+    """The paths of a page's containers, spelled out on demand."""
+
+    def __init__(self, page: "Page"):
+        self.page = page
+
+    def __getitem__(self, k: int) -> str:
+        steps = []
+        while k:
+            steps.append(self.page.step[k])
+            k = self.page.parent[k]
+        return "".join(reversed(steps))
+
+
 class Page:
     """A page's containers (by number, in page order) and its text runs."""
 
     def __init__(self, source: str):
-        self.tag, self.parent, self.path, self.out = ["#root"], [0], [""], [False]
+        self.tag, self.parent, self.step, self.sum, self.out = ["#root"], [0], [""], [0], [False]
+        self.path = _Paths(self)
+        self.in_link, self.in_main = [False], [False]
         self.runs: list[tuple[int, str]] = []  # (container, text); an empty text breaks a block
         self.linked: list[bool] = []
         self.marked = [False]  # by class, id or role
+        self.open: dict[str, int] = {}
         stack, at = [0], 0
-        for m in _TOKEN.finditer(source):
+        end = source.rfind(">") + 1  # no tag ends after it
+        for m in _TOKEN.finditer(source, 0, end):
             if m.start() > at:
                 self._text(stack, source[at : m.start()])
             at = m.end()
-            name = m.group(3)
+            name = m.group(4) or m.group(7)
             if name is None:
                 continue
             name = name.lower()
             if name in _BLOCK:
                 self.runs.append((stack[-1], ""))
                 self.linked.append(False)
-            if m.group(2):
+            if m.group(3) or m.group(6):
                 self._end(stack, name)
             elif name not in _VOID:
-                self._start(stack, name, m.group(4))
-        if at < len(source):
-            self._text(stack, source[at:])
+                self._start(stack, name, m.group(5) or "")
+        rest = source[at:]
+        cut = _CUT_OFF.search(rest, max(0, end - at))
+        if cut:
+            rest = rest[: cut.start()]
+        if rest:
+            self._text(stack, rest)
         self._drop_marked()
 
     def _drop_marked(self) -> None:
@@ -110,22 +141,28 @@ class Page:
         return size
 
     def _text(self, stack: list[int], raw: str) -> None:
-        self.runs.append((stack[-1], html.unescape(raw) if "&" in raw else raw))
-        self.linked.append(any(self.tag[k] == "a" for k in stack))
+        self.runs.append((stack[-1], unescape(raw) if "&" in raw else raw))
+        self.linked.append(self.in_link[stack[-1]])
+
+    def _close(self, stack: list[int], k: int) -> None:
+        """Closes the open elements from the stack's place ``k`` on."""
+        for c in stack[k:]:
+            self.open[self.tag[c]] -= 1
+        del stack[k:]
 
     def _start(self, stack: list[int], name: str, attributes: str) -> None:
-        if name in _BLOCK:
+        if name in _BLOCK and self.open.get("p"):
             for k in range(len(stack) - 1, 0, -1):  # a block ends an open paragraph
                 if self.tag[stack[k]] == "p":
-                    del stack[k:]
+                    self._close(stack, k)
                     break
                 if self.tag[stack[k]] in _FENCE:
                     break
         ends = _CLOSES.get(name)
-        if ends:
+        if ends and any(self.open.get(e) for e in ends):
             for k in range(len(stack) - 1, 0, -1):
                 if self.tag[stack[k]] in ends:
-                    del stack[k:]
+                    self._close(stack, k)
                     break
                 if self.tag[stack[k]] in _FENCE and self.tag[stack[k]] not in ends:
                     break
@@ -137,20 +174,25 @@ class Page:
                 if key.lower() == "class":
                     classes = ".".join(sorted(set(_DIGITS.sub("", value).split())))
                 marked = marked or any(map(_marks, value.split()))
-        inside = any(self.tag[k] in ("article", "main") for k in stack)
-        gone = self.out[above] or name in _EXCLUDED or (name == "header" and not inside)
+        gone = self.out[above] or name in _EXCLUDED or (name == "header" and not self.in_main[above])
+        step = f"/{name}{'.' + classes if classes else ''}"
         self.tag.append(name)
         self.parent.append(above)
-        self.path.append(f"{self.path[above]}/{name}{'.' + classes if classes else ''}")
+        self.step.append(step)
+        self.sum.append(zlib.crc32(step.encode("utf-8", "surrogatepass"), self.sum[above]))
         self.out.append(gone)
-        self.marked.append(marked)
+        self.marked.append(marked or name == "form")
+        self.in_link.append(self.in_link[above] or name == "a")
+        self.in_main.append(self.in_main[above] or name in ("article", "main"))
+        self.open[name] = self.open.get(name, 0) + 1
         stack.append(len(self.tag) - 1)
 
     def _end(self, stack: list[int], name: str) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            if self.tag[stack[k]] == name:
-                del stack[k:]
-                return
+        if self.open.get(name):
+            for k in range(len(stack) - 1, 0, -1):
+                if self.tag[stack[k]] == name:
+                    self._close(stack, k)
+                    return
 
     def choice(self) -> int:
         """The container that the page itself would take."""
@@ -174,7 +216,9 @@ class Page:
 
     def text(self, path: str | None) -> str:
         """The text of all outermost containers of a path, or of the page's own choice, with other headings and paragraphs."""
-        start = {k for k, p in enumerate(self.path) if p == path and not self.out[k]} if path else set()
+        want = zlib.crc32(path.encode("utf-8", "surrogatepass")) if path else 0
+        # the outermost containers of the path: paths grow downwards, so none lies in another
+        start = {k for k in range(1, len(self.sum)) if self.sum[k] == want and not self.out[k] and self.path[k] == path} if path else set()
         by_path = bool(start)
         if not start:
             start = {self.choice()}
@@ -209,7 +253,7 @@ def winning_paths(pages: DataFrame) -> DataFrame:
     """(host, path): the path that most pages of a host vote for; ``pages`` has host and html."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "html"):
+        for batch in slices(batches, "html", 2 << 20):
             paths = []
             for source in batch.column(1).to_pylist():
                 page = Page(source or "")
@@ -221,16 +265,25 @@ def winning_paths(pages: DataFrame) -> DataFrame:
     return counted.groupBy("host").agg(F.min_by("path", F.struct(-F.col("n"), F.col("path"))).alias("path"))
 
 
-def extract(pages: DataFrame, id_col="page_id", url_col="url", html_col="html") -> DataFrame:
+#: Shares over which the pages of each host are dealt.
+SHARES = 64
+
+
+def extract(pages: DataFrame, id_col="page_id", url_col="url", html_col="html", broadcast_bytes: int = 32 << 20) -> DataFrame:
     """One row per page: page_id, url, text, n_chars."""
     kind = pages.schema[id_col].dataType.simpleString()
     own = anti_clash(pages, page_id=id_col, url=url_col, html=html_col).withColumn("host", host_of(F.col("url")))
-    winners = winning_paths(own)
-    joined = own.join(winners, "host", "left").select("page_id", "url", "html", "path")
+    winners = Cut(pages.sparkSession).keep(winning_paths(own))
+    size = winners.agg(F.coalesce(F.sum(F.octet_length("host") + F.octet_length("path") + 64), F.lit(0))).first()[0]
+    if size <= broadcast_bytes:
+        joined = own.join(F.broadcast(winners), "host", "left")
+    else:
+        dealt = winners.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))))
+        joined = own.withColumn("share", F.pmod(F.xxhash64("page_id", "url"), F.lit(SHARES)).cast("int")).join(dealt, ["host", "share"], "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "html"):
+        for batch in slices(batches, "html", 2 << 20):
             texts = [Page(source or "").text(path) for source, path in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
-    return joined.mapInArrow(run, f"page_id {kind}, url string, text string, n_chars long")
+    return joined.select("page_id", "url", "html", "path").mapInArrow(run, f"page_id {kind}, url string, text string, n_chars long")
