@@ -6,10 +6,12 @@ frame, and mono frames of ``BLOCK`` samples. Encoding tries verbatim, the fixed
 reads Rice residuals and linear predictors of any order of all frames in lockstep: step *i* decodes
 sample *i* of every frame, so Python's cost is per step and not per sample. Header CRC-8 and frame CRC-16
 are verified, and the samples' MD5 as well. Decoding covers mono streams of up to 16 bits and fixed block
-size, with all subframe types, Rice partitions and escape codes; others raise ``ValueError``.
+size, with all subframe types, Rice partitions, escape codes and wasted bits; others raise ``ValueError``.
+``read_range`` seeks: it finds the frames of a range of samples by the seek table and decodes no others.
 
-Nulls and edges: a null medium gives no PCM block and null results; a stream without samples has
-one empty block; repeated rows are decoded as often as they come; long media cost memory by batch.
+Nulls and edges: a null medium gives one row of null results; a damaged stream gives one row with an ``error`` and null
+results, and its neighbours are read; a stream without samples has one empty block; repeated rows are decoded as often as
+they come; long media cost memory by batch.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import anti_clash, slices
+from .common import anti_clash, crc32, slices
 
 BLOCK = 1024
 _LPC_SHIFT, _LPC_BITS = 6, 9
@@ -324,8 +326,11 @@ def _decode_frames(bits: _Bits, data: np.ndarray, at: np.ndarray, head: np.ndarr
     kind = bits.take(pos + 1, 6)
     wasted = bits.take(pos + 7, 1)
     pos = pos + 8
-    if wasted.any():
-        raise ValueError("wasted bits are not read")
+    if wasted.any():  # that many low bits of every sample are zero and not stored
+        sel = np.flatnonzero(wasted)
+        wasted[sel] = bits.unary(pos[sel]) + 1
+        pos[sel] += wasted[sel]
+        bps = bps - wasted
     order = np.where(kind >= 32, kind - 31, np.where((kind >= 8) & (kind <= 12), kind - 8, 0))
     coded = kind >= 8
     if ((kind > 1) & (kind < 8) | (kind > 12) & (kind < 32)).any():
@@ -427,14 +432,17 @@ def _decode_frames(bits: _Bits, data: np.ndarray, at: np.ndarray, head: np.ndarr
             got[i][a] = v
         out[:, rows] = got
         pos[rows] = p
+    out <<= wasted.astype(np.int32)
     turned = np.ascontiguousarray(out.T)
     return [turned[r, : int(size[r])] for r in range(f)], (pos + 7) >> 3
 
 
-def decode_streams(media: list[bytes], width: int = 4096) -> list[tuple[_Stream, list[tuple[int, np.ndarray]]]]:
+def decode_streams(media: list[bytes], width: int = 4096, ranges: list[tuple[int, int]] | None = None) -> list[tuple[_Stream, list[tuple[int, np.ndarray]]]]:
     """For each stream its description and its blocks (sample offset, samples); raises where a checksum fails.
 
-    Streams with a complete seek table are decoded over all their frames together, others frame after frame.
+    Streams with a complete seek table are decoded over all their frames together, others frame after frame. With ``ranges``
+    (first sample, end) only the blocks that reach into each stream's range come back, found by its seek table; the MD5 of all
+    samples is then not checked.
     """
     infos = [_Stream(m) for m in media]
     lens = np.array([len(m) for m in media], np.int64)
@@ -446,7 +454,8 @@ def decode_streams(media: list[bytes], width: int = 4096) -> list[tuple[_Stream,
     todo = []  # (stream, byte place, sample offset)
     for k, s in enumerate(infos):
         if s.known:
-            todo += [(k, base[k] + s.first + o, first) for first, o, _ in s.points]
+            lo, hi = ranges[k] if ranges else (0, s.total)
+            todo += [(k, base[k] + s.first + o, first) for first, o, n in s.points if first < hi and first + n > lo]
         elif s.total != 0 or s.first < len(media[k]):
             if s.first < len(media[k]):
                 todo.append((k, base[k] + s.first, 0))
@@ -465,6 +474,8 @@ def decode_streams(media: list[bytes], width: int = 4096) -> list[tuple[_Stream,
                 todo.append((k, end, first + len(x)))
     for s, found in zip(infos, blocks, strict=True):
         found.sort(key=lambda b: b[0])
+        if ranges:
+            continue
         kind = np.int8 if s.bits <= 8 else np.dtype("<i2")
         joined = b"".join(x.astype(kind).tobytes() for _, x in found)
         if s.md5 != b"\0" * 16 and hashlib.md5(joined).digest() != s.md5:
@@ -472,6 +483,42 @@ def decode_streams(media: list[bytes], width: int = 4096) -> list[tuple[_Stream,
     return list(zip(infos, blocks, strict=True))
 
 
+def pcm_bytes(s: _Stream, blocks: list[tuple[int, np.ndarray]]) -> bytes:
+    """Signed little-endian PCM of blocks that follow each other."""
+    kind, at, out = np.int8 if s.bits <= 8 else np.dtype("<i2"), blocks[0][0] if blocks else 0, []
+    for first, x in blocks:
+        if first != at:
+            raise ValueError("blocks with a gap")
+        at += len(x)
+        out.append(x.astype(kind).tobytes())
+    return b"".join(out)
+
+
+def read_range(media: list[bytes], starts: list[int], ends: list[int]) -> list[np.ndarray]:
+    """The samples from ``start`` to before ``end`` of each stream, by sample offset: other frames are not decoded."""
+    out = []
+    for (_, blocks), lo, hi in zip(decode_streams(media, ranges=list(zip(starts, ends, strict=True))), starts, ends, strict=True):
+        parts = [x[max(0, lo - first) : max(0, hi - first)] for first, x in blocks]
+        out.append(np.concatenate(parts) if parts else np.zeros(0, np.int32))
+    return out
+
+
+def _try_each(media: list[bytes | None], read) -> list[tuple[object, str | None]]:
+    """(result, error) of ``read([stream])`` for each stream, all together where none is damaged; (None, None) for a null."""
+    some = [m for m in media if m is not None]
+    try:
+        got = iter([(x, None) for x in read(some)])
+    except (ValueError, IndexError, struct.error, RecursionError):
+        results = []
+        for m in some:
+            try:
+                results.append((read([m])[0], None))
+            except (ValueError, IndexError, struct.error, RecursionError) as e:
+                results.append((None, f"{type(e).__name__}: {e}"))
+        got = iter(results)
+    return [(None, None) if m is None else next(got) for m in media]
+
+
 # --- columns -----------------------------------------------------------------------------------
 
 
@@ -496,20 +543,22 @@ def store_text(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
 
 
 def pcm_blocks(media: DataFrame, id_col="doc_id", media_col="media") -> DataFrame:
-    """Decodes a media column into PCM blocks: (id, block, sample_offset, n_samples, pcm), seekable by offset."""
+    """Decodes a media column into PCM blocks: (id, block, sample_offset, n_samples, pcm, error), seekable by offset."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "media", 4 << 20):
-            here = [(d, m) for d, m in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if m is not None]
+        for batch in slices(batches, "media", 2 << 20):
             rows = []
-            for (d, _), (s, blocks) in zip(here, decode_streams([m for _, m in here]), strict=True):
-                kind = np.int8 if s.bits <= 8 else np.dtype("<i2")
-                rows += [(d, i, first, len(x), x.astype(kind).tobytes()) for i, (first, x) in enumerate(blocks or [(0, np.zeros(0, np.int32))])]
-            cols = list(zip(*rows, strict=True)) if rows else [()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], batch.schema.field(0).type), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int64()), pa.array(cols[4], pa.binary())], ["doc_id", "block", "sample_offset", "n_samples", "pcm"])
+            for d, (got, error) in zip(batch.column(0).to_pylist(), _try_each(batch.column(1).to_pylist(), decode_streams), strict=True):
+                if got is None:
+                    rows.append((d, None, None, None, None, error))
+                    continue
+                s, blocks = got
+                rows += [(d, i, first, len(x), pcm_bytes(s, [(first, x)]), None) for i, (first, x) in enumerate(blocks or [(0, np.zeros(0, np.int32))])]
+            kinds = (batch.schema.field(0).type, pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["doc_id", "block", "sample_offset", "n_samples", "pcm", "error"])
 
     kind = media.schema[id_col].dataType.simpleString()
-    return anti_clash(media, doc_id=id_col, media=media_col).mapInArrow(run, f"doc_id {kind}, block int, sample_offset long, n_samples long, pcm binary")
+    return anti_clash(media, doc_id=id_col, media=media_col).mapInArrow(run, f"doc_id {kind}, block int, sample_offset long, n_samples long, pcm binary, error string")
 
 
 def feature(x: np.ndarray) -> str:
@@ -520,20 +569,28 @@ def feature(x: np.ndarray) -> str:
     return f"rms={np.sqrt(int((y * y).sum()) / n):.4f};peak={int(np.abs(y).max()) if len(y) else 0};zcr={int((np.diff(np.signbit(y))).sum()) / n:.6f};step={steps / n:.4f}"
 
 
+def _digest(media: list[bytes]) -> list[tuple]:
+    """Digests of streams: of their PCM blocks in the order of sample offsets, and of the last 64 samples, read by seeking."""
+    whole = decode_streams(media)
+    ends = [s.total for s, _ in whole]
+    tails = read_range(media, [max(0, n - 64) for n in ends], ends)
+    out = []
+    for m, (s, blocks), tail in zip(media, whole, tails, strict=True):
+        raw = (np.frombuffer(pcm_bytes(s, blocks), np.uint8) ^ 0x80).tobytes() if s.bits <= 8 else pcm_bytes(s, blocks)
+        x = np.concatenate([b for _, b in blocks]) if blocks else np.zeros(0, np.int32)
+        out.append((len(raw), hashlib.sha256(raw).hexdigest(), crc32((tail + 128).astype(np.uint8).tobytes()), len(m), hashlib.sha256(m).hexdigest(), feature(x)))
+    return out
+
+
 def media_digests(media: DataFrame) -> DataFrame:
-    """Reads stored media back (``store_text``) and returns digests and features of what it decodes to."""
-    from .common import crc32
+    """Reads stored media back (``store_text``) and returns digests and features of what it decodes to, or the error."""
+    names = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
+    kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "media", 4 << 20):
-            stored = batch.column(2).to_pylist()
-            rows = []
-            for m, (_, blocks) in zip(stored, decode_streams(stored), strict=True):
-                x = np.concatenate([b for _, b in blocks])
-                raw = (x + 128).astype(np.uint8).tobytes()
-                rows.append((len(raw), hashlib.sha256(raw).hexdigest(), crc32(raw[-64:]), len(m), hashlib.sha256(m).hexdigest(), feature(x)))
-            cols = list(zip(*rows, strict=True))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cols[0], pa.int64()), pa.array(cols[1]), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int64()), pa.array(cols[4]), pa.array(cols[5])], ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
+        for batch in slices(batches, "media", 2 << 20):
+            rows = [(*(got or (None,) * 6), error) for got, error in _try_each(batch.column(2).to_pylist(), _digest)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]], ["doc_id", "n_bytes", *names, "error"])
 
     kind = media.schema["doc_id"].dataType.simpleString()
-    return media.select("doc_id", "n_bytes", "media").mapInArrow(run, f"doc_id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    return media.select("doc_id", "n_bytes", "media").mapInArrow(run, f"doc_id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, error string")

@@ -57,7 +57,7 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flac.media_digests(flac.store_text(table(spark, sf_dir, "documents")))
+    return flac.media_digests(Cut(spark).keep(flac.store_text(table(spark, sf_dir, "documents"))))
 
 
 def op9_quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
