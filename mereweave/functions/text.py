@@ -68,8 +68,14 @@ def sensor_base_name(node: Column) -> Column:
     return F.when(base != "", base).otherwise(F.substring_index(node, "-", 1))
 
 
-#: Redactions in the order they are applied: mail addresses, then telephone numbers.
-REDACTIONS = ((r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "[EMAIL]"), (r"\(?[0-9]{3}\)?[-. ][0-9]{3}[-. ][0-9]{4}", "[PHONE]"))
+#: Redactions in the order they are applied, any case; each leaves a mark of its kind.
+_ANY_SPACE = r"[\s\x1c-\x1f]"
+REDACTIONS = (
+    (r"(?U)\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z|]{2,}\b", "[REDACTED_EMAIL]"),
+    (r"(?i)(?:(?:https?://)?(?:t\.me|telegram\.me)/|@)[A-Za-z0-9_]{5,32}", "[REDACTED_TELEGRAM]"),
+    (rf"(?U)(?:\+\d{{1,3}}(?:[-.]|{_ANY_SPACE})?)?\(?\d{{3}}\)?(?:[-.]|{_ANY_SPACE})?\d{{3}}(?:[-.]|{_ANY_SPACE})?\d{{4}}", "[REDACTED_PHONE]"),
+    (r"(?U)\b[A-Za-z0-9_]+#\d{4}\b", "[REDACTED_DISCORD]"),
+)
 
 
 def redact(text: Column) -> Column:
@@ -140,3 +146,16 @@ def tags(text: Column, taxonomy: dict[str, tuple[str, ...]]) -> Column:
 def cosine(a: Column, b: Column) -> Column:
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)
     return F.try_divide(dot(a, b), F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
+
+
+def thirds(text: Column, most: int) -> Column:
+    """A text of over ``most`` characters as its first, middle and last part of a third of that each, with marks between."""
+    part, n = most // 3, F.length(text)
+    middle = F.substring(text, F.floor(n / 2).cast("int") - part // 2 + 1, F.lit(part))
+    return F.when(n <= most, text).otherwise(F.concat(F.substring(text, 1, part), F.lit("\n\n[...middle...]\n\n"), middle, F.lit("\n\n[...end...]\n\n"), F.right(text, F.lit(part))))
+
+
+def thread_id(references: Column, reply_to: Column, own: Column) -> Column:
+    """The first 16 hex digits of the SHA-256 of a mail's root: first reference, else what it replies to, else itself."""
+    first = lambda c: F.nullif(F.regexp_extract(c, r"(<[^>]+>)", 1), F.lit(""))
+    return F.substring(F.sha2(F.coalesce(first(references), first(reply_to), own), 256), 1, 16)

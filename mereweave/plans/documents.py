@@ -165,15 +165,43 @@ def internal(v: Views) -> DataFrame:
     return v.table("pages").select("page_id", F.array_join(F.array_sort(F.array_distinct(kept)), " ").alias("links"))
 
 
-@query("str_13_redact_personal", r"select doc_id, md5(regexp_replace(regexp_replace(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}', '[EMAIL]', 'g'), '\(?[0-9]{3}\)?[-. ][0-9]{3}[-. ][0-9]{4}', '[PHONE]', 'g')) as redacted from documents")
+#: The four rules in DuckDB's dialect, white space spelled out.
+_SPACES = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_PERSONAL_RULES = (
+    (r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b", "[REDACTED_EMAIL]"),
+    (r"(?i)(?:(?:https?://)?(?:t\.me|telegram\.me)/|@)[A-Za-z0-9_]{5,32}", "[REDACTED_TELEGRAM]"),
+    (rf"(?:\+\p{{Nd}}{{1,3}}(?:[-.]|{_SPACES})?)?\(?\p{{Nd}}{{3}}\)?(?:[-.]|{_SPACES})?\p{{Nd}}{{3}}(?:[-.]|{_SPACES})?\p{{Nd}}{{4}}", "[REDACTED_PHONE]"),
+    (r"\b[A-Za-z0-9_]+#\p{Nd}{4}\b", "[REDACTED_DISCORD]"),
+)
+_PERSONAL = "text"
+for _rule, _mark in _PERSONAL_RULES:
+    _PERSONAL = f"regexp_replace({_PERSONAL}, '{_rule}', '{_mark}', 'g')"
+
+
+@query("str_13_redact_personal", f"select doc_id, md5({_PERSONAL}) as redacted from documents")
 def redact(v: Views) -> DataFrame:
     return v.table("documents").select("doc_id", F.md5(t.redact(F.col("text"))).alias("redacted"))
 
 
-_SECRETS = [("key sk-abcdefghijklmnopqrstuv1234 end",), ("password=hunter2 ok",), ("token: ghp_ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789",), ("nothing here",)]
-
-
-@query("str_14_redact_secrets", f"select line, regexp_replace(regexp_replace(regexp_replace(line, 'sk-[A-Za-z0-9]{{20,}}', '[SECRET]', 'g'), 'ghp_[A-Za-z0-9]{{30,}}', '[SECRET]', 'g'), '(?i)(password|secret)=[^ ]+', '[SECRET]', 'g') as clean from (values {_sql_values(_SECRETS)}) s(line)")
+#: The eight rules in DuckDB's dialect: white space spelled out, word starts as a group in front.
+_SP = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_START = r"(^|[^\p{L}\p{N}\p{M}_])"
+_SECRET_RULES = (
+    (rf"""{_START}[A-Z_]{{2,}}=(?:"[^"]*"|''[^'']*''|[^{_SP}]+)""", r"\1[REDACTED_ENV]"),
+    (rf"{_START}(?:sk-[a-zA-Z0-9]{{20,}}|ghp_[a-zA-Z0-9]{{20,}}|ghu_[a-zA-Z0-9]{{20,}}|github_pat_[a-zA-Z0-9_]{{20,}})", r"\1[REDACTED_KEY]"),
+    (rf"Bearer[{_SP}]+[a-zA-Z0-9._\-]{{20,}}", "Bearer [REDACTED]"),
+    (r"-----BEGIN[A-Z ]*PRIVATE KEY-----(?s:.*?)-----END[A-Z ]*PRIVATE KEY-----", "[REDACTED_PRIVATE_KEY]"),
+    (rf"(?:postgresql|postgres|mongodb|mysql|redis)://[^{_SP}]+", "[REDACTED_CONN_STRING]"),
+    (rf"https?://[^:]+:[^@]+@[^{_SP}]+", "[REDACTED_URL_CREDS]"),
+    (r"[A-Za-z0-9+/]{50,}={0,2}", "[REDACTED_BASE64]"),
+    (rf"[^{_SP}]*(?:\.env|credentials|secrets|\.pem|\.key)[^{_SP}]*", "[REDACTED_PATH]"),
+)
+_REDACTED = "text"
+for _rule, _mark in _SECRET_RULES:
+    _REDACTED = f"regexp_replace({_REDACTED}, '{_rule}', '{_mark}', 'g')"
+
+
+@query("str_14_redact_secrets", f"select doc_id, {_REDACTED} as clean from documents")
 def secrets(v: Views) -> DataFrame:
     return v.table("documents").select("doc_id", t.redact_secrets(F.col("text")).alias("clean"))
 
@@ -184,15 +212,21 @@ def auto_tags(v: Views) -> DataFrame:
     return v.table("documents").select("doc_id", F.array_join(found, ",").alias("tags"))
 
 
-_COUNTS = [("1.2K",), ("15",), ("3M",), ("2,345",), ("",), (None,)]
-
-
-@query("str_16_count_parse", f"select c, case when c like '%K' then cast(trunc(round(cast(replace(c, 'K', '') as double) * 1000, 3)) as bigint) when c like '%M' then cast(trunc(round(cast(replace(c, 'M', '') as double) * 1000000, 3)) as bigint) else coalesce(try_cast(replace(c, ',', '') as bigint), 0) end as n from (values {_sql_values(_COUNTS)}) s(c)")
+@query("str_16_count_parse", """
+select doc_id, c, case when c like '%K' then cast(trunc(round(cast(replace(c, 'K', '') as double) * 1000, 3)) as bigint) when c like '%M' then cast(trunc(round(cast(replace(c, 'M', '') as double) * 1000000, 3)) as bigint)
+ else coalesce(try_cast(replace(c, ',', '') as bigint), 0) end as n
+from (select doc_id, case doc_id % 6 when 0 then cast(n_chars as varchar) when 1 then (n_chars // 100) // 10 || '.' || (n_chars // 100) % 10 || 'K' when 2 then n_chars // 1000 || 'M'
+ when 3 then (n_chars + 1000) // 1000 || ',' || lpad(cast(n_chars % 1000 as varchar), 3, '0') when 4 then '' end as c from documents) t""")
 def counts(v: Views) -> DataFrame:
     c = F.col("c")
     scaled = lambda mark, by: F.round(F.replace(c, F.lit(mark), F.lit("")).cast("double") * by, 3).cast("long")
     n = F.when(F.endswith(c, F.lit("K")), scaled("K", 1000)).when(F.endswith(c, F.lit("M")), scaled("M", 1_000_000)).otherwise(F.coalesce(F.replace(c, F.lit(","), F.lit("")).try_cast("long"), F.lit(0)))
-    return _values(v, _COUNTS, "c string").select("c", n.alias("n"))
+    n_chars = F.col("n_chars")
+    tenth = F.expr("n_chars div 100")
+    written = F.when(F.col("doc_id") % 6 == 0, n_chars.cast("string")).when(F.col("doc_id") % 6 == 1, F.concat(F.expr("(n_chars div 100) div 10"), F.lit("."), tenth % 10, F.lit("K")))
+    written = written.when(F.col("doc_id") % 6 == 2, F.concat(F.expr("n_chars div 1000"), F.lit("M"))).when(F.col("doc_id") % 6 == 3, F.concat(F.expr("(n_chars + 1000) div 1000"), F.lit(","), F.lpad((n_chars % 1000).cast("string"), 3, "0")))
+    written = written.when(F.col("doc_id") % 6 == 4, "")
+    return v.table("documents").select("doc_id", written.alias("c")).select("doc_id", "c", n.alias("n"))
 
 
 @query("str_17_domain_organisation", "select page_id, split_part(regexp_extract(url, '://([^/]+)', 1), '.', -2) as organisation from pages")
@@ -218,29 +252,41 @@ def compose(v: Views) -> DataFrame:
     return v.table("documents").select("doc_id", F.when(F.length("text") <= 280, F.col("text")).otherwise(F.concat(F.regexp_replace(F.substring("text", 1, 277), r"\s+\S*\z", ""), F.lit("..."))).alias("post"))
 
 
-_CLAIMS = [("the credit is valid", "the credit is not valid"), ("price rose", "price rose today"), ("a b c d e f", "not a b c d e f"), ("x", "y")]
-
-
-@query("str_22_negation", f"select a, b, round(len(list_intersect(string_split(replace(a, 'not ', ''), ' '), string_split(replace(b, 'not ', ''), ' '))) / len(list_distinct(list_concat(string_split(replace(a, 'not ', ''), ' '), string_split(replace(b, 'not ', ''), ' ')))), 6) as similarity, contains(a, 'not ') <> contains(b, 'not ') as opposed from (values {_sql_values(_CLAIMS)}) s(a, b)")
+@query("str_22_negation", """
+with pairs as (select c.conv_id, c.turn, c.text as a, case when c.turn % 2 = 0 then replace(p.text, ' ', ' not ') else p.text end as b from turns c join turns p on p.conv_id = c.conv_id and p.turn = c.turn - 1),
+ plain as (select conv_id, turn, a, b, string_split(replace(a, 'not ', ''), ' ') as x, string_split(replace(b, 'not ', ''), ' ') as y from pairs)
+select conv_id, turn, round(len(list_intersect(x, y)) / len(list_distinct(list_concat(x, y))), 6) as similarity, contains(a, 'not ') <> contains(b, 'not ') as opposed from plain""", "turns")
 def negation(v: Views) -> DataFrame:
+    """Each message against the one before it (every other one negated throughout): likeness without "not", and whether one negates."""
     words = lambda c: F.split(F.replace(F.col(c), F.lit("not "), F.lit("")), " ")
     has = lambda c: F.contains(c, F.lit("not "))
-    return _values(v, _CLAIMS, "a string, b string").select("a", "b", F.round(t.jaccard(words("a"), words("b")), 6).alias("similarity"), (has("a") != has("b")).alias("opposed"))
+    before = v.turns.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("before"))
+    pairs = v.turns.join(before, ["conv_id", "turn"]).select("conv_id", "turn", F.col("text").alias("a"), F.when(F.col("turn") % 2 == 0, F.replace("before", F.lit(" "), F.lit(" not "))).otherwise(F.col("before")).alias("b"))
+    return pairs.select("conv_id", "turn", F.round(t.jaccard(words("a"), words("b")), 6).alias("similarity"), (has("a") != has("b")).alias("opposed"))
 
 
-_REPLIES = [('```json\n{"entities": 3}\n```',), ('{"entities": 5}',), ("no json",)]
-
-
-@query("str_23_reply_fences", r"select reply, coalesce(try_cast(json_extract_string(nullif(regexp_extract(reply, '(\{[^}]*\})', 1), ''), '$.entities') as bigint), 0) as entities from (values " + _sql_values(_REPLIES) + ") s(reply)")
+@query("str_23_reply_fences", r"""
+select event_id, coalesce(try_cast(json_extract_string(nullif(regexp_extract(reply, '(\{[^}]*\})', 1), ''), '$.k') as bigint), 0) as k
+from (select event_id, case event_id % 3 when 0 then '```json' || chr(10) || props || chr(10) || '```' when 1 then 'Here: ' || props else replace(props, '{', '') end as reply from events) t""")
 def fences(v: Views) -> DataFrame:
+    """The value in a model's reply: JSON in a fence, JSON after words, or none."""
+    e = F.col("event_id") % 3
+    reply = F.when(e == 0, F.concat(F.lit("```json\n"), "props", F.lit("\n```"))).when(e == 1, F.concat(F.lit("Here: "), "props")).otherwise(F.replace("props", F.lit("{"), F.lit("")))
     body = F.regexp_extract("reply", r"(\{[^}]*\})", 1)
-    return _values(v, _REPLIES, "reply string").select("reply", F.coalesce(F.from_json(body, "entities long").getField("entities"), F.lit(0)).alias("entities"))
+    return v.table("events").select("event_id", reply.alias("reply")).select("event_id", F.coalesce(F.from_json(body, "k long").getField("k"), F.lit(0)).alias("k"))
+
 
+#: File name marks and their categories, in the order they are tried.
+_CATEGORIES = (("blog.", "blog"), ("/en/", "english"), ("/de/", "german"), ("/fr/", "french"), ("forum", "forum"), ("docs", "documentation"), (".html", "file"))
 
-@query("str_24_taxonomy", "select page_id, case when contains(url, 'blog.') then 'blog' when contains(url, '/en/') then 'english' when contains(url, '.html') then 'file' else 'other' end as category from pages")
+
+@query("str_24_taxonomy", "select page_id, case " + " ".join(f"when contains(lower(url), '{m}') then '{c}'" for m, c in _CATEGORIES) + " else 'other' end as category from pages")
 def taxonomy(v: Views) -> DataFrame:
-    u = F.col("url")
-    return v.table("pages").select("page_id", F.when(F.contains(u, F.lit("blog.")), "blog").when(F.contains(u, F.lit("/en/")), "english").when(F.contains(u, F.lit(".html")), "file").otherwise("other").alias("category"))
+    """Eight categories, the first that matches."""
+    low, out = F.lower("url"), F
+    for mark, category in _CATEGORIES:
+        out = out.when(F.contains(low, F.lit(mark)), category)
+    return v.table("pages").select("page_id", out.otherwise("other").alias("category"))
 
 
 @query("str_25_name_variations", "select n_nationkey, case n_name when 'NATION_1' then 'First' when 'NATION_2' then 'Second' else n_name end as name from nation")
@@ -255,13 +301,14 @@ def zulu(v: Views) -> DataFrame:
     return v.table("events").select("event_id", F.regexp_replace(text, r"\+00:00$", "Z").alias("stamp"))
 
 
-_DATES = [("Mon, 02 Jan 2023 10:00:00 +0000", "2023-01-02 10:00:00"), ("2023-05-06T07:08:09+00:00", "2023-05-06 07:08:09"), ("2023-05-06", "2023-05-06 00:00:00"), ("soon", None)]
-
-
-@query("dat_03_feed_dates", f"select text, wanted as parsed from (values {_sql_values(_DATES)}) s(text, wanted)")
+@query("dat_03_feed_dates", "select event_id, case event_id % 4 when 2 then strftime(ts, '%Y-%m-%d 00:00:00') when 3 then null else strftime(ts, '%Y-%m-%d %H:%M:%S') end as parsed from events")
 def feed_dates(v: Views) -> DataFrame:
-    d = _values(v, _DATES, "text string, wanted string")
-    return d.select("text", F.date_format(doc.parse_date(F.col("text")), "yyyy-MM-dd HH:mm:ss").alias("parsed"))
+    """Dates as feeds write them (mail style, ISO with an offset of one hour, days, words), read back in UTC."""
+    e = F.col("event_id") % 4
+    ts = F.date_trunc("second", F.col("ts").cast("timestamp_ntz"))
+    hour_on = F.date_format(ts + F.expr("interval 1 hour"), "yyyy-MM-dd'T'HH:mm:ss")
+    written = F.when(e == 0, F.concat(F.date_format(ts, "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" +0000"))).when(e == 1, F.concat(hour_on, F.lit("+01:00"))).when(e == 2, F.date_format(ts, "yyyy-MM-dd")).otherwise("soon")
+    return v.table("events").select("event_id", written.alias("text")).select("event_id", F.date_format(doc.parse_date(F.col("text")), "yyyy-MM-dd HH:mm:ss").alias("parsed"))
 
 
 @query("mth_01_cosine", "select a.vec_id, round(list_cosine_similarity(a.embedding::double[], b.embedding::double[]), 6) as similarity from embeddings a join embeddings b on b.vec_id = a.vec_id + 1")
@@ -275,10 +322,27 @@ def tag_arrays(v: Views) -> DataFrame:
     return v.turns.groupBy("conv_id").agg(F.array_join(F.slice(F.array_sort(F.collect_set("role")), 1, 100), ",").alias("tags"))
 
 
-@query("jsn_02_typed_properties", "select event_id, case event_type when 'view' then 'number' when 'click' then 'text' else 'other' end as kind, case event_type when 'view' then json_extract_string(props, '$.k') when 'click' then 'k=' || json_extract_string(props, '$.k') else '' end as flat from events")
+@query("jsn_02_typed_properties", """
+select event_id, kind, case kind when 'title' then 't' || k when 'rich_text' then 'r' || k when 'number' then cast(k as varchar) when 'select' then 's' || k when 'multi_select' then 'm' || k || ', n' || k
+ when 'status' then 'st' || k when 'date' then '2024-01-' || lpad(cast(1 + k % 28 as varchar), 2, '0') when 'people' then 'p' || k || ', q' when 'checkbox' then case when k % 2 = 0 then 'true' else 'false' end
+ when 'url' then 'https://x.example/' || k when 'relation' then 'a' || k || ', rel' || k end as flat
+from (select event_id, cast(json_extract_string(props, '$.k') as bigint) as k, ['title', 'rich_text', 'number', 'select', 'multi_select', 'status', 'date', 'people', 'checkbox', 'url', 'email', 'phone_number', 'relation', 'formula'][event_id % 14 + 1] as kind from events) t""")
 def properties(v: Views) -> DataFrame:
-    k, e = F.get_json_object("props", "$.k"), F.col("event_type")
-    return v.table("events").select("event_id", F.when(e == "view", "number").when(e == "click", "text").otherwise("other").alias("kind"), F.when(e == "view", k).when(e == "click", F.concat(F.lit("k="), k)).otherwise("").alias("flat"))
+    """Typed properties as note pages carry them, one kind an event, flattened; mail addresses and telephone numbers are left out."""
+    k = F.get_json_object("props", "$.k").cast("long")
+    kinds = F.array(*map(F.lit, "title rich_text number select multi_select status date people checkbox url email phone_number relation formula".split()))
+    named = lambda prefix: F.struct(F.concat(F.lit(prefix), k).alias("name"))
+    plain = lambda prefix: F.array(F.struct(F.concat(F.lit(prefix), k).alias("plain_text")))
+    kind = F.element_at(kinds, (F.col("event_id") % 14 + 1).cast("int"))
+    value = F.to_json(
+        F.struct(
+            kind.alias("type"), plain("t").alias("title"), plain("r").alias("rich_text"), k.alias("number"), named("s").alias("select"), F.array(named("m"), named("n")).alias("multi_select"), named("st").alias("status"),
+            F.struct(F.concat(F.lit("2024-01-"), F.lpad((1 + k % 28).cast("string"), 2, "0")).alias("start")).alias("date"), F.array(F.struct(F.lit("2").alias("id"), F.lit("q").alias("name")), F.struct(F.lit("1").alias("id"), F.concat(F.lit("p"), k).alias("name"))).alias("people"), (k % 2 == 0).alias("checkbox"),
+            F.concat(F.lit("https://x.example/"), k).alias("url"), F.concat(F.lit("e"), k, F.lit("@x.example")).alias("email"), F.concat(F.lit("+"), k).alias("phone_number"),
+            F.array(*[F.struct(F.concat(F.lit(x), k).alias("id")) for x in ("rel", "a", "rel")]).alias("relation"),
+        )
+    )
+    return v.table("events").select("event_id", value.alias("property")).select("event_id", F.get_json_object("property", "$.type").alias("kind"), doc.flatten_property(F.col("property")).alias("flat"))
 
 
 @query("map_01_lookups", "select conv_id, turn, case role when 'user' then 'U' when 'assistant' then 'A' else '?' end as mark from turns", "turns")

@@ -73,10 +73,11 @@ def similar(v: Views) -> DataFrame:
 
 
 @query("grf_01_components", """
-with recursive e as (select distinct l_orderkey as o, l_suppkey as s from lineitem where l_quantity = 50 and l_orderkey % 10 = 0),
- pairs as (select distinct a.o as a, b.o as b from e a join e b on a.s = b.s where a.o <> b.o),
- reach(node, other) as (select a, b from pairs union select reach.node, pairs.b from reach join pairs on reach.other = pairs.a)
-select node, least(node, min(other)) as component from reach group by node""")
+with recursive e as (select distinct l_orderkey as o, 1000000000000 + l_suppkey as s from lineitem), edges as (select o as a, s as b from e union all select s, o from e),
+ reach(node, component) using key (node) as (
+  select a, a from edges group by a
+  union select edges.b, min(reach.component) from reach join edges on reach.node = edges.a join recurring.reach as held on held.node = edges.b where reach.component < held.component group by edges.b)
+select node, component from (select *, count(*) over (partition by component) as n from reach where node < 1000000000000) r where n > 1""")
 def component_labels(v: Views) -> DataFrame:
     """Orders that share a supplier: each is linked with its supplier's first order, so no group is paired."""
     e = v.table("lineitem").select(F.col("l_orderkey").alias("b"), "l_suppkey").distinct()
@@ -90,7 +91,19 @@ def versions(v: Views) -> DataFrame:
     return kg.version_winner(rows)
 
 
-@query("join_10_contradictions", "select 1 as a, 2 as b, 'factual' as kind, 0.9::double as confidence")
+_STOP_SQL = ", ".join(f"'{w}'" for w in "the a an and or but in on at to for of is are was were".split())
+
+
+@query("join_10_contradictions", rf"""
+with parts as (select doc_id, string_split_regex(text, '[.!?\n]+') as p from documents where doc_id is not null and text is not null),
+ sentences as (select doc_id, unnest(generate_series(0, len(p) - 1)) as n, unnest(p) as text from parts),
+ subjects as (select doc_id || '/' || n as id, doc_id, regexp_extract(text, '(?i)^\s*(\S.*?)\s+(?:is|are|was|were)\s+\S', 1) as subject, lower(trim(text)) as low from sentences),
+ s as (select id, doc_id, regexp_replace(lower(subject), '^\s+|\s+$', '', 'g') as subject, contains(low, 'not ') or contains(low, 'n''t ') as negated,
+   list_filter(list_distinct(string_split_regex(replace(replace(low, 'not ', ''), 'n''t ', ' '), '\s+')), lambda w: w <> '') as plain,
+   list_filter(list_distinct(string_split_regex(low, '\s+')), lambda w: w <> '' and w not in ({_STOP_SQL})) as content from subjects where subject <> '')
+select least(x.id, y.id) as a, greatest(x.id, y.id) as b, 'factual' as kind, 0.9::double as confidence from s x join s y on x.negated and not y.negated and x.doc_id <> y.doc_id
+where 5 * least(len(x.plain), len(y.plain)) > 4 * greatest(len(x.plain), len(y.plain)) and len(list_intersect(x.plain, y.plain)) / len(list_distinct(list_concat(x.plain, y.plain))) > 0.8
+ and (contains(x.subject, y.subject) or contains(y.subject, x.subject) or len(list_intersect(x.content, y.content)) >= 3)""")
 def contradictory(v: Views) -> DataFrame:
     """Over every sentence of every document that says what something is; what stands before the verb is its subject."""
     sentence = v.table("documents").where("doc_id is not null").select("doc_id", F.posexplode(F.split("text", r"[.!?\n]+")).alias("n", "text"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import text as t
-from .documents import _sql_values, _values
+from .documents import _REDACTED
 from .registry import query
 from .views import Views
 
@@ -43,12 +43,12 @@ def attachments(v: Views) -> DataFrame:
     return v.table("part").where((F.col("p_size") <= 25) & F.col("p_type").isin("ECONOMY", "SMALL", "STANDARD")).select("p_partkey")
 
 
-_SOURCES = [("a", " http://x ", None, None), ("b", "", "http://y", None), ("c", None, " ", "p"), ("d", None, None, None)]
-
-
-@query("flt_26_source_url", f"select rid, coalesce(nullif(trim(source_url), ''), nullif(trim(url), ''), case when parent is not null then rid end) as found, coalesce(nullif(trim(source_url), ''), nullif(trim(url), ''), parent) is null as skipped from (values {_sql_values(_SOURCES)}) s(rid, source_url, url, parent)")
+@query("flt_26_source_url", """
+select rid, coalesce(nullif(trim(source_url), ''), nullif(trim(url), ''), case when parent is not null then rid end) as found, coalesce(nullif(trim(source_url), ''), nullif(trim(url), ''), parent) is null as skipped
+from (select 'orn:web.page:' || page_id as rid, case page_id % 5 when 0 then ' ' || url when 1 then '' end as source_url, case page_id % 5 when 1 then url when 2 then ' ' end as url, case page_id % 5 when 2 then 'p' end as parent from pages) s""")
 def source_url(v: Views) -> DataFrame:
-    s = _values(v, _SOURCES, "rid string, source_url string, url string, parent string")
+    k = F.col("page_id") % 5
+    s = v.table("pages").select(F.concat(F.lit("orn:web.page:"), "page_id").alias("rid"), F.when(k == 0, F.concat(F.lit(" "), "url")).when(k == 1, "").alias("source_url"), F.when(k == 1, F.col("url")).when(k == 2, " ").alias("url"), F.when(k == 2, "p").alias("parent"))
     clean = lambda c: F.nullif(F.trim(F.col(c)), F.lit(""))
     found = F.coalesce(clean("source_url"), clean("url"), F.when(F.col("parent").isNotNull(), F.col("rid")))
     return s.select("rid", found.alias("found"), found.isNull().alias("skipped"))
@@ -68,9 +68,10 @@ def jaccard(v: Views) -> DataFrame:
     return a.join(b, "doc_id").where("size(entities) + size(other) > 0").select("doc_id", F.round(t.jaccard(F.col("entities"), F.col("other")), 6).alias("similarity"))
 
 
-@query("jsn_01_nested_redaction")
+@query("jsn_01_nested_redaction", r"""
+select doc_id, cast(doc_id as varchar) as id, md5(regexp_replace(text, '[\p{L}\p{N}_.+-]+@[\p{L}\p{N}_.-]+\.[\p{L}\p{N}_]+', '[EMAIL]', 'g')) as block, regexp_replace(source, '[\p{L}\p{N}_.+-]+@[\p{L}\p{N}_.-]+\.[\p{L}\p{N}_]+', '[EMAIL]', 'g') as source from documents""")
 def nested(v: Views) -> DataFrame:
-    """Redacts every string of a JSON value but ids; shapes are unknown, so it runs in Arrow batches."""
+    """Redacts every string of a JSON value but ids; shapes are unknown, so it runs in Arrow batches. Whole texts, nested in lists and objects."""
     import re
 
     def clean(x, key=None):
@@ -84,8 +85,10 @@ def nested(v: Views) -> DataFrame:
     def redact(values: pd.Series) -> pd.Series:
         return values.map(lambda s: None if s is None else json.dumps(clean(json.loads(s)), sort_keys=True))
 
-    doc = F.to_json(F.struct(F.col("doc_id").alias("id"), F.array(F.substring("text", 1, 500)).alias("blocks")))
-    return v.table("documents").select("doc_id", doc.alias("j")).select("doc_id", redact("j").alias("redacted"))
+    whole = F.to_json(F.struct(F.col("doc_id").cast("string").alias("id"), F.array(F.struct("text")).alias("blocks"), F.struct("source").alias("from")))
+    got = v.table("documents").select("doc_id", redact(whole).alias("j"))
+    parsed = F.from_json("j", "id string, blocks array<struct<text: string>>, `from` struct<source: string>")
+    return got.select("doc_id", parsed.alias("p")).select("doc_id", "p.id", F.md5(F.col("p.blocks")[0]["text"]).alias("block"), F.col("p.from.source").alias("source"))
 
 
 @query("jsn_03_wire_to_internal", "select event_id, case when event_type = 'error' then 'FORGET' else 'UPDATE' end as kind, coalesce(json_extract_string(props, '$.hash'), json_extract_string(props, '$.k')) as hash from events")
@@ -120,9 +123,9 @@ def hashes(v: Views) -> DataFrame:
 
     @F.pandas_udf(StructType([StructField("spaced", StringType()), StructField("canonical", StringType())]))
     def both(values: pd.Series) -> pd.DataFrame:
-        parsed = [json.loads(s) for s in values]
-        sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
-        return pd.DataFrame({"spaced": [sha(json.dumps(p, sort_keys=True)) for p in parsed], "canonical": [sha(json.dumps(p, sort_keys=True, separators=(",", ":"), ensure_ascii=False)) for p in parsed]})
+        parsed = [None if s is None else json.loads(s) for s in values]
+        sha = lambda p, **how: None if p is None else hashlib.sha256(json.dumps(p, sort_keys=True, **how).encode()).hexdigest()
+        return pd.DataFrame({"spaced": [sha(p) for p in parsed], "canonical": [sha(p, separators=(",", ":"), ensure_ascii=False) for p in parsed]}, dtype=object)
 
     return v.table("events").select("event_id", both("props").alias("h")).select("event_id", "h.spaced", "h.canonical")
 
@@ -147,14 +150,16 @@ def page_metadata(v: Views) -> DataFrame:
     return v.table("pages").select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"), F.substring(F.regexp_extract("html", '<html lang="([^"]*)"', 1), 1, 2).alias("lang"))
 
 
-_VIDEO = [('<a href="/v/a.mp4">x</a><iframe src="https://www.youtube.com/embed/abc"></iframe>',), ('<video src="/b.webm"></video>',), ("none",)]
+_WITH_VIDEO = "case page_id % 3 when 0 then html || '<a href=\"/v/' || page_id || '.mp4\">x</a><iframe src=\"https://www.youtube.com/embed/' || page_id || '\"></iframe>' when 1 then html || '<video src=\"/b.webm\"></video>' else html end"
 
 
-@query("str_27_video_urls", "select html, array_to_string(list_sort(list_distinct(list_concat(regexp_extract_all(html, 'href=\"([^\"]*[.]mp4)\"', 1), regexp_extract_all(html, '<(?:video|source|iframe)[^>]*src=\"([^\"]*)\"', 1)))), ' ') as urls from (values " + _sql_values(_VIDEO) + ") s(html)")
+@query("str_27_video_urls", f"select page_id, array_to_string(list_sort(list_distinct(list_concat(regexp_extract_all(html, 'href=\"([^\"]*[.]mp4)\"', 1), regexp_extract_all(html, '<(?:video|source|iframe)[^>]*src=\"([^\"]*)\"', 1)))), ' ') as urls from (select page_id, {_WITH_VIDEO} as html from pages) s")
 def videos(v: Views) -> DataFrame:
+    """Video addresses of every whole page; the tables hold none, so two of three pages get some at their end."""
+    end = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit('<a href="/v/'), "page_id", F.lit('.mp4">x</a><iframe src="https://www.youtube.com/embed/'), "page_id", F.lit('"></iframe>'))).when(F.col("page_id") % 3 == 1, '<video src="/b.webm"></video>').otherwise("")
     a = F.regexp_extract_all("html", F.lit('href="([^"]*[.]mp4)"'), F.lit(1))
     b = F.regexp_extract_all("html", F.lit('<(?:video|source|iframe)[^>]*src="([^"]*)"'), F.lit(1))
-    return _values(v, _VIDEO, "html string").select("html", F.array_join(F.array_sort(F.array_union(a, b)), " ").alias("urls"))
+    return v.table("pages").select("page_id", F.concat("html", end).alias("html")).select("page_id", F.array_join(F.array_sort(F.array_union(a, b)), " ").alias("urls"))
 
 
 @query("str_31_mail_html", r"select page_id, md5(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<(script|style)[^>]*>.*?</(script|style)>', '', 'g'), '(?i)<(br|/p|/div|/li|/h1)>', chr(10), 'g'), '<[^>]+>', '', 'g')) as plain from pages")
@@ -171,11 +176,16 @@ def event_text(v: Views) -> DataFrame:
     return v.table("supplier").join(n, "s_nationkey").select("s_suppkey", body.alias("body"))
 
 
-@query("str_33_thirds", "select doc_id, md5(case when length(text) <= 3000 then text else substr(text, 1, 1000) || substr(text, length(text) // 2 - 499, 1000) || right(text, 1000) end) as cut from documents")
+def _thirds_sql(most: int) -> str:
+    part, gap = most // 3, "chr(10) || chr(10)"
+    return f"case when length(text) <= {most} then text else substr(text, 1, {part}) || {gap} || '[...middle...]' || {gap} || substr(text, length(text) // 2 - {part // 2} + 1, {part}) || {gap} || '[...end...]' || {gap} || right(text, {part}) end"
+
+
+@query("str_33_thirds", f"select doc_id, md5({_REDACTED.replace('text', _thirds_sql(60000), 1)}) as cut from (select doc_id, repeat(text, 1 + doc_id % 40) as text from documents) d")
 def thirds(v: Views) -> DataFrame:
-    n = F.length("text")
-    cut = F.concat(F.substring("text", 1, 1000), F.substring(F.col("text"), F.floor(n / 2).cast("int") - 499, F.lit(1000)), F.right("text", F.lit(1000)))
-    return v.table("documents").select("doc_id", F.md5(F.when(n <= 3000, F.col("text")).otherwise(cut)).alias("cut"))
+    """First, middle and last third of texts over 60,000 characters (texts are repeated to reach them), then the secrets' redaction."""
+    whole = v.table("documents").select("doc_id", F.repeat("text", (1 + F.col("doc_id") % 40).cast("int")).alias("text"))
+    return whole.select("doc_id", F.md5(t.redact_secrets(t.thirds(F.col("text"), 60_000))).alias("cut"))
 
 
 @query("str_35_ledger_items", "select batch, line, 'orn:ledger.' || case flag when 'N' then 'batch' when 'R' then 'retirement' else 'cancellation' end || ':' || batch || '-' || line as rid, case flag when 'N' then 1.0::double when 'R' then 0.95::double else 0.5::double end as confidence from batches", "batches")
@@ -185,19 +195,38 @@ def ledger_items(v: Views) -> DataFrame:
     return v.batches.select("batch", "line", F.concat(F.lit("orn:ledger."), kind, F.lit(":"), "batch", F.lit("-"), "line").alias("rid"), F.when(f == "N", 1.0).when(f == "R", 0.95).otherwise(0.5).alias("confidence"))
 
 
-@query("str_37_date_precedence", "select doc_id, case when doc_id % 3 = 0 then 'front-matter' when doc_id % 3 = 1 then 'history' else 'mtime' end as origin, case when doc_id % 3 = 0 then 0.8::double when doc_id % 3 = 1 then 1.0::double else 0.6::double end as confidence from documents where n_chars <= 500000")
+@query("str_37_date_precedence", r"""
+select doc_id, coalesce(nullif(regexp_extract(head, '(?m)^date:[ \t]*([0-9]{4}-[0-9]{2}-[0-9]{2})', 1), ''), committed, modified) as dated,
+ case when regexp_matches(head, '(?m)^date:[ \t]*[0-9]{4}-[0-9]{2}-[0-9]{2}') then 0.8::double when committed is not null then case when host = 'gitlab' then 0.85::double else 1.0::double end else 0.6::double end as confidence,
+ 'orn:file:' || host || '/' || regexp_replace(lower(path), '[^a-z0-9]+', '-', 'g') as rid
+from (select d.doc_id, case when d.doc_id % 3 = 0 then '---' || chr(10) || 'title: x' || chr(10) || 'date: 2023-0' || (1 + d.doc_id % 9) || '-15' || chr(10) || '---' || chr(10) || coalesce(text, '') else coalesce(text, '') end as head,
+  case when d.doc_id % 2 = 0 then 'gitlab' else 'github' end as host, strftime(o_orderdate, '%Y-%m-%d') as committed, '2020-01-01' as modified, source || '/Doc ' || d.doc_id || '.md' as path
+  from documents d left join orders on o_orderkey = d.doc_id where n_chars <= 500000) f""")
 def precedence(v: Views) -> DataFrame:
-    k = F.col("doc_id") % 3
-    front, history = F.when(k == 0, F.struct(F.lit("front-matter").alias("origin"), F.lit(0.8).alias("confidence"))), F.when(k == 1, F.struct(F.lit("history").alias("origin"), F.lit(1.0).alias("confidence")))
-    best = F.coalesce(front, history, F.struct(F.lit("mtime").alias("origin"), F.lit(0.6).alias("confidence")))
-    return v.table("documents").where("n_chars <= 500000").select("doc_id", best.alias("b")).select("doc_id", "b.*")
-
-
-@query("str_38_thread_ids", "select conv_id, turn, substr(sha256(coalesce(case when turn > 0 then 'm' || conv_id || '/0' end, 'm' || conv_id || '/' || turn)), 1, 16) as thread from conversations")
+    """Repository files: the front matter's date (0.8), else the last commit's (1.0, on one host 0.85), else the file's (0.6)."""
+    d, o = v.table("documents").where("n_chars <= 500000"), v.table("orders").select(F.col("o_orderkey").alias("doc_id"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("committed"))
+    body = F.coalesce("text", F.lit(""))
+    head = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("---\ntitle: x\ndate: 2023-0"), 1 + F.col("doc_id") % 9, F.lit("-15\n---\n"), body)).otherwise(body)
+    f = d.join(o, "doc_id", "left").select("doc_id", head.alias("text"), F.when(F.col("doc_id") % 2 == 0, "gitlab").otherwise("github").alias("host"), "committed", F.lit("2020-01-01").alias("modified"), F.concat("source", F.lit("/Doc "), "doc_id", F.lit(".md")).alias("path"))
+    front = F.nullif(F.regexp_extract("text", r"(?m)^date:[ \t]*([0-9]{4}-[0-9]{2}-[0-9]{2})", 1), F.lit(""))
+    found = lambda date, trust: F.when(date.isNotNull(), F.struct(date.alias("dated"), trust.alias("confidence")))
+    best = F.coalesce(found(front, F.lit(0.8)), found(F.col("committed"), F.when(F.col("host") == "gitlab", 0.85).otherwise(1.0)), found(F.col("modified"), F.lit(0.6)))
+    rid = F.concat(F.lit("orn:file:"), "host", F.lit("/"), F.regexp_replace(F.lower("path"), "[^a-z0-9]+", "-"))
+    return f.select("doc_id", best.alias("b"), rid.alias("rid")).select("doc_id", "b.dated", "b.confidence", "rid")
+
+
+@query("str_38_thread_ids", r"""
+select conv_id, turn, substr(sha256(coalesce(nullif(regexp_extract(refs, '(<[^>]+>)', 1), ''), nullif(regexp_extract(reply, '(<[^>]+>)', 1), ''), own)), 1, 16) as thread
+from (select conv_id, turn, '<m' || conv_id || '.' || turn || '@x>' as own, case when turn > 1 and conv_id % 2 = 0 then '<m' || conv_id || '.0@x> <m' || conv_id || '.' || (turn - 1) || '@x>' else '' end as refs,
+  case when turn > 0 then '<m' || conv_id || '.' || (turn - 1) || '@x>' end as reply from conversations) m""")
 def thread_ids(v: Views) -> DataFrame:
-    own = F.concat(F.lit("m"), "conv_id", F.lit("/"), "turn")
-    first = F.when(F.col("turn") > 0, F.concat(F.lit("m"), "conv_id", F.lit("/0")))
-    return v.table("conversations").select("conv_id", "turn", F.substring(F.sha2(F.coalesce(first, own), 256), 1, 16).alias("thread"))
+    """A mail's thread: the first of its References, else In-Reply-To, else its own Message-ID, hashed (headers made from the turns)."""
+    name = lambda turn: F.concat(F.lit("<m"), "conv_id", F.lit("."), turn, F.lit("@x>"))
+    m = v.table("conversations").select(
+        "conv_id", "turn", name(F.col("turn")).alias("own"), F.when((F.col("turn") > 1) & (F.col("conv_id") % 2 == 0), F.concat(name(F.lit(0)), F.lit(" "), name(F.col("turn") - 1))).otherwise("").alias("refs"),
+        F.when(F.col("turn") > 0, name(F.col("turn") - 1)).alias("reply"),
+    )
+    return m.select("conv_id", "turn", t.thread_id(F.col("refs"), F.col("reply"), F.col("own")).alias("thread"))
 
 
 @query("str_39_disposition", "select status, count(*) as n from (select case when superseded then 'already' when length(text) < 100 then 'skipped' when text is null then 'failed' else 'emitted' end as status from memories) t group by 1", "memories")
@@ -228,7 +257,11 @@ def notable(v: Views) -> DataFrame:
 
 @query("agg_53_proposal_summary", "select worker, count(*) as votes, cast(sum(seconds) as bigint) as tally, array_to_string(list_sort(list(id))[1:10], ',') as first_votes from jobs group by 1", "jobs")
 def proposals(v: Views) -> DataFrame:
-    return v.jobs.groupBy("worker").agg(F.count("*").alias("votes"), F.sum("seconds").alias("tally"), F.array_join(F.slice(F.array_sort(F.collect_list("id")), 1, 10), ",").alias("first_votes"))
+    """Totals combine before the shuffle; the ten first come from a row-number limit, which partitions prune to ten a worker first."""
+    totals = v.jobs.groupBy("worker").agg(F.count("*").alias("votes"), F.sum("seconds").alias("tally"))
+    first = v.jobs.select("worker", "id").withColumn("n", F.row_number().over(Window.partitionBy("worker").orderBy("id"))).where("n <= 10")
+    shown = first.groupBy("worker").agg(F.array_join(F.array_sort(F.collect_list("id")), ",").alias("first_votes"))
+    return totals.join(shown, "worker")
 
 
 @query("agg_55_scheduler_status", "select worker, count(*) filter (state = 'completed') as successes, count(*) filter (state = 'failed') as failures, count(*) as runs from (select *, row_number() over (partition by worker order by id desc) as n from jobs) t where n <= 10 group by 1", "jobs")
@@ -261,9 +294,12 @@ def manifest(v: Views) -> DataFrame:
     return v.memories.select("doc_id", F.to_json(F.struct("rid", F.col("n_chars").alias("size_bytes"), "lang")).alias("manifest"))
 
 
-@query("stm_13_adapter_changes", "select rid, case when n = 1 then 'NEW' else 'UPDATE' end as kind from (select rid, count(distinct hash) as n from log group by 1) t", "log")
+@query("stm_13_adapter_changes", "select seq, rid, case when before is null then 'NEW' else 'UPDATE' end as kind from (select seq, rid, hash, lag(hash) over (partition by rid order by seq) as before from log) t where before is null or before <> hash", "log")
 def adapter(v: Views) -> DataFrame:
-    return v.log.groupBy("rid").agg(F.countDistinct("hash").alias("n")).select("rid", F.when(F.col("n") == 1, "NEW").otherwise("UPDATE").alias("kind"))
+    """One change per event: NEW where the id is not cached, UPDATE where its hash differs from the cached one, nothing otherwise."""
+    before = F.lag("hash").over(Window.partitionBy("rid").orderBy("seq"))
+    x = v.log.select("seq", "rid", "hash").withColumn("before", before).where(F.col("before").isNull() | (F.col("before") != F.col("hash")))
+    return x.select("seq", "rid", F.when(F.col("before").isNull(), "NEW").otherwise("UPDATE").alias("kind"))
 
 
 @query("stm_14_retry_attempts", "select worker, max(retry_count) as attempts, arg_max(state, id) as last_state from jobs group by 1", "jobs")
@@ -290,11 +326,15 @@ def publication(v: Views) -> DataFrame:
     return v.table("pages").select("page_id", F.coalesce(F.nullif(found, F.lit("")), F.lit("2024-01-31")).alias("published"), F.when(F.contains("html", F.lit("published_time")), 0.9).otherwise(0.3).alias("confidence"))
 
 
-_RULES = [("FREQ=WEEKLY;INTERVAL=2;BYDAY=MO",), ("FREQ=DAILY",), (None,)]
+_RULE_SQL = "case when o_orderkey % 7 = 0 then null else 'FREQ=' || case o_orderkey % 3 when 0 then 'DAILY' when 1 then 'WEEKLY' else 'MONTHLY' end || case when o_orderkey % 2 = 0 then ';INTERVAL=' || (2 + o_orderkey % 4) else '' end || case when o_orderkey % 3 = 1 then ';BYDAY=MO,FR' else '' end end"
 
 
-@query("dat_05_recurrence_text", f"select rule, concat_ws(' ', 'Repeats ' || lower(regexp_extract(rule, 'FREQ=([A-Z]+)', 1)), 'every ' || nullif(regexp_extract(rule, 'INTERVAL=([0-9]+)', 1), ''), 'on ' || nullif(regexp_extract(rule, 'BYDAY=([A-Z,]+)', 1), '')) as body from (values {_sql_values(_RULES)}) s(rule)")
+@query("dat_05_recurrence_text", f"select o_orderkey, concat_ws(' ', 'Repeats ' || lower(nullif(regexp_extract(rule, 'FREQ=([A-Z]+)', 1), '')), 'every ' || nullif(regexp_extract(rule, 'INTERVAL=([0-9]+)', 1), ''), 'on ' || nullif(regexp_extract(rule, 'BYDAY=([A-Z,]+)', 1), '')) as body from (select o_orderkey, {_RULE_SQL} as rule from orders) s")
 def recurrence(v: Views) -> DataFrame:
+    """Calendar rules in words, one rule an order."""
+    k = F.col("o_orderkey")
+    freq = F.when(k % 3 == 0, "DAILY").when(k % 3 == 1, "WEEKLY").otherwise("MONTHLY")
+    rule = F.when(k % 7 != 0, F.concat(F.lit("FREQ="), freq, F.when(k % 2 == 0, F.concat(F.lit(";INTERVAL="), 2 + k % 4)).otherwise(""), F.when(k % 3 == 1, ";BYDAY=MO,FR").otherwise("")))
     part = lambda p: F.nullif(F.regexp_extract("rule", p, 1), F.lit(""))
     body = F.concat_ws(" ", F.concat(F.lit("Repeats "), F.lower(part("FREQ=([A-Z]+)"))), F.concat(F.lit("every "), part("INTERVAL=([0-9]+)")), F.concat(F.lit("on "), part("BYDAY=([A-Z,]+)")))
-    return _values(v, _RULES, "rule string").select("rule", body.alias("body"))
+    return v.table("orders").select("o_orderkey", rule.alias("rule")).select("o_orderkey", body.alias("body"))
