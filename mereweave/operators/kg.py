@@ -6,21 +6,31 @@ import uuid
 from difflib import SequenceMatcher
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Cuts lineage: ``checkpoint()`` into the cluster's shared folder. Where that is unset (tests) a temporary one is set."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        where = spark.conf.get("spark.checkpoint.dir", None)
+def shared_dir(spark: SparkSession) -> str:
+    """The cluster's shared folder, ``spark.checkpoint.dir``. Only on a local master (tests) a temporary one serves where that is unset."""
+    where = spark.conf.get("spark.checkpoint.dir", None)
+    if where is None:
+        sc = spark.sparkContext
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("spark.checkpoint.dir names no folder that the driver and the executors share")
+        where = getattr(sc, "_mereweave_shared", None)
         if where is None:
             import tempfile
 
-            where = "file://" + tempfile.mkdtemp(prefix="mereweave-")
-        spark.sparkContext.setCheckpointDir(f"{where.rstrip('/')}/{uuid.uuid4().hex}")
+            where = sc._mereweave_shared = "file://" + tempfile.mkdtemp(prefix="mereweave-")
+    return where.rstrip("/")
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Cuts lineage: ``checkpoint()`` into the shared folder."""
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(f"{shared_dir(spark)}/{uuid.uuid4().hex}")
     return df.checkpoint()
 
 

@@ -2,21 +2,25 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.kg import shared_dir
 from ..streaming import events as st
 from .registry import query
 from .views import Views
 
 
+def shared_base(spark: SparkSession) -> str:
+    """A new folder in the cluster's shared one."""
+    return f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+
+
 def _landed(v: Views) -> tuple[DataFrame, str]:
     """The log landed as files in the shared folder, and a checkpoint beside it."""
-    base = v.spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="mereweave-")
-    base = f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    base = shared_base(v.spark)
     v.log.select("seq", F.col("ts").cast("timestamp").alias("ts"), "event_type", "rid", "hash").repartitionByRange(4, "seq").write.parquet(f"{base}/log")
     return st.read_log(v.spark, f"{base}/log", 10), base
 
