@@ -159,3 +159,41 @@ def thread_id(references: Column, reply_to: Column, own: Column) -> Column:
     """The first 16 hex digits of the SHA-256 of a mail's root: first reference, else what it replies to, else itself."""
     first = lambda c: F.nullif(F.regexp_extract(c, r"(<[^>]+>)", 1), F.lit(""))
     return F.substring(F.sha2(F.coalesce(first(references), first(reply_to), own), 256), 1, 16)
+
+
+#: Words of a professional tone, and informal ones by group.
+PROFESSIONAL = tuple("announced confirmed launched released published verified documented recorded achieved completed established implemented".split())
+INFORMAL = (r"\b(lol|omg|wtf|tbh|imo|imho)\b", r"\b(gonna|wanna|gotta|kinda|sorta)\b", r"\b(awesome|amazing|incredible|unbelievable)\b")
+
+
+def calm_capitals(text: Column) -> Column:
+    """Words of more than three capitals in a text of over 30 % capitals (and over ten letters) are written like others."""
+    letters, capitals = F.length(F.regexp_replace(text, r"[^\p{L}]", "")), F.length(F.regexp_replace(text, r"[^\p{Lu}]", ""))
+    words = F.filter(F.split(text, r"[ \t\n\r\f]+"), lambda w: w != "")
+    loud = lambda w: (F.length(w) > 3) & ~w.rlike(r"\p{Ll}") & w.rlike(r"\p{Lu}") & ~F.startswith(w, F.lit("#"))
+    fixed = F.array_join(F.transform(words, lambda w: F.when(loud(w), F.concat(F.substring(w, 1, 1), F.lower(F.substring(w, 2, 1 << 30)))).otherwise(w)), " ")
+    return F.when((letters > 10) & (capitals / letters > 0.3), fixed).otherwise(text)
+
+
+def styled(text: Column) -> Column:
+    """(content, score) by the style rules: capitals, repeated punctuation and speculation are mended, each costing points, as does a
+    low professional tone; no score is below 0."""
+    calm = calm_capitals(text)
+    quiet = F.regexp_replace(F.regexp_replace(F.regexp_replace(calm, "!{3,}", "!"), r"\?{3,}", "?"), r"\.{4,}", "...")
+    low, content, points = F.lower(quiet), quiet, F.lit(0.0)
+    for phrase in ("might be", "could be"):
+        points = points + F.when(F.contains(low, F.lit(phrase)), 0.2).otherwise(0.0)
+    content = F.when(F.contains(low, F.lit("might be")) | F.contains(low, F.lit("could be")), F.regexp_replace(content, r"(?i)\b(might|could)\s+be\b", "is")).otherwise(content)
+    for word in ("possibly", "potentially"):
+        held = F.contains(low, F.lit(word))
+        points = points + F.when(held, 0.2).otherwise(0.0)
+        content = F.when(held, F.trim(F.regexp_replace(F.regexp_replace(content, rf"(?i)\b{word}\b", ""), r"[ \t\n\r\f]+", " "))).otherwise(content)
+    end = F.lower(content)
+    marks, informal = F.lit(0), F.lit(0)
+    for w in PROFESSIONAL:
+        marks = marks + F.when(F.contains(end, F.lit(w)), 1).otherwise(0)
+    for p in INFORMAL:
+        informal = informal + F.when(end.rlike(p), 1).otherwise(0)
+    tone = F.greatest(F.lit(0.0), F.when(marks > 0, F.least(F.lit(1.0), marks * 0.3)).otherwise(0.5) - informal * 0.2)
+    cost = F.when(calm != text, 0.1).otherwise(0.0) + F.when(quiet != calm, 0.1).otherwise(0.0) + points + F.when(F.round(tone, 6) < 0.5, 0.2).otherwise(0.0)
+    return F.struct(content.alias("content"), F.greatest(F.lit(0.0), F.round(1 - cost, 6)).alias("score"))

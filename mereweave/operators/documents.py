@@ -18,7 +18,8 @@ def char_windows(df: DataFrame, id_col: str, text_col: str, size: int, overlap:
     stride = size - overlap
     n = F.length(text_col)
     starts = F.when(n > 0, F.sequence(F.lit(0), n - 1, F.lit(stride)))
-    return df.select(id_col, text_col, F.posexplode(starts).alias("index", "start")).select(id_col, "index", F.substring(F.col(text_col), F.col("start") + 1, F.lit(size)).alias("chunk"))
+    windows = F.transform(starts, lambda s: F.substring(F.col(text_col), s + 1, F.lit(size)))  # windows are cut before rows are made: no row carries the text
+    return df.select(id_col, F.posexplode(windows).alias("index", "chunk"))
 
 
 def token_windows(df: DataFrame, id_col: str, text_col: str, size: int, overlap: int) -> DataFrame:
@@ -28,9 +29,10 @@ def token_windows(df: DataFrame, id_col: str, text_col: str, size: int, overlap:
     tokens = F.filter(F.split(F.trim(F.regexp_replace(text_col, r"\s+", " ")), " "), lambda t: t != "")
     t = df.select(id_col, tokens.alias("tokens")).where(F.size("tokens") > 0)
     last = F.greatest(F.lit(0), F.ceil((F.size("tokens") - size) / stride)).cast("int")
-    w = t.select(id_col, "tokens", (last + 1).alias("total_chunks"), F.explode(F.sequence(F.lit(0), last)).alias("index"))
+    windows = F.transform(F.sequence(F.lit(0), last), lambda i: F.array_join(F.slice("tokens", i * stride + 1, F.lit(size)), " "))
+    w = t.select(id_col, F.size("tokens").alias("n"), (last + 1).alias("total_chunks"), F.posexplode(windows).alias("index", "chunk"))
     start = F.col("index") * stride
-    return w.select(id_col, "index", start.cast("long").alias("start_token"), F.least(start + size, F.size("tokens")).cast("long").alias("end_token"), F.col("total_chunks").cast("long").alias("total_chunks"), F.array_join(F.slice("tokens", start + 1, F.lit(size)), " ").alias("chunk"))
+    return w.select(id_col, "index", start.cast("long").alias("start_token"), F.least(start + size, F.col("n")).cast("long").alias("end_token"), F.col("total_chunks").cast("long").alias("total_chunks"), "chunk")
 
 
 _SENTENCE_END = re.compile(r"[.!?][\"')\]]*$")

@@ -45,7 +45,7 @@ def deliveries(log: DataFrame, edges: DataFrame, limit: int, delivered: DataFram
     """
     some = edges.where("kind is not null")
     every = edges.where("kind is null").select("node")
-    wanted = log.join(F.broadcast(some), "kind").select("node", seq, "rid").union(log.crossJoin(F.broadcast(every)).select("node", seq, "rid"))
+    wanted = log.join(some, "kind").select("node", seq, "rid").union(log.crossJoin(F.broadcast(every)).select("node", seq, "rid"))
     if delivered is not None:
         wanted = wanted.join(delivered, ["node", seq], "left_anti")
     first = Window.partitionBy("node").orderBy(seq)

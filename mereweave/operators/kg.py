@@ -40,6 +40,47 @@ def merge_entities(rows: DataFrame, key: list[str], doc: str, confidence: str, r
     return rows.groupBy(*key).agg(F.count("*").alias("occurrences"), F.countDistinct(doc).alias("documents"), F.max(confidence).alias("confidence"), best.alias("base_seq"), F.min(seq).alias("first_seq"), F.max(seq).alias("last_seq"))
 
 
+#: Entity kinds of the ontology in the order they are sought, with their patterns and what a value must be (null: anything).
+ENTITY_RULES = (
+    ("CreditClass", r"(?i)\bC[0-9]{2,3}\b", r"^C[0-9]{2,3}$"),
+    ("Project", r"(?i)\bP[0-9]{3,4}\b", r"^P[0-9]{3,4}$"),
+    ("Methodology", r"(?i)\bVM[0-9]{4}\b", r"^VM[0-9]{4}$"),
+    ("Organization", r"[A-Z][a-zA-Z]+(?: [A-Z][a-zA-Z]+)*(?: (?:Inc|LLC|Foundation|Network|DAO|Labs|PBC))", None),
+    ("Person", r"(?:[A-Z][a-z]+ ){1,3}[A-Z][a-z]+", None),
+    ("Proposal", r"(?i)(?:proposal|prop)[ \t\n\r#]+[0-9]+", None),
+)
+#: Relations that the ontology allows: subject, predicate, object, cardinality.
+RELATIONS = (
+    ("Person", "founded", "Organization", "many-to-many"),
+    ("Organization", "employs", "Person", "one-to-many"),
+    ("Project", "generates", "CreditClass", "many-to-one"),
+    ("Project", "implements", "Methodology", "many-to-one"),
+    ("Person", "proposed", "Proposal", "many-to-many"),
+    ("Document", "references", "CreditClass", "many-to-many"),
+)
+
+
+def pattern_entities(docs: DataFrame, id_col: str, text_col: str, kinds: tuple[str, ...] | None = None, window: int = 100) -> DataFrame:
+    """(id, kind, key, value, hits, confidence, context): entities by ``ENTITY_RULES``, one a kind and upper-case value of a document.
+
+    All rules run in one scan; hits combine before the shuffle. ``value`` is the first hit's; ``context`` is the text around the first
+    place where it stands. A null text gives none.
+    """
+    text = F.col(text_col)
+
+    def hits(kind: str, pattern: str, valid: str | None) -> Column:
+        values = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda x: F.trim(x))
+        good = F.filter(values, lambda x: (x != "") & (x.rlike(valid) if valid else F.lit(True)))
+        return F.transform(good, lambda x, i: F.struct(F.lit(kind).alias("kind"), x.alias("value"), i.alias("place")))
+
+    found = [hits(*rule) for rule in ENTITY_RULES if kinds is None or rule[0] in kinds]
+    each = docs.select(F.col(id_col), text.alias("_text"), F.explode(F.concat(*found)).alias("e"))
+    at = F.instr(F.col("_text"), F.col("e.value"))
+    around = F.substring(F.col("_text"), F.greatest(F.lit(1), at - window), F.length("e.value") + window + F.least(F.lit(window), at - 1))
+    each = each.select(id_col, "e.*", F.upper("e.value").alias("key"), F.trim(F.regexp_replace(around, r"\s+", " ")).alias("context"))
+    return each.groupBy(id_col, "kind", "key").agg(F.min_by("value", "place").alias("value"), F.count("*").alias("hits"), F.lit(0.95).alias("confidence"), F.min_by("context", "place").alias("context"))
+
+
 def ratio_upper_bound(a: Column, b: Column) -> Column:
     """No matching of two strings can score above this: twice the shorter length over the sum."""
     return F.try_divide(2.0 * F.least(F.length(a), F.length(b)), F.length(a) + F.length(b))
@@ -85,6 +126,25 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
     raise RuntimeError("components did not settle")
 
 
+def walk(roots: DataFrame, edges: DataFrame, most: int, strict: bool = False) -> DataFrame:
+    """(root, child, level): everything reached from ``roots`` (root, child; level 0) over ``edges`` (parent, child), level by level.
+
+    Each level is one join of the last one's rows, cut by a checkpoint, so neither a row limit nor the plan's length bounds it. After
+    ``most`` levels it stops, or raises where rows are left and ``strict``.
+    """
+    step = edges.select(F.col("parent").alias("_from"), F.col("child").alias("_to"))
+    level = durable(roots.select("root", "child", F.lit(0).alias("level")))
+    seen = level
+    for k in range(1, most + 1):
+        level = durable(level.join(step, F.col("child") == F.col("_from")).select("root", F.col("_to").alias("child"), F.lit(k).alias("level")))
+        if level.isEmpty():
+            return seen
+        seen = seen.union(level)
+    if strict and not level.join(step, F.col("child") == F.col("_from"), "left_semi").isEmpty():
+        raise RuntimeError(f"more than {most} levels, or a cycle")
+    return seen
+
+
 #: Words that do not count when texts are compared for a shared subject.
 _STOPWORDS = tuple("the a an and or but in on at to for of is are was were".split())
 

@@ -17,7 +17,7 @@ def running_total(df: DataFrame, value: Column, name: str, *order: Column | str)
     totals = parts.groupBy("_part").agg(F.sum(name).alias("_total"))
     before = totals.select("_part", (F.sum("_total").over(Window.orderBy("_part")) - F.col("_total")).alias("_before"))
     inside = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return parts.join(F.broadcast(before), "_part").withColumn(name, F.sum(name).over(inside) + F.col("_before")).drop("_part", "_before")
+    return parts.join(before, "_part").withColumn(name, F.sum(name).over(inside) + F.col("_before")).drop("_part", "_before")
 
 
 def rank(df: DataFrame, name: str, *order: Column | str) -> DataFrame:

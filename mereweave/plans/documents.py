@@ -54,11 +54,11 @@ def skip_rules(v: Views) -> DataFrame:
 
 @query("flt_16_first_route", "select doc_id, case when contains(source || ' ' || lang, 'src1') then 'alpha' when contains(source || ' ' || lang, 'fr') then 'beta' when contains(source || ' ' || lang, 'src') then 'gamma' end as route from documents")
 def route(v: Views) -> DataFrame:
-    """First matching route wins: the smallest position among the broadcast routes that match."""
-    routes = _values(v, [(0, "src1", "alpha"), (1, "fr", "beta"), (2, "src", "gamma")], "position int, pattern string, route string")
-    d = v.table("documents").select("doc_id", F.concat_ws(" ", "source", "lang").alias("subject"))
-    hit = d.join(F.broadcast(routes), F.contains("subject", "pattern"), "left")
-    return hit.groupBy("doc_id").agg(F.min_by("route", "position").alias("route"))
+    """First matching route wins: the ordered routes are one expression, so no row moves."""
+    subject, found = F.concat_ws(" ", "source", "lang"), F
+    for pattern, name in (("src1", "alpha"), ("fr", "beta"), ("src", "gamma")):
+        found = found.when(F.contains(subject, F.lit(pattern)), name)
+    return v.table("documents").select("doc_id", found.alias("route"))
 
 
 @query("flt_17_quality_filter", "select doc_id, e as entity from extractions, unnest(entities) as u(e) where length(e) between 4 and 12 and regexp_matches(e, '^[A-Z][a-z]+$') and lower(e) not in ('the', 'that', 'this', 'with')", "extractions")
@@ -70,7 +70,7 @@ def quality(v: Views) -> DataFrame:
 @query("flt_19_deny_list", "select distinct e as entity from extractions, unnest(entities) as u(e) where length(e) >= 2 and e not in (select n_name from nation) and e not in ('Th', 'An')", "extractions")
 def deny(v: Views) -> DataFrame:
     denied = v.table("nation").select(F.col("n_name").alias("entity")).union(_values(v, [("Th",), ("An",)], "entity string"))
-    return v.extractions.select(F.explode("entities").alias("entity")).where(F.length("entity") >= 2).distinct().join(F.broadcast(denied), "entity", "left_anti")
+    return v.extractions.select(F.explode("entities").alias("entity")).where(F.length("entity") >= 2).distinct().join(denied, "entity", "left_anti")
 
 
 @query("flt_20_person_name", "select s_suppkey, regexp_matches(s_name, '^[A-Z][a-z]+ [A-Z][a-z]+$') as valid from supplier")
@@ -241,10 +241,27 @@ def labels(v: Views) -> DataFrame:
     return v.table("part").select("p_partkey", F.trim(F.lower(n)).alias("label"), F.concat(F.lit("urn:"), F.replace(n, F.lit(" "), F.lit("_"))).alias("uri"), F.replace(n, F.lit('"'), F.lit('\\"')).alias("literal"))
 
 
-@query("str_19_style_rules", r"select doc_id, round(length(regexp_replace(text, '[^A-Z]', '', 'g')) / length(text), 4) > 0.3 as shouting, regexp_replace(text, '([!?])[!?]+', '\1', 'g') = text as calm from documents where length(text) > 0")
+_STYLE_SQL = r"""
+with d as (select doc_id, case doc_id % 5 when 0 then translate(substr(text, 1, 300), 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') when 1 then text || ' !!! It might be so????' when 2 then text || ' possibly announced, lol' when 3 then text || ' confirmed and verified....' else text end as text from documents),
+ c as (select doc_id, text, case when length(regexp_replace(text, '[^\p{L}]', '', 'g')) > 10 and length(regexp_replace(text, '[^\p{Lu}]', '', 'g')) / length(regexp_replace(text, '[^\p{L}]', '', 'g')) > 0.3
+   then array_to_string(list_transform(list_filter(string_split_regex(text, '[ \t\n\r\f]+'), lambda w: w <> ''), lambda w: case when length(w) > 3 and not regexp_matches(w, '\p{Ll}') and regexp_matches(w, '\p{Lu}') and not starts_with(w, '#') then substr(w, 1, 1) || lower(substr(w, 2)) else w end), ' ') else text end as calm from d),
+ q as (select doc_id, text, calm, regexp_replace(regexp_replace(regexp_replace(calm, '!{3,}', '!', 'g'), '\?{3,}', '?', 'g'), '\.{4,}', '...', 'g') as quiet from c),
+ r as (select *, case when contains(lower(quiet), 'might be') or contains(lower(quiet), 'could be') then regexp_replace(quiet, '(?i)\b(might|could)\s+be\b', 'is', 'g') else quiet end as one from q),
+ t as (select *, case when contains(lower(quiet), 'possibly') then trim(regexp_replace(regexp_replace(one, '(?i)\bpossibly\b', '', 'g'), '[ \t\n\r\f]+', ' ', 'g')) else one end as two from r),
+ u as (select *, case when contains(lower(quiet), 'potentially') then trim(regexp_replace(regexp_replace(two, '(?i)\bpotentially\b', '', 'g'), '[ \t\n\r\f]+', ' ', 'g')) else two end as content from t),
+ m as (select *, len(list_filter(['announced', 'confirmed', 'launched', 'released', 'published', 'verified', 'documented', 'recorded', 'achieved', 'completed', 'established', 'implemented'], lambda w: contains(lower(content), w))) as marks,
+   len(list_filter(['\b(lol|omg|wtf|tbh|imo|imho)\b', '\b(gonna|wanna|gotta|kinda|sorta)\b', '\b(awesome|amazing|incredible|unbelievable)\b'], lambda p: regexp_matches(lower(content), p))) as informal from u)
+select doc_id, md5(content) as content, greatest(0.0::double, round(1 - (case when calm <> text then 0.1 else 0 end + case when quiet <> calm then 0.1 else 0 end + 0.2 * len(list_filter(['might be', 'could be', 'possibly', 'potentially'], lambda p: contains(lower(quiet), p)))
+  + case when round(greatest(0, case when marks > 0 then least(1.0, marks * 0.3) else 0.5 end - informal * 0.2), 6) < 0.5 then 0.2 else 0 end)::double, 6)) as score from m where length(text) > 0"""
+
+
+@query("str_19_style_rules", _STYLE_SQL)
 def style(v: Views) -> DataFrame:
-    caps = F.length(F.regexp_replace("text", "[^A-Z]", "")) / F.length("text")
-    return v.table("documents").where(F.length("text") > 0).select("doc_id", (F.round(caps, 4) > 0.3).alias("shouting"), (F.regexp_replace("text", "([!?])[!?]+", "$1") == F.col("text")).alias("calm"))
+    """All style rules with their points over whole texts, some of them made to break each rule."""
+    k, x = F.col("doc_id") % 5, F.col("text")
+    made = F.when(k == 0, F.translate(F.substring(x, 1, 300), "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")).when(k == 1, F.concat(x, F.lit(" !!! It might be so????"))).when(k == 2, F.concat(x, F.lit(" possibly announced, lol"))).when(k == 3, F.concat(x, F.lit(" confirmed and verified...."))).otherwise(x)
+    d = v.table("documents").select("doc_id", made.alias("text")).where(F.length("text") > 0)
+    return d.select("doc_id", t.styled(F.col("text")).alias("s")).select("doc_id", F.md5("s.content").alias("content"), "s.score")
 
 
 @query("str_20_post_compose", r"select doc_id, case when length(text) <= 280 then text else regexp_replace(substr(text, 1, 277), '\s+\S*\z', '') || '...' end as post from documents")

@@ -221,7 +221,7 @@ def bundles(v: Views) -> DataFrame:
 def poll(v: Views) -> DataFrame:
     approved = v.table("nation").select(F.col("n_nationkey").cast("long").alias("user_id"))
     i = F.row_number().over(Window.partitionBy("user_id").orderBy("seq"))
-    return v.log.join(F.broadcast(approved), "user_id", "left_semi").withColumn("i", i).where("i <= 20").groupBy("user_id").agg(F.min("seq").alias("first_seq"), F.count("*").alias("n"))
+    return v.log.join(approved, "user_id", "left_semi").withColumn("i", i).where("i <= 20").groupBy("user_id").agg(F.min("seq").alias("first_seq"), F.count("*").alias("n"))
 
 
 @query("stm_10_failure_windows", "select strftime(date_trunc('hour', ts), '%Y-%m-%d %H') as hour, count(*) as failures, count(*) > 4 as alert from log where event_type = 'FORGET' group by 1", "log")

@@ -115,13 +115,10 @@ def contradictory(v: Views) -> DataFrame:
 with recursive walk(start_rid, rid, input_rid, level) as (select output_rid, output_rid, input_rid, 1 from receipts where turn >= 3 union all select w.start_rid, r.output_rid, r.input_rid, w.level + 1 from walk w join receipts r on w.input_rid = r.output_rid where w.level < 10)
 select start_rid, max(level) as levels, count(*) as steps from walk group by 1""", "receipts")
 def lineage(v: Views) -> DataFrame:
-    """Receipts walked backwards, ten levels at most, as one recursive query."""
-    v.receipts.select("output_rid", "input_rid", "turn").createOrReplaceTempView("mereweave_receipts")
-    return v.spark.sql("""
-        with recursive walk(start_rid, input_rid, level) as (
-            select output_rid, input_rid, 1 from mereweave_receipts where turn >= 3
-            union all select w.start_rid, r.input_rid, w.level + 1 from walk w join mereweave_receipts r on w.input_rid = r.output_rid where w.level < 10)
-        select start_rid, max(level) as levels, count(*) as steps from walk group by start_rid""")
+    """Receipts walked backwards, ten levels at most."""
+    edges = v.receipts.select(F.col("output_rid").alias("parent"), F.col("input_rid").alias("child"), "turn")
+    steps = kg.walk(edges.where("turn >= 3").select(F.col("parent").alias("root"), "child"), edges.select("parent", "child"), 9)
+    return steps.groupBy(F.col("root").alias("start_rid")).agg((F.max("level") + 1).alias("levels"), F.count("*").alias("steps"))
 
 
 @query("grf_02_triples", """
@@ -133,7 +130,7 @@ union all select '<http://example.org/' || regexp_replace(subject, '[^A-Za-z0-9]
 def rdf(v: Views) -> DataFrame:
     nation, region = v.table("nation"), v.table("region")
     e = nation.select(F.col("n_name").alias("name"), F.lit("Nation").alias("kind")).union(region.select("r_name", F.lit("Region"))).distinct()
-    s = nation.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_name").alias("subject"), F.lit("partOf").alias("predicate"), F.col("r_name").alias("object"))
+    s = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_name").alias("subject"), F.lit("partOf").alias("predicate"), F.col("r_name").alias("object"))
     labels = e.select(F.col("name").alias("label"), F.concat(F.lit("<http://example.org/"), F.regexp_replace("name", "[^A-Za-z0-9]+", "_"), F.lit(">")).alias("uri"))
     return kg.triples(e, s, labels, "http://example.org/")
 
@@ -142,9 +139,8 @@ def rdf(v: Views) -> DataFrame:
 with recursive t(turn, conv_id, level) as (select turn, conv_id, 0 from conversations where turn = 0 union all select c.turn, c.conv_id, t.level + 1 from t join conversations c on c.conv_id = t.conv_id and c.turn = t.turn + 1 where t.level < 50 and c.role <> 'system')
 select conv_id, max(level) as depth from t group by 1""")
 def tree(v: Views) -> DataFrame:
-    v.table("conversations").select("conv_id", "turn", "role").createOrReplaceTempView("mereweave_turns")
-    return v.spark.sql("""
-        with recursive t(turn, conv_id, level) as (
-            select turn, conv_id, 0 from mereweave_turns where turn = 0
-            union all select c.turn, c.conv_id, t.level + 1 from t join mereweave_turns c on c.conv_id = t.conv_id and c.turn = t.turn + 1 where t.level < 50 and c.role <> 'system')
-        select conv_id, max(level) as depth from t group by conv_id""")
+    """Depth of each conversation from its first turn, a level a step; more than 50 levels are an error and not cut off."""
+    c = v.table("conversations").select("conv_id", "turn", "role")
+    edges = c.where("role <> 'system'").select(F.struct("conv_id", (F.col("turn") - 1).alias("turn")).alias("parent"), F.struct("conv_id", "turn").alias("child"))
+    steps = kg.walk(c.where("turn = 0").select(F.col("conv_id").alias("root"), F.struct("conv_id", "turn").alias("child")), edges, 50, strict=True)
+    return steps.groupBy(F.col("root").alias("conv_id")).agg(F.max("level").alias("depth"))

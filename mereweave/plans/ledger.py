@@ -189,7 +189,7 @@ def union_distinct(v: Views) -> DataFrame:
 @query("grf_03_relationship_validity", "select n_nationkey, n_regionkey in (0, 2, 4) as allowed from nation where n_regionkey in (select r_regionkey from region)")
 def validity(v: Views) -> DataFrame:
     allowed = v.table("region").select("r_regionkey").withColumn("allowed", F.col("r_regionkey").isin(0, 2, 4))
-    return v.table("nation").join(F.broadcast(allowed), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "allowed")
+    return v.table("nation").join(allowed, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "allowed")
 
 
 @query("grf_04_entity_validation", "select doc_id, array_to_string(e, ',') as errors, len(e) = 0 as valid from (select doc_id, list_filter([case when n_chars < 100 then 'short' end, case when lang is null then 'language' end, case when source like 'src1%' then 'source' end], lambda x: x is not null) as e from documents) t")

@@ -17,8 +17,7 @@ select {_PREFIX_SQL} as sensor, count(*) as memories, count(extraction_rid) as e
  round(avg(confidence), 4) as avg_confidence, cast(coalesce(sum(tokens), 0) as bigint) as tokens, cast(coalesce(sum(cost), 0) as bigint) as cost, count(distinct lang) as langs, cast(max(n_chars) as bigint) as longest
 from memories left join (select doc_id, extraction_rid, entities, statements, confidence, tokens, cost from extractions) x using (doc_id) group by 1""", "memories", "extractions")
 def metrics_by_sensor(v: Views) -> DataFrame:
-    x = v.extractions.select("doc_id", "extraction_rid", F.size("entities").alias("ne"), F.size("statements").alias("ns"), "confidence", "tokens", "cost")
-    return v.memories.select("doc_id", "source_sensor", "lang", "n_chars").join(x, "doc_id", "left").groupBy(sensor_by_prefix(F.col("source_sensor")).alias("sensor")).agg(
+    return v.labelled.groupBy(sensor_by_prefix(F.col("source_sensor")).alias("sensor")).agg(
         F.count("*").alias("memories"), F.count("extraction_rid").alias("extractions"), F.coalesce(F.sum("ne"), F.lit(0)).alias("entities"), F.coalesce(F.sum("ns"), F.lit(0)).alias("statements"),
         F.round(F.avg("confidence"), 4).alias("avg_confidence"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), F.coalesce(F.sum("cost"), F.lit(0)).alias("cost"), F.countDistinct("lang").alias("langs"), F.max("n_chars").alias("longest"))
 
@@ -126,9 +125,11 @@ def coverage(v: Views) -> DataFrame:
     return v.memories.agg(n.alias("n"), pct(F.count_if(F.length("text") > 500), n).alias("long_pct"), pct(F.count_if(F.col("rid").like("orn:%:%")), n).alias("rid_pct"), pct(F.count_if("superseded"), n).alias("superseded_pct"))
 
 
-@query("agg_21_offenders", "select source_sensor, count(*) as n, string_agg(doc_id, ',' order by doc_id) as offenders from memories where superseded group by 1", "memories")
+@query("agg_21_offenders", "select source_sensor, doc_id, count(*) over (partition by source_sensor) as n from memories where superseded", "memories")
 def offenders(v: Views) -> DataFrame:
-    return v.memories.where("superseded").groupBy("source_sensor").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_list("doc_id")), ",").alias("offenders"))
+    """Every superseded memory with the count of its sensor; the list stays rows, however many a sensor has."""
+    bad = v.memories.where("superseded").select("source_sensor", "doc_id")
+    return bad.join(bad.groupBy("source_sensor").agg(F.count("*").alias("n")), "source_sensor")
 
 
 @query("agg_22_cross_sensor_efficiency", "select case when source_sensor like '%website%' then 'website' when source_sensor like '%discourse%' then 'discourse' when source_sensor like '%github%' then 'github' when source_sensor like '%gitlab%' then 'gitlab' when source_sensor like '%notion%' then 'notion' when source_sensor like '%podcast%' then 'podcast' else 'unknown' end as sensor, count(*) as n, round(avg(len(entities)), 4) as avg_entities, round(sum(len(entities)) * 1000.0 / nullif(sum(cost), 0), 4) as entities_per_1000 from extractions group by 1", "extractions")
@@ -220,8 +221,8 @@ def join_prefix(v: Views) -> DataFrame:
 @query("join_11_dictionary_lookup", "select d.doc_id, coalesce(n1.n_name, n2.n_name) as uri from documents d left join nation n1 on n1.n_name = upper(d.source) left join nation n2 on n2.n_nationkey = d.doc_id % 40")
 def join_dictionary(v: Views) -> DataFrame:
     names = v.table("nation")
-    exact = F.broadcast(names.select(F.col("n_name").alias("exact"), F.col("n_name").alias("by_name")))
-    number = F.broadcast(names.select(F.col("n_nationkey").alias("nk"), F.col("n_name").alias("by_key")))
+    exact = (names.select(F.col("n_name").alias("exact"), F.col("n_name").alias("by_name")))
+    number = (names.select(F.col("n_nationkey").alias("nk"), F.col("n_name").alias("by_key")))
     d = v.table("documents").select("doc_id", F.upper("source").alias("exact"), (F.col("doc_id") % 40).alias("nk"))
     return d.join(exact, "exact", "left").join(number, "nk", "left").select("doc_id", F.coalesce("by_name", "by_key").alias("uri"))
 
@@ -231,7 +232,7 @@ def join_peers(v: Views) -> DataFrame:
     """Peers by an aliased hash: the short prefix is the join key, the residual predicate the rest."""
     peers = v.table("nation").select((F.col("n_nationkey")).cast("long").alias("peer"), F.substring(F.sha2(F.concat(F.lit('{"k": '), "n_nationkey", F.lit("}")), 256), 1, 4).alias("prefix"))
     log = v.log.select("user_id", F.substring("hash", 1, 4).alias("prefix"))
-    return log.join(F.broadcast(peers), "prefix").where("peer = user_id % 40").select("user_id", F.col("peer").cast("int").alias("peer")).distinct()
+    return log.join(peers, "prefix").where("peer = user_id % 40").select("user_id", F.col("peer").cast("int").alias("peer")).distinct()
 
 
 @query("join_13_new_or_changed", "select d.doc_id, case when l.doc_id is null then 'new' else 'changed' end as status from documents d left join labels l using (doc_id) where l.doc_id is null or d.n_chars > 2000")
@@ -257,4 +258,4 @@ def join_batches(v: Views) -> DataFrame:
     part = v.table("part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("class_id"))
     sup = v.table("supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
     nat = v.table("nation").select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("origin"))
-    return v.table("lineitem").select("l_partkey", "l_suppkey", "l_quantity").join(part, "l_partkey").join(sup, "l_suppkey").join(F.broadcast(nat), "s_nationkey").groupBy("class_id", "origin").agg(F.count("*").alias("lines"), F.sum(F.round("l_quantity").cast("long")).alias("supply"))
+    return v.table("lineitem").select("l_partkey", "l_suppkey", "l_quantity").join(part, "l_partkey").join(sup, "l_suppkey").join(nat, "s_nationkey").groupBy("class_id", "origin").agg(F.count("*").alias("lines"), F.sum(F.round("l_quantity").cast("long")).alias("supply"))

@@ -171,7 +171,7 @@ def mail_html(v: Views) -> DataFrame:
 
 @query("str_32_event_text", "select s_suppkey, concat_ws(chr(10), 'Event: ' || s_name, 'Where: ' || nullif(n_name, 'NATION_1'), 'Power: ' || cast(cast(round(s_acctbal) as bigint) as varchar)) as body from supplier join nation on n_nationkey = s_nationkey")
 def event_text(v: Views) -> DataFrame:
-    n = F.broadcast(v.table("nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name"))
+    n = v.table("nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
     body = F.concat_ws("\n", F.concat(F.lit("Event: "), "s_name"), F.concat(F.lit("Where: "), F.nullif("n_name", F.lit("NATION_1"))), F.concat(F.lit("Power: "), F.round("s_acctbal").cast("long")))
     return v.table("supplier").join(n, "s_nationkey").select("s_suppkey", body.alias("body"))
 
@@ -248,13 +248,6 @@ def topics(v: Views) -> DataFrame:
     return g.select("conv_id", "last_turn", F.md5(F.array_join(F.transform("posts", lambda p: p["text"]), "\n")).alias("thread"))
 
 
-@query("agg_50_notable_events", "select 'issuance' as kind, batch as id from batches where amount >= 50 and line = 1 union all select 'proposal', id from jobs where priority = 1 and state = 'running' and seconds < 500", "batches", "jobs")
-def notable(v: Views) -> DataFrame:
-    a = v.batches.where("amount >= 50 and line = 1").select(F.lit("issuance").alias("kind"), F.col("batch").alias("id"))
-    b = v.jobs.where("priority = 1 and state = 'running' and seconds < 500").select(F.lit("proposal").alias("kind"), "id")
-    return a.unionByName(b)
-
-
 @query("agg_53_proposal_summary", "select worker, count(*) as votes, cast(sum(seconds) as bigint) as tally, array_to_string(list_sort(list(id))[1:10], ',') as first_votes from jobs group by 1", "jobs")
 def proposals(v: Views) -> DataFrame:
     """Totals combine before the shuffle; the ten first come from a row-number limit, which partitions prune to ten a worker first."""
@@ -316,7 +309,7 @@ def collection(v: Views) -> DataFrame:
 
 @query("grf_07_edge_ids", "select n_nationkey, 'orn:net.edge:' || sha256(n_name || r_name || 'POLL') as edge from nation join region on r_regionkey = n_regionkey")
 def edge_ids(v: Views) -> DataFrame:
-    n = v.table("nation").join(F.broadcast(v.table("region")), F.col("n_regionkey") == F.col("r_regionkey"))
+    n = v.table("nation").join(v.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
     return n.select("n_nationkey", F.concat(F.lit("orn:net.edge:"), F.sha2(F.concat("n_name", "r_name", F.lit("POLL")), 256)).alias("edge"))
 
 

@@ -83,6 +83,17 @@ class Views:
             entities.alias("entities"), statements.alias("statements"),
         )
 
+    @cached_property
+    def labelled(self) -> DataFrame:
+        """Every memory, with the figures of its extraction where it has one: documents are read once."""
+        labels = self.table("labels").withColumn("labelled", F.lit(True))
+        count = lambda pattern: F.size(F.array_distinct(F.regexp_extract_all("text", F.lit(pattern), F.lit(0))))
+        own = lambda value: F.when(F.col("labelled"), value)
+        return self.memories.join(labels, "doc_id", "left").select(
+            "doc_id", "source_sensor", "lang", "n_chars", own(F.concat("rid", F.lit(":kg:extraction:v1"))).alias("extraction_rid"), own(count("[A-Z][a-z]+")).alias("ne"), own(count("[a-z]+ing")).alias("ns"),
+            own(50 + 40 * F.coalesce("quality", F.lit(0)) - 20 * F.coalesce("toxic", F.lit(0))).alias("confidence"), own(F.col("n_chars")).alias("tokens"), own(F.col("n_chars") * 3 + 100).alias("cost"),
+        )
+
     @cached_property
     def receipts(self) -> DataFrame:
         name = lambda turn: F.concat(F.lit("m:"), "conv_id", F.lit("/"), turn)

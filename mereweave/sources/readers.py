@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import email
 import email.policy
+import hashlib
 import re
 from collections.abc import Iterator
 from email.utils import getaddresses, parsedate_to_datetime
@@ -35,12 +36,20 @@ def _message(path: str, raw: bytes) -> tuple:
     except ValueError:
         sent = None
     refs = (str(m.get("References", "")) or str(m.get("In-Reply-To", ""))).split()
-    text = body.get_content() if body is not None else ""
+    text = _content(body) if body is not None else ""
     return path, m.get("Message-ID"), refs[0] if refs else m.get("Message-ID"), sender[0][1], sender[0][0], [a for _, a in getaddresses([str(x) for x in m.get_all("To", [])])], m.get("Subject"), sent, text, sum(1 for _ in m.iter_attachments())
 
 
+def _content(part: email.message.EmailMessage) -> str:
+    """A text part; one in a character set that nobody knows is read as UTF-8 with replacements."""
+    try:
+        return part.get_content()
+    except (LookupError, UnicodeError):
+        return (part.get_payload(decode=True) or b"").decode("utf-8", "replace")
+
+
 def read_maildir(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """One row per message file; a message that cannot be parsed is left out of the batch's rows with a null id."""
+    """One row per message file, whatever is in it: what cannot be read of a message is null, its text has replacements."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
@@ -49,6 +58,41 @@ def read_maildir(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     return _files(spark, path, glob).mapInPandas(run, _MAIL)
 
 
+_ATTACHMENT = "path string, message_id string, place int, name string, content_type string, size long, sha256 string"
+
+
+def read_attachments(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    """One row per attachment of each message file: its name, type, size and digest, not its bytes."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            rows = []
+            for p, raw in zip(f["path"], f["content"], strict=True):
+                m = email.message_from_bytes(raw, policy=email.policy.default)
+                for k, part in enumerate(m.iter_attachments()):
+                    data = part.get_payload(decode=True) or b""
+                    rows.append((p, m.get("Message-ID"), k, part.get_filename(), part.get_content_type(), len(data), hashlib.sha256(data).hexdigest()))
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in _ATTACHMENT.split(", ")])
+
+    return _files(spark, path, glob).mapInPandas(run, _ATTACHMENT)
+
+
+def read_documents(spark: SparkSession, path: str, schema: str, exclude: tuple[str, ...] = ()) -> DataFrame:
+    """JSON documents of a folder, one a file, but files whose names hold one of ``exclude``; a file that is no JSON gives nulls."""
+    found = spark.read.schema(schema).option("multiLine", "true").option("pathGlobFilter", "*.json").json(path).withColumn("path", F.input_file_name())
+    for mark in exclude:
+        found = found.where(~F.contains(F.substring_index("path", "/", -1), F.lit(mark)))
+    return found
+
+
+def read_pages(spark: SparkSession, path: str, field: str, item: str) -> DataFrame:
+    """Landed response pages of a ledger or forum (one JSON a file), unfolded to one row per entity of ``field``."""
+    from ..operators.content import unfold_pages
+
+    bodies = spark.read.option("wholetext", "true").text(path).select(F.input_file_name().alias("path"), F.col("value").alias("body"))
+    return unfold_pages(bodies, "body", field, item)
+
+
 def read_mbox(spark: SparkSession, path: str) -> DataFrame:
     """Messages of mbox files, split by Spark on the ``From `` lines, so that a large file is not one task's memory."""
     parts = spark.read.option("lineSep", "\nFrom ").text(path).select(F.input_file_name().alias("path"), F.regexp_replace("value", r"^(From )?[^\n]*\n", "").alias("body"))

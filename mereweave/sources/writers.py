@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def write_entities(df: DataFrame, path: str) -> None:
@@ -21,3 +24,41 @@ def append(df: DataFrame, path: str) -> None:
 def replace_children(df: DataFrame, path: str, key: str) -> None:
     """Delete-then-insert of a key's rows: only the partitions of keys in ``df`` are replaced."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
+
+
+def write_snapshot(df: DataFrame, path: str) -> str:
+    """Replaces a table as a whole: a new version beside the old ones, named in one small file once it is complete.
+
+    A reader never sees half of it, and a writer that dies leaves the last version in place. Returns the version's folder.
+    """
+    spark = df.sparkSession
+    version = f"{path.rstrip('/')}/v={uuid.uuid4().hex}"
+    df.write.parquet(version)
+    fs, current = _fs(spark, path)
+    out = fs.create(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/next.txt"), True)
+    out.write(bytearray(version.encode()))
+    out.close()
+    fs.delete(current, False)
+    fs.rename(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/next.txt"), current)
+    return version
+
+
+def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    """The version that was completed last."""
+    name = spark.read.option("wholetext", "true").text(f"{path.rstrip('/')}/current.txt").first()[0]
+    return spark.read.parquet(name)
+
+
+def _fs(spark: SparkSession, path: str):
+    current = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/current.txt")
+    return current.getFileSystem(spark._jsc.hadoopConfiguration()), current
+
+
+def calendar_rows(events: DataFrame, chunk_size: int = 4000) -> tuple[DataFrame, DataFrame]:
+    """(chunks, flags) of calendar events (uid, sequence, summary, description, status): the texts in pieces under their uid, and
+    one row of flags an event. Both replace the rows of the same uid (``replace_children``)."""
+    body = F.concat_ws("\n", "summary", "description")
+    pieces = F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.length(body) - 1), F.lit(chunk_size)), lambda s: F.substring(body, s + 1, F.lit(chunk_size)))
+    chunks = events.select("uid", "sequence", F.posexplode(pieces).alias("index", "chunk")).where("chunk <> ''")
+    flags = events.select("uid", "sequence", (F.lower("status") == "cancelled").alias("cancelled"), (F.length(body) > chunk_size).alias("split"))
+    return chunks, flags
