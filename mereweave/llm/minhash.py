@@ -8,9 +8,10 @@
    grow with the bucket and not with its square. Every document's edge to its least centre is confirmed on
    full sets first.
 4. Stars that share members form candidate groups. Where a group still holds several components, members of
-   different components are compared in tiles of bounded size: signatures pick, full sets decide, and only links
-   that join two components leave a tile. So a centre that is no partner loses no link between others.
-5. Components of confirmed links.
+   different components are compared in tiles of bounded size: signatures pick the members that may have a partner, full
+   sets of those decide, and only links that join two components leave a tile. So a centre that is no partner loses no
+   link between others.
+5. Components of confirmed links; a class's members take its component by a join.
 
 Nulls and edges: a null text or one without words has an empty set and is linked with nothing; a text
 of fewer words than a shingle is one shingle; a row with a null id is kept, compared with nothing and has a
@@ -19,6 +20,7 @@ null component; rows that repeat an id are one node; an empty table gives no row
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,11 +34,15 @@ from .components import components
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
 
-def bands_for(num: int, den: int, values: int = 144, miss: float = 1e-4) -> tuple[int, int]:
-    """(bands, rows): the longest bands that miss a pair at the threshold with a probability under ``miss``."""
-    for rows in (12, 9, 8, 6, 5, 4, 3, 2):
-        bands = values // rows
-        if (1 - (num / den) ** rows) ** bands < miss:
+def bands_for(num: int, den: int, values: int = 420, miss: float = 1e-4) -> tuple[int, int]:
+    """(bands, rows): the longest bands, of at most ``values`` values in all, that miss a pair at the threshold with a probability under ``miss``.
+
+    Long bands keep unlike texts out of a bucket: at 0.85 (35 bands of 9) texts of similarity 0.4 share one in 1 case of 100.
+    """
+    t = num / den
+    for rows in range(16, 0, -1):
+        bands = max(1, math.ceil(math.log(miss) / math.log1p(-(t**rows)))) if t < 1 else 1
+        if bands * rows <= values:
             return bands, rows
     return values, 1
 
@@ -103,13 +109,15 @@ def signatures(values: np.ndarray, first: np.ndarray, k: int) -> np.ndarray:
 
 
 def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    out = np.empty((len(sig), bands), np.uint64)
-    for b in range(bands):
-        acc = np.full(len(sig), b + 1, np.uint64)
-        for c in range(rows):
-            acc = mix64(acc * _MULT + sig[:, b * rows + c])
-        out[:, b] = acc
-    return out
+    by = sig.reshape(len(sig), bands, rows)
+    acc = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64), (len(sig), bands))
+    for c in range(rows):
+        acc = mix64(acc * _MULT + by[:, :, c])
+    return acc
+
+
+#: Values of a signature that travel as one byte each, to estimate similarities in tiles.
+ESTIMATE = 256
 
 
 def _sketch(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
@@ -117,40 +125,45 @@ def _sketch(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
-        for batch in slices(batches, "text", most=4000):
+        for batch in slices(batches, "text", 2 << 20, 2000):
             values, first = shingle_sets(batch.column(1), size)
             sig = signatures(values, first, k)
             n = np.diff(first)
             acc1, acc2 = (np.concatenate([[0], np.cumsum(mix64(values ^ np.uint64(s)))]).astype(np.uint64) for s in (11, 77))
             k1, k2 = (mix64(a[first[1:]] - a[first[:-1]] + n.astype(np.uint64)) for a in (acc1, acc2))
             keys = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * bands, pa.int32()), pa.array(band_keys(sig, bands, rows).view(np.int64).ravel()))
-            short = (mix64(sig) >> np.uint64(48)).astype("<u2")
+            short = (mix64(sig[:, :ESTIMATE]) >> np.uint64(56)).astype("u1")
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), keys, pa.array([s.tobytes() for s in short], pa.binary())], ["doc_id", "n_shingles", "k1", "k2", "keys", "sig"])
 
     return docs.mapInArrow(run, "doc_id long, n_shingles long, k1 long, k2 long, keys array<long>, sig binary")
 
 
 def _sets(docs: DataFrame, size: int) -> DataFrame:
+    """Replaces ``text``, the last column, by ``shingles``: the sorted set of its shingles' hashes."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
-        for batch in slices(batches, "text"):
-            values, first = shingle_sets(batch.column(1), size)
+        for batch in slices(batches, "text", 2 << 20):
+            values, first = shingle_sets(batch.columns[-1], size)
             at = first.tolist()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([values[a:b].tobytes() for a, b in zip(at, at[1:], strict=False)], pa.binary())], ["doc_id", "shingles"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array([values[a:b].tobytes() for a, b in zip(at, at[1:], strict=False)], pa.binary())], [*batch.schema.names[:-1], "shingles"])
 
-    return docs.mapInArrow(run, "doc_id long, shingles binary")
+    others = [f"{f.name} {f.dataType.simpleString()}" for f in docs.schema.fields[:-1]]
+    return docs.mapInArrow(run, ", ".join([*others, "shingles binary"]))
 
 
-def _confirm(pairs: DataFrame, sets: DataFrame, num: int, den: int, cut: Cut, per_task: int = 2000) -> DataFrame:
+def _confirm(pairs: DataFrame, docs: DataFrame, size: int, num: int, den: int, cut: Cut, per_task: int = 2000) -> DataFrame:
     """The pairs (a, b) whose full sets are similar.
 
     Members are dealt over salted shares of their centre ``a``, whose own set is sent once to each
-    share; a task streams through sorted shares and holds one centre's set.
+    share; a task streams through sorted shares and holds one centre's set. Sets are made where the texts are and travel once.
+    Both sides of the join with the texts grow with the corpus, so it is a merge at every size.
     """
-    shares = pairs.groupBy("a").agg(F.ceil(F.count("*") / per_task).cast("int").alias("shares"))
-    member = pairs.join(shares, "a").select("a", F.pmod(F.xxhash64("b"), F.col("shares")).alias("share"), F.col("b").alias("doc_id"), F.lit(1).alias("role"))
-    centre = shares.select("a", F.explode(F.sequence(F.lit(0).cast("long"), (F.col("shares") - 1).cast("long"))).alias("share"), F.col("a").alias("doc_id"), F.lit(0).alias("role"))
-    rows = member.union(centre).join(sets, "doc_id")
+    shares = cut.keep(pairs.groupBy("a").agg(F.ceil(F.count("*") / per_task).cast("int").alias("shares")))
+    member = pairs.join(shares, "a").select(F.col("b").alias("doc_id"), "a", F.pmod(F.xxhash64("b"), F.col("shares")).alias("share"), F.lit(1).alias("role"))
+    centre = shares.select(F.col("a").alias("doc_id"), "a", F.explode(F.sequence(F.lit(0).cast("long"), (F.col("shares") - 1).cast("long"))).alias("share"), F.lit(0).alias("role"))
+    dealt = cut.keep(member.union(centre))
+    rows = _sets(docs.join(dealt.hint("merge"), "doc_id").select("a", "share", "role", "doc_id", "text"), size)
     rows = rows.repartition("a", "share").sortWithinPartitions("a", "share", "role").select("a", "role", "doc_id", "shingles")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,16 +184,12 @@ def _confirm(pairs: DataFrame, sets: DataFrame, num: int, den: int, cut: Cut, pe
     return cut.keep(rows.mapInArrow(run, "a long, b long").distinct())
 
 
-def _residual(rows: DataFrame, k: int, num: int, den: int, tile: int = 1500) -> DataFrame:
-    """Links between different components of a candidate group, found on full sets without listing pairs.
+def _tiles(rows: DataFrame, tile: int) -> DataFrame:
+    """Deals the members of each candidate group over tiles of bounded size, so that members of different components meet in one.
 
-    ``rows``: grp, doc_id, component, sig, shingles. The members of a group's largest component (D) need no
-    comparison among themselves; the others (X) meet D and each other in tiles of bounded size. In a tile signatures
-    pick the pairs that may be similar (six deviations below the mean agreement at the threshold), full sets decide, and
-    only the first link between two components leaves it.
+    The members of a group's largest component (D) need no comparison among themselves; the others (X) meet D (kind 0) and each
+    other (kind 1).
     """
-    t = num / den
-    least = int(np.floor(k * t - 6 * np.sqrt(k * t * (1 - t))))
     sizes = rows.groupBy("grp", "component").agg(F.count("*").alias("n"))
     groups = sizes.groupBy("grp").agg(F.max_by("component", F.struct("n", -F.col("component"))).alias("main"), F.max("n").alias("n_d"), F.sum("n").alias("n_all"))
     groups = groups.select("grp", "main", F.ceil(F.col("n_d") / tile).cast("int").alias("bd"), F.ceil((F.col("n_all") - F.col("n_d")) / tile).cast("int").alias("bx")).where("bx > 0")
@@ -190,16 +199,47 @@ def _residual(rows: DataFrame, k: int, num: int, den: int, tile: int = 1500) ->
     place = lambda kind, i, j: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"))
     of_d = F.transform(numbers("bx"), lambda i: place(0, i, F.col("block")))
     of_x = F.concat(F.transform(numbers("bd"), lambda j: place(0, F.col("block"), j)), F.transform(numbers("bx"), lambda j: place(1, F.least(F.col("block"), j), F.greatest(F.col("block"), j))))
-    tiles = dealt.withColumn("tile", F.explode(F.when(F.col("is_d"), of_d).otherwise(of_x))).select("grp", "tile.kind", "tile.i", "tile.j", "is_d", "block", "doc_id", "component", "sig", "shingles")
+    return dealt.withColumn("tile", F.explode(F.when(F.col("is_d"), of_d).otherwise(of_x))).select("tile.kind", "tile.i", "tile.j", "is_d", "block", *rows.columns)
+
+
+def _sides(key: tuple, table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Signatures, components, and the rows on either side of a tile."""
+    _, kind, i, j = (x.as_py() for x in key)
+    is_d, block = (table[c].to_numpy() for c in ("is_d", "block"))
+    sig = np.frombuffer(b"".join(table["sig"].to_pylist()), "u1").reshape(table.num_rows, -1)
+    left = np.flatnonzero(~is_d & (block == i))
+    right = np.flatnonzero(is_d if kind == 0 else ~is_d & (block == j))
+    return sig, table["component"].to_numpy(), left, right
+
+
+def _agree_least(k: int, t: float) -> int:
+    """Six deviations below the mean agreement of ``k`` values at similarity ``t``."""
+    return int(np.floor(k * t - 6 * np.sqrt(k * t * (1 - t))))
+
+
+def _residual(rows: DataFrame, docs: DataFrame, size: int, num: int, den: int, cut: Cut, tile: int) -> DataFrame:
+    """Links between different components of a candidate group, found without listing pairs.
+
+    ``rows``: grp, doc_id, component, sig. First signatures alone travel to the tiles and say which members may have a partner in
+    another component at all. Full sets of those go to tiles of their own: signatures pick, full sets decide, and only the first
+    link between two components leaves a tile.
+    """
+    t = num / den
+
+    def screen(key: tuple, table: pa.Table) -> pa.Table:
+        sig, comps, left, right = _sides(key, table)
+        least, hit, others = _agree_least(sig.shape[1], t), np.zeros(table.num_rows, bool), sig[right]
+        for r in left.tolist():
+            near = right[(np.count_nonzero(others == sig[r], axis=1) >= least) & (comps[right] != comps[r])]
+            if len(near):
+                hit[near] = True
+                hit[r] = True
+        return pa.table({"doc_id": table["doc_id"].filter(pa.array(hit))})
 
     def compare(key: tuple, table: pa.Table) -> pa.Table:
-        _, kind, i, j = (x.as_py() for x in key)
-        doc, comp, block, is_d = (table[c].to_pylist() for c in ("doc_id", "component", "block", "is_d"))
-        comps = np.array(comp)
-        sig = np.frombuffer(b"".join(table["sig"].to_pylist()), "<u2").reshape(len(doc), k)
-        sets = [np.frombuffer(x, np.uint64) for x in table["shingles"].to_pylist()]
-        left = [r for r in range(len(doc)) if not is_d[r] and block[r] == i]
-        right = np.array([r for r in range(len(doc)) if (is_d[r] if kind == 0 else block[r] == j)], np.int64)
+        sig, comps, left, right = _sides(key, table)
+        least, doc, comp, others = _agree_least(sig.shape[1], t), table["doc_id"].to_pylist(), comps.tolist(), sig[right]
+        full = [np.frombuffer(x, np.uint64) for x in table["shingles"].to_pylist()]
         root: dict[int, int] = {}
 
         def find(c: int) -> int:
@@ -208,18 +248,22 @@ def _residual(rows: DataFrame, k: int, num: int, den: int, tile: int = 1500) ->
             return c
 
         a, b = [], []
-        for r in left:
-            agree = (sig[right] == sig[r]).sum(axis=1)
+        for r in left.tolist():
+            agree = np.count_nonzero(others == sig[r], axis=1)
             near = np.flatnonzero((agree >= least) & (comps[right] != comps[r]))
             for c in right[near[np.argsort(-agree[near], kind="stable")]].tolist():
                 one, two = find(comp[r]), find(comp[c])
-                if one != two and similar(sets[r], sets[c], num, den):
+                if one != two and similar(full[r], full[c], num, den):
                     root[max(one, two)] = min(one, two)
                     a.append(min(doc[r], doc[c]))
                     b.append(max(doc[r], doc[c]))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return tiles.groupBy("grp", "kind", "i", "j").applyInArrow(compare, "a long, b long")
+    keys = ("grp", "kind", "i", "j")
+    some = cut.keep(_tiles(rows, tile).groupBy(*keys).applyInArrow(screen, "doc_id long").distinct())
+    sets = cut.keep(_sets(docs.join(some.hint("merge"), "doc_id", "left_semi").select("doc_id", "text"), size))
+    few = rows.join(sets, "doc_id")
+    return _tiles(few, tile).groupBy(*keys).applyInArrow(compare, "a long, b long")
 
 
 def similar(x: np.ndarray, y: np.ndarray, num: int, den: int) -> bool:
@@ -234,7 +278,7 @@ def similar(x: np.ndarray, y: np.ndarray, num: int, den: int) -> bool:
     return den * both >= num * (len(x) + len(y) - both)
 
 
-def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", size: int = 5, num: int = 80, den: int = 100, tile: int = 1500) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest id reachable by links), kept.
 
     Documents are linked when ``den * |A & B| >= num * |A | B|`` over their sets of ``size``-word shingles
@@ -246,24 +290,27 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", size: int
     sketch = cut.keep(_sketch(own, size, bands, rows))
     some = sketch.where("n_shingles > 0 and doc_id is not null")
     classes = some.groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("rep"))
-    membership = cut.keep(some.select("doc_id", "k1", "k2", "n_shingles").join(classes, ["k1", "k2", "n_shingles"]).select("doc_id", "rep").distinct())
-    reps = some.join(membership.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    keyed = cut.keep(reps.select("doc_id", F.explode("keys").alias("key")))
-    centres = keyed.groupBy("key").agg(F.min("doc_id").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
+    placed = sketch.select("doc_id", "n_shingles", "k1", "k2").join(classes, ["k1", "k2", "n_shingles"], "left")
+    placed = cut.keep(placed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("rep")))
+    reps = placed.where("doc_id = rep and n_shingles > 0").select("doc_id").distinct()
+    keyed = cut.keep(some.select("doc_id", "keys").join(reps, "doc_id", "left_semi").select("doc_id", F.explode("keys").alias("key")))
+    centres = keyed.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("most")).where("a < most").drop("most")
     near = cut.keep(keyed.join(centres, "key").select("a", F.col("doc_id").alias("b")).where("a <> b").distinct())
     cut.drop(keyed)
     groups = cut.keep(components(near, cut))
     stars = near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    sets = cut.keep(_sets(own.join(groups.select(F.col("node").alias("doc_id")), "doc_id", "left_semi"), size))
-    links = _confirm(stars, sets, num, den, cut)
+    links = _confirm(stars, own, size, num, den, cut)
+    cut.drop(near)
     first = components(links, cut)
     labelled = groups.select(F.col("node").alias("doc_id"), F.col("component").alias("grp")).join(first, F.col("doc_id") == F.col("node"), "left")
     labelled = cut.keep(labelled.select("grp", "doc_id", F.coalesce("component", "doc_id").alias("component")))
     mixed = labelled.groupBy("grp").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("grp")
-    left = labelled.join(mixed, "grp", "left_semi").join(some.select("doc_id", "sig"), "doc_id").join(sets, "doc_id")
-    links = links.union(cut.keep(_residual(left, bands * rows, num, den)))
-    same = membership.where("doc_id <> rep").select("doc_id", "rep")
-    final = components(links.union(same), cut)
-    out = sketch.select("doc_id", "n_shingles").join(final, F.col("doc_id") == F.col("node"), "left")
-    component = F.coalesce("component", "doc_id")
+    left = cut.keep(labelled.join(mixed, "grp", "left_semi").join(some.select("doc_id", "sig"), "doc_id"))
+    more = cut.keep(_residual(left, own, size, num, den, cut, tile))
+    # A repeated id stands in several classes; it joins them.
+    spread = placed.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("most")).where("a < most")
+    spread = placed.join(spread, "doc_id").select("a", F.col("rep").alias("b"))
+    final = components(links.union(more).union(spread), cut)
+    out = placed.join(final, F.col("rep") == F.col("node"), "left")
+    component = F.coalesce("component", "rep")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
