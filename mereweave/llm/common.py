@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import uuid
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
+from typing import ClassVar
 
 import numpy as np
 import pyarrow as pa
@@ -19,32 +22,57 @@ WORD_SEPARATORS = b"\x20\x09\x0a\x0b\x0c\x0d"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a temporary one is set only where that is unset (tests)."""
+    """The folder in ``spark.checkpoint.dir``; a temporary one is set only where that is unset on a local master (tests)."""
     sc = spark.sparkContext
     where = spark.conf.get("spark.checkpoint.dir", None)
     if where is None:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("spark.checkpoint.dir names no folder that the driver and the executors share")
         where = getattr(sc, "_mereweave_shared", None)
         if where is None:
-            where = "file://" + tempfile.mkdtemp(prefix="mereweave-")
-            sc._mereweave_shared = where
+            where = sc._mereweave_shared = "file://" + tempfile.mkdtemp(prefix="mereweave-")
     return where.rstrip("/")
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: int = 4 << 20) -> Iterator[None]:
+    """While it lasts, Arrow batches between the JVM and Python hold about ``size`` bytes: long texts and blobs would make them large."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 class Cut:
     """Tables written to the shared folder so that lineage ends there and executors may be lost.
 
-    ``keep`` writes a frame and rereads it; ``drop`` deletes a table that no later frame reads.
+    ``keep`` writes a frame and rereads it; ``drop`` deletes a table that no later frame reads. An operator's last tables are read
+    by the frame that it returns: ``sweep`` deletes them once that frame has been written.
     """
 
+    opened: ClassVar[list["Cut"]] = []
+
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.base = f"{shared_dir(spark)}/mereweave-{uuid.uuid4().hex}"
         self.n = 0
+        Cut.opened.append(self)
+
+    def sweep(self) -> None:
+        """Deletes all tables of the cuts that were opened after this one, whose frames are no longer read."""
+        k = Cut.opened.index(self) + 1
+        for later in Cut.opened[k:]:
+            later._delete(later.base)
+        del Cut.opened[k:]
 
     def keep(self, df: DataFrame) -> DataFrame:
         self.n += 1
         path = f"{self.base}/{self.n:04d}"
-        df.write.option("compression", "zstd").parquet(path)
+        with small_batches(self.spark):
+            df.write.option("compression", "zstd").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._mereweave_path = path
         return out
@@ -55,11 +83,15 @@ class Cut:
         self.spark._jvm.System.gc()
 
     def drop(self, df: DataFrame) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(df._mereweave_path)
+        self._delete(df._mereweave_path)
+
+    def _delete(self, name: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 _KEPT: dict[object, object] = {}
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
 
 
 def kept(key: object, make) -> object:
@@ -71,8 +103,12 @@ def kept(key: object, make) -> object:
 
 
 def forget() -> None:
-    """Drops the memo of an earlier operator; steps that need none of their own call it before they take memory."""
+    """Drops the memo of an earlier operator and hands freed memory back; steps that need no memo call it before they take memory."""
     _KEPT.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, target: int = 6 << 20, most: int = 1 << 30) -> Iterator[pa.RecordBatch]:
