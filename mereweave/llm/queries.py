@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, flac, html_text, langid, minhash, packing, quotes, substrings, token_files, vectors
+from . import bpe, flac, html_text, langid, merkle, minhash, packing, quotes, substrings, token_files, vectors
 from .common import Cut
 
 BYTE_BPE = "byte_bpe_multi_50k.tiktoken"
@@ -68,6 +68,17 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, merkle.leaf(*[F.col(c) for c in fields[:-1]], lower))
+    rows = merkle.manifest(docs, "source", ["doc_id"], fields, carry={"doc_id": F.col("doc_id"), "tampered": tampered})
+    folded = merkle.fold(F.coalesce("tampered", "leaf"), F.col("path"))
+    out = rows.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"), folded.alias("folded_root"))
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_byte_bpe": op2_byte_bpe,
@@ -79,10 +90,17 @@ QUERIES = {
     "op8_media_columns": op8_media_columns,
     "op9_quote_links": op9_quote_links,
     "op10_html_text": op10_html_text,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 _REACH = """reach(node, other) as (select a, b from links union select reach.node, links.b from reach join links on reach.other = links.a),
  lowest as (select node, min(other) as low from reach group by node)"""
 
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(f"coalesce(strlen(({c})::varchar) || ':' || ({c})::varchar, '-')" for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
 #: Plain SQL forms, by all pairs or all windows; the others are tested against brute force.
 ORACLE_SQL: dict[str, str] = {
     "op1_embedding_dedup": f"""
@@ -108,4 +126,29 @@ with recursive split as (select doc_id, list_filter(string_split_regex(translate
  links as (select a, b from shared join sizes u on u.doc_id = a join sizes v on v.doc_id = b where 100 * common >= 85 * (u.n + v.n - common)),
  {_REACH}
 select doc_id, n as n_shingles, least(doc_id, coalesce(low, doc_id)) as component_id, doc_id <= coalesce(low, doc_id) as kept from sizes left join lowest on node = doc_id""",
+    "op12_merkle_manifest": rf"""
+with recursive docs as (select row_number() over () as rid, doc_id, source, {_leaf("text")} as leaf, cast(doc_id as varchar) as id,
+  {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} as lowered from documents),
+ leaves as (select *, row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as pos, count(*) over (partition by source) as n from docs),
+ low(level, source, pos, node, n) as (select 0, source, pos, leaf, n from leaves
+  union all select level + 1, source, pos // 16, sha256(string_agg(node, '' order by pos)), (n + 15) // 16 from low where n > 1 group by level, source, pos // 16, n),
+ subroots as (select source, node as subroot, level as height, row_number() over (order by source nulls first) - 1 as place, count(*) over () as m from low where n = 1),
+ high(level, pos, node, n) as (select 0, place, subroot, m from subroots
+  union all select level + 1, pos // 16, sha256(string_agg(node, '' order by pos)), (n + 15) // 16 from high where n > 1 group by level, pos // 16, n),
+ top as (select node as root from high where n = 1),
+ steps as (select rid, l.level, x.pos, x.node, l.pos as own from (select rid, source, level, pos // power(16, level)::bigint as pos from leaves join (select distinct level from low) on true) l
+   join low x on x.level = l.level and x.source is not distinct from l.source and x.pos // 16 = l.pos // 16 and x.n > 1
+  union all select rid, 1000 + y.level, y.pos, y.node, z.own from (select rid, level, place // power(16, level)::bigint as own from leaves join subroots using (source) join (select distinct level from high) on true
+    union all select rid, level, place // power(16, level)::bigint from leaves join subroots on leaves.source is null and subroots.source is null join (select distinct level from high) on true) z
+   join high y on y.level = z.level and y.pos // 16 = z.own // 16 and y.n > 1),
+ runs as (select rid, level, row_number() over (partition by rid order by level) as step, coalesce(string_agg(node, '' order by pos) filter (pos < own), '') as before, coalesce(string_agg(node, '' order by pos) filter (pos > own), '') as after from steps group by rid, level),
+ proofs as (select rid, string_agg(before || after, '' order by step) as siblings from runs group by rid),
+ bytes as (select rid, unnest(range(1, length(id) + 1)) as i, id from docs where id is not null),
+ ops as (select rid, list([ascii(id[i]), -1, -1, -1, -1, -1, -1, -1, -1] order by i) as o from bytes group by rid),
+ crcs as (select rid, xor(list_reduce(list_prepend(4294967295::bigint, flatten(o)::bigint[]), lambda c, x: case when x >= 0 then xor(c, x) else xor(c >> 1, 3988292384 * (c & 1)) end), 4294967295::bigint) as crc from ops),
+ fold(rid, step, node) as (select rid, 0::bigint, case when crc % 5 = 0 then lowered else leaf end from docs left join crcs using (rid)
+  union all select rid, runs.step, sha256(before || node || after) from fold join runs using (rid) where runs.step = fold.step + 1),
+ folded as (select rid, max_by(node, step) as folded_root from fold group by rid)
+select doc_id, leaf, subroot, root, sha256(coalesce(siblings, '')) as proof_sha256, folded_root, folded_root = root as verified
+from leaves join subroots on leaves.source is not distinct from subroots.source cross join top join folded using (rid) left join proofs using (rid)""",
 }
