@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, flac, html_text, langid, merkle, minhash, packing, quotes, substrings, token_files, vectors
+from . import bpe, centroids, flac, html_text, langid, merkle, minhash, packing, quotes, substrings, token_files, vectors
 from .common import Cut
 
 BYTE_BPE = "byte_bpe_multi_50k.tiktoken"
@@ -79,6 +79,10 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"), dims=64, clusters=40, rounds=5, scale=256, seed="2")
+
+
 QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_byte_bpe": op2_byte_bpe,
@@ -91,6 +95,7 @@ QUERIES = {
     "op9_quote_links": op9_quote_links,
     "op10_html_text": op10_html_text,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_centroid_clustering": op13_centroid_clustering,
 }
 _REACH = """reach(node, other) as (select a, b from links union select reach.node, links.b from reach join links on reach.other = links.a),
  lowest as (select node, min(other) as low from reach group by node)"""
@@ -101,6 +106,27 @@ def _leaf(text: str) -> str:
     return "sha256(" + " || ".join(f"coalesce(strlen(({c})::varchar) || ':' || ({c})::varchar, '-')" for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
 
 
+def _clusters(rounds: int) -> str:
+    """Assignments and centroids, one pair of named tables a round."""
+    product = "list_inner_product"
+    out = """with v as (select row_number() over () as rid, vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as x from embeddings
+  where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is null or not isfinite(x) or abs(x) >= 524288)) = 0),
+ c0 as (select row_number() over (order by sha256('2:' || coalesce(vec_id::varchar, '')), x) - 1 as c, x from v qualify c < 40)"""
+    for r in range(rounds + 1):
+        out += f""",
+ a{r} as (select rid, min({{'d': ({product}(v.x, v.x) - 2 * {product}(v.x, k.x) + {product}(k.x, k.x))::bigint, 'c': k.c}}) as best from v cross join c{r} k group by rid)"""
+        if r < rounds:
+            out += f""",
+ s{r} as (select best.c as c, i, sum(x[i])::bigint as s, count(*) as n from v join a{r} using (rid) cross join range(1, 65) as d(i) group by all),
+ m{r} as (select c, list(((s - ((s % n) + n) % n) // n)::double order by i) as x from s{r} group by c),
+ c{r + 1} as (select c{r}.c, coalesce(m{r}.x, c{r}.x) as x from c{r} left join m{r} using (c))"""
+    last = f"a{rounds}"
+    return out + f""",
+ done as (select vec_id, best.c::int as cluster, best.d as distance from v join {last} using (rid))
+select vec_id, cluster, distance, sum(distance) over (partition by cluster)::bigint as cluster_inertia, sum(distance) over ()::bigint as inertia,
+  sha256(array_to_string(c{rounds}.x::bigint[], ',')) as centroid_sha256 from done join c{rounds} on c = cluster"""
+
+
 #: Plain SQL forms, by all pairs or all windows; the others are tested against brute force.
 ORACLE_SQL: dict[str, str] = {
     "op1_embedding_dedup": f"""
@@ -151,4 +177,5 @@ with recursive docs as (select row_number() over () as rid, doc_id, source, {_le
  folded as (select rid, max_by(node, step) as folded_root from fold group by rid)
 select doc_id, leaf, subroot, root, sha256(coalesce(siblings, '')) as proof_sha256, folded_root, folded_root = root as verified
 from leaves join subroots on leaves.source is not distinct from subroots.source cross join top join folded using (rid) left join proofs using (rid)""",
+    "op13_centroid_clustering": _clusters(5),
 }
