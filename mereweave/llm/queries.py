@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, centroids, flac, html_text, langid, merkle, minhash, packing, quotes, substrings, token_files, vectors
+from . import bpe, centroids, flac, html_text, langid, merkle, minhash, packing, quotes, substrings, token_files, toxicity, vectors
 from .common import Cut
 
 BYTE_BPE = "byte_bpe_multi_50k.tiktoken"
@@ -68,6 +68,16 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def unlearned() -> Column:
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(~unlearned()), label_col="toxic")
+    return toxicity.score(docs, model).select("doc_id", unlearned().alias("held_out"), "score", "predicted")
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     fields = ["doc_id", "source", "lang", "n_chars", "text"]
@@ -94,6 +104,7 @@ QUERIES = {
     "op8_media_columns": op8_media_columns,
     "op9_quote_links": op9_quote_links,
     "op10_html_text": op10_html_text,
+    "op11_toxicity": op11_toxicity,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_centroid_clustering": op13_centroid_clustering,
 }
