@@ -112,7 +112,7 @@ def deliver(actions: DataFrame, timeout_seconds: int = 3600, clock: bool = False
     """``OUTCOMES`` of a stream of ``ACTIONS``: events delivered (by which poll), removed (by which confirmation) and expired.
 
     With ``clock`` events age by the time of processing; else by their own, and timers fire with the watermark, ``lateness`` behind the
-    latest action. Actions that come in a later batch and are not after the watermark are late and ignored.
+    latest action. By the clock a stream never rests: run it with a processing-time trigger, not with ``availableNow``. Actions that come in a later batch and are not after the watermark are late and ignored.
     """
     rows = actions.where("queue is not null and seq is not null and at is not null").withColumn("millis", F.unix_millis("at"))
     if not clock:

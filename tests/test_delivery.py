@@ -1,6 +1,8 @@
 """Delivery queues with state against a plain version, over restarts; and the rules one by one."""
 
+import os
 import random
+import time
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -82,10 +84,20 @@ def test_random_actions_over_restarts(spark, tmp_path, seed):
 
 
 def test_the_clock_ages_events_too(spark, tmp_path):
-    """By the clock nothing is old yet, however old the actions are, and no watermark is needed."""
+    """By the clock a queued event is new however old its own time is, and leaves by a timer without any further action."""
     d.use_state_store(spark)
     rows = [act("q", 1, 0, "event", rid="orn:a:x"), act("q", 2, 9000, "poll", "n")]
     spark.createDataFrame(rows, d.ACTIONS).write.parquet(f"{tmp_path}/in")
-    stream = spark.readStream.schema(d.ACTIONS).parquet(f"{tmp_path}/in")
-    run_available(d.deliver(stream, 3600, clock=True), "", f"{tmp_path}/checkpoint", sink=lambda df, n: df.write.mode("overwrite").parquet(f"{tmp_path}/out/batch={n}"))
-    assert [tuple(r)[:5] for r in spark.read.schema(d.OUTCOMES).parquet(f"{tmp_path}/out").collect()] == [("q", "delivered", 1, "n", 2)]
+    stream = d.deliver(spark.readStream.schema(d.ACTIONS).parquet(f"{tmp_path}/in"), 2, clock=True)
+    q = stream.writeStream.option("checkpointLocation", f"{tmp_path}/checkpoint").trigger(processingTime="1 second").foreachBatch(lambda df, n: df.write.mode("overwrite").parquet(f"{tmp_path}/out/batch={n}")).start()
+    found = []
+    try:
+        for _ in range(90):
+            time.sleep(1)
+            if os.path.isdir(f"{tmp_path}/out"):
+                found = sorted(tuple(r)[:5] for r in spark.read.schema(d.OUTCOMES).parquet(f"{tmp_path}/out").collect())
+            if len(found) == 2:
+                break
+    finally:
+        q.stop()
+    assert found == [("q", "delivered", 1, "n", 2), ("q", "expired", 1, None, None)]
