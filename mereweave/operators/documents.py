@@ -60,15 +60,34 @@ def sentence_spans(tokens: list[str], size: int, overlap: int, least: int) -> li
 
 
 def sentence_windows(df: DataFrame, id_col: str, text_col: str, size: int = 500, overlap: int = 50, least: int = 100) -> DataFrame:
-    """(id, index, start_token, end_token): sentence-aware windows; the walk depends on the data, so it runs in Arrow batches."""
+    """(id, index, start_token, end_token, total_chunks, chunk): the windows of ``sentence_spans``, in columns.
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            rows = [(i, k, a, b) for i, text in zip(f[id_col], f[text_col], strict=True) for k, (a, b) in enumerate(sentence_spans((text or "").split(), size, overlap, least))]
-            yield pd.DataFrame(rows, columns=[id_col, "index", "start_token", "end_token"])
-
-    kind = df.schema[id_col].dataType.simpleString()
-    return df.select(id_col, text_col).mapInPandas(run, f"{id_col} {kind}, index int, start_token int, end_token int")
+    A text's sentence ends are found once; the walk folds over as many steps as it can take at most, each of which looks for the last end
+    in the last fifth of its window. A null text, or one without a token, gives no rows.
+    """
+    tokens = F.filter(F.split(F.col(text_col), r"(?U)[\s\x1c-\x1f]+"), lambda t: t != "")
+    ends = F.filter(F.transform(F.col("tokens"), lambda t, i: F.when(t.rlike("[.!?][\"')\\]]*$"), i + 1)), lambda i: i.isNotNull())
+    t = df.select(id_col, tokens.alias("tokens")).where(F.size("tokens") > 0).withColumn("n", F.size("tokens")).withColumn("ends", ends)
+    n, fifth = F.col("n"), size // 5
+
+    def after(a: Column, end: Column) -> Column:
+        spans, joins = a["spans"], (F.size(a["spans"]) > 0) & (end - a["start"] < least)
+        last = F.struct(F.element_at(spans, -1)["a"].alias("a"), end.alias("b"))
+        grown = F.when(joins, F.concat(F.slice(spans, F.lit(1), F.size(spans) - 1), F.array(last))).otherwise(F.concat(spans, F.array(F.struct(a["start"].alias("a"), end.alias("b")))))
+        return F.struct(F.when(end >= n, n).otherwise(F.greatest(end - overlap, a["start"] + 1)).alias("start"), grown.alias("spans"))
+
+    def step(a: Column) -> Column:
+        full = F.least(a["start"] + size, n)
+        found = F.array_max(F.filter("ends", lambda x: (x <= full) & (x >= F.greatest(a["start"] + 1, full - fifth))))
+        end = F.when(full < n, F.coalesce(found, full)).otherwise(n)
+        return F.when(a["start"] >= n, a).otherwise(F.transform(F.array(end), lambda e: after(a, e))[0])  # the end is looked for once
+
+    begin = F.struct(F.lit(0).alias("start"), F.expr("cast(array() as array<struct<a: int, b: int>>)").alias("spans"))
+    steps = F.sequence(F.lit(0), F.ceil(n / max(1, size - fifth - overlap)).cast("int") + 1)
+    walked = t.withColumn("spans", F.aggregate(steps, begin, lambda a, _: step(a), lambda a: a["spans"]))
+    cut = F.transform("spans", lambda s: F.struct(s["a"].alias("start_token"), s["b"].alias("end_token"), F.array_join(F.slice("tokens", s["a"] + 1, s["b"] - s["a"]), " ").alias("chunk")))
+    w = walked.select(id_col, F.size("spans").alias("total_chunks"), F.posexplode(cut).alias("index", "w"))
+    return w.select(id_col, "index", "w.start_token", "w.end_token", "total_chunks", "w.chunk")
 
 
 class _Blocks(HTMLParser):
@@ -107,15 +126,35 @@ class _Blocks(HTMLParser):
             self.now.append(data)
 
 
+def without_contained(blocks: list[str]) -> list[str]:
+    """Blocks that are no part of an earlier kept one: an automaton of all blocks reads each kept one once and marks what it holds."""
+    if len(blocks) < 8:
+        kept: list[str] = []
+        for b in blocks:
+            if not any(b in k for k in kept):
+                kept.append(b)
+        return kept
+    import ahocorasick
+
+    a = ahocorasick.Automaton()
+    number = {b: i for i, b in enumerate(dict.fromkeys(blocks))}
+    for b, i in number.items():
+        a.add_word(b, i)
+    a.make_automaton()
+    held, kept = set(), []
+    for b in blocks:
+        if number[b] not in held:
+            kept.append(b)
+            held.update(i for _, i in a.iter(b))
+    return kept
+
+
 def page_text(source: str | None) -> str:
     """Title and block texts of a page; a block that is part of an earlier one is dropped."""
     p = _Blocks()
     p.feed(source or "")
     p.flush()
-    kept: list[str] = []
-    for b in p.blocks:
-        if not any(b in k for k in kept):
-            kept.append(b)
+    kept = without_contained(p.blocks)
     title = " ".join("".join(p.title).split())
     return "\n".join(([title] if title and title not in kept else []) + kept)
 

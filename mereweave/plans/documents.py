@@ -377,9 +377,18 @@ def token_windows(v: Views) -> DataFrame:
     return out.withColumn("chunk", F.md5("chunk"))
 
 
-@query("chk_02_sentence_windows")
+_SENTENCE_WALK = r"""tk as (select doc_id, list_filter(string_split_regex(coalesce({text}, ''), '\s+'), lambda x: x <> '') as t from documents), docs as (select *, len(t) as n from tk where len(t) > 0),
+ ends as (select doc_id, list(i order by i) as e from (select doc_id, t, unnest(range(1, n + 1)) as i from docs) u where regexp_matches(t[i], '[.!?]["'')\]]*$') group by doc_id),
+ walk(doc_id, k, a, b) as (select doc_id, 0, 0::bigint, 0::bigint from docs
+  union all select doc_id, k + 1, a2, case when a2 + 500 < n then coalesce(list_max(list_filter(e, lambda x: x <= a2 + 500 and x >= a2 + 400)), a2 + 500) else n end
+   from (select w.doc_id, w.k, d.n, e, case when w.k = 0 then 0 else greatest(w.b - 50, w.a + 1) end as a2, w.b from walk w join docs d using (doc_id) left join ends using (doc_id)) s where s.b < n),
+ spans as (select *, lead(k) over (partition by doc_id order by k) as later, b - a < 100 and k > 1 as short, coalesce(lead(b - a) over (partition by doc_id order by k) < 100, false) as joins, lead(b) over (partition by doc_id order by k) as b2 from walk where k > 0),
+ windows as (select doc_id, row_number() over (partition by doc_id order by k) - 1 as index, a as start_token, case when joins then b2 else b end as end_token from spans where not short)"""
+
+
+@query("chk_02_sentence_windows", f"with recursive {_SENTENCE_WALK.replace('{text}', 'text')} select doc_id, index, start_token, end_token from windows")
 def sentence_windows(v: Views) -> DataFrame:
-    return doc.sentence_windows(v.table("documents"), "doc_id", "text")
+    return doc.sentence_windows(v.table("documents"), "doc_id", "text").select("doc_id", "index", "start_token", "end_token")
 
 
 @query("chk_03_char_windows", "select doc_id, cast(i as integer) as index, md5(substr(text, i * 900 + 1, 1000)) as chunk from (select * from documents where length(text) > 0) d, unnest(generate_series(0, (length(text) - 1) // 900)) g(i)")

@@ -85,7 +85,14 @@ def component_labels(v: Views) -> DataFrame:
     return kg.components(e.join(first, "l_suppkey").select("a", "b"))
 
 
-@query("win_13_version_winner")
+_BEATS = "case when f.sequence is not null and r.sequence is not null and f.sequence <> r.sequence then r.sequence > f.sequence else coalesce(r.stamp >= f.stamp, true) end"
+
+
+@query("win_13_version_winner", f"""
+with recursive r as (select rid as uid, case when seq % 3 <> 0 then cast(size_bytes % 5 as integer) end as sequence, strftime(ts, '%Y%m%d') as stamp, seq as arrival, row_number() over (partition by rid order by seq) as k from log),
+ f(uid, k, sequence, stamp, arrival) as (select uid, k, sequence, stamp, arrival from r where k = 1
+  union all select r.uid, r.k, case when {_BEATS} then r.sequence else f.sequence end, case when {_BEATS} then r.stamp else f.stamp end, case when {_BEATS} then r.arrival else f.arrival end from f join r on r.uid = f.uid and r.k = f.k + 1)
+select uid, sequence, stamp, arrival from f qualify row_number() over (partition by uid order by k desc) = 1""", "log")
 def versions(v: Views) -> DataFrame:
     rows = v.log.select(F.col("rid").alias("uid"), F.when(F.col("seq") % 3 != 0, (F.col("size_bytes") % 5).cast("int")).alias("sequence"), F.date_format("ts", "yyyyMMdd").alias("stamp"), F.col("seq").alias("arrival"))
     return kg.version_winner(rows)

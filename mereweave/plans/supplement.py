@@ -12,6 +12,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import text as t
 from .documents import _REDACTED
+from ..functions.canonical import canonical_json
 from .registry import query
 from .views import Views
 
@@ -130,6 +131,20 @@ def hashes(v: Views) -> DataFrame:
     return v.table("events").select("event_id", both("props").alias("h")).select("event_id", "h.spaced", "h.canonical")
 
 
+_NESTED_SQL = """regexp_replace(regexp_replace((case when event_id % 11 = 0 then '0' else value::varchar end), '\\.0$', ''), '^-0$', '0')"""
+
+
+@query("mrg_11_canonical_values", f"""
+with j as (select event_id, user_id, {_NESTED_SQL} as x, json_extract_string(props, '$.k') as k from events)
+select event_id, sha256('{{"A":{{"list":[1000000,' || x || ',1e+21,1e-7,null],"user":' || user_id || '}},"€":"' || k || '","😀":true,"דּ":' || event_id || '}}') as canonical from j""")
+def canonical_values(v: Views) -> DataFrame:
+    """Hashes of nested values however they are written: spaces, key order, 1E6 and 1.0, keys outside the basic plane."""
+    k = F.get_json_object("props", "$.k")
+    x = F.when(F.col("event_id") % 11 == 0, "-0.0").otherwise(F.col("value").cast("string"))
+    text = F.concat(F.lit('{ "דּ" :'), "event_id", F.lit(', "😀": true,"€" : "'), k, F.lit('", "A":{"user": '), F.col("user_id"), F.lit('.0, "list": [1E6, '), x, F.lit(", 1000000000000000000000, 0.1e-6, null]}}"))
+    return v.table("events").select("event_id", text.alias("text")).select("event_id", F.sha2(canonical_json("text"), 256).alias("canonical"))
+
+
 @query("mrg_12_latest_comment", "select user_id, arg_max(seq, {'a': size_bytes, 'b': seq}) as comment, case when count(distinct kind) = 5 then 'complete' else 'partial' end as coverage from log group by 1", "log")
 def comments(v: Views) -> DataFrame:
     return v.log.groupBy("user_id").agg(F.max_by("seq", F.struct("size_bytes", "seq")).alias("comment"), F.when(F.countDistinct("kind") == 5, "complete").otherwise("partial").alias("coverage"))

@@ -1,5 +1,7 @@
 """Hand-computed cases of the operators that SQL does not express, and of their quirks."""
 
+import random
+import time
 from datetime import datetime, timezone
 from difflib import SequenceMatcher
 
@@ -236,3 +238,32 @@ def test_running_total_and_rank(spark):
         total += v
         want.append((k, total, i))
     assert rows(ordered.rank(ordered.running_total(df, F.col("v"), "total", "k", "v"), "n", "k", "v"), "k", "total", "n") == want
+
+
+def test_sentence_windows_in_columns_match_the_walk(spark):
+    rng = random.Random(4)
+    texts = [None, "", " \n ", "one", "A. " * 700, " ".join(rng.choice(["w", "end.", 'x"', 'y?")', "z!"]) for _ in range(3000)), "w " * 1400, "a b\x1cc d. e"]
+    texts += [" ".join(rng.choice(["w", "w", "w", "v."]) for _ in range(n)) for n in (99, 100, 101, 499, 500, 501, 540, 599, 600, 949, 951)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    for size, overlap, least in ((500, 50, 100), (10, 3, 4), (7, 0, 6), (5, 5, 2)):
+        got = {}
+        for r in doc.sentence_windows(df, "id", "text", size, overlap, least).collect():
+            got.setdefault(r.id, {})[r["index"]] = (r.start_token, r.end_token)
+            assert r.chunk == " ".join((texts[r.id] or "").split()[r.start_token : r.end_token])
+        for i, text in enumerate(texts):
+            want = doc.sentence_spans((text or "").split(), size, overlap, least)
+            assert [got.get(i, {})[k] for k in range(len(got.get(i, {})))] == want
+
+
+def test_contained_blocks_go_as_in_all_pairs():
+    rng = random.Random(5)
+    for _ in range(60):
+        blocks = ["".join(rng.choice("ab ") for _ in range(rng.randint(1, 9))) for _ in range(rng.randint(0, 40))]
+        kept = []
+        for b in blocks:
+            if not any(b in k for k in kept):
+                kept.append(b)
+        assert doc.without_contained(blocks) == kept
+    began = time.time()
+    assert len(doc.without_contained([f"block {i} of a long page, with words in it" for i in range(10_000)])) == 10_000
+    assert time.time() - began < 5

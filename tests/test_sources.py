@@ -4,6 +4,7 @@ import hashlib
 import json
 from email.message import EmailMessage
 
+import pytest
 from mereweave.operators import content as c
 from mereweave.operators import kg
 from mereweave.sources import readers, writers
@@ -131,3 +132,27 @@ def test_entities_validate_and_keep_context(spark):
     got = {(r.kind, r.key): (r.value, r.hits) for r in kg.pattern_entities(d, "id", "text").collect()}
     assert got["CreditClass", "C01"] == ("C01", 2) and ("CreditClass", "C001") in got and got["Organization", "ACME LABS"] == ("Acme Labs", 1)
     assert got["Proposal", "PROPOSAL #42"] == ("Proposal #42", 1) and ("Person", "ANN LEE") in got
+
+
+def test_commits_are_numbered_and_whole(spark, tmp_path):
+    path = f"file://{tmp_path}/numbered"
+    with pytest.raises(FileNotFoundError):
+        writers.read_snapshot(spark, path)
+    assert [writers.write_snapshot(spark.range(n), path) for n in (3, 4)] == [0, 1]
+    (tmp_path / "numbered" / "v-torn").mkdir()  # a writer that died before its commit
+    (tmp_path / "numbered" / "commits" / ".v-torn").write_text("v-torn")
+    assert writers.read_snapshot(spark, path).count() == 4 and writers.read_snapshot(spark, path, 0).count() == 3
+    assert writers.write_snapshot(spark.range(9), path, 1) == 1  # committed before: not again
+    assert writers.read_snapshot(spark, path).count() == 4
+    assert writers.write_snapshot(spark.range(9), path, 7) == 7 and writers.commits(spark, path) == [0, 1, 7]
+
+
+def test_write_through_keeps_the_last_row_of_each_key_and_repeats_no_batch(spark, tmp_path):
+    path = f"file://{tmp_path}/state"
+    sink = writers.write_through(path, "rid", "seq")
+    frame = lambda *r: spark.createDataFrame(list(r), "rid string, hash string, seq long")
+    sink(frame(("a", "1", 1), ("b", "1", 2)), 0)
+    sink(frame(("a", "2", 5), ("a", "x", 3), ("c", None, 4)), 1)
+    sink(frame(("a", "again", 9)), 1)
+    sink(frame(("b", "old", 0)), 2)
+    assert rows(writers.read_snapshot(spark, path), "rid", "hash", "seq") == [("a", "2", 5), ("b", "1", 2), ("c", None, 4)]
