@@ -143,3 +143,23 @@ def mail_chunks(mail: DataFrame, id_col: str, size: int = 500, overlap: int = 50
     return chunks.join(mail.select(id_col, "subject", "from_address"), id_col)
 
 
+
+
+def follow_pages(pages: DataFrame, chain: str, key: str, next_key: str) -> tuple[DataFrame, DataFrame]:
+    """Landed response pages followed by their next keys: (pages that are reached from their chain's first page, gaps).
+
+    A chain's first page has the empty key. Pages hang together if one names the other as the next, so a chain is a component and is found by
+    pointer jumping, however long it is; pages behind a page that is missing are in another one and are left out. ``gaps`` has, for each
+    chain, the keys that a reached page names and no page has. Null keys name no page; a page that comes twice is returned twice.
+    """
+    from .kg import components
+
+    node = lambda c: F.concat(chain, F.lit("\0"), c)
+    known = pages.where(f"{key} is not null")
+    there = known.select(node(F.col(key)).alias("node")).distinct()
+    edges = known.where(f"{next_key} is not null and {next_key} <> ''").select(node(F.col(key)).alias("a"), node(F.col(next_key)).alias("b"))
+    joined = components(edges.join(there.withColumnRenamed("node", "b"), "b", "left_semi")).select("node", "component")
+    own = known.withColumn("node", node(F.col(key))).join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    reached = own.where(F.col("component") == node(F.lit("")))  # the empty key sorts first in its component
+    gaps = edges.join(reached.select(F.col("node").alias("a"), chain), "a").join(there.withColumnRenamed("node", "b"), "b", "left_anti")
+    return reached.drop("node", "component"), gaps.select(chain, F.substring_index("b", "\0", -1).alias("missing")).distinct()

@@ -89,7 +89,7 @@ def read_pages(spark: SparkSession, path: str, field: str, item: str) -> DataFra
     """Landed response pages of a ledger or forum (one JSON a file), unfolded to one row per entity of ``field``."""
     from ..operators.content import unfold_pages
 
-    bodies = spark.read.option("wholetext", "true").text(path).select(F.input_file_name().alias("path"), F.col("value").alias("body"))
+    bodies = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), F.col("value").alias("body"))
     return unfold_pages(bodies, "body", field, item)
 
 
@@ -160,7 +160,7 @@ def read_feed(spark: SparkSession, path: str, row_tag: str = "item") -> DataFram
 
 def read_repository(spark: SparkSession, path: str, suffixes: tuple[str, ...] = (".md", ".rst", ".txt"), stems: tuple[str, ...] = ("readme", "changelog", "license")) -> DataFrame:
     """Documentation files of a checked-out tree: by suffix or by file stem."""
-    files = spark.read.option("recursiveFileLookup", "true").option("wholetext", "true").text(path).select(F.input_file_name().alias("path"), F.col("value").alias("content"))
+    files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True).select(F.input_file_name().alias("path"), F.col("value").alias("content"))
     name = F.lower(F.substring_index("path", "/", -1))
     by_suffix = F.lit(False)
     for s in suffixes:

@@ -68,7 +68,7 @@ def read_snapshot(spark: SparkSession, path: str, number: int | None = None) ->
     if not found or (number is not None and number not in found):
         raise FileNotFoundError(f"no commit {'' if number is None else number} in {path}")
     own = found[-1] if number is None else number
-    version = spark.read.option("wholetext", "true").text(f"{path}/commits/{own:012d}").first()[0]
+    version = spark.read.text(f"{path}/commits/{own:012d}", wholetext=True).first()[0]
     return spark.read.parquet(f"{path}/{version}")
 
 

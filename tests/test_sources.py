@@ -156,3 +156,17 @@ def test_write_through_keeps_the_last_row_of_each_key_and_repeats_no_batch(spark
     sink(frame(("a", "again", 9)), 1)
     sink(frame(("b", "old", 0)), 2)
     assert rows(writers.read_snapshot(spark, path), "rid", "hash", "seq") == [("a", "2", 5), ("b", "1", 2), ("c", None, 4)]
+
+
+def test_pages_are_followed_to_the_first_gap(spark):
+    from mereweave.operators.content import follow_pages
+
+    rows_ = [("a", "", "2"), ("a", "2", "3"), ("a", "3", None), ("b", "", "2"), ("b", "3", "4"), ("b", "4", ""), ("c", "9", "8"), ("d", "", ""), ("d", None, "x"), ("e", "", "x"), ("a", "3", None)]
+    reached, gaps = follow_pages(spark.createDataFrame(rows_, "chain string, k string, n string"), "chain", "k", "n")
+    assert sorted((r.chain, r.k) for r in reached.collect()) == [("a", ""), ("a", "2"), ("a", "3"), ("a", "3"), ("b", ""), ("d", ""), ("e", "")]
+    assert sorted(map(tuple, gaps.collect())) == [("b", "2"), ("e", "x")]
+
+
+def test_files_of_several_lines_are_one_row(spark, tmp_path):
+    (tmp_path / "readme.md").write_text("one\ntwo\n")
+    assert [r.content for r in readers.read_repository(spark, f"file://{tmp_path}").collect()] == ["one\ntwo\n"]
