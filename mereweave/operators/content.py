@@ -10,13 +10,21 @@ from .documents import token_windows
 
 def message_text(raw: Column) -> Column:
     """The text of a session message given as JSON: a string, an object with a string, or one with blocks (strings and text blocks,
-    a line each); without a message its ``content``; else empty."""
-    get = lambda path: F.get_json_object(raw, path)
-    message, content = get("$.message"), get("$.message.content")
-    each = F.transform(F.from_json(content, "array<string>"), lambda x: F.when(~F.startswith(x, F.lit("{")), x).when(F.get_json_object(x, "$.type") == "text", F.coalesce(F.get_json_object(x, "$.text"), F.lit(""))))
-    blocks = F.array_join(F.array_compact(each), "\n")
-    nested = F.when(F.startswith(content, F.lit("[")), blocks).otherwise(F.coalesce(content, F.lit("")))
-    return F.when(message.isNotNull() & ~F.startswith(message, F.lit("{")), message).when(message.isNotNull(), nested).otherwise(F.coalesce(get("$.content"), F.lit("")))
+    a line each); without a message its ``content``; else empty. Kinds are those of the JSON, not of how a text looks."""
+    is_a = lambda v, kind: F.coalesce(F.startswith(F.schema_of_variant(v), F.lit(kind)), F.lit(False))
+    inside = lambda v, path: F.try_variant_get(v, path, "variant")
+    text = lambda v: F.try_variant_get(v, "$", "string")
+    whole = F.try_parse_json(raw)
+    message, content = inside(whole, "$.message"), inside(whole, "$.message.content")
+
+    def block(b: Column) -> Column:
+        own = F.coalesce(F.try_variant_get(b, "$.text", "string"), F.lit(""))
+        return F.when(is_a(b, "STRING"), text(b)).when(is_a(b, "OBJECT") & (F.try_variant_get(b, "$.type", "string") == "text"), own)
+
+    blocks = F.array_join(F.array_compact(F.transform(F.try_variant_get(content, "$", "array<variant>"), block)), "\n")
+    nested = F.when(is_a(content, "ARRAY"), blocks).when(is_a(content, "STRING"), text(content)).otherwise(F.lit(""))
+    alone = inside(whole, "$.content")
+    return F.when(is_a(message, "STRING"), text(message)).when(is_a(message, "OBJECT"), nested).otherwise(F.when(is_a(alone, "STRING"), text(alone)).otherwise(F.lit("")))
 
 
 #: Kinds of note blocks whose rich text stands for itself.

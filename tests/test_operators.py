@@ -267,3 +267,16 @@ def test_contained_blocks_go_as_in_all_pairs():
     began = time.time()
     assert len(doc.without_contained([f"block {i} of a long page, with words in it" for i in range(10_000)])) == 10_000
     assert time.time() - began < 5
+
+
+@pytest.mark.parametrize(
+    ("raw", "want"),
+    [
+        ('{"message":"{braces}"}', "{braces}"), ('{"message":"[1]"}', "[1]"), ('{"message":{"content":"[not a list"}}', "[not a list"), ('{"message":{"content":"{no object"}}', "{no object"), ('{"message":{"content":["a",{"type":"text","text":"{b"},{"type":"image","text":"c"},{"type":"text"},7]}}', "a\n{b\n"),
+        ('{"content":"{plain"}', "{plain"), ('{"message":{"content":[]}}', ""), ('{"message":{}}', ""), ("{broken", ""), (None, ""), ('{"message":null,"content":"c"}', "c"), ('{"message":{"content":null}}', ""),
+    ],
+)
+def test_message_texts_by_the_kind_of_their_json(spark, raw, want):
+    from mereweave.operators.content import message_text
+
+    assert spark.createDataFrame([(raw,)], "r string").select(message_text(F.col("r"))).first()[0] == want
