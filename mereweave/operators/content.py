@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .documents import token_windows
+from .documents import sentence_windows, token_windows
 
 
 def message_text(raw: Column) -> Column:
@@ -144,10 +144,12 @@ def header_entities(mail: DataFrame, personal: tuple[str, ...]) -> DataFrame:
     return each.groupBy("id", "name", "kind").agg(F.max("confidence").alias("confidence"))
 
 
-def mail_chunks(mail: DataFrame, id_col: str, size: int = 500, overlap: int = 50) -> DataFrame:
-    """Token windows of ``Subject: ...`` and the body (subject, body, from_address), with the header's columns on every chunk."""
+def mail_chunks(mail: DataFrame, id_col: str, size: int = 500, overlap: int = 50, sentences: bool = False) -> DataFrame:
+    """Token windows of ``Subject: ...`` and the body (subject, body, from_address), with the header's columns on every chunk; with
+    ``sentences`` they end at sentence ends."""
     whole = F.when(F.length("subject") > 0, F.concat(F.lit("Subject: "), "subject", F.lit("\n\n"), "body")).otherwise(F.col("body"))
-    chunks = token_windows(mail.select(id_col, whole.alias("whole")), id_col, "whole", size, overlap)
+    windows = sentence_windows if sentences else token_windows
+    chunks = windows(mail.select(id_col, whole.alias("whole")), id_col, "whole", size, overlap)
     return chunks.join(mail.select(id_col, "subject", "from_address"), id_col)
 
 

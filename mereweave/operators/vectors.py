@@ -36,16 +36,19 @@ def _blocks(df: DataFrame, id_col: str, vector: str, size: int, names: tuple[str
     return df.select(F.col(id_col).cast("long"), F.col(vector).cast("array<double>")).mapInArrow(run, f"{names[0]} array<long>, {names[1]} array<array<double>>")
 
 
-def _unit(vectors: list) -> np.ndarray:
-    """Unit vectors; a null, zero or odd one becomes NaN."""
-    width = max((len(x) for x in vectors if x is not None), default=1)
-    m = np.array([x if x is not None and len(x) == width else [np.nan] * width for x in vectors], dtype=float)
+def _unit(vectors: list, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Unit vectors, filled up with zeros to ``width``, and their lengths; a null or zero one becomes NaN."""
+    m, lengths = np.zeros((len(vectors), width)), np.zeros(len(vectors), np.int64)
+    for i, x in enumerate(vectors):
+        if x is not None:
+            m[i, : len(x)], lengths[i] = x, len(x)
     with np.errstate(invalid="ignore", divide="ignore"):
-        return m / np.sqrt((m * m).sum(axis=1, keepdims=True))
+        return m / np.sqrt((m * m).sum(axis=1, keepdims=True)), lengths
 
 
 def nearest(queries: DataFrame, rows: DataFrame, id_col: str, vector: str, k: int) -> DataFrame:
-    """(query_id, vec_id, s): the ``k`` rows of largest cosine for each query but itself; ties by id, undefined cosines last.
+    """(query_id, vec_id, s): the ``k`` rows of largest cosine for each query but itself; ties by id, undefined cosines (also of
+    vectors of different lengths) last.
 
     Blocks of queries meet blocks of rows; each meeting keeps its own ``k`` a query, partitions prune before the shuffle.
     """
@@ -53,17 +56,18 @@ def nearest(queries: DataFrame, rows: DataFrame, id_col: str, vector: str, k: in
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for qi, qv, ri, rv in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                qi, ri, q, r = np.array(qi), np.array(ri), _unit(qv), _unit(rv)
+                width = max((len(x) for x in (*qv, *rv) if x is not None), default=1)
+                qi, ri, (q, q_len), (r, r_len) = np.array(qi), np.array(ri), _unit(qv, width), _unit(rv, width)
                 with np.errstate(invalid="ignore"):
-                    s = q @ r.T if q.shape[1] == r.shape[1] else np.full((len(q), len(r)), np.nan)
-                s = np.where(np.isnan(s), -2.0, s)
+                    s = q @ r.T
+                s = np.where(np.isnan(s) | (q_len[:, None] != r_len[None, :]), -2.0, s)
                 s[qi[:, None] == ri[None, :]] = -3.0
                 n = min(k, len(ri))
                 least = np.partition(s, len(ri) - n, axis=1)[:, len(ri) - n]
                 out_q, out_r, out_s = [], [], []
                 for i in range(len(qi)):
                     near = np.flatnonzero((s[i] >= least[i] - _SLACK) & (s[i] > -3.0))
-                    exact = np.where(s[i, near] > -2.0, (r[near] * q[i]).sum(axis=1) if q.shape[1] == r.shape[1] else -2.0, -2.0)
+                    exact = np.where(s[i, near] > -2.0, (r[near] * q[i]).sum(axis=1), -2.0)
                     best = np.lexsort((ri[near], -exact))[:k]
                     out_q += [int(qi[i])] * len(best)
                     out_r += ri[near[best]].tolist()

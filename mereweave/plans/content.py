@@ -9,6 +9,7 @@ from ..functions import text as t
 from ..operators import content as c
 from ..operators import events as ev
 from ..operators import kg
+from .documents import _SENTENCE_WALK
 from .registry import query
 from .views import Views
 
@@ -215,3 +216,12 @@ def mail_chunks(v: Views) -> DataFrame:
     """Chunks of a mail with its subject in front, each with the header's columns."""
     m = v.table("documents").select("doc_id", F.col("source").alias("subject"), F.coalesce("text", F.lit("")).alias("body"), F.lit("a@x").alias("from_address"))
     return c.mail_chunks(m, "doc_id").select("doc_id", "index", "total_chunks", "subject", F.md5("chunk").alias("chunk"))
+
+
+@query("chk_05_mail_sentences", f"""
+with recursive {_SENTENCE_WALK.replace("{text}", "'Subject: ' || source || chr(10) || chr(10) || coalesce(text, '')")}
+select doc_id, index, count(*) over (partition by doc_id) as total_chunks, source as subject, md5(array_to_string(t[start_token + 1 : end_token], ' ')) as chunk from windows join docs using (doc_id) join documents using (doc_id)""")
+def mail_sentences(v: Views) -> DataFrame:
+    """Chunks of a mail that end at sentence ends, its subject in front, each with the header's columns."""
+    m = v.table("documents").select("doc_id", F.col("source").alias("subject"), F.coalesce("text", F.lit("")).alias("body"), F.lit("a@x").alias("from_address"))
+    return c.mail_chunks(m, "doc_id", sentences=True).select("doc_id", "index", "total_chunks", "subject", F.md5("chunk").alias("chunk"))

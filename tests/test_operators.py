@@ -280,3 +280,14 @@ def test_message_texts_by_the_kind_of_their_json(spark, raw, want):
     from mereweave.operators.content import message_text
 
     assert spark.createDataFrame([(raw,)], "r string").select(message_text(F.col("r"))).first()[0] == want
+
+
+def test_nearest_vectors_of_mixed_lengths(spark):
+    """Only vectors of one length are near; what else stands in a block changes nothing."""
+    from mereweave.operators.vectors import nearest
+
+    rows_ = [(0, [1.0, 0.0]), (1, [1.0, 0.1]), (2, [1.0, 0.0, 0.0]), (3, [0.9, 0.1, 0.0]), (4, None), (5, [0.0, 0.0]), (6, [0.0, 1.0]), (7, [])]
+    df = spark.createDataFrame(rows_, "id long, v array<double>").coalesce(1)
+    got = {(r.query_id, r.vec_id): r.s for r in nearest(df.where("id in (0, 2)"), df, "id", "v", 3).collect()}
+    assert [k for k, s in sorted(got.items()) if s is not None] == [(0, 1), (0, 6), (2, 3)]
+    assert abs(got[0, 1] - 1 / 1.01**0.5) < 1e-12 and got[0, 6] == 0.0
