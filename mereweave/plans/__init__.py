@@ -3,7 +3,7 @@
 from importlib import import_module
 
 #: Modules that register queries when imported.
-MODULES = ("reports", "events", "ledger", "documents", "kg", "streams", "supplement", "handlers", "content", "delivery", "mailboxes", "entities", "triples", "taxonomies", "times", "sites", "landed")
+MODULES = ("reports", "events", "ledger", "documents", "kg", "streams", "supplement", "handlers", "content", "delivery", "mailboxes", "entities", "triples", "taxonomies", "times", "sites", "landed", "social")
 
 
 def load():
