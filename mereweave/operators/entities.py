@@ -13,6 +13,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -70,6 +71,18 @@ def _automaton(key: str, names: list[str]):
     return _AUTOMATA[key]
 
 
+def _small(batch: pa.RecordBatch, most: int = 1 << 19) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with at most ``most`` bytes of text, one row at least: a text can hold thousands of names, each with its context."""
+    ends = pc.cumulative_sum(pc.fill_null(pc.binary_length(batch.column(1)), 0).cast(pa.int64())).to_pylist()
+    lo = 0
+    while lo < batch.num_rows:
+        done, hi = ends[lo - 1] if lo else 0, lo + 1
+        while hi < batch.num_rows and ends[hi] - done <= most:
+            hi += 1
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
 def name_hits(docs: DataFrame, id_col: str, text_col: str, names: DataFrame, around: int = 50, most_names: int = 1_000_000) -> DataFrame:
     """(id, name, kind, canonical, places, whole, same_case, context): each name that stands in a text in whatever case.
 
@@ -88,7 +101,7 @@ def name_hits(docs: DataFrame, id_col: str, text_col: str, names: DataFrame, aro
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dictionary = sent.value
         a = _automaton(key, [d[0] for d in dictionary])
-        for batch in batches:
+        for batch in (part for whole in batches for part in _small(whole)):
             out: list[list] = [[], [], [], [], []]
             at = []
             for row, text in enumerate(batch.column(1).to_pylist()):
