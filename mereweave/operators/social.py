@@ -34,7 +34,7 @@ def posts(pages: DataFrame, html: str) -> DataFrame:
     """``pages`` with the post's text, created_at, likes, retweets, replies, author_name, author_username, url and post_id."""
     h = F.col(html)
     count = lambda mark: F.when(_part(h, mark).rlike("(?i)<span"), parse_count(F.regexp_extract(_part(h, mark), r"(?is)<span[^>]*>([^<]*)<", 1)))
-    user = F.filter(F.transform(F.split(_lines(_part(h, "User-Name")), "\n"), F.trim), lambda x: x != "")
+    user = F.filter(F.transform(F.split(_lines(_part(h, "User-Name")), "\n"), lambda x: F.trim(x)), lambda x: x != "")
     handle = F.get(user, F.lit(1))
     href = F.nullif(F.regexp_extract(h, r'(?i)<a\b[^>]*href="([^"]*/status/[^"]*)"', 1), F.lit(""))
     out = pages.withColumns({

@@ -12,11 +12,11 @@ def test_counts(spark, shown, want):
 
 
 def test_posts(spark):
-    full = '<div data-testid="User-Name"><p>Ann</p><p>@ann</p></div><div data-testid="tweetText">One &amp; two<br>three</div><div data-testid="like"><span>2K</span></div><a href="/ann/status/12?x">x</a>'
+    full = '<div data-testid="User-Name"><p>Ann</p><p>@ann1</p></div><div data-testid="tweetText">One &amp; two<br>three</div><div data-testid="like"><span>2K</span></div><a href="/ann/status/12?x">x</a>'
     df = spark.createDataFrame([(1, full), (2, '<div data-testid="tweetText">only</div>'), (3, '<div data-testid="like"><span>2</span></div>'), (4, None)], "id int, html string")
     got = {r.id: r for r in s.posts(df, "html").collect()}
     assert set(got) == {1, 2}
-    assert (got[1].text, got[1].likes, got[1].retweets, got[1].author_name, got[1].author_username, got[1].post_id, got[1].created_at) == ("One & two\nthree", 2000, None, "Ann", "ann", "12", None)
+    assert (got[1].text, got[1].likes, got[1].retweets, got[1].author_name, got[1].author_username, got[1].post_id, got[1].created_at) == ("One & two\nthree", 2000, None, "Ann", "ann1", "12", None)
     assert (got[2].text, got[2].likes, got[2].author_name, got[2].url) == ("only", None, None, None)
 
 
