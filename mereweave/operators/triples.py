@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .kg import durable
+
 #: Kinds of entities that have a class of their own, and predicates that have a name of their own.
 CLASSES = ("Person", "Organization", "Project", "Place", "Asset", "Credit", "Methodology", "Event")
 PREDICATES = {
@@ -68,7 +70,7 @@ def label_index(entities: DataFrame) -> DataFrame:
 
 def export(extractions: DataFrame, base: str, prefix: str = "kg") -> DataFrame:
     """(s, p, o) of all extractions."""
-    x = extractions.select("*", uri(F.col("rid"), base).alias("x"), F.concat(F.lit("<"), F.col("source_url"), F.lit(">")).alias("source"))
+    x = durable(extractions.select("*", uri(F.col("rid"), base).alias("x"), F.concat(F.lit("<"), F.col("source_url"), F.lit(">")).alias("source")))  # read by every branch below, found once
     k = lambda name: f"{prefix}:{name}"
     about = _each(x, F.col("x"), [
         ("rdf:type", F.lit(k("Extraction"))), ("rdf:type", F.lit("prov:Activity")), (k("extractionType"), literal(F.col("kind"))), (k("memory"), uri(F.col("memory_rid"), base)), (k("confidenceScore"), typed(F.col("confidence"), "float")),
@@ -87,6 +89,7 @@ def export(extractions: DataFrame, base: str, prefix: str = "kg") -> DataFrame:
         exact = index.select(F.col("label").alias(end), F.col("uri").alias(f"{end}_exact"))
         like = index.select(F.col("label").alias(f"{end}_normal"), F.col("uri").alias(f"{end}_like"))
         s = s.join(exact, end, "left").withColumn(f"{end}_normal", normal(F.col(end))).join(like, f"{end}_normal", "left").withColumn(f"{end}_uri", F.coalesce(f"{end}_exact", f"{end}_like"))
+    s = durable(s)
     linked = s.where("subject_uri is not null").select(F.col("subject_uri").alias("s"), predicate(F.col("predicate"), prefix).alias("p"), F.coalesce("object_uri", literal(F.col("object"))).alias("o"))
     text = lambda end: F.when(F.col(f"{end}_uri").isNull(), literal(F.col(end)))
     statements = _each(s, F.col("uri"), [
