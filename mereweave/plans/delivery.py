@@ -55,9 +55,9 @@ def delivered(v: Views, parts: int = 3) -> DataFrame:
         actions(v).where((F.col("seq") >= cut[0]) & (F.col("seq") < cut[1])).coalesce(1).write.mode("append").parquet(f"{base}/actions")
     if low is None:
         return v.spark.createDataFrame([], d.OUTCOMES)
-    d.use_state_store(v.spark)
     stream = v.spark.readStream.schema(d.ACTIONS).option("maxFilesPerTrigger", 1).parquet(f"{base}/actions")
-    run_available(d.deliver(stream, _HOURS * 3600), "", f"{base}/checkpoint", sink=lambda df, n: df.write.mode("overwrite").parquet(f"{base}/out/batch={n}"))
+    with d.state_store(v.spark):
+        run_available(d.deliver(stream, _HOURS * 3600), "", f"{base}/checkpoint", sink=lambda df, n: df.write.mode("overwrite").parquet(f"{base}/out/batch={n}"))
     return v.spark.read.schema(d.OUTCOMES).parquet(f"{base}/out")
 
 

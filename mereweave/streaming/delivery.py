@@ -18,9 +18,10 @@ empty array) means all types.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from typing import Any
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
@@ -121,6 +122,20 @@ def deliver(actions: DataFrame, timeout_seconds: int = 3600, clock: bool = False
     return rows.groupBy("queue").transformWithState(_Queue(timeout_seconds * 1000, clock), OUTCOMES, "append", mode)
 
 
-def use_state_store(spark) -> None:
-    """Maps and timers need the store on local disks that keeps its changes in the checkpoint."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
+def use_state_store(spark: SparkSession) -> None:
+    """Maps and timers need the store on local disks that keeps its changes in the checkpoint. It counts for streams started from now on."""
+    spark.conf.set(_PROVIDER, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
+@contextmanager
+def state_store(spark: SparkSession) -> Iterator[None]:
+    """While it lasts, streams start with that store; then with the one before."""
+    before = spark.conf.get(_PROVIDER)
+    use_state_store(spark)
+    try:
+        yield
+    finally:
+        spark.conf.set(_PROVIDER, before)
