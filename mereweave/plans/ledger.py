@@ -95,9 +95,10 @@ def cutoff(v: Views) -> DataFrame:
 
 @query("agg_43_style_score", "select conv_id, round(avg(score), 4) as score, avg(score) >= 0.8 as compliant from (select conv_id, greatest(0.0, 1.0 - 0.1 * (length(text) - length(replace(text, ',', ''))) / 5) as score from turns where text is not null) t group by 1", "turns")
 def style(v: Views) -> DataFrame:
+    """Each step is the double that the SQL's decimals become: commas in tenths, a fifth of them, and the mean in ten-thousandths before it is rounded."""
     commas = F.length("text") - F.length(F.replace("text", F.lit(","), F.lit("")))
-    s = v.turns.where("text is not null").select("conv_id", F.greatest(F.lit(0.0), F.lit(1.0) - F.lit(0.1) * commas / 5).alias("s"))
-    return s.groupBy("conv_id").agg(F.round(F.avg("s"), 4).alias("score"), (F.avg("s") >= 0.8).alias("compliant"))
+    s = v.turns.where("text is not null").select("conv_id", F.greatest(F.lit(0.0), F.lit(1.0) - commas / F.lit(10.0) / F.lit(5.0)).alias("s"))
+    return s.groupBy("conv_id").agg((F.round(F.avg("s") * 10_000) / 10_000).alias("score"), (F.avg("s") >= 0.8).alias("compliant"))
 
 
 @query("agg_44_link_validation", "select count(*) as links, count(distinct url) as distinct_links, count(distinct url) filter (url like 'https:%') as valid from pages")
