@@ -235,9 +235,12 @@ with g as (select *, case when date_diff('second', lag(ts) over (partition by us
  s as (select user_id, ts, sum(new) over (partition by user_id order by ts, seq) as session from g)
 select user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') as started, count(*) as n from s group by user_id, session""", "log")
 def debounce(v: Views) -> DataFrame:
-    t = v.log.select("user_id", F.date_trunc("second", "ts").cast("timestamp").alias("ts"))
-    s = t.groupBy("user_id", F.session_window("ts", "7200 seconds").alias("s")).agg(F.count("*").alias("n"))
-    return s.select("user_id", F.date_format("s.start", "yyyy-MM-dd HH:mm:ss").alias("started"), "n")
+    """A row less than two hours after the one before is in its session; at two hours a new one begins (session windows would merge them)."""
+    order = Window.partitionBy("user_id").orderBy(F.asc_nulls_last("ts"), "seq")
+    t = v.log.select("user_id", "seq", F.date_trunc("second", "ts").cast("timestamp").alias("ts"))
+    new = F.when(F.unix_seconds("ts") - F.unix_seconds(F.lag("ts").over(order)) < 7200, 0).otherwise(1)
+    s = t.withColumn("new", new).withColumn("session", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return s.groupBy("user_id", "session").agg(F.date_format(F.min("ts"), "yyyy-MM-dd HH:mm:ss").alias("started"), F.count("*").alias("n")).drop("session")
 
 
 @query("stm_12_job_lifecycle", "select id, case when state = 'failed' and retry_count < 3 then 'retrying' else state end as next_state, case when state = 'failed' and retry_count < 3 then 5 * (retry_count + 1) end as delay_minutes from jobs", "jobs")
