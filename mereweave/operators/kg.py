@@ -27,11 +27,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Cuts lineage: ``checkpoint()`` into the shared folder."""
+    """Cuts lineage: a table in the shared folder, read back. A checkpoint would keep its plan's estimate of bytes, in loops a product of
+    products whose digits alone fill the driver; a table has its own size."""
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(f"{shared_dir(spark)}/{uuid.uuid4().hex}")
-    return df.checkpoint()
+    path = f"{shared_dir(spark)}/kept-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def merge_entities(rows: DataFrame, key: list[str], doc: str, confidence: str, richness: Column, seq: str) -> DataFrame:
@@ -109,20 +110,34 @@ def similar_names(names: DataFrame, block: str, id_col: str, name: str, least: f
     return pairs.withColumn("score", ratio(F.col("left"), F.col("right"))).where(F.col("score") >= least).select("a", "b", "score")
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 60) -> DataFrame:
-    """(node, component): smallest node reachable, by minimum labels with pointer jumping; raises if it does not settle."""
-    e = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v").distinct()
-    both = durable(e.union(e.select("v", "u")).distinct())
-    labels = durable(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("label")))
+def _with_least(edges: DataFrame, low: DataFrame, many: int) -> DataFrame:
+    """``edges`` with the ``m`` of their ``a`` from ``low`` (a, m, n). Nodes of over ``many`` edges are few and broadcast, so that no task gets
+    all the edges of one node."""
+    hot = F.broadcast(low.where(F.col("n") > many).select("a", F.col("m").alias("_hot")))
+    tagged = edges.join(hot, "a", "left")
+    rest = tagged.where("_hot is null").drop("_hot").join(low.where(F.col("n") <= many).drop("n"), "a")
+    return rest.select("a", "b", "m").union(tagged.where("_hot is not null").select("a", "b", F.col("_hot").alias("m")))
+
+
+def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 60, many: int = 100_000) -> DataFrame:
+    """(node, component): smallest node reachable, by large and small stars in turn; raises if it does not settle.
+
+    A large star links a node's larger neighbours with the least of them all, a small star its smaller ones. Both keep what hangs
+    together and shorten ways, so that the rounds grow with the logarithm of a way's length whatever the order of its nodes.
+    """
+    e = durable(edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where(f"`{a}` is not null and `{b}` is not null").where("a <> b").distinct())
+    mark = None
     for _ in range(most_rounds):
-        near = both.join(labels.select(F.col("u").alias("v"), "label"), "v").groupBy("u").agg(F.min("label").alias("near"))
-        new = labels.join(near, "u").select("u", F.least("label", "near").alias("label"))
-        jump = new.select(F.col("u").alias("label"), F.col("label").alias("root"))
-        new = durable(new.join(jump, "label", "left").select("u", F.coalesce("root", "label").alias("label")))
-        moved = new.join(labels.select("u", F.col("label").alias("old")), "u").where("label <> old").isEmpty()
-        labels = new
-        if moved:
-            return labels.select(F.col("u").alias("node"), F.col("label").alias("component"))
+        both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        low = both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).withColumn("m", F.least("a", "m"))
+        large = _with_least(both.where("b > a"), low, many).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = durable(large)
+        low = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+        hooked = _with_least(large, low, many).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        e = durable(hooked.union(low.select("a", F.col("m").alias("b"))).distinct())
+        old, mark = mark, tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+        if mark == old:
+            return e.select(F.col("a").alias("node"), F.col("b").alias("component")).union(e.select("b", "b").distinct())
     raise RuntimeError("components did not settle")
 
 

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import itertools
+import random
 
 import duckdb
 
@@ -32,3 +33,14 @@ def test_a_gap_of_two_hours_begins_a_session(spark, tmp_path):
     rows = [at(1, 0, 0), at(1, 1, 7199), at(1, 2, 14399.9), at(2, 3, 0), at(2, 4, 7200), at(2, 5, 14401), at(3, 6, 0.9), at(3, 7, 7200.1), at(3, 8, 7200.2)]
     got, want = both(spark, tmp_path, "stm_11_debounce", "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string", rows, "events")
     assert got == want and len(got) == 7
+
+
+def test_components_settle_in_few_rounds_in_any_order(spark):
+    from mereweave.operators import kg
+
+    order = [f"n{k:03d}" for k in range(300)]
+    random.Random(1).shuffle(order)
+    e = spark.createDataFrame([*itertools.pairwise(order), ("z", "y"), (None, "y")], "a string, b string")
+    for many in (100_000, 1):  # every node is one of many edges
+        out = {r.node: r.component for r in kg.components(e, most_rounds=12, many=many).collect()}
+        assert out == dict.fromkeys(order, "n000") | {"z": "y", "y": "y"}
