@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.mailbox import SCHEMA, MailboxSource
+from ..sources.mailbox import SCHEMA, MailboxSource, land
 from .registry import query
 from .streams import shared_base
 from .views import Views
@@ -31,7 +31,7 @@ def mail_stream(v: Views) -> DataFrame:
     v.spark.dataSource.register(MailboxSource)
     early = mails.withColumn("raw", F.when(~F.expr(_LATE), F.col("raw"))).drop("doc_id")
     for k, part in enumerate((early, mails.where(_LATE).drop("doc_id"))):
-        part.write.mode("append").parquet(f"{base}/mail")
+        land(part, f"{base}/mail")
         options = {"path": f"{base}/mail", "folders": _folders(v), "state": f"{base}/state", "attempts": "2" if k else "1000000"}
         stream = v.spark.readStream.format("mailbox").options(**options).load()
         # the first run stops at messages that are missing yet: nothing is given up in so few polls
@@ -51,6 +51,6 @@ def mail_since(v: Views) -> DataFrame:
     """Messages after a UID, but for those that can not be fetched or are too large."""
     base = shared_base(v.spark)
     v.spark.dataSource.register(MailboxSource)
-    _mails(v).drop("doc_id").write.parquet(f"{base}/mail")
+    land(_mails(v), f"{base}/mail")
     found = v.spark.read.format("mailbox").options(path=f"{base}/mail", folders=_folders(v), since_uid="100", max_bytes="20000").load()
     return found.select("folder", "uid", "size")

@@ -69,3 +69,25 @@ def test_another_validity_starts_the_folder_anew(tmp_path):
     end = stream.latestOffset()
     assert end["a"]["uid"] == 3 and end["a"]["validity"] == "2"
     assert [(p.after, p.upto) for p in stream.partitions({"a": START | {"uid": 3}}, end)] == [(0, 3)]
+
+
+def test_lost_messages_do_not_cost_a_poll_each():
+    listed, at, polls = [(u, u % 5 != 0) for u in range(1, 101)], START, 0
+    while at["uid"] < 100:
+        at = json.loads(json.dumps(poll([x for x in listed if x[0] > at["uid"]], at, 2, 40)))
+        polls += 1
+    assert polls <= 6  # of 20 lost ones
+    late = poll([(2, False), (3, False)], START, 2, 100)
+    assert poll([(2, True), (3, False), (4, True)], late, 2, 100) | {"behind": {}} == START | {"uid": 4, "gone": [3], "behind": {}}
+
+
+def test_a_landed_store_reads_no_more_than_it_is_asked_for(spark, tmp_path):
+    from mereweave.sources.mailbox import Store, land
+
+    where = f"file://{tmp_path}/mail"
+    for part in ([("a", u, None if u == 7 else b"x" * 9000) for u in range(1, 3001)] + [("b", 1, b"")], [("a", 7, b"late"), ("a", 3001, None)]):
+        land(spark.createDataFrame(part, "folder string, uid long, raw binary"), where)
+    store = Store(where)
+    assert list(store.listed("a", 0)) == [(u, u != 3001) for u in range(1, 3002)]
+    assert 0 < len(store._groups("a", 2990, 2999)) < len(store._groups("a", 0, None))
+    assert dict(store.fetch("a", 5, 8)) == {6: b"x" * 9000, 7: b"late", 8: b"x" * 9000}
