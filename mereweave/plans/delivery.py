@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.kg import durable
 from ..streaming import delivery as d
 from ..streaming.events import run_available
 from .registry import query
@@ -47,17 +48,21 @@ def actions(v: Views) -> DataFrame:
 
 
 def delivered(v: Views, parts: int = 3) -> DataFrame:
-    """Outcomes of all actions, which arrive in ``parts`` files by time and are taken one file a batch."""
+    """Outcomes of all actions, which arrive in ``parts`` parts by time; the stream is restarted after each and takes it as a batch.
+
+    The actions are made once and a part is written by many tasks: no task sorts or holds the log.
+    """
     base = shared_base(v.spark)
     low, high = v.table("events").agg(F.min("event_id"), F.max("event_id") + 1).first()
-    for k in range(parts if low is not None else 0):  # one after the other: the stream reads files in the order of their writing
-        cut = [low + (high - low) * (k + j) // parts for j in (0, 1)]
-        actions(v).where((F.col("seq") >= cut[0]) & (F.col("seq") < cut[1])).coalesce(1).write.mode("append").parquet(f"{base}/actions")
     if low is None:
         return v.spark.createDataFrame([], d.OUTCOMES)
-    stream = v.spark.readStream.schema(d.ACTIONS).option("maxFilesPerTrigger", 1).parquet(f"{base}/actions")
+    made = durable(actions(v))
     with d.state_store(v.spark):
-        run_available(d.deliver(stream, _HOURS * 3600), "", f"{base}/checkpoint", sink=lambda df, n: df.write.mode("overwrite").parquet(f"{base}/out/batch={n}"))
+        for k in range(parts):
+            cut = [low + (high - low) * (k + j) // parts for j in (0, 1)]
+            made.where((F.col("seq") >= cut[0]) & (F.col("seq") < cut[1])).write.mode("append").parquet(f"{base}/actions")
+            stream = v.spark.readStream.schema(d.ACTIONS).parquet(f"{base}/actions")
+            run_available(d.deliver(stream, _HOURS * 3600), "", f"{base}/checkpoint", sink=lambda df, n: df.write.mode("overwrite").parquet(f"{base}/out/batch={n}"))
     return v.spark.read.schema(d.OUTCOMES).parquet(f"{base}/out")
 
 
