@@ -113,6 +113,29 @@ def test_learns_stems_in_both_languages_and_scores_awkward_rows(spark):
     assert sorted((r.doc_id or -1, r.score) for r in again.collect()) == sorted((r.doc_id or -1, r.score) for r in got)
 
 
+def test_all_labelled_rows_are_learned_whatever_bounds_the_start(spark, monkeypatch):
+    rows = made(1400)
+    docs = spark.createDataFrame([(i, t, lang) for i, t, lang, _ in rows] + [(5000, "one of its own", "cc")], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, bad) for i, _, _, bad in rows if i % 7] + [(5000, 0)], "doc_id long, toxic int")
+    learned, whole = [], toxicity._round
+    monkeypatch.setattr(toxicity, "_round", lambda *args: (out := whole(*args), learned.append(out[2]))[0])
+    model = toxicity.fit(docs, labels, per_class=20, shard_rows=500)
+    assert model.langs == ["aa", "bb", "cc"]
+    hashes = docs.join(labels, "doc_id").selectExpr("xxhash64(text) as h").distinct().where("h % 4 <> 0")
+    assert learned == [hashes.count()] * 2
+    by = {r.doc_id: r.predicted for r in toxicity.score(docs, model).collect()}
+    held = [r for r in rows if r[0] % 7 == 0]
+    assert sum(by[i] == bad for i, _, _, bad in held) >= 0.95 * len(held)
+
+
+def test_threshold_of_bins_is_that_of_single_logits():
+    rng = np.random.default_rng(4)
+    z = rng.standard_normal(500)
+    y = (z + rng.standard_normal(500) > 1).astype(int)
+    at, of = np.unique(np.floor(z * 100_000), return_inverse=True)
+    assert toxicity._best_cut(z[np.argsort(of)], z[np.argsort(of)], y[np.argsort(of)], 1 - y[np.argsort(of)]) == toxicity.best_threshold(z, y)
+
+
 @pytest.mark.parametrize("label", [None, 0, 1])
 def test_without_both_labels(spark, label):
     docs = spark.createDataFrame([(1, "some text", "en"), (2, None, None)], "doc_id long, text string, lang string")
