@@ -40,13 +40,15 @@ def mbox(v: Views) -> DataFrame:
 _PARTS = '\nMIME-Version: 1.0\nContent-Type: multipart/mixed; boundary="B"\n\n--B\nContent-Type: text/plain; charset="utf-8"\n\nBalance of '
 
 
-def _maildir(v: Views) -> str:
-    """A file for each supplier: a text and an attachment with its balance."""
+def _maildir(v: Views, folders: int = 64) -> str:
+    """A file for each supplier: a text and an attachment with its balance. A folder holds the files of many and is written by one task, so
+    that the commit moves folders and not files, and that folders are listed side by side."""
     base, k = shared_base(v.spark), F.col("s_suppkey")
     sheet = F.concat(F.lit('\n--B\nContent-Type: text/csv\nContent-Disposition: attachment; filename="s-'), k, F.lit('.csv"\n\nkey,'), k, F.lit("\n--B--\n"))
     body = F.concat(F.lit(_PARTS.removeprefix("\n")), "s_name", sheet)
-    _text(v.table("supplier").select(k, _mail(k, F.col("s_name"), F.lit("Sheet"), body).alias("value")), f"{base}/mail", "s_suppkey")
-    return f"{base}/mail"
+    mail = v.table("supplier").select(F.pmod(F.hash(k), F.lit(folders)).alias("folder"), _mail(k, F.col("s_name"), F.lit("Sheet"), body).alias("value"))
+    mail.repartition(folders, "folder").write.partitionBy("folder").option("maxRecordsPerFile", 1).text(f"{base}/mail")
+    return f"{base}/mail/*"
 
 
 @query("src_05_maildir", "select '<' || s_suppkey || '@x.example>' as message_id, s_name as from_name, 'Balance of ' || s_name as body, 1 as attachments from supplier")

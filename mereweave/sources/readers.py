@@ -24,7 +24,11 @@ _EVENT = "path string, uid string, sequence int, summary string, starts string,
 
 
 def _files(spark: SparkSession, path: str, glob: str) -> DataFrame:
-    return spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path).select("path", "content")
+    """Path and bytes of all files below ``path``; where it stands for many folders (``base/*``) they are listed by tasks. Spark plans a task
+    for some 30 small files, which would cost more than the files, so tasks take several such parts."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path).select("path", "content")
+    parts = found.rdd.getNumPartitions()
+    return found.coalesce(max(1, min(parts, max(4 * spark.sparkContext.defaultParallelism, parts // 16))))
 
 
 def _message(path: str, raw: bytes) -> tuple:

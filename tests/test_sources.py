@@ -170,3 +170,16 @@ def test_pages_are_followed_to_the_first_gap(spark):
 def test_files_of_several_lines_are_one_row(spark, tmp_path):
     (tmp_path / "readme.md").write_text("one\ntwo\n")
     assert [r.content for r in readers.read_repository(spark, f"file://{tmp_path}").collect()] == ["one\ntwo\n"]
+
+
+def test_mail_is_landed_a_file_each_in_few_folders_and_read_in_few_tasks(spark):
+    from mereweave.plans import landed
+    from mereweave.plans.views import Views
+
+    path = landed._maildir(Views(spark, "/root/testdata/sf0.01"))
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").option("recursiveFileLookup", "true").load(path).select("path").collect()
+    assert len(files) == 100
+    assert len({f.path.rsplit("/", 1)[0] for f in files}) <= 64
+    many = landed._maildir(Views(spark, "/root/testdata/sf0.1"))
+    assert readers.read_maildir(spark, many, "*.txt").rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
+    assert readers.read_maildir(spark, many, "*.txt").select("message_id").distinct().count() == 1000
