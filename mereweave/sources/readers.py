@@ -12,6 +12,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from email.utils import getaddresses, parsedate_to_datetime
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,18 @@ def _files(spark: SparkSession, path: str, glob: str) -> DataFrame:
     return found.coalesce(max(1, min(parts, max(4 * spark.sparkContext.defaultParallelism, parts // 16))))
 
 
+def _plain(header: object) -> str | None:
+    """A header as plain text: the parser's own text keeps its whole parse tree, some 20 KB a message, as long as it is held."""
+    return None if header is None else str(header)
+
+
+def _rows(found: Iterator[tuple], schema: str, most: int = 1000) -> Iterator[pd.DataFrame]:
+    """Rows in frames of bounded length."""
+    columns = [c.split()[0] for c in schema.split(", ")]
+    while rows := list(islice(found, most)):
+        yield pd.DataFrame(rows, columns=columns)
+
+
 def _message(path: str, raw: bytes) -> tuple:
     m = email.message_from_bytes(raw, policy=email.policy.default)
     sender = getaddresses([str(m.get("From", ""))])[:1] or [("", "")]
@@ -41,7 +54,8 @@ def _message(path: str, raw: bytes) -> tuple:
         sent = None
     refs = (str(m.get("References", "")) or str(m.get("In-Reply-To", ""))).split()
     text = _content(body) if body is not None else ""
-    return path, m.get("Message-ID"), refs[0] if refs else m.get("Message-ID"), sender[0][1], sender[0][0], [a for _, a in getaddresses([str(x) for x in m.get_all("To", [])])], m.get("Subject"), sent, text, sum(1 for _ in m.iter_attachments())
+    key = _plain(m.get("Message-ID"))
+    return path, key, refs[0] if refs else key, sender[0][1], sender[0][0], [a for _, a in getaddresses([str(x) for x in m.get_all("To", [])])], _plain(m.get("Subject")), sent, text, sum(1 for _ in m.iter_attachments())
 
 
 def _content(part: email.message.EmailMessage) -> str:
@@ -57,7 +71,7 @@ def read_maildir(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            yield pd.DataFrame([_message(p, c) for p, c in zip(f["path"], f["content"], strict=True)], columns=[c.split()[0] for c in _MAIL.split(", ")])
+            yield from _rows((_message(p, c) for p, c in zip(f["path"], f["content"], strict=True)), _MAIL)
 
     return _files(spark, path, glob).mapInPandas(run, _MAIL)
 
@@ -75,7 +89,7 @@ def read_attachments(spark: SparkSession, path: str, glob: str = "*") -> DataFra
                 m = email.message_from_bytes(raw, policy=email.policy.default)
                 for k, part in enumerate(m.iter_attachments()):
                     data = part.get_payload(decode=True) or b""
-                    rows.append((p, m.get("Message-ID"), k, part.get_filename(), part.get_content_type(), len(data), hashlib.sha256(data).hexdigest()))
+                    rows.append((p, _plain(m.get("Message-ID")), k, part.get_filename(), part.get_content_type(), len(data), hashlib.sha256(data).hexdigest()))
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in _ATTACHMENT.split(", ")])
 
     return _files(spark, path, glob).mapInPandas(run, _ATTACHMENT)
@@ -103,7 +117,7 @@ def read_mbox(spark: SparkSession, path: str) -> DataFrame:
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            yield pd.DataFrame([_message(p, b.encode()) for p, b in zip(f["path"], f["body"], strict=True) if b.strip()], columns=[c.split()[0] for c in _MAIL.split(", ")])
+            yield from _rows((_message(p, b.encode()) for p, b in zip(f["path"], f["body"], strict=True) if b.strip()), _MAIL)
 
     return parts.mapInPandas(run, _MAIL)
 

@@ -183,3 +183,11 @@ def test_mail_is_landed_a_file_each_in_few_folders_and_read_in_few_tasks(spark):
     many = landed._maildir(Views(spark, "/root/testdata/sf0.1"))
     assert readers.read_maildir(spark, many, "*.txt").rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
     assert readers.read_maildir(spark, many, "*.txt").select("message_id").distinct().count() == 1000
+
+
+def test_a_read_message_holds_no_parse_trees():
+    m = mail(Message_ID="<a@x.example>", Subject="On time", From="A <a@x.example>", To="b@x.example", Date="Mon, 01 Jan 2024 10:00:00 +0100")
+    got = readers._message("p", m.as_bytes())
+    assert got[1:6] == ("<a@x.example>", "<a@x.example>", "a@x.example", "A", ["b@x.example"]) and got[6] == "On time"
+    assert all(type(x) in (str, list, int) for x in got)
+    assert [len(f) for f in readers._rows((got for _ in range(2500)), readers._MAIL)] == [1000, 1000, 500]
