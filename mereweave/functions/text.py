@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+from operator import and_, or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -93,15 +97,26 @@ SECRETS = (
     (r"-----BEGIN[A-Z ]*PRIVATE KEY-----[\s\S]*?-----END[A-Z ]*PRIVATE KEY-----", "[REDACTED_PRIVATE_KEY]"),
     (rf"(?U)(postgresql|postgres|mongodb|mysql|redis)://[^{_SPACE}]+", "[REDACTED_CONN_STRING]"),
     (rf"(?U)https?://[^:]+:[^@]+@[^{_SPACE}]+", "[REDACTED_URL_CREDS]"),
-    (r"[A-Za-z0-9+/]{50,}={0,2}", "[REDACTED_BASE64]"),
+    # a hit takes its whole run, so it is only sought from a run's start
+    (r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{50,}={0,2}", "[REDACTED_BASE64]"),
     # a hit takes its whole word, so it is only sought from a word's start
     (rf"(?U)(?<![^{_SPACE}])[^{_SPACE}]*(?:\.env|credentials|secrets|\.pem|\.key)[^{_SPACE}]*", "[REDACTED_PATH]"),
 )
 
 
+#: For each secret, literals of which every hit holds one (of each group): a text without them is not searched.
+_SECRET_SIGNS = ((("=",),), (("sk-", "ghp_", "ghu_", "github_pat_"),), (("Bearer",),), (("-----BEGIN",), ("PRIVATE KEY-----",)), (("://",),), (("http",), ("://",), ("@",)), (), ((".env", "credentials", "secrets", ".pem", ".key"),))
+
+
 def redact_secrets(text: Column) -> Column:
-    for pattern, mark in SECRETS:
-        text = F.regexp_replace(text, pattern, mark)
+    """The secrets' marks in their places. Each step is a lambda over one value, so that its text is found once though it is named thrice."""
+
+    def step(pattern: str, mark: str, signs: tuple) -> Callable[[Column], Column]:
+        has = lambda x: reduce(and_, [reduce(or_, [F.contains(x, F.lit(s)) for s in group]) for group in signs], F.lit(True))
+        return lambda x: F.when(has(x), F.regexp_replace(x, pattern, mark)).otherwise(x)
+
+    for (pattern, mark), signs in zip(SECRETS, _SECRET_SIGNS, strict=True):
+        text = F.get(F.transform(F.array(text), step(pattern, mark, signs)), F.lit(0))
     return text
 
 

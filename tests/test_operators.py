@@ -291,3 +291,22 @@ def test_nearest_vectors_of_mixed_lengths(spark):
     got = {(r.query_id, r.vec_id): r.s for r in nearest(df.where("id in (0, 2)"), df, "id", "v", 3).collect()}
     assert [k for k, s in sorted(got.items()) if s is not None] == [(0, 1), (0, 6), (2, 3)]
     assert abs(got[0, 1] - 1 / 1.01**0.5) < 1e-12 and got[0, 6] == 0.0
+
+
+def test_secrets_are_redacted_as_by_the_patterns_alone(spark):
+    from pyspark.sql import functions as F
+
+    from mereweave.functions import text as t
+
+    run = "aB3/" * 13
+    texts = [
+        None, "", "plain", "API_KEY=abc x", "A_B='p q' c", "sk-" + "a" * 20, "ghp_" + "b" * 25 + " github_pat_" + "c" * 22, "Bearer " + "t" * 30, "-----BEGIN RSA PRIVATE KEY-----\nx\n-----END RSA PRIVATE KEY-----",
+        "redis://h:1/x", "see https://u:p@h/x and http://a.b/c", run, run + "==" + run, "=" + run + "+", "ab" * 24, "x " + run[:50] + "=" + run[:49], "conf/.env secrets.yml a.pem b.key", "KEY=sk-" + "z" * 30 + " .key",
+    ]
+    plain = [(p if "50,}" not in p else p.replace("(?<![A-Za-z0-9+/])", ""), mark) for p, mark in t.SECRETS]
+    want = F.col("text")
+    for pattern, mark in plain:
+        want = F.regexp_replace(want, pattern, mark)
+    rows = spark.createDataFrame([(x,) for x in texts], "text string").select(t.redact_secrets(F.col("text")).alias("got"), want.alias("want")).collect()
+    assert [r.got for r in rows] == [r.want for r in rows]
+    assert sum(r.got != x for r, x in zip(rows, texts, strict=True)) >= 12
