@@ -9,7 +9,6 @@ canonical form); rows that repeat an id are one document for entities, each valu
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -38,7 +37,6 @@ BAD_PARTS = (
 NO_PERSON_PARTS = ("guide", "list", "process", "module", "service")
 NO_ORGANIZATION_PARTS = ("release", "guide", "process", "module")
 
-_WORD = re.compile(r"\w")
 _AUTOMATA: dict[str, object] = {}
 
 
@@ -50,24 +48,24 @@ def lowered(text: str) -> str:
 
 def _whole(text: str, start: int, stop: int) -> bool:
     """Whether word boundaries are on both sides."""
-    word = lambda i: 0 <= i < len(text) and _WORD.match(text[i]) is not None
+    word = lambda i: 0 <= i < len(text) and (text[i].isalnum() or text[i] == "_")
     return word(start - 1) != word(start) and word(stop - 1) != word(stop)
 
 
-def _automaton(key: str, names: list[str]):
-    """The worker's automaton of one dictionary; only the last one is held."""
+def _automaton(key: str, dictionary: list[tuple]):
+    """The worker's automaton of one dictionary, and the dictionary's columns; only the last one is held."""
     if key not in _AUTOMATA:
         import ahocorasick
 
         _AUTOMATA.clear()
         a = ahocorasick.Automaton()
         by: dict[str, list[int]] = {}
-        for i, n in enumerate(names):
+        for i, (n, *_) in enumerate(dictionary):
             by.setdefault(lowered(n), []).append(i)
         for low, ids in by.items():
             a.add_word(low, (len(low), ids))
         a.make_automaton()
-        _AUTOMATA[key] = a
+        _AUTOMATA[key] = a, [pa.array([d[k] for d in dictionary], pa.string()) for k in range(3)]
     return _AUTOMATA[key]
 
 
@@ -83,11 +81,11 @@ def _small(batch: pa.RecordBatch, most: int = 1 << 19) -> Iterator[pa.RecordBatc
         lo = hi
 
 
-def name_hits(docs: DataFrame, id_col: str, text_col: str, names: DataFrame, around: int = 50, most_names: int = 1_000_000) -> DataFrame:
+def name_hits(docs: DataFrame, id_col: str, text_col: str, names: DataFrame, around: int = 50, most_names: int = 1_000_000, brief: bool = False) -> DataFrame:
     """(id, name, kind, canonical, places, whole, same_case, context): each name that stands in a text in whatever case.
 
     ``whole`` counts its places between word boundaries, ``same_case`` says whether one is written as the name is, and ``context`` is the
-    text ``around`` the first place. ``names``: name, kind, and canonical where a form stands for another name.
+    text ``around`` the first place. ``brief`` leaves places, whole and context out, and what they cost. ``names``: name, kind, and canonical where a form stands for another name.
     """
     has = "canonical" in names.columns
     listed = names.where("name is not null and name <> ''").groupBy("name").agg(F.min("kind").alias("kind"), F.min("canonical" if has else "name").alias("canonical")).orderBy("name").limit(most_names + 1).collect()
@@ -96,11 +94,13 @@ def name_hits(docs: DataFrame, id_col: str, text_col: str, names: DataFrame, aro
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast([tuple(r) for r in listed])
     key = f"{id(listed)}-{len(listed)}-{hash(tuple(r[0] for r in listed))}"
-    kind = docs.schema[id_col].dataType.simpleString()
+    fields = {"id": docs.schema[id_col].dataType.simpleString(), "name": "string", "kind": "string", "canonical": "string", "places": "long", "whole": "long", "same_case": "boolean", "context": "string"}
+    if brief:
+        fields = {c: t for c, t in fields.items() if c not in ("places", "whole", "context")}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dictionary = sent.value
-        a = _automaton(key, [d[0] for d in dictionary])
+        a, columns = _automaton(key, dictionary)
         for batch in (part for whole in batches for part in _small(whole)):
             out: list[list] = [[], [], [], [], []]
             at = []
@@ -112,25 +112,29 @@ def name_hits(docs: DataFrame, id_col: str, text_col: str, names: DataFrame, aro
                 for last, (size, ids) in a.iter(low):
                     start = last + 1 - size
                     for i in ids:
-                        f = found.setdefault(i, [0, 0, False, start])
-                        f[0] += 1
-                        f[1] += _whole(text, start, last + 1)
+                        f = found.get(i)
+                        if f is None:
+                            f = found[i] = [0, 0, False, start]
+                        if not brief:
+                            f[0] += 1
+                            f[1] += _whole(text, start, last + 1)
                         f[2] = f[2] or text[start : last + 1] == dictionary[i][0]
+                at += [row] * len(found)
                 for i, (places, whole, same, start) in sorted(found.items()):
-                    at.append(row)
-                    context = text[max(0, start - around) : start + len(dictionary[i][0]) + around]
-                    for column, value in zip(out, (i, places, whole, same, context), strict=True):
-                        column.append(value)
-            ids = batch.column(0).take(pa.array(at, pa.int64()))
-            of = [dictionary[i] for i in out[0]]
-            names_, kinds, canonical = ([d[k] for d in of] for k in range(3))
-            yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(names_, pa.string()), pa.array(kinds, pa.string()), pa.array(canonical, pa.string()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.bool_()), pa.array(out[4], pa.string())],
-                ["id", "name", "kind", "canonical", "places", "whole", "same_case", "context"],
-            )
+                    out[0].append(i)
+                    out[3].append(same)
+                    if not brief:
+                        out[1].append(places)
+                        out[2].append(whole)
+                        out[4].append(text[max(0, start - around) : start + len(dictionary[i][0]) + around])
+            ids, of = batch.column(0).take(pa.array(at, pa.int64())), pa.array(out[0], pa.int64())
+            every = {"id": ids} | {c: x.take(of) for c, x in zip(("name", "kind", "canonical"), columns, strict=True)} | {"same_case": pa.array(out[3], pa.bool_())}
+            if not brief:
+                every |= {"places": pa.array(out[1], pa.int64()), "whole": pa.array(out[2], pa.int64()), "context": pa.array(out[4], pa.string())}
+            yield pa.RecordBatch.from_pydict({c: every[c] for c in fields})
 
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return own.mapInArrow(run, f"id {kind}, name string, kind string, canonical string, places long, whole long, same_case boolean, context string")
+    return own.mapInArrow(run, ", ".join(f"{c} {t}" for c, t in fields.items()))
 
 
 def any_part(text: Column, parts: tuple[str, ...]) -> Column:
@@ -144,16 +148,20 @@ def _identifiers(text: Column, around: int) -> Column:
     def of(kind: str, pattern: str) -> Column:
         values = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
         first = lambda x: F.regexp_instr(text, F.concat(F.lit(r"(?U)\b"), x, F.lit(r"\b")))
-        context = lambda x: F.lower(F.substring(text, F.greatest(F.lit(1), first(x) - around), F.least(F.lit(around), first(x) - 1) + F.length(x) + around))
+        once = lambda value, use: F.get(F.transform(F.array(value), use), F.lit(0))  # noqa: E731  # a value is found once though it is used often
+        context = lambda x: once(first(x), lambda at: F.lower(F.substring(text, F.greatest(F.lit(1), at - around), F.least(F.lit(around), at - 1) + F.length(x) + around)))
         named = F.lit("unknown")
         if kind != "CreditClass":
             return F.transform(values, lambda x, i: F.struct(F.lit(kind).alias("kind"), x.alias("value"), i.alias("place"), F.lit(None).cast("string").alias("credit_type")))
 
         def typed(x: Column) -> Column:
-            around_it, out = context(x), named
-            for t in reversed(CREDIT_TYPES):
-                out = F.when(F.contains(around_it, F.lit(t)), t).otherwise(out)
-            return out
+            def by(around_it: Column) -> Column:
+                out = named
+                for t in reversed(CREDIT_TYPES):
+                    out = F.when(F.contains(around_it, F.lit(t)), t).otherwise(out)
+                return out
+
+            return once(context(x), by)
 
         return F.transform(values, lambda x, i: F.struct(F.lit(kind).alias("kind"), x.alias("value"), i.alias("place"), typed(x).alias("credit_type")))
 
@@ -186,13 +194,21 @@ def semantic_entities(docs: DataFrame, id_col: str, text_col: str, names: DataFr
     ``names``: name, kind, and ``core``: core names count in any case and 0.95, other organisations as written and 0.9, other people as
     written and 0.95.
     """
-    hits = name_hits(docs, id_col, text_col, names.select("name", "kind", F.when(F.col("core"), "core").alias("canonical")))
+    order = F.array(*[F.lit(t) for t in sorted((*CREDIT_TYPES, "unknown"))])
+    # the largest type by its number: a largest text would make Spark sort all rows
+    best = F.max(F.nullif(F.array_position(order, F.col("credit_type")), F.lit(0))).alias("credit_type")
+    every = _semantic_hits(docs, id_col, text_col, names).groupBy("id", "kind", "value").agg(F.max("confidence").alias("confidence"), best)
+    return every.withColumn("credit_type", F.get(order, F.col("credit_type") - 1))
+
+
+def _semantic_hits(docs: DataFrame, id_col: str, text_col: str, names: DataFrame) -> DataFrame:
+    """The rows of ``semantic_entities``, a value once for each rule that finds it."""
+    hits = name_hits(docs, id_col, text_col, names.select("name", "kind", F.when(F.col("core"), "core").alias("canonical")), brief=True)
     core = F.coalesce(F.col("canonical") == "core", F.lit(False))
     listed = hits.where(core | F.col("same_case")).select("id", "kind", F.col("name").alias("value"), F.when(~core & (F.col("kind") == "Organization"), 0.9).otherwise(0.95).alias("confidence"), F.lit(None).cast("string").alias("credit_type"))
     by = docs.select(F.col(id_col).alias("id"), F.explode(authors(F.col(text_col))).alias("value")).select("id", F.lit("Person").alias("kind"), "value", F.lit(0.8).alias("confidence"), F.lit(None).cast("string").alias("credit_type"))
     ids = _with_identifiers(docs, id_col, text_col, 50).select("id", "kind", "value", F.lit(0.95).alias("confidence"), "credit_type")
-    every = listed.union(by).union(ids)
-    return every.groupBy("id", "kind", "value").agg(F.max("confidence").alias("confidence"), F.max("credit_type").alias("credit_type"))
+    return listed.union(by).union(ids)
 
 
 def claims(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -246,7 +262,7 @@ def hybrid(docs: DataFrame, id_col: str, text_col: str, names: DataFrame, known:
 
     hits = pattern_entities(docs, id_col, text_col).where(good_pattern_hit(F.col("kind"), F.col("value"), known))
     patterns = hits.select(F.col(id_col).alias("id"), "kind", "value", F.lit("pattern").alias("origin"), "confidence")
-    semantic = semantic_entities(docs, id_col, text_col, names).select("id", "kind", "value", F.lit("semantic").alias("origin"), "confidence")
+    semantic = _semantic_hits(docs, id_col, text_col, names).select("id", "kind", "value", F.lit("semantic").alias("origin"), "confidence")
     every = patterns.union(semantic)
-    first = F.min(F.struct((F.col("origin") != "pattern").alias("rank"), F.col("value"), F.col("origin"), F.col("confidence"))).alias("f")
-    return every.groupBy("id", "kind", F.upper("value").alias("key")).agg(first).select("id", "kind", "key", "f.value", "f.origin", "f.confidence")
+    first = F.min(F.struct((F.col("origin") != "pattern").alias("rank"), F.col("value"), F.col("origin"), (-F.col("confidence")).alias("less"))).alias("f")  # of one value the best confidence
+    return every.groupBy("id", "kind", F.upper("value").alias("key")).agg(first).select("id", "kind", "key", "f.value", "f.origin", (-F.col("f.less")).alias("confidence"))

@@ -81,3 +81,23 @@ def test_hybrid_prefers_patterns(spark):
     names = spark.createDataFrame([("Core Org", "Organization", True)], "name string, kind string, core boolean")
     got = {(r.kind, r.key, r.origin) for r in e.hybrid(docs, "id", "text", names).collect()}
     assert {("CreditClass", "C01", "pattern"), ("Organization", "CORE ORG", "semantic"), ("Person", "BOB STONE", "pattern")} <= got
+
+
+def test_brief_hits_are_the_same_names_without_places_and_contexts(spark):
+    from mereweave.operators import entities as e
+
+    docs = spark.createDataFrame([(1, "Stonewall and stonewall, Lantern_x"), (2, None), (3, "lantern"), (1, "Lantern")], "id long, text string")
+    names = spark.createDataFrame([("Stonewall", "Person"), ("Lantern", "Organization")], "name string, kind string")
+    brief = e.name_hits(docs, "id", "text", names, brief=True)
+    assert brief.columns == ["id", "name", "kind", "canonical", "same_case"]
+    full = e.name_hits(docs, "id", "text", names).select(*brief.columns)
+    assert sorted(map(tuple, brief.collect())) == sorted(map(tuple, full.collect())) and full.count() == 4
+
+
+def test_merged_entities_keep_the_credit_type(spark):
+    from mereweave.operators import entities as e
+
+    docs = spark.createDataFrame([(1, "C01 carbon of Stonewall"), (2, "C01 of soil"), (3, "C01 alone")], "id long, text string")
+    names = spark.createDataFrame([("Stonewall", "Person", True)], "name string, kind string, core boolean")
+    rows = {(r.id, r.value): r.credit_type for r in e.semantic_entities(docs, "id", "text", names).collect()}
+    assert rows == {(1, "C01"): "carbon", (2, "C01"): "soil", (3, "C01"): "unknown", (1, "Stonewall"): None}
