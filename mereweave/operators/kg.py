@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -35,6 +37,21 @@ def durable(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_tasks(spark: SparkSession, rows: int, per: int = 500_000, size: str = "8m") -> Iterator[None]:
+    """While it lasts, scans read about ``size`` in a task and shuffles of ``rows`` rows have one part for each ``per`` of them at least, so
+    that sorts and hash tables of a task stay as large as they are whatever the input's size. Only what runs inside is changed."""
+    own = {"spark.sql.files.maxPartitionBytes": size, "spark.sql.adaptive.advisoryPartitionSizeInBytes": size, "spark.sql.shuffle.partitions": str(max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per)))}
+    before = {name: spark.conf.get(name) for name in own}
+    try:
+        for name, value in own.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def merge_entities(rows: DataFrame, key: list[str], doc: str, confidence: str, richness: Column, seq: str) -> DataFrame:
     """Dedup-merge: occurrences, distinct documents, best confidence, and the fields of the richest row (earliest of equals)."""
     best = F.max_by(F.col(seq), F.struct(richness, -F.col(seq)))
@@ -125,19 +142,20 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
     A large star links a node's larger neighbours with the least of them all, a small star its smaller ones. Both keep what hangs
     together and shorten ways, so that the rounds grow with the logarithm of a way's length whatever the order of its nodes.
     """
-    e = durable(edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where(f"`{a}` is not null and `{b}` is not null").where("a <> b").distinct())
-    mark = None
-    for _ in range(most_rounds):
-        both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).withColumn("m", F.least("a", "m"))
-        large = _with_least(both.where("b > a"), low, many).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        large = durable(large)
-        low = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
-        hooked = _with_least(large, low, many).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        e = durable(hooked.union(low.select("a", F.col("m").alias("b"))).distinct())
-        old, mark = mark, tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if mark == old:
-            return e.select(F.col("a").alias("node"), F.col("b").alias("component")).union(e.select("b", "b").distinct())
+    e = durable(edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where(f"`{a}` is not null and `{b}` is not null").where("a <> b"))
+    with small_tasks(e.sparkSession, 2 * e.count()):
+        mark = None
+        for _ in range(most_rounds):
+            both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
+            low = both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).withColumn("m", F.least("a", "m"))
+            large = _with_least(both.where("b > a"), low, many).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+            large = durable(large)
+            low = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+            hooked = _with_least(large, low, many).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+            e = durable(hooked.union(low.select("a", F.col("m").alias("b"))).distinct())
+            old, mark = mark, tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+            if mark == old:
+                return durable(e.select(F.col("a").alias("node"), F.col("b").alias("component")).union(e.select("b", "b").distinct()))
     raise RuntimeError("components did not settle")
 
 

@@ -80,9 +80,10 @@ with recursive e as (select distinct l_orderkey as o, 1000000000000 + l_suppkey
 select node, component from (select *, count(*) over (partition by component) as n from reach where node < 1000000000000) r where n > 1""")
 def component_labels(v: Views) -> DataFrame:
     """Orders that share a supplier: each is linked with its supplier's first order, so no group is paired."""
-    e = v.table("lineitem").select(F.col("l_orderkey").alias("b"), "l_suppkey").distinct()
+    e = v.table("lineitem").select(F.col("l_orderkey").alias("b"), "l_suppkey")
     first = e.groupBy("l_suppkey").agg(F.min("b").alias("a"))
-    return kg.components(e.join(first, "l_suppkey").select("a", "b"))
+    with kg.small_tasks(v.spark, e.count()):
+        return kg.components(e.join(first, "l_suppkey").select("a", "b"))
 
 
 _BEATS = "case when f.sequence is not null and r.sequence is not null and f.sequence <> r.sequence then r.sequence > f.sequence else coalesce(r.stamp >= f.stamp, true) end"

@@ -144,6 +144,18 @@ def test_components_of_all_orders(spark):
     assert dict(rows(plans.load().QUERIES["grf_01_components"](spark, sf), "node", "component")) == want and len(want) > 1000
 
 
+def test_tasks_of_components_stay_small(spark, monkeypatch):
+    """The parts of a shuffle grow with the rows and what a task reads is bounded, only while it lasts."""
+    names = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    before, seen, whole, small = [spark.conf.get(n) for n in names], [], kg.durable, kg.small_tasks
+    monkeypatch.setattr(kg, "durable", lambda df: (seen.append([spark.conf.get(n) for n in names]), whole(df))[1])
+    monkeypatch.setattr(kg, "small_tasks", lambda s, n: small(s, n, per=10))
+    out = kg.components(spark.range(300).selectExpr("id + 1 as a", "id as b"))
+    assert all(x == ["60", "8m", "8m"] for x in seen[1:]) and len(seen) > 2
+    assert [spark.conf.get(n) for n in names] == before
+    assert out.where("component = 0").count() == out.count() == 301
+
+
 def test_version_fold_is_in_arrival_order(spark):
     r = spark.createDataFrame([("u", 2, "20240101", 1), ("u", 1, "20240201", 2), ("u", None, "20240301", 3), ("u", 0, "20240215", 4)], "uid string, sequence int, stamp string, arrival long")
     assert rows(kg.version_winner(r), "uid", "arrival") == [("u", 3)]
