@@ -13,10 +13,11 @@ reference blocks with every rolling run of block length:
    as its copies.
 3. Words covered by kept windows are removed.
 
-Codes are dealt out over at most ``FAN`` parts at once; where the input needs more, groups of codes of one part are
-merged and dealt again by the next bits, so a chunk never makes more than ``FAN`` rows and rows stay large. At every
-level, equal codes that meet are decided on the spot and only one goes on: a passage in very many documents reaches its
-last partition a bounded number of times for each group below it.
+Codes are dealt out over at most ``FAN`` parts at once, and a part of more entries is matched share by share of its range, so
+that codes travel once up to ``FAN << SHARE_LOG`` times ``per_part`` entries (about 100 GB of text). Where the input needs more,
+groups of codes of one part are merged and dealt again by the next bits, so a chunk never makes more than ``FAN`` rows and rows
+stay large. At every level, equal codes that meet are decided on the spot and only one goes on: a passage in very many documents
+reaches its last partition a bounded number of times for each group below it.
 
 Windows are judged on the input, not on what is left. Nulls and edges: a null text has no words; texts
 shorter than a window lose nothing; ids of any type, null or repeated, only name rows: documents are told apart
@@ -41,9 +42,10 @@ _CODES = "part long, chunk long, n int, high binary, low binary, extra binary, o
 _NAMES = [c.split()[0] for c in _CODES.split(", ")]
 _KINDS = [{"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}[c.split()[1]] for c in _CODES.split(", ")]
 _MATCHED = "chunk long, ids binary, owner binary, hits binary"
-#: Leading bits of one deal, and its parts.
-FAN_LOG = 7
+#: Leading bits of one deal, and its parts; bits of the shares in which a part is matched.
+FAN_LOG = 11
 FAN = 1 << FAN_LOG
+SHARE_LOG = 3
 #: Bits of an anchor's code beyond those that name its last part; exact windows carry 64 bits and 64 more.
 ANCHOR_BITS = 28
 _SLICE = 2 << 20
@@ -132,11 +134,11 @@ class _Codes:
 
     def hits(self) -> list[tuple]:
         """(chunk, owners, hashes) of the decided entries, one row a chunk."""
-        at = np.flatnonzero(self.hit)
-        at = at[np.argsort(self.origin[at], kind="stable")]
-        of = self.origin[at]
-        edges = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1], [True]])).tolist() if len(at) else [0]
-        return [(int(self.origins[of[a]]), self.owner[at[a:b]].tobytes(), self.h[at[a:b]].tobytes()) for a, b in zip(edges, edges[1:], strict=False)]
+        return _hit_rows([self.decided()], self.origins)
+
+    def decided(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Origins, owners and hashes of the decided entries."""
+        return self.origin[self.hit], self.owner[self.hit], self.h[self.hit]
 
     def rows(self, lead: int, code_bits: int, chunk: int) -> list[tuple]:
         """Code rows of what goes on, by the first ``lead`` bits: all undecided entries and one of each decided hash."""
@@ -156,6 +158,17 @@ class _Codes:
         return out
 
 
+def _hit_rows(decided: list[tuple], origins: np.ndarray) -> list[tuple]:
+    """(chunk, owners, hashes) of decided entries of several shares, one row a chunk."""
+    if not decided:
+        return []
+    of, owner, h = (np.concatenate(x) for x in zip(*decided, strict=True))
+    at = np.argsort(of, kind="stable")
+    of, owner, h = of[at], owner[at], h[at]
+    edges = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1], [True]])).tolist() if len(of) else [0]
+    return [(int(origins[of[a]]), owner[a:b].tobytes(), h[a:b].tobytes()) for a, b in zip(edges, edges[1:], strict=False)]
+
+
 def _spread(chunk: int, lead: int) -> int:
     """The part through which a chunk's own rows travel."""
     return ((chunk >> 32) * 1_000_003 + (chunk & 0xFFFFFFFF)) % (1 << lead)
@@ -180,9 +193,9 @@ def _first_rows(h: np.ndarray, extra, owner: np.ndarray, ref: np.ndarray, ids: n
     return _batch([home, *codes.rows(lead, code_bits, chunk)])
 
 
-def _load(table: pa.Table, lead: int, code_bits: int) -> tuple[list[dict], _Codes | None]:
-    """The rows of a group that only pass through, and its code entries together."""
-    through, parts, base = [], [], 0
+def _load(table: pa.Table, lead: int, code_bits: int, share_log: int = 0) -> tuple[list[dict], np.ndarray, Iterator[_Codes]]:
+    """The rows of a group that only pass through, the chunks of its code entries, and the entries in shares by the bits after ``lead``."""
+    through, parts, tables, base = [], [], [], 0
     for batch in table.select(_NAMES).to_batches():
         for r in batch.to_pylist():
             if r["hits"] is not None:
@@ -190,23 +203,39 @@ def _load(table: pa.Table, lead: int, code_bits: int) -> tuple[list[dict], _Code
                 continue
             n, origins = r["n"], np.frombuffer(r["origins"], "<i8")
             h = _read(r["high"], r["low"], n, r["part"], lead, code_bits - lead)
-            origin = np.zeros(n, np.int64) if r["origin"] is None else np.frombuffer(r["origin"], _origin_kind(origins)).astype(np.int64)
+            edges = [0, n]
+            if share_log:
+                share = (h << np.uint64(lead)) >> np.uint64(64 - share_log)
+                edges = np.searchsorted(share, np.arange((1 << share_log) + 1, dtype=np.uint64)).tolist()
+            origin = None if r["origin"] is None else np.frombuffer(r["origin"], _origin_kind(origins))
             extra = None if r["extra"] is None else np.frombuffer(r["extra"], np.uint64)
             ref = np.unpackbits(np.frombuffer(r["ref"], np.uint8), count=n).astype(bool)
-            parts.append((h, extra, np.frombuffer(r["owner"], "<u2"), ref, origin + base, origins))
+            parts.append((edges, h, extra, np.frombuffer(r["owner"], "<u2"), ref, origin, base))
+            tables.append(origins)
             base += len(origins)
-    if not parts:
-        return through, None
-    h, extra, owner, ref, origin, origins = zip(*parts, strict=True)
-    codes = _Codes(np.concatenate(h), None if extra[0] is None else np.concatenate(extra), np.concatenate(owner), np.concatenate(ref), np.concatenate(origin), np.concatenate(origins))
-    return through, codes
+    every = np.concatenate(tables) if tables else np.zeros(0, np.int64)
+
+    def shares() -> Iterator[_Codes]:
+        for k in range(1 << share_log if parts else 0):
+            some = []
+            for edges, h, extra, owner, ref, origin, first in parts:
+                lo, hi = edges[k], edges[k + 1]
+                if hi > lo:
+                    of = np.full(hi - lo, first, np.int64) if origin is None else origin[lo:hi].astype(np.int64) + first
+                    some.append((h[lo:hi], None if extra is None else extra[lo:hi], owner[lo:hi], ref[lo:hi], of))
+            if some:
+                h, extra, owner, ref, of = zip(*some, strict=True)
+                yield _Codes(np.concatenate(h), None if extra[0] is None else np.concatenate(extra), np.concatenate(owner), np.concatenate(ref), np.concatenate(of), every)
+
+    return through, every, shares()
 
 
 def _deal_again(codes: DataFrame, lead: int, to: int, code_bits: int, groups: int) -> DataFrame:
     """Merges the codes of a part, in ``groups`` shares by chunk, and deals each share out by its next bits."""
 
     def run(table: pa.Table) -> pa.Table:
-        through, merged = _load(table, lead, code_bits)
+        through, _, shares = _load(table, lead, code_bits)
+        merged = next(shares, None)
         out = [(_spread(r["chunk"], to), *[r[name] for name in _NAMES[1:]]) for r in through]
         if merged is not None:
             out += [(_spread(c, to), c, 0, None, None, None, owner, None, None, None, None, hits) for c, owner, hits in merged.hits()]
@@ -219,14 +248,13 @@ def _deal_again(codes: DataFrame, lead: int, to: int, code_bits: int, groups: in
     return codes.withColumn("share", F.pmod(F.xxhash64("chunk"), F.lit(groups))).groupBy("part", "share").applyInArrow(run, _CODES)
 
 
-def _match(codes: DataFrame, lead: int, code_bits: int) -> DataFrame:
+def _match(codes: DataFrame, lead: int, code_bits: int, share_log: int = 0) -> DataFrame:
     """(chunk, ids, owner, hits): within each part, the entries whose hash comes twice and at a reference."""
 
     def run(table: pa.Table) -> pa.Table:
-        through, merged = _load(table, lead, code_bits)
+        through, origins, shares = _load(table, lead, code_bits, share_log)
         out = [(r["chunk"], r["ids"], r["owner"], r["hits"]) for r in through]
-        if merged is not None:
-            out += [(c, None, owner, hits) for c, owner, hits in merged.hits()]
+        out += [(c, None, owner, hits) for c, owner, hits in _hit_rows([codes.decided() for codes in shares], origins)]
         cols = list(zip(*out, strict=True)) if out else [()] * 4
         return pa.table({name: pa.array(c, k) for name, c, k in zip(("chunk", "ids", "owner", "hits"), cols, (pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)})
 
@@ -234,14 +262,14 @@ def _match(codes: DataFrame, lead: int, code_bits: int) -> DataFrame:
 
 
 def _decided(codes: DataFrame, parts_log: int, code_bits: int, chunks: int, together: int = 128) -> DataFrame:
-    """Deals first-level codes on, level by level, until ``1 << parts_log`` parts are reached, and matches each."""
+    """Deals first-level codes on, level by level, until shares of parts are as many as ``1 << parts_log``, and matches each."""
     lead = min(parts_log, FAN_LOG)
-    while lead < parts_log:
-        to = min(parts_log, lead + FAN_LOG)
+    while lead + SHARE_LOG < parts_log:
+        to = min(parts_log - SHARE_LOG, lead + FAN_LOG)
         chunks //= together
         codes = _deal_again(codes, lead, to, code_bits, max(1, chunks))
         lead = to
-    return _match(codes, lead, code_bits)
+    return _match(codes, lead, code_bits, parts_log - lead)
 
 
 def _by_document(matched: DataFrame) -> DataFrame:

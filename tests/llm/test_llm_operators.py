@@ -180,6 +180,29 @@ def test_substrings_dealt_over_several_levels(spark, per_part):
     assert got == brute_repeats(list(enumerate(texts)), 35)
 
 
+def _shared_passages(n=60):
+    rng = np.random.default_rng(8)
+    word = lambda k: " ".join(f"w{x}" for x in rng.integers(0, 50, k))
+    shared = word(50)
+    return [f"{word(rng.integers(0, 120))} {shared} {word(rng.integers(0, 90))}" for _ in range(n)] + [shared] * 5
+
+
+def test_substring_codes_travel_once_over_many_parts(spark, monkeypatch):
+    """8,192 parts: one deal, parts matched in shares; shuffled bytes grow with the input, not with a second deal."""
+    monkeypatch.setattr(substrings, "_deal_again", None)
+    texts = _shared_passages()
+    got = sorted(tuple(r) for r in substrings.digests(documents(spark, texts), per_part=2).collect())
+    assert got == brute_repeats(list(enumerate(texts)), 35)
+
+
+def test_substrings_dealt_again_then_matched_in_shares(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "FAN_LOG", 3)
+    monkeypatch.setattr(substrings, "SHARE_LOG", 2)
+    texts = _shared_passages()
+    got = sorted(tuple(r) for r in substrings.digests(documents(spark, texts), per_part=20).collect())
+    assert got == brute_repeats(list(enumerate(texts)), 35)
+
+
 def test_substring_codes_read_back():
     rng = np.random.default_rng(1)
     for n, lead, bits in ((0, 3, 28), (1, 0, 28), (5, 7, 29), (1000, 7, 35), (3000, 0, 64), (70_000, 14, 50)):
