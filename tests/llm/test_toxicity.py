@@ -128,6 +128,20 @@ def test_all_labelled_rows_are_learned_whatever_bounds_the_start(spark, monkeypa
     assert sum(by[i] == bad for i, _, _, bad in held) >= 0.95 * len(held)
 
 
+def test_texts_without_a_label_do_not_travel(spark):
+    docs = spark.range(-20_000, 60_000).selectExpr("id as doc_id", "'t' as text").union(spark.sql("select null, 'none'"))
+    for every, most_log in ((10, 27), (10, 15), (100_000, 27)):
+        own = spark.range(-20_000, 60_000, every).selectExpr("id as doc_id", "1 as label")
+        n = own.count()
+        got = toxicity._likely(docs, own, "doc_id", n, most_log)
+        assert got.columns == docs.columns and got.join(own, "doc_id").count() == n
+        assert got.count() <= n + (0.08 if most_log == 27 else 0.25) * 80_000
+    assert toxicity._likely(docs, own.limit(0), "doc_id", 0).count() == 0
+    assert toxicity._likely(docs, own.selectExpr("cast(doc_id as int) as doc_id"), "doc_id", 1).count() == docs.count()
+    names = docs.selectExpr("cast(doc_id as string) as doc_id", "text")
+    assert toxicity._likely(names, spark.createDataFrame([("7",), ("x",)], "doc_id string"), "doc_id", 2).where("doc_id = '7'").count() == 1
+
+
 def test_threshold_of_bins_is_that_of_single_logits():
     rng = np.random.default_rng(4)
     z = rng.standard_normal(500)
