@@ -1,7 +1,7 @@
 """Entity extraction by dictionaries and rules: whitelist, semantic rules with claims and relations, and their merge with pattern hits.
 
-Names of any dictionary are sought in one pass over a text by an automaton that each worker builds once; everything after that is column
-functions. A dictionary is broadcast, so its size is checked: more than ``most_names`` names raise ``ValueError``.
+Names of any dictionary are sought in one pass over a text by hashes (``names``); everything after that is column functions, or in the merge
+with pattern hits a map of each text. A dictionary is broadcast, so its size is checked: more than ``most_names`` names raise ``ValueError``.
 
 Nulls and edges: a null text gives no rows; null or empty names are ignored; a name that comes twice is one name (its smallest kind and
 canonical form); rows that repeat an id are one document for entities, each value once, and separate ones for claims and relations.
@@ -9,13 +9,16 @@ canonical form); rows that repeat an id are one document for entities, each valu
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .names import Names
+
 #: Marks of menus, headings, tables and code around a name, and what identifiers look like.
 MENU_MARKS = ("* [", "](#", "](/", "###", "##", "```", "| ", "Table of Contents", "Prerequisites", "See also", "Related", "Navigation", "Menu")
 IDENTIFIERS = (("CreditClass", r"(?U)\b(C[0-9]{2,3})\b"), ("Project", r"(?U)\b(P[0-9]{3,4})\b"), ("Methodology", r"(?U)\b(VM[0-9]{4})\b"))
@@ -26,7 +29,7 @@ NO_AUTHORS = (
     "example output", "quick start", "line interface",
 )
 NO_AUTHOR_PARTS = ("guide", "process", "checklist", "setup")
-AUTHORS = (r"(?U)(?:by|author|written by)\s+([A-Z][a-z]+ [A-Z][a-z]+)", r"(?U)—\s*([A-Z][a-z]+ [A-Z][a-z]+)")
+AUTHORS = (r"(?U)[yr](?<=by|author)\s+([A-Z][a-z]+ [A-Z][a-z]+)", r"(?U)—\s*([A-Z][a-z]+ [A-Z][a-z]+)")
 CLAIMS = (r"(?iU)(must|should|required|recommended|may)\s+([^.]+)", r"(?iU)(The following[^:]+:)\s*([^.]+)", r"(?iU)(Each [^:]+:)\s*([^.]+)")
 VERBS = ("developed|created|built|maintains", "uses|implements|follows")
 #: What disqualifies a pattern hit.
@@ -37,36 +40,16 @@ BAD_PARTS = (
 NO_PERSON_PARTS = ("guide", "list", "process", "module", "service")
 NO_ORGANIZATION_PARTS = ("release", "guide", "process", "module")
 
-_AUTOMATA: dict[str, object] = {}
-
-
-def lowered(text: str) -> str:
-    """Lower case, character by character, so that places stay the same."""
-    low = text.lower()
-    return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
-
-
-def _whole(text: str, start: int, stop: int) -> bool:
-    """Whether word boundaries are on both sides."""
-    word = lambda i: 0 <= i < len(text) and (text[i].isalnum() or text[i] == "_")
-    return word(start - 1) != word(start) and word(stop - 1) != word(stop)
 
-
-def _automaton(key: str, dictionary: list[tuple]):
-    """The worker's automaton of one dictionary, and the dictionary's columns; only the last one is held."""
-    if key not in _AUTOMATA:
-        import ahocorasick
-
-        _AUTOMATA.clear()
-        a = ahocorasick.Automaton()
-        by: dict[str, list[int]] = {}
-        for i, (n, *_) in enumerate(dictionary):
-            by.setdefault(lowered(n), []).append(i)
-        for low, ids in by.items():
-            a.add_word(low, (len(low), ids))
-        a.make_automaton()
-        _AUTOMATA[key] = a, [pa.array([d[k] for d in dictionary], pa.string()) for k in range(3)]
-    return _AUTOMATA[key]
+def _dictionary(names: DataFrame, most_names: int) -> tuple[Names, pa.Table]:
+    """The names to be sought and, in their order, name, kind, canonical, the name in upper case and a hash of it with the kind."""
+    has = "canonical" in names.columns
+    each = names.where("name is not null and name <> ''").groupBy("name").agg(F.min("kind").alias("kind"), F.min("canonical" if has else "name").cast("string").alias("canonical"))
+    listed = each.withColumn("key", F.upper("name")).withColumn("hash", F.xxhash64("kind", "key")).limit(most_names + 1).toArrow().combine_chunks()
+    if len(listed) > most_names:
+        raise ValueError(f"more than {most_names} names")
+    listed = listed.take(pc.sort_indices(listed["name"])).combine_chunks()
+    return Names(listed["name"].to_pylist()), listed
 
 
 def _small(batch: pa.RecordBatch, most: int = 1 << 19) -> Iterator[pa.RecordBatch]:
@@ -87,53 +70,31 @@ def name_hits(docs: DataFrame, id_col: str, text_col: str, names: DataFrame, aro
     ``whole`` counts its places between word boundaries, ``same_case`` says whether one is written as the name is, and ``context`` is the
     text ``around`` the first place. ``brief`` leaves places, whole and context out, and what they cost. ``names``: name, kind, and canonical where a form stands for another name.
     """
-    has = "canonical" in names.columns
-    listed = names.where("name is not null and name <> ''").groupBy("name").agg(F.min("kind").alias("kind"), F.min("canonical" if has else "name").alias("canonical")).orderBy("name").limit(most_names + 1).collect()
-    if len(listed) > most_names:
-        raise ValueError(f"more than {most_names} names")
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast([tuple(r) for r in listed])
-    key = f"{id(listed)}-{len(listed)}-{hash(tuple(r[0] for r in listed))}"
+    own = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    finder, listed = _dictionary(names, most_names)
+    sent = docs.sparkSession.sparkContext.broadcast((finder, [listed[c].combine_chunks() for c in ("name", "kind", "canonical")]))
     fields = {"id": docs.schema[id_col].dataType.simpleString(), "name": "string", "kind": "string", "canonical": "string", "places": "long", "whole": "long", "same_case": "boolean", "context": "string"}
     if brief:
         fields = {c: t for c, t in fields.items() if c not in ("places", "whole", "context")}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        dictionary = sent.value
-        a, columns = _automaton(key, dictionary)
+        finder, columns = sent.value
         for batch in (part for whole in batches for part in _small(whole)):
-            out: list[list] = [[], [], [], [], []]
-            at = []
-            for row, text in enumerate(batch.column(1).to_pylist()):
-                if not text or not dictionary:
-                    continue
-                low = lowered(text)
-                found: dict[int, list] = {}
-                for last, (size, ids) in a.iter(low):
-                    start = last + 1 - size
-                    for i in ids:
-                        f = found.get(i)
-                        if f is None:
-                            f = found[i] = [0, 0, False, start]
-                        if not brief:
-                            f[0] += 1
-                            f[1] += _whole(text, start, last + 1)
-                        f[2] = f[2] or text[start : last + 1] == dictionary[i][0]
-                at += [row] * len(found)
-                for i, (places, whole, same, start) in sorted(found.items()):
-                    out[0].append(i)
-                    out[3].append(same)
-                    if not brief:
-                        out[1].append(places)
-                        out[2].append(whole)
-                        out[4].append(text[max(0, start - around) : start + len(dictionary[i][0]) + around])
-            ids, of = batch.column(0).take(pa.array(at, pa.int64())), pa.array(out[0], pa.int64())
-            every = {"id": ids} | {c: x.take(of) for c, x in zip(("name", "kind", "canonical"), columns, strict=True)} | {"same_case": pa.array(out[3], pa.bool_())}
+            texts = batch.column(1).to_pylist()
+            row, name, start, same, whole = finder.find(texts, whole=not brief)
+            by = np.lexsort((start, name, row))
+            row, name, start, same, whole = (x[by] for x in (row, name, start, same, whole))
+            first = np.flatnonzero(np.diff(row, prepend=-1) | np.diff(name, prepend=-1))  # of each name in a text
+            if not len(first):
+                continue
+            of = pa.array(name[first])
+            every = {"id": batch.column(0).take(pa.array(row[first]))} | {c: x.take(of) for c, x in zip(("name", "kind", "canonical"), columns, strict=True)} | {"same_case": pa.array(np.logical_or.reduceat(same, first))}
             if not brief:
-                every |= {"places": pa.array(out[1], pa.int64()), "whole": pa.array(out[2], pa.int64()), "context": pa.array(out[4], pa.string())}
+                sizes = np.array(pc.utf8_length(every["name"]))
+                context = [texts[r][max(0, s - around) : s + n + around] for r, s, n in zip(row[first].tolist(), start[first].tolist(), sizes.tolist(), strict=True)]
+                every |= {"places": pa.array(np.diff(first, append=len(row))), "whole": pa.array(np.add.reduceat(whole.astype(np.int64), first)), "context": pa.array(context, pa.string())}
             yield pa.RecordBatch.from_pydict({c: every[c] for c in fields})
 
-    own = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     return own.mapInArrow(run, ", ".join(f"{c} {t}" for c, t in fields.items()))
 
 
@@ -201,9 +162,14 @@ def semantic_entities(docs: DataFrame, id_col: str, text_col: str, names: DataFr
     return every.withColumn("credit_type", F.get(order, F.col("credit_type") - 1))
 
 
-def _semantic_hits(docs: DataFrame, id_col: str, text_col: str, names: DataFrame) -> DataFrame:
+def _marked(names: DataFrame) -> DataFrame:
+    """The dictionary of ``semantic_entities`` with its core names marked by their canonical form."""
+    return names.select("name", "kind", F.when(F.col("core"), "core").alias("canonical"))
+
+
+def _semantic_hits(docs: DataFrame, id_col: str, text_col: str, names: DataFrame, most_names: int = 1_000_000) -> DataFrame:
     """The rows of ``semantic_entities``, a value once for each rule that finds it."""
-    hits = name_hits(docs, id_col, text_col, names.select("name", "kind", F.when(F.col("core"), "core").alias("canonical")), brief=True)
+    hits = name_hits(docs, id_col, text_col, _marked(names), most_names=most_names, brief=True)
     core = F.coalesce(F.col("canonical") == "core", F.lit(False))
     listed = hits.where(core | F.col("same_case")).select("id", "kind", F.col("name").alias("value"), F.when(~core & (F.col("kind") == "Organization"), 0.9).otherwise(0.95).alias("confidence"), F.lit(None).cast("string").alias("credit_type"))
     by = docs.select(F.col(id_col).alias("id"), F.explode(authors(F.col(text_col))).alias("value")).select("id", F.lit("Person").alias("kind"), "value", F.lit(0.8).alias("confidence"), F.lit(None).cast("string").alias("credit_type"))
@@ -256,13 +222,129 @@ def good_pattern_hit(kind: Column, value: Column, known: tuple[str, ...] = ()) -
     return base & F.when(kind == "Person", person).when(kind == "Organization", organization).otherwise(kind.isin("CreditClass", "Project", "Methodology"))
 
 
-def hybrid(docs: DataFrame, id_col: str, text_col: str, names: DataFrame, known: tuple[str, ...] = ()) -> DataFrame:
-    """(id, kind, key, value, origin, confidence): good pattern hits before semantic entities, one a kind and upper-case value."""
+def hybrid(docs: DataFrame, id_col: str, text_col: str, names: DataFrame, known: tuple[str, ...] = (), brief: bool = False, most_names: int = 1_000_000) -> DataFrame:
+    """(id, kind, key, value, origin, confidence): good pattern hits before semantic entities, one a kind and upper-case value.
+
+    A document whose id stands in one row is merged where its text is, and only rows that repeat an id are shuffled. ``brief`` leaves
+    value and confidence out, and what they cost.
+    """
+    own = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    again = own.groupBy("id").count().where("count > 1").select(F.col("id").alias("_again"))
+    many = again.limit(_MOST_AGAIN + 1).count()
+    out = ("id", "kind", "key", "origin") if brief else ("id", "kind", "key", "value", "origin", "confidence")
+    if many > _MOST_AGAIN:
+        return _hybrid_by_id(own, names, known, most_names).select(*out)
+    if not many:
+        return _hybrid_in_rows(own, names, known, out, most_names)
+    same = own["id"].eqNullSafe(again["_again"])
+    alone, rest = (own.join(F.broadcast(again), same, how) for how in ("left_anti", "left_semi"))
+    return _hybrid_in_rows(alone, names, known, out, most_names).union(_hybrid_by_id(rest, names, known, most_names).select(*out))
+
+
+#: Repeated ids that are broadcast; with more of them all rows are merged by id.
+_MOST_AGAIN = 100_000
+
+
+def _hybrid_by_id(docs: DataFrame, names: DataFrame, known: tuple[str, ...], most_names: int) -> DataFrame:
+    """``hybrid`` of rows (id, text) that may repeat an id."""
     from .kg import pattern_entities
 
-    hits = pattern_entities(docs, id_col, text_col).where(good_pattern_hit(F.col("kind"), F.col("value"), known))
-    patterns = hits.select(F.col(id_col).alias("id"), "kind", "value", F.lit("pattern").alias("origin"), "confidence")
-    semantic = _semantic_hits(docs, id_col, text_col, names).select("id", "kind", "value", F.lit("semantic").alias("origin"), "confidence")
+    hits = pattern_entities(docs, "id", "text").where(good_pattern_hit(F.col("kind"), F.col("value"), known))
+    patterns = hits.select("id", "kind", "value", F.lit("pattern").alias("origin"), "confidence")
+    semantic = _semantic_hits(docs, "id", "text", names, most_names).select("id", "kind", "value", F.lit("semantic").alias("origin"), "confidence")
     every = patterns.union(semantic)
     first = F.min(F.struct((F.col("origin") != "pattern").alias("rank"), F.col("value"), F.col("origin"), (-F.col("confidence")).alias("less"))).alias("f")  # of one value the best confidence
     return every.groupBy("id", "kind", F.upper("value").alias("key")).agg(first).select("id", "kind", "key", "f.value", "f.origin", (-F.col("f.less")).alias("confidence"))
+
+
+def _rule_hits(text: Column, known: tuple[str, ...]) -> Column:
+    """Array of (kind, key, value, rank, good, less, hash): pattern hits (rank 0) by place, authors and identifiers (rank 1). ``less``: the negative confidence."""
+    from .kg import pattern_hits, quick
+
+    def hit(kind: Column, value: Column, rank: int, good: Column, confidence: float) -> Column:
+        key = F.upper(value)
+        return F.struct(kind.alias("kind"), key.alias("key"), value.alias("value"), F.lit(rank).alias("rank"), good.alias("good"), F.lit(-confidence).alias("less"), F.xxhash64(kind, key).alias("hash"))
+
+    patterns = F.transform(pattern_hits(text), lambda x: hit(x["kind"], x["value"], 0, F.coalesce(good_pattern_hit(x["kind"], x["value"], known), F.lit(False)), 0.95))
+    by = F.transform(authors(text), lambda x: hit(F.lit("Person"), x, 1, F.lit(True), 0.8))
+    found = F.concat(*[F.transform(F.regexp_extract_all(text, F.lit(quick(p)), F.lit(1)), _of_kind(kind)) for kind, p in IDENTIFIERS])
+    return F.concat(patterns, by, F.transform(found, lambda x: hit(x["kind"], x["value"], 1, F.lit(True), 0.95)))
+
+
+def _of_kind(kind: str) -> Callable[[Column], Column]:
+    return lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("value"))
+
+
+def _best_of_rules(rules: pa.Array) -> dict[tuple, tuple]:
+    """(row, kind, key) -> (rank, value, less, hash) of a batch's ``_rule_hits``: a good first pattern hit, else the least semantic one."""
+    patterns: set[tuple] = set()
+    best: dict[tuple, tuple] = {}
+    flat = pc.list_flatten(rules).flatten()
+    for row, kind, key, value, rank, good, less, h in zip(pc.list_parent_indices(rules).to_pylist(), *[c.to_pylist() for c in flat], strict=True):
+        at, new = (row, kind, key), (rank, value, less, h)
+        if rank == 0:
+            if at in patterns:
+                continue
+            patterns.add(at)
+        if good and (at not in best or new < best[at]):
+            best[at] = new
+    return best
+
+
+def _hybrid_in_rows(docs: DataFrame, names: DataFrame, known: tuple[str, ...], out: tuple[str, ...], most_names: int) -> DataFrame:
+    """``hybrid`` of rows (id, text) that repeat no id: nothing is shuffled."""
+    finder, listed = _dictionary(_marked(names), most_names)
+    # names that are one kind and upper-case value are one entity
+    entity = pc.dictionary_encode(pc.binary_join_element_wise(listed["kind"].combine_chunks(), listed["key"].combine_chunks(), "\0")).indices.to_numpy().astype(np.int64)
+    of_hash = np.argsort(listed["hash"].to_numpy(), kind="stable")
+    sent = docs.sparkSession.sparkContext.broadcast((finder, listed.select(["name", "kind", "canonical", "key"]), entity, of_hash, listed["hash"].to_numpy()[of_hash]))
+    types = {"id": docs.schema["id"].dataType.simpleString(), "confidence": "double"}
+    fields = {c: types.get(c, "string") for c in out}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        finder, listed, entity, of_hash, hashes = sent.value
+        written, kinds, core, keys = (c.combine_chunks() for c in listed.columns)
+        core = np.asarray(pc.fill_null(pc.equal(core, "core"), False))
+        organization = np.asarray(pc.equal(kinds, "Organization"))
+        n = max(1, len(entity))
+
+        def listed_as(kind: str, key: str, h: int) -> int:
+            """The entity of the dictionary with this kind and upper-case value, or -1."""
+            at = int(np.searchsorted(hashes, h))
+            while at < len(hashes) and hashes[at] == h:
+                i = int(of_hash[at])
+                if keys[i].as_py() == key and kinds[i].as_py() == kind:
+                    return int(entity[i])
+                at += 1
+            return -1
+
+        for batch in (part for whole in batches for part in _small(whole)):
+            row, name, _, same, _ = finder.find(batch.column(1).to_pylist())
+            counts = core[name] | same
+            each = np.unique(row[counts] * n + name[counts])  # by row and value
+            row, name = each // n, each % n
+            codes, first = np.unique(row * n + entity[name], return_index=True)
+            row, name = row[first], name[first]
+            less = np.where(organization[name] & ~core[name], -0.9, -0.95)
+            keep = np.ones(len(name), bool)
+            best = _best_of_rules(batch.column(2))
+            for (r, kind, key), (rank, value, others, h) in list(best.items()):
+                e = listed_as(kind, key, h)
+                at = int(np.searchsorted(codes, r * n + e))
+                if e >= 0 and at < len(codes) and codes[at] == r * n + e:
+                    if (rank, value, others) < (1, written[int(name[at])].as_py(), float(less[at])):
+                        keep[at] = False
+                    else:
+                        del best[r, kind, key]
+            row, of, less = row[keep], pa.array(name[keep]), less[keep]
+            rules = [(*k, *v) for k, v in best.items()]
+            text = lambda k: pa.array([x[k] for x in rules], pa.string())
+            every = {"id": pa.concat_arrays([batch.column(0).take(pa.array(row)), batch.column(0).take(pa.array([x[0] for x in rules], pa.int64()))])}
+            every |= {"kind": pa.concat_arrays([kinds.take(of), text(1)]), "key": pa.concat_arrays([keys.take(of), text(2)])}
+            every |= {"origin": pa.concat_arrays([pa.repeat("semantic", len(of)), pa.array(["semantic" if x[3] else "pattern" for x in rules], pa.string())])}
+            if "value" in fields:
+                every |= {"value": pa.concat_arrays([written.take(of), text(4)]), "confidence": pa.array(-np.concatenate([less, np.array([x[5] for x in rules], float)]))}
+            yield pa.RecordBatch.from_pydict({c: every[c] for c in fields})
+
+    with_rules = docs.where("text is not null").select("id", "text", _rule_hits(F.col("text"), known).alias("rules"))
+    return with_rules.mapInArrow(run, ", ".join(f"{c} {t}" for c, t in fields.items()))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -78,6 +79,22 @@ RELATIONS = (
 )
 
 
+def quick(pattern: str) -> str:
+    """A pattern with the same matches whose first letters are sought before what costs more: a word boundary, one of two words."""
+    return re.sub(r"\\b(\(?)([A-Z]+)", r"\1\2(?<=\\b\2)", pattern, count=1).replace("(?:proposal|prop)", "prop(?:osal)?")
+
+
+def pattern_hits(text: Column, kinds: tuple[str, ...] | None = None) -> Column:
+    """Array of (kind, value, place): what ``ENTITY_RULES`` find, by rule and place."""
+
+    def hits(kind: str, pattern: str, valid: str | None) -> Column:
+        values = F.transform(F.regexp_extract_all(text, F.lit(quick(pattern)), F.lit(0)), lambda x: F.trim(x))
+        good = F.filter(values, lambda x: (x != "") & (x.rlike(valid) if valid else F.lit(True)))
+        return F.transform(good, lambda x, i: F.struct(F.lit(kind).alias("kind"), x.alias("value"), i.alias("place")))
+
+    return F.concat(*[hits(*rule) for rule in ENTITY_RULES if kinds is None or rule[0] in kinds])
+
+
 def pattern_entities(docs: DataFrame, id_col: str, text_col: str, kinds: tuple[str, ...] | None = None, window: int = 100) -> DataFrame:
     """(id, kind, key, value, hits, confidence, context): entities by ``ENTITY_RULES``, one a kind and upper-case value of a document.
 
@@ -85,14 +102,7 @@ def pattern_entities(docs: DataFrame, id_col: str, text_col: str, kinds: tuple[s
     place where it stands. A null text gives none.
     """
     text = F.col(text_col)
-
-    def hits(kind: str, pattern: str, valid: str | None) -> Column:
-        values = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda x: F.trim(x))
-        good = F.filter(values, lambda x: (x != "") & (x.rlike(valid) if valid else F.lit(True)))
-        return F.transform(good, lambda x, i: F.struct(F.lit(kind).alias("kind"), x.alias("value"), i.alias("place")))
-
-    found = [hits(*rule) for rule in ENTITY_RULES if kinds is None or rule[0] in kinds]
-    each = docs.select(F.col(id_col), text.alias("_text"), F.explode(F.concat(*found)).alias("e"))
+    each = docs.select(F.col(id_col), text.alias("_text"), F.explode(pattern_hits(text, kinds)).alias("e"))
     at = F.instr(F.col("_text"), F.col("e.value"))
     around = F.substring(F.col("_text"), F.greatest(F.lit(1), at - window), F.length("e.value") + window + F.least(F.lit(window), at - 1))
     each = each.select(id_col, "e.*", F.upper("e.value").alias("key"), F.trim(F.regexp_replace(around, r"\s+", " ")).alias("context"))

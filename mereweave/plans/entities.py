@@ -100,4 +100,4 @@ with {_SEMANTIC_SQL}, hits as (select id, kind, trim(hit) as value, row_number()
 select id, kind, upper(value) as key, case when bool_or(origin = 'pattern') then 'pattern' else 'semantic' end as origin from every group by 1, 2, 3""")
 def hybrid(v: Views) -> DataFrame:
     """Pattern hits that are plausible, and semantic entities beside them; of equal ones the pattern's."""
-    return e.hybrid(notes(v), "doc_id", "text", names(v)).select("id", "kind", "key", "origin")
+    return e.hybrid(notes(v), "doc_id", "text", names(v), brief=True)

@@ -101,3 +101,74 @@ def test_merged_entities_keep_the_credit_type(spark):
     names = spark.createDataFrame([("Stonewall", "Person", True)], "name string, kind string, core boolean")
     rows = {(r.id, r.value): r.credit_type for r in e.semantic_entities(docs, "id", "text", names).collect()}
     assert rows == {(1, "C01"): "carbon", (2, "C01"): "soil", (3, "C01"): "unknown", (1, "Stonewall"): None}
+
+
+HYBRID = [
+    (1, "C01 by Bob Stone. core org, GITHUB and GitHub. Core Org"), (2, "Written by Ann Reeder. Ann Reeder, c07 VM0001 P001 and P002; P001. Github"), (3, None), (4, ""), (5, "author Style Guide, the Blue Lake Labs and proposal # 12"),
+    (6, "github"), (7, "GitHub or Github by Core Org Foundation"), (8, "x" * 300_000 + " GitHub " + "y" * 300_000), (9, "by Mia Cannon. MIA CANNON"), (10, "straße STRASSE"), (None, "GitHub"),
+]
+HYBRID_NAMES = [("Core Org", "Organization", True), ("GitHub", "Organization", False), ("Github", "Organization", False), ("Ann Reeder", "Person", True), ("P001", "Project", True), ("Mia Cannon", "Person", False), ("Straße", "Organization", True), ("STRASSE", "Organization", False), ("Org", "Person", True), ("", "Person", True)]
+
+
+@pytest.mark.parametrize("again", [[], [(2, "Github, C99 by Bob Stone"), (None, "github, GITHUB")], [(1, "GitHub")] * 3])
+def test_hybrid_in_rows_equals_hybrid_by_id(spark, monkeypatch, again):
+    docs = spark.createDataFrame(HYBRID + again, "id long, text string")
+    names = spark.createDataFrame(HYBRID_NAMES, "name string, kind string, core boolean")
+    want = {tuple(r) for r in e._hybrid_by_id(docs, names, (), 1000).collect()}
+    for most in (100_000, 0):  # repeated ids apart, or all rows by id
+        monkeypatch.setattr(e, "_MOST_AGAIN", most)
+        got = e.hybrid(docs, "id", "text", names).collect()
+        assert {tuple(r) for r in got} == want and len(got) == len(want) > 15
+        brief = e.hybrid(docs, "id", "text", names, brief=True)
+        assert {tuple(r) for r in brief.collect()} == {(i, kind, key, origin) for i, kind, key, _, origin, _ in want}
+
+
+def test_hybrid_shuffles_no_row_of_an_id_that_stands_once(spark):
+    docs = spark.createDataFrame(HYBRID, "id long, text string")
+    names = spark.createDataFrame(HYBRID_NAMES, "name string, kind string, core boolean")
+    assert "Exchange" not in e.hybrid(docs, "id", "text", names)._jdf.queryExecution().toString()
+
+
+def test_a_dictionary_takes_about_a_hundred_bytes_a_name(spark):
+    import pickle
+
+    names = spark.range(50_000).selectExpr("concat('Name', hex(xxhash64(id)), 'x') as name", "'Person' as kind", "true as core")
+    sent = pickle.dumps(e._dictionary(names, 50_000))
+    assert len(sent) < 200 * 50_000
+
+
+def test_names_of_any_length_are_found_across_chunks(monkeypatch):
+    import random
+
+    from mereweave.operators import names as n
+
+    random.seed(4)
+    for chunk in (7, 64, 1 << 17):
+        monkeypatch.setattr(n, "_CHUNK", chunk)
+        for letters in ("abAB", "aA_ .", "abcdefXYZ ", "aßİΣσςÜü é\U0001f600") * 10:
+            names = list({"".join(random.choices(letters, k=random.choice((1, 2, 5, 6, 7, 12, 40)))) for _ in range(40)})
+            texts = [None, "", "x".join(names[:9]), *("".join(random.choices(letters, k=150)) for _ in range(3))]
+            want = set()
+            for row, text in enumerate(texts):
+                low = n.lowered(text or "")
+                word = lambda i, t=text: 0 <= i < len(t) and (t[i].isalnum() or t[i] == "_")
+                for k, name in enumerate(names):
+                    for m in re.finditer(f"(?={re.escape(n.lowered(name))})", low):
+                        a, b = m.start(), m.start() + len(name)
+                        want.add((row, k, a, text[a:b] == name, word(a - 1) != word(a) and word(b - 1) != word(b)))
+            got = list(zip(*(x.tolist() for x in n.Names(names).find(texts, whole=True)), strict=True))
+            assert set(got) == want and len(got) == len(want)
+
+
+def test_quick_patterns_have_the_same_matches(spark):
+    from pyspark.sql import functions as F
+
+    from mereweave.operators import kg
+
+    texts = ["C01 c012 xC01 C0123 éC01 _C01 C01C02 C1 C01é", "vm0001, VM0002 VM00021 xVM0003 VM0004VM0005", "P001 p0012 P00123 -P001 P001_ üP001", "prop 1 PROPOSAL#2 proposal\n#3 prop4 proposalprop 5", "by Ann Lee, baby Ann Lee; written by by Ann Lee author\u2003Bob Stone author by Xa Ya AUTHOR Za Za", ""]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    old = r"(?U)(?:by|author|written by)\s+([A-Z][a-z]+ [A-Z][a-z]+)"
+    for slow, fast in [*((p, kg.quick(p)) for _, p, *_ in (*kg.ENTITY_RULES, *e.IDENTIFIERS)), (old, e.AUTHORS[0])]:
+        group = F.lit(min(1, re.compile(slow.replace("(?U)", "")).groups))
+        both = docs.select(*[F.regexp_extract_all("text", F.lit(p), group) for p in (slow, fast)]).collect()
+        assert [r[0] for r in both] == [r[1] for r in both], slow
