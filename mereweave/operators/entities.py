@@ -9,7 +9,7 @@ canonical form); rows that repeat an id are one document for entities, each valu
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -145,7 +145,8 @@ def whitelist(docs: DataFrame, id_col: str, text_col: str, names: DataFrame) ->
 
 def authors(text: Column) -> Column:
     """Names after ``by`` or a dash that are not known to be something else."""
-    found = F.concat(*[F.regexp_extract_all(text, F.lit(p), F.lit(1)) for p in AUTHORS])
+    by, dash = (F.regexp_extract_all(text, F.lit(p), F.lit(1)) for p in AUTHORS)
+    found = F.concat(by, F.when(F.contains(text, F.lit("—")), dash).otherwise(F.array().cast("array<string>")))  # a null text: the first is null
     return F.filter(found, lambda x: ~F.lower(x).isin(*NO_AUTHORS) & ~any_part(F.lower(x), NO_AUTHOR_PARTS))
 
 
@@ -259,7 +260,7 @@ def _hybrid_by_id(docs: DataFrame, names: DataFrame, known: tuple[str, ...], mos
 
 def _rule_hits(text: Column, known: tuple[str, ...]) -> Column:
     """Array of (kind, key, value, rank, good, less, hash): pattern hits (rank 0) by place, authors and identifiers (rank 1). ``less``: the negative confidence."""
-    from .kg import pattern_hits, quick
+    from .kg import codes, pattern_hits
 
     def hit(kind: Column, value: Column, rank: int, good: Column, confidence: float) -> Column:
         key = F.upper(value)
@@ -267,12 +268,8 @@ def _rule_hits(text: Column, known: tuple[str, ...]) -> Column:
 
     patterns = F.transform(pattern_hits(text), lambda x: hit(x["kind"], x["value"], 0, F.coalesce(good_pattern_hit(x["kind"], x["value"], known), F.lit(False)), 0.95))
     by = F.transform(authors(text), lambda x: hit(F.lit("Person"), x, 1, F.lit(True), 0.8))
-    found = F.concat(*[F.transform(F.regexp_extract_all(text, F.lit(quick(p)), F.lit(1)), _of_kind(kind)) for kind, p in IDENTIFIERS])
-    return F.concat(patterns, by, F.transform(found, lambda x: hit(x["kind"], x["value"], 1, F.lit(True), 0.95)))
-
-
-def _of_kind(kind: str) -> Callable[[Column], Column]:
-    return lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("value"))
+    ids = F.transform(codes(text, list(IDENTIFIERS)), lambda x: hit(x["kind"], x["value"], 1, F.lit(True), 0.95))
+    return F.concat(patterns, by, ids)
 
 
 def _best_of_rules(rules: pa.Array) -> dict[tuple, tuple]:

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from difflib import SequenceMatcher
+from functools import reduce
+from operator import or_
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -84,15 +86,35 @@ def quick(pattern: str) -> str:
     return re.sub(r"\\b(\(?)([A-Z]+)", r"\1\2(?<=\\b\2)", pattern, count=1).replace("(?:proposal|prop)", "prop(?:osal)?")
 
 
+def codes(text: Column, rules: list[tuple[str, str]]) -> Column:
+    """Array of (kind, value, place): codes in upper case that are whole words, by rule and place. All ``rules`` (kind, pattern), which begin
+    with different letters under the same flag, are sought in one pass: whole words do not overlap."""
+    flag, bodies = rules[0][1][:4], [quick(p)[4:-2].strip("()") for _, p in rules]
+    first = "".join(b[0] for b in bodies)
+    values = F.regexp_extract_all(text, F.lit(f"{flag}(?=[{first}{first.lower() if 'i' in flag else ''}])(?:{'|'.join(bodies)})\\b"), F.lit(0))
+
+    def of(kind: str, body: str) -> Callable[[Column], Column]:
+        own = "^" + re.sub(r"\(\?<=[^)]*\)", "", body) + "$"
+        return lambda found: F.transform(F.filter(found, lambda x: x.rlike(own)), lambda x, i: F.struct(F.lit(kind).alias("kind"), x.alias("value"), i.alias("place")))
+
+    each = [of(kind, body) for (kind, _), body in zip(rules, bodies, strict=True)]
+    return F.get(F.transform(F.array(values), lambda found: F.concat(*[f(found) for f in each])), F.lit(0))  # found once though used for each rule
+
+
 def pattern_hits(text: Column, kinds: tuple[str, ...] | None = None) -> Column:
     """Array of (kind, value, place): what ``ENTITY_RULES`` find, by rule and place."""
 
-    def hits(kind: str, pattern: str, valid: str | None) -> Column:
-        values = F.transform(F.regexp_extract_all(text, F.lit(quick(pattern)), F.lit(0)), lambda x: F.trim(x))
-        good = F.filter(values, lambda x: (x != "") & (x.rlike(valid) if valid else F.lit(True)))
+    def hits(kind: str, pattern: str) -> Column:
+        values = F.regexp_extract_all(text, F.lit(quick(pattern)), F.lit(0))
+        if ends := re.search(r"\(\?: \(\?:([A-Za-z|]+)\)\)$", pattern):  # most texts hold no such end of a name
+            held = [F.contains(text, F.lit(f" {end}")) for end in ends[1].split("|")]
+            values = F.when(reduce(or_, held), values).otherwise(F.array().cast("array<string>"))
+        good = F.filter(F.transform(values, lambda x: F.trim(x)), lambda x: x != "")
         return F.transform(good, lambda x, i: F.struct(F.lit(kind).alias("kind"), x.alias("value"), i.alias("place")))
 
-    return F.concat(*[hits(*rule) for rule in ENTITY_RULES if kinds is None or rule[0] in kinds])
+    rules = [r for r in ENTITY_RULES if kinds is None or r[0] in kinds]
+    coded = [(kind, pattern) for kind, pattern, valid in rules if valid]
+    return F.concat(*([codes(text, coded)] if coded else []), *[hits(kind, pattern) for kind, pattern, valid in rules if not valid])
 
 
 def pattern_entities(docs: DataFrame, id_col: str, text_col: str, kinds: tuple[str, ...] | None = None, window: int = 100) -> DataFrame:

@@ -172,3 +172,7 @@ def test_quick_patterns_have_the_same_matches(spark):
         group = F.lit(min(1, re.compile(slow.replace("(?U)", "")).groups))
         both = docs.select(*[F.regexp_extract_all("text", F.lit(p), group) for p in (slow, fast)]).collect()
         assert [r[0] for r in both] == [r[1] for r in both], slow
+    for rules in ([(k, p) for k, p, valid in kg.ENTITY_RULES if valid], list(e.IDENTIFIERS)):  # codes in one pass as rule by rule
+        found = docs.select(kg.codes(F.col("text"), rules).alias("codes"), *[F.regexp_extract_all("text", F.lit(p), F.lit(0)).alias(k) for k, p in rules]).collect()
+        for r in found:
+            assert [(c.kind, c.value, c.place) for c in r.codes] == [(k, *x) for k, _ in rules for x in ((v, i) for i, v in enumerate(v for v in r[k] if v.isupper()))]
