@@ -1,7 +1,7 @@
 """Names of a dictionary in texts, found by hashes of their characters.
 
 The dictionary is a few arrays (about a hundred bytes a name, strings included), made once on the driver: a trie of objects in each worker
-takes over a kilobyte a name. A place is tried by the hash of its first characters, then by a hash for each length of the names that begin
+takes about eight times as much. A place is tried by the hash of its first characters, then by a hash for each length of the names that begin
 so; every hit is compared with the name itself, so that a chance collision finds nothing.
 """
 
